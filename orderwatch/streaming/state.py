@@ -1,0 +1,146 @@
+"""The rolling count per address on a stream."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from orderwatch.operators.rolling import IP, TIME, with_rolling_count
+from orderwatch.streaming.sinks import Sink
+
+MICROS = 1_000_000
+MOMENTS = "n BIGINT, bucket BIGINT, batch_id BIGINT"
+
+
+class RollingCount(StatefulProcessor):
+    """Counts, for each order of one address and time bucket, the address's orders in the look-back.
+
+    A bucket is one look-back long and is also sent the orders of the bucket before it, so it holds all
+    that its orders look back on. The state is a list of chunks, one per micro-batch: the different
+    order times and how many orders each stands for, as two int64 columns. It is dropped as a whole
+    once the watermark has passed the bucket's end.
+    """
+
+    def __init__(self, look_back: int) -> None:
+        self.look_back = look_back
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getListState("seen", T.StructType([T.StructField("chunk", T.BinaryType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        chunk = np.stack(np.unique(batch["micros"].to_numpy(dtype=np.int64), return_counts=True))
+        chunks = [np.frombuffer(packed, dtype=np.int64).reshape(2, -1) for (packed,) in self.seen.get()]
+        if not chunks:
+            end = (int(key[1]) + 1) * self.look_back
+            self.handle.registerTimer(end // 1000 + 1)
+        self.seen.appendValue((chunk.tobytes(),))
+        known = np.concatenate([chunk, *chunks], axis=1)
+        known = known[:, np.argsort(known[0], kind="stable")]
+        upto = np.concatenate([[0], np.cumsum(known[1])])
+        own = batch[batch["own"]]
+        times = own["micros"].to_numpy(dtype=np.int64)
+        recent = (
+            upto[np.searchsorted(known[0], times, side="right")]
+            - upto[np.searchsorted(known[0], times - self.look_back, side="right")]
+        )
+        yield own.drop(columns=["timestamp", "bucket", "own"]).assign(recent_orders=recent)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def rolling_ip_count_stream(df: DataFrame, look_back: int = 600, delay: str = "10 minutes") -> DataFrame:
+    """A stream of orders with `recent_orders`, each order handed on once, in the batch it arrives in.
+
+    `look_back` is in seconds. An order up to `delay` late is counted where it belongs, but does not
+    change counts already handed on; a later one is dropped.
+
+    An address is split by time bucket, so a backlog spreads over many tasks. The orders one address
+    sends within one micro-batch and look-back are still one task, bounded by the source's limit per
+    trigger; `rolling_count_sink` has no such group.
+    """
+    span = look_back * MICROS
+    known = df.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull()).withWatermark(TIME, delay)
+    others = [c for c in df.columns if c not in (IP, TIME)]
+    copies = known.select("*", F.unix_micros(TIME).alias("micros"), F.explode(F.array(F.lit(0), F.lit(1))).alias("ahead"))
+    # Other columns cross to Python as text, so that whole numbers with nulls come back as they were.
+    keyed = copies.select(
+        IP,
+        TIME,
+        "micros",
+        (F.floor(F.col("micros") / F.lit(span)) + F.col("ahead")).alias("bucket"),
+        (F.col("ahead") == 0).alias("own"),
+        *[F.when(F.col("ahead") == 0, F.col(c).cast("string")).alias(c) for c in others],
+    )
+    output = T.StructType(
+        [
+            df.schema[IP],
+            T.StructField("micros", T.LongType()),
+            *[T.StructField(c, T.StringType()) for c in others],
+            T.StructField("recent_orders", T.LongType()),
+        ]
+    )
+    counted = keyed.groupBy(IP, "bucket").transformWithStateInPandas(
+        statefulProcessor=RollingCount(span), outputStructType=output, outputMode="append", timeMode="eventTime"
+    )
+    typed = {c: F.col(c).cast(df.schema[c].dataType).alias(c) for c in others}
+    typed |= {IP: F.col(IP), TIME: F.timestamp_micros("micros").alias(TIME)}
+    return counted.select(*[typed[c] for c in df.columns], "recent_orders")
+
+
+def rolling_count_sink(path: str, sink: Sink, look_back: int = 600, cell: str = "1 minute") -> Sink:
+    """A sink that adds `recent_orders` to a batch of orders and hands it to the next sink.
+
+    What earlier batches left in the look-back is kept as a table of orders per address and time under
+    `path`, in folders by time bucket and batch; a repeated batch replaces its own folders. The count
+    itself is the one for tables, which splits every address by time and adds copies up first, so a hot
+    address spreads over the cluster. Folders older than the latest order allowed in may be removed.
+    """
+    span = look_back * MICROS
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = batch.persist()
+        try:
+            moments = (
+                kept.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
+                .groupBy(IP, TIME)
+                .agg(F.count("*").alias("n"))
+                .withColumn("bucket", F.floor(F.unix_micros(TIME) / F.lit(span)))
+                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            )
+            schema = T.StructType([batch.schema[IP], batch.schema[TIME], *T._parse_datatype_string(MOMENTS).fields])
+            moments.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "bucket", "batch_id"
+            ).parquet(path)
+            first, last = kept.agg(F.min(TIME), F.max(TIME)).select(
+                *[F.floor(F.unix_micros(c) / F.lit(span)) for c in (f"min({TIME})", f"max({TIME})")]
+            ).first()
+            if first is None:
+                sink(kept.withColumn("recent_orders", F.lit(None).cast("bigint")), batch_id)
+                return
+            table = spark.read.schema(schema).option("basePath", path)
+            buckets = range(first - 1, last + 1)
+            # A live batch needs two or three buckets, so only their folders are listed.
+            named = ",".join(f"bucket={b}" for b in buckets) if len(buckets) <= 100 else "bucket=*"
+            seen = table.parquet(f"{path}/{{{named}}}").filter(
+                F.col("bucket").between(first - 1, last) & (F.col("batch_id") <= batch_id)
+            )
+            moments_seen = seen.groupBy(IP, TIME).agg(F.sum("n").alias("n"))
+            sink(with_rolling_count(kept, moments_seen, f"{look_back} seconds", cell), batch_id)
+        finally:
+            kept.unpersist()
+
+    return write
