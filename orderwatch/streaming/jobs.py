@@ -81,6 +81,7 @@ REPORT_QUERIES: Mapping[str, Query] = {
 
 
 def fan_out(
+    job: str,
     orders: DataFrame,
     queries: Mapping[str, Query],
     sinks: Mapping[str, Sink],
@@ -89,7 +90,14 @@ def fan_out(
 ) -> list[StreamingQuery]:
     """Starts every query over the same orders. Each reads the source itself and keeps its own progress."""
     return [
-        start(name, query.build(orders), query.mode, sinks[name], f"{checkpoints}/{name}", trigger or query.trigger)
+        start(
+            f"{job}_{name}",
+            query.build(orders),
+            query.mode,
+            sinks[name],
+            f"{checkpoints}/{name}",
+            trigger or query.trigger,
+        )
         for name, query in queries.items()
     ]
 
@@ -105,7 +113,7 @@ def run_tables(
         contract = OUTPUT_TABLES[name]
         return Query(lambda df: to_contract(query.build(df), contract), query.mode, query.trigger)
 
-    return fan_out(orders, {name: typed(name) for name in TABLE_QUERIES}, sinks, root, trigger)
+    return fan_out("tables", orders, {name: typed(name) for name in TABLE_QUERIES}, sinks, root, trigger)
 
 
 def run_reports(
@@ -118,12 +126,16 @@ def run_reports(
     root = checkpoints or f"{checkpoint_root(orders.sparkSession)}/reports"
     sinks = {
         "popular_products": report(
-            "Popular products, top 5", 5, order=lambda df: top_overall(df, "order_count"), captions="popular_products", out=out
+            "Popular products, top 5",
+            5,
+            order=lambda df: top_overall(df, "order_count"),
+            captions="popular_products",
+            out=out,
         ),
         "suspicious_ips": product_list_report("Suspicious addresses", 20, empty="no suspicious address", out=out),
         "high_value_orders": report("High-value orders", 20, counted=True, out=out),
     }
-    return fan_out(orders, REPORT_QUERIES, sinks, root, trigger)
+    return fan_out("reports", orders, REPORT_QUERIES, sinks, root, trigger)
 
 
 def await_any(spark: SparkSession) -> None:

@@ -16,7 +16,7 @@ from orderwatch.sources.codec import decode_orders, observe_bad_records
 from orderwatch.sources.orders import read_orders
 from orderwatch.streaming.jobs import await_any, run_reports, run_tables, start
 from orderwatch.streaming.sinks import changelog, latest, read_changelog
-from orderwatch.streaming.state import rolling_count_sink, rolling_ip_count_stream
+from orderwatch.streaming.rolling import rolling_ip_count_stream
 
 
 def orders(spark, folder, streaming=True):
@@ -98,19 +98,14 @@ ROLLING = {
 }
 
 
-def test_rolling_state(spark, trace, tmp_path):
-    counted = rolling_ip_count_stream(orders(spark, trace), look_back=60)
-    assert full(run(counted.select("ip_address", "timestamp", "recent_orders"), "append", tmp_path)) == ROLLING
-
-
-def test_rolling_sink(spark, trace, tmp_path):
+def test_rolling_count_of_the_trace(spark, trace, tmp_path):
     seen = {}
 
     def keep(batch, batch_id):
         rows = batch.select("ip_address", "timestamp", "recent_orders").collect()
         seen[batch_id] = {(ip, seconds(time), n) for ip, time, n in rows}
 
-    sink = rolling_count_sink(str(tmp_path / "moments"), keep, look_back=60, cell="20 seconds")
+    sink = rolling_ip_count_stream(str(tmp_path / "moments"), keep, look_back=60, cell="20 seconds")
     run(orders(spark, trace), "append", tmp_path, sink=sink)
     assert seen == ROLLING
     # A repeated batch finds the same past and answers the same.
@@ -131,8 +126,7 @@ def many_orders(folder, files=4):
         write_batch(folder, number, lines[number * step : (number + 1) * step])
 
 
-@pytest.mark.parametrize("form", ["state", "sink"])
-def test_rolling_stream_equals_batch(spark, tmp_path, form):
+def test_rolling_stream_equals_batch(spark, tmp_path):
     many_orders(tmp_path / "in")
     expected = rolling_ip_count(orders(spark, tmp_path / "in", False), "60 seconds", cell="20 seconds")
     found = {}
@@ -142,16 +136,8 @@ def test_rolling_stream_equals_batch(spark, tmp_path, form):
             assert row["order_id"] not in found
             found[row["order_id"]] = tuple(row)
 
-    feed = orders(spark, tmp_path / "in")
-    if form == "state":
-        run(rolling_ip_count_stream(feed, look_back=60, delay="30 seconds"), "append", tmp_path, sink=keep)
-    else:
-        run(feed, "append", tmp_path, sink=rolling_count_sink(str(tmp_path / "m"), keep, look_back=60))
-    # The first order of a file may share its time with the last of the file before; that one
-    # was handed on without it.
-    late = {row["order_id"]: tuple(row) for row in expected.collect()}
-    assert found.keys() == late.keys()
-    assert {k for k in found if found[k] != late[k]} <= {f"o{i:04d}" for i in (59, 119, 179)}
+    run(orders(spark, tmp_path / "in"), "append", tmp_path, sink=rolling_ip_count_stream(str(tmp_path / "m"), keep, 60))
+    assert found == {row["order_id"]: tuple(row) for row in expected.collect()}
 
 
 def test_latest_of_updates_equals_batch(spark, trace, tmp_path):
