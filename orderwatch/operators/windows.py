@@ -7,7 +7,7 @@ reaches the shuffle as one row per task and window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderwatch.functions.scalars import seconds_between
@@ -18,34 +18,49 @@ def _watermarked(df: DataFrame, delay: str | None) -> DataFrame:
     return df.withWatermark("timestamp", delay) if df.isStreaming and delay else df
 
 
-def _window(time: str, duration: str, slide: str | None) -> Column:
-    return F.window(time, duration, slide) if slide else F.window(time, duration)
+# Seconds per unit of an interval written as a number and a unit.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _divides(slide: str, duration: str) -> bool:
+    """Whether windows of `duration` consist of whole slides. False for intervals in other notations."""
+    lengths = []
+    for text in (slide, duration):
+        number, _, unit = text.strip().lower().partition(" ")
+        if not number.isdecimal() or unit.removesuffix("s") not in UNIT_SECONDS:
+            return False
+        lengths.append(int(number) * UNIT_SECONDS[unit.removesuffix("s")])
+    return lengths[0] > 0 and lengths[1] % lengths[0] == 0
+
+
+def _windowed(
+    df: DataFrame, keys: list[str], duration: str, slide: str | None, delay: str | None
+) -> DataFrame:
+    """Orders and their amount per window and keys, as `window`, the keys, `orders` and `amount`."""
+    counted = [F.count("*").alias("orders"), F.sum("total_price").alias("amount")]
+    if not slide:
+        return _watermarked(df, delay).groupBy(F.window("timestamp", duration).alias("window"), *keys).agg(*counted)
+    if df.isStreaming or not _divides(slide, duration):
+        rows = _watermarked(df, delay)
+        return rows.groupBy(F.window("timestamp", duration, slide).alias("window"), *keys).agg(*counted)
+    # Count each row once, in the tumbling window of one slide, and copy the counts instead of the rows
+    # into the overlapping windows. A stream cannot aggregate twice in its update and complete modes.
+    panes = df.groupBy(F.window("timestamp", slide).alias("pane"), *keys).agg(*counted)
+    return panes.groupBy(F.window("pane.start", duration, slide).alias("window"), *keys).agg(
+        F.sum("orders").alias("orders"), F.sum("amount").alias("amount")
+    )
 
 
 def popular_products(
     df: DataFrame, duration: str = "30 seconds", slide: str | None = None, delay: str | None = "30 seconds"
 ) -> DataFrame:
     """Orders and sales per window and product; a `slide` makes the windows overlap."""
-    counted = [F.count("*").alias("order_count"), F.sum("total_price").alias("total_sales")]
-    if slide and not df.isStreaming:
-        # Count each row once, in the tumbling window of one slide, and copy only the few counts
-        # into the overlapping windows. A stream cannot aggregate twice in its update and complete modes.
-        panes = df.groupBy(F.window("timestamp", slide).alias("pane"), "product_name").agg(*counted)
-        grouped = panes.groupBy(F.window("pane.start", duration, slide).alias("window"), "product_name").agg(
-            F.sum("order_count").alias("order_count"), F.sum("total_sales").alias("total_sales")
-        )
-    else:
-        grouped = (
-            _watermarked(df, delay)
-            .groupBy(_window("timestamp", duration, slide).alias("window"), "product_name")
-            .agg(*counted)
-        )
-    return grouped.select(
+    return _windowed(df, ["product_name"], duration, slide, delay).select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "product_name",
-        "order_count",
-        "total_sales",
+        F.col("orders").alias("order_count"),
+        F.col("amount").alias("total_sales"),
     )
 
 
@@ -66,13 +81,15 @@ def suspicious_ips(
         if df.isStreaming:
             raise ValueError("on a stream use suspicious_ip_products, and product_lists in the sink")
         return product_lists(suspicious_ip_products(df, duration, slide, limit, delay))
-    grouped = (
-        _watermarked(df, delay)
-        .groupBy(_window("timestamp", duration, slide).alias("window"), "ip_address")
-        .agg(F.count("*").alias("order_count"), F.sum("total_price").alias("total_spent"))
-    )
-    return grouped.filter(F.col("order_count") >= limit).select(
-        F.col("window.start").alias("window_start"), "ip_address", "order_count", "total_spent"
+    return (
+        _windowed(df, ["ip_address"], duration, slide, delay)
+        .filter(F.col("orders") >= limit)
+        .select(
+            F.col("window.start").alias("window_start"),
+            "ip_address",
+            F.col("orders").alias("order_count"),
+            F.col("amount").alias("total_spent"),
+        )
     )
 
 
@@ -88,10 +105,8 @@ def suspicious_ip_products(
     Copies are counted before anything is gathered, so a group never holds more rows than the address
     bought different products. On a stream this chains two aggregates and needs append mode.
     """
-    per_product = (
-        _watermarked(df, delay)
-        .groupBy(_window("timestamp", duration, slide).alias("window"), "ip_address", "product_name")
-        .agg(F.count("*").alias("copies"), F.sum("total_price").alias("spent"))
+    per_product = _windowed(df, ["ip_address", "product_name"], duration, slide, delay).withColumnsRenamed(
+        {"orders": "copies", "amount": "spent"}
     )
     if df.isStreaming:
         grouped = per_product.groupBy("window", "ip_address").agg(

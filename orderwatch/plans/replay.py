@@ -23,11 +23,10 @@ def run_folder(spark: SparkSession) -> str:
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application for streaming queries, leaving the caller's settings alone."""
+    """A session of the same application for streaming queries, in UTC, leaving the caller's settings alone."""
     session = spark.newSession()
     for name, value in SETTINGS.items():
         session.conf.set(name, value)
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     # One state partition per core; stateful stages are not resized at run time.
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return session
@@ -42,7 +41,7 @@ def event_stream(session: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def without_zone(df: DataFrame) -> DataFrame:
-    """Instants as the zoneless times they came from."""
+    """Instants as the zoneless times they came from, whatever zone the reading session has."""
     times = [f.name for f in df.schema if f.dataType.typeName() == "timestamp"]
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
 
@@ -62,8 +61,9 @@ def replay(
     """
     root = run_folder(spark)
     plan = build(event_stream(stream_session(spark), sf_dir))
-    sink = changelog(f"{root}/changes")
+    log = changelog(f"{root}/changes")
+    sink = lambda batch, batch_id: log(without_zone(batch), batch_id)
     query = start(uuid.uuid4().hex, plan, mode, wrap(f"{root}/kept", sink) if wrap else sink, f"{root}/checkpoint", ONCE)
     query.awaitTermination()
-    schema = (output(plan) if output else plan).schema
-    return without_zone(read_changelog(spark, f"{root}/changes", schema))
+    schema = without_zone(output(plan) if output else plan).schema
+    return read_changelog(spark, f"{root}/changes", schema)
