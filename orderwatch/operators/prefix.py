@@ -1,31 +1,28 @@
 """Running values over long series, split by time block.
 
 A running sum or a look at the previous row needs the rows before it, which would put a whole series
-into one task. Both split the series into time blocks: one small row per block is carried forward,
-and each block is then worked on its own.
+into one task. Both split the series into time blocks instead: one small row per block is carried
+forward and put in front of the next block's rows, and each block is then worked on its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _carried(df: DataFrame, per_block: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
-    """Rows joined to what their block starts from. Keys are compared null-safe, as grouping does."""
-    right = per_block.select(
-        *[F.col(k).alias(f"_carry_{i}") for i, k in enumerate([*keys, "_block"])], *carried
-    )
-    match: Column = df["_block"] == right[f"_carry_{len(keys)}"]
-    for i, key in enumerate(keys):
-        match = match & df[key].eqNullSafe(right[f"_carry_{i}"])
-    return df.join(right, match, "left").drop(*[f"_carry_{i}" for i in range(len(keys) + 1)])
-
-
 def _blocked(df: DataFrame, time: str, block: str) -> DataFrame:
     return df.withColumn("_block", F.window(time, block)["start"])
 
 
+def _led_by(rows: DataFrame, carries: DataFrame) -> DataFrame:
+    """The rows of each block with the block's `_carry` as one more row; that column is null on the others.
+
+    A union, not a join: the rows are shuffled once, and null keys need no special comparison.
+    """
+    return rows.unionByName(carries.filter(F.col("_carry").isNotNull()), allowMissingColumns=True)
+
+
 def running_total(
     df: DataFrame,
     value: str,
@@ -38,16 +35,20 @@ def running_total(
     """Adds the sum of `value` up to and including each row, in the order of `time` and `ties`."""
     keys = list(partition_by or [])
     rows = _blocked(df, time, block)
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum"))
-    blocks = blocks.withColumn("_before", F.sum("_sum").over(before))
-    within = (
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carries = (
+        rows.groupBy(*keys, "_block")
+        .agg(F.sum(value).alias("_sum"))
+        .select(*keys, "_block", F.sum("_sum").over(earlier).alias("_carry"))
+    )
+    upto = (
         Window.partitionBy(*keys, "_block")
-        .orderBy(time, *(ties or []))
+        .orderBy(F.col("_carry").isNull(), time, *(ties or []))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    total = F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce(F.sum(value).over(within), F.lit(0))
-    return _carried(rows, blocks, keys, ["_before"]).withColumn(alias, total).drop("_block", "_before")
+    total = F.coalesce(F.sum(F.coalesce("_carry", value)).over(upto), F.lit(0))
+    led = _led_by(rows, carries).withColumn(alias, total)
+    return led.filter(F.col("_carry").isNull()).select(*df.columns, alias)
 
 
 def with_previous(
@@ -64,8 +65,11 @@ def with_previous(
     keys = list(partition_by or [])
     rows = _blocked(df, order_by[0], block)
     state = F.struct(*columns)
-    blocks = rows.groupBy(*keys, "_block").agg(F.max_by(state, F.struct(*order_by)).alias("_last"))
-    blocks = blocks.withColumn("_carried", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_block")))
-    within = Window.partitionBy(*keys, "_block").orderBy(*order_by)
-    previous = F.coalesce(F.lag(state).over(within), F.col("_carried"))
-    return _carried(rows, blocks, keys, ["_carried"]).withColumn("previous", previous).drop("_block", "_carried")
+    # A plain time keeps the aggregate on hashed buffers; a struct of columns makes it sort.
+    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
+    last = rows.groupBy(*keys, "_block").agg(*[F.max_by(c, order).alias(c) for c in columns])
+    before = F.lag(state).over(Window.partitionBy(*keys).orderBy("_block"))
+    carries = last.select(*keys, "_block", before.alias("_carry"))
+    within = Window.partitionBy(*keys, "_block").orderBy(F.col("_carry").isNull(), *order_by)
+    led = _led_by(rows, carries).withColumn("previous", F.lag(F.coalesce("_carry", state)).over(within))
+    return led.filter(F.col("_carry").isNull()).select(*df.columns, "previous")

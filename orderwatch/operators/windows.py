@@ -75,12 +75,12 @@ def suspicious_ips(
     """Addresses with at least `limit` orders in a window, and what they spent.
 
     With `products`, each row also lists the bought products (see `product_lists`). That form is for
-    tables; on a stream, take `suspicious_ip_products` and list them inside `foreachBatch`.
+    tables; a stream hands on `ip_products`, and its sink does the rest.
     """
     if products:
         if df.isStreaming:
-            raise ValueError("on a stream use suspicious_ip_products, and product_lists in the sink")
-        return product_lists(suspicious_ip_products(df, duration, slide, limit, delay))
+            raise ValueError("on a stream use ip_products, and suspicious_ip_products in the sink")
+        return product_lists(suspicious_ip_products(ip_products(df, duration, slide), limit))
     return (
         _windowed(df, ["ip_address"], duration, slide, delay)
         .filter(F.col("orders") >= limit)
@@ -93,45 +93,33 @@ def suspicious_ips(
     )
 
 
-def suspicious_ip_products(
-    df: DataFrame,
-    duration: str = "1 minute",
-    slide: str | None = None,
-    limit: int = 10,
-    delay: str | None = "1 minute",
+def ip_products(
+    df: DataFrame, duration: str = "1 minute", slide: str | None = None, delay: str | None = "1 minute"
 ) -> DataFrame:
-    """One row per suspicious address, window and product, with the number of `copies` bought.
+    """How many `copies` of each product an address bought in a window, and what it spent on them.
 
-    Copies are counted before anything is gathered, so a group never holds more rows than the address
-    bought different products. On a stream this chains two aggregates and needs append mode.
+    On a stream this is for append mode, which hands on all rows of a window in one batch.
     """
-    per_product = _windowed(df, ["ip_address", "product_name"], duration, slide, delay).withColumnsRenamed(
-        {"orders": "copies", "amount": "spent"}
-    )
-    if df.isStreaming:
-        grouped = per_product.groupBy("window", "ip_address").agg(
-            F.sum("copies").alias("order_count"),
-            F.sum("spent").alias("total_spent"),
-            F.collect_list(F.struct("product_name", "copies")).alias("bought"),
-        )
-        alerts = grouped.filter(F.col("order_count") >= limit).select("*", F.inline("bought"))
-    else:
-        address = Window.partitionBy("window", "ip_address")
-        alerts = (
-            per_product.withColumn("order_count", F.sum("copies").over(address))
-            .withColumn("total_spent", F.sum("spent").over(address))
-            .filter(F.col("order_count") >= limit)
-        )
-    return alerts.select(
+    return _windowed(df, ["ip_address", "product_name"], duration, slide, delay).select(
         F.col("window.start").alias("window_start"),
         "ip_address",
-        "order_count",
-        "total_spent",
         "product_name",
-        "copies",
+        F.col("orders").alias("copies"),
+        F.col("amount").alias("spent"),
     )
 
 
+def suspicious_ip_products(bought: DataFrame, limit: int = 10) -> DataFrame:
+    """The rows of `ip_products` of addresses with at least `limit` orders in the window, and their totals.
+
+    Copies are counted already, so a group holds one row per different product an address bought.
+    """
+    address = Window.partitionBy("window_start", "ip_address")
+    totals = {"order_count": F.sum("copies").over(address), "total_spent": F.sum("spent").over(address)}
+    rows = bought.withColumns(totals).filter(F.col("order_count") >= limit)
+    return rows.select("window_start", "ip_address", "order_count", "total_spent", "product_name", "copies")
+
+
 def product_lists(bought: DataFrame, part_size: int = 100_000) -> DataFrame:
     """The rows of `suspicious_ip_products` as lists of product names, copies kept, in name order.
 

@@ -164,7 +164,7 @@ def _listed(rows: DataFrame) -> DataFrame:
 
 def agg_collect_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists in parts of four names."""
-    bought = windows.suspicious_ip_products(_orders(spark, sf_dir), "1 day", limit=1)
+    bought = windows.suspicious_ip_products(windows.ip_products(_orders(spark, sf_dir), "1 day"), limit=1)
     return _listed(windows.product_lists(bought, part_size=4))
 
 
@@ -356,8 +356,9 @@ def stream_realtime_stats_enriched(spark: SparkSession, sf_dir: str) -> DataFram
 
 def stream_suspicious_ips_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: the windows the watermark has closed, with the lists of products."""
-    build = lambda orders: windows.suspicious_ip_products(orders, "1 day", "6 hours", 5)
-    return _listed(windows.product_lists(replay(spark, sf_dir, build, "append").drop("batch_id")))
+    build = lambda orders: windows.ip_products(orders, "1 day", "6 hours")
+    closed = replay(spark, sf_dir, build, "append").drop("batch_id")
+    return _listed(windows.product_lists(windows.suspicious_ip_products(closed, 5)))
 
 
 def stream_top5_complete(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 from orderwatch.functions.scalars import with_total_price
 from orderwatch.session import SETTINGS
 from orderwatch.sources.feeds import orders_from_events
-from orderwatch.streaming.jobs import ONCE, start
+from orderwatch.streaming.jobs import ONCE, checkpoint_root, start
 from orderwatch.streaming.sinks import Sink, changelog, read_changelog
 
 
 def run_folder(spark: SparkSession) -> str:
-    """A new folder for one run: in the cluster's shared checkpoint folder, or local where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/replay-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="replay-")
+    """A new folder for one run in the shared checkpoint folder; in local mode without one, a temporary folder."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="replay-")
+    return f"{checkpoint_root(spark)}/replay-{uuid.uuid4().hex}"
 
 
 def stream_session(spark: SparkSession) -> SparkSession:

@@ -10,9 +10,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from orderwatch.operators.ranking import top_overall
 from orderwatch.operators.rules import high_value_display, high_value_orders
-from orderwatch.operators.windows import popular_products, realtime_stats, suspicious_ip_products, suspicious_ips
+from orderwatch.operators.windows import ip_products, popular_products, realtime_stats, suspicious_ips
 from orderwatch.schemas import OUTPUT_TABLES, to_contract
-from orderwatch.streaming.sinks import Sink, product_list_report, report
+from orderwatch.streaming.sinks import Sink, report, suspicious_report
 
 ONCE = "once"
 
@@ -74,7 +74,7 @@ REPORT_QUERIES: Mapping[str, Query] = {
         lambda orders: popular_products(orders, slide="10 seconds"), "complete", "10 seconds"
     ),
     "suspicious_ips": Query(
-        lambda orders: suspicious_ip_products(orders, slide="30 seconds"), "append", "30 seconds"
+        lambda orders: ip_products(orders, slide="30 seconds"), "append", "30 seconds"
     ),
     "high_value_orders": Query(high_value_display, "append", None),
 }
@@ -132,7 +132,7 @@ def run_reports(
             captions="popular_products",
             out=out,
         ),
-        "suspicious_ips": product_list_report("Suspicious addresses", 20, empty="no suspicious address", out=out),
+        "suspicious_ips": suspicious_report("Suspicious addresses", 20, empty="no suspicious address", out=out),
         "high_value_orders": report("High-value orders", 20, counted=True, out=out),
     }
     return fan_out("reports", orders, REPORT_QUERIES, sinks, root, trigger)

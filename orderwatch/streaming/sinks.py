@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderwatch.functions.scalars import money_text
-from orderwatch.operators.windows import product_lists
+from orderwatch.operators.windows import product_lists, suspicious_ip_products
 from orderwatch.schemas import with_captions
 
 Sink = Callable[[DataFrame, int], None]
@@ -31,10 +31,14 @@ def read_changelog(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def latest(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest row of each key. One shuffle, and each task passes on one row per key."""
+    """The newest row of each key. One shuffle, and each task passes on one row per key.
+
+    A key occurs once per batch at most, so the columns may be taken one by one; that keeps the
+    aggregate on hashed fixed-width buffers.
+    """
     values = [name for name in changes.columns if name not in (*keys, "batch_id")]
-    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("newest"))
-    return newest.select(*keys, "newest.*").select(*[c for c in changes.columns if c != "batch_id"])
+    newest = changes.groupBy(*keys).agg(*[F.max_by(name, "batch_id").alias(name) for name in values])
+    return newest.select(*[name for name in changes.columns if name != "batch_id"])
 
 
 def compact_latest(changes: DataFrame, keys: list[str], time: str, path: str, since: str | None = None) -> None:
@@ -129,13 +133,19 @@ def report(
     return write
 
 
-def product_list_report(
-    title: str, k: int = 20, empty: str | None = None, out: Callable[[str], None] = print, part_size: int = 1000
+def suspicious_report(
+    title: str,
+    k: int = 20,
+    limit: int = 10,
+    part_size: int = 1000,
+    empty: str | None = None,
+    out: Callable[[str], None] = print,
 ) -> Sink:
-    """Prints suspicious addresses with the list of what they bought, in parts of `part_size` names."""
+    """Prints, of batches of `ip_products`, the addresses with at least `limit` orders and what they bought."""
 
     def lists(batch: DataFrame) -> DataFrame:
-        rows = product_lists(batch, part_size).orderBy("window_start", "ip_address", "part")
+        rows = product_lists(suspicious_ip_products(batch, limit), part_size)
+        rows = rows.orderBy("window_start", "ip_address", "part")
         return with_captions(rows.withColumn("total_spent", money_text(F.col("total_spent"))), "suspicious_ips")
 
     return report(title, k, order=lists, empty=empty, out=out)
