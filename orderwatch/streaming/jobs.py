@@ -12,7 +12,8 @@ from orderwatch.operators.ranking import top_overall
 from orderwatch.operators.rules import high_value_display, high_value_orders
 from orderwatch.operators.windows import ip_products, popular_products, realtime_stats, suspicious_ips
 from orderwatch.schemas import OUTPUT_TABLES, to_contract
-from orderwatch.streaming.sinks import Sink, report, suspicious_report
+from orderwatch.streaming.rolling import rolling_ip_count_stream
+from orderwatch.streaming.sinks import Sink, adaptively, judged, report, suspicious_report, verdict_report
 
 ONCE = "once"
 
@@ -42,7 +43,7 @@ def start(
         df.writeStream.queryName(name)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(sink)
+        .foreachBatch(adaptively(sink))
     )
     if trigger == ONCE:
         writer = writer.trigger(availableNow=True)
@@ -138,6 +139,24 @@ def run_reports(
     return fan_out("reports", orders, REPORT_QUERIES, sinks, root, trigger)
 
 
+def run_alerts(
+    orders: DataFrame,
+    sink: Sink | None = None,
+    checkpoints: str | None = None,
+    look_back: int = 600,
+    limit: int = 10,
+    threshold: int = 500_000,
+    trigger: str | None = None,
+) -> list[StreamingQuery]:
+    """A verdict for every order: too many orders from its address in the look-back, high value, or normal.
+
+    The verdicts go to `sink`, or are printed. Counts of past orders are kept beside the checkpoint.
+    """
+    root = checkpoints or f"{checkpoint_root(orders.sparkSession)}/alerts"
+    counted = rolling_ip_count_stream(f"{root}/recent", judged(sink or verdict_report(), limit, threshold), look_back)
+    return [start("alerts_verdicts", orders, "append", counted, f"{root}/verdicts", trigger)]
+
+
 def await_any(spark: SparkSession) -> None:
     """Waits until one query ends, raising its error if it failed, and then stops the others.
 

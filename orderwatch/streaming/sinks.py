@@ -9,17 +9,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderwatch.functions.scalars import money_text
+from orderwatch.operators.rolling import order_verdict
 from orderwatch.operators.windows import product_lists, suspicious_ip_products
 from orderwatch.schemas import with_captions
 
 Sink = Callable[[DataFrame, int], None]
 
 
+def adaptively(sink: Sink) -> Sink:
+    """Lets Spark adapt the sink's own work at run time.
+
+    Spark turns adaptive execution off in the session of a stateful query, since state partitions must
+    not change; the batch handed to the sink is computed already, and what the sink does with it may.
+    """
+    setting = "spark.sql.adaptive.enabled"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get(setting)
+        conf.set(setting, "true")
+        try:
+            sink(batch, batch_id)
+        finally:
+            conf.set(setting, before)
+
+    return write
+
+
 def changelog(path: str) -> Sink:
-    """Keeps every batch under its own folder, which a repeated batch replaces: no duplicates after a restart."""
+    """Keeps every batch under its own folder, which a repeated batch replaces: no duplicates after a restart.
+
+    The rows are rebalanced first: a batch would otherwise leave one small file per state partition.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
@@ -92,6 +116,11 @@ def _table(columns: list[str], rows: list) -> str:
     return "\n".join(" | ".join(c.ljust(w) for c, w in zip(line, widths)) for line in cells)
 
 
+def judged(sink: Sink, limit: int = 10, threshold: int = 500_000) -> Sink:
+    """Adds the verdict to each order of a batch with `recent_orders` and hands the batch on."""
+    return lambda batch, batch_id: sink(order_verdict(batch, limit, threshold), batch_id)
+
+
 def report(
     title: str,
     k: int = 20,
@@ -133,6 +162,24 @@ def report(
     return write
 
 
+def verdict_report(k: int = 20, normal: bool = False, out: Callable[[str], None] = print) -> Sink:
+    """Prints the judged orders of each batch, the most recent counts first; normal ones only if asked for."""
+
+    def shown(batch: DataFrame) -> DataFrame:
+        rows = batch if normal else batch.filter(F.col("verdict") != "normal")
+        return rows.orderBy(F.desc("recent_orders"), "timestamp", "order_id").select(
+            "verdict",
+            "ip_address",
+            "recent_orders",
+            "order_id",
+            "product_name",
+            "quantity",
+            money_text(F.col("total_price")).alias("total_price"),
+        )
+
+    return report("Orders by verdict", k, order=shown, out=out)
+
+
 def suspicious_report(
     title: str,
     k: int = 20,

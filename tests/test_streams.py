@@ -8,14 +8,15 @@ import pytest
 from feed import EPOCH, TRACE, order_json, write_batch, write_trace
 from pyspark.sql import functions as F
 
+from orderwatch.__main__ import main
 from orderwatch.functions.scalars import with_total_price
 from orderwatch.operators.ranking import sort_desc
 from orderwatch.operators.rolling import rolling_ip_count
 from orderwatch.operators.windows import popular_products, realtime_stats, suspicious_ips
 from orderwatch.sources.codec import decode_orders, observe_bad_records
 from orderwatch.sources.orders import read_orders
-from orderwatch.streaming.jobs import await_any, run_reports, run_tables, start
-from orderwatch.streaming.sinks import changelog, latest, read_changelog
+from orderwatch.streaming.jobs import await_any, run_alerts, run_reports, run_tables, start
+from orderwatch.streaming.sinks import changelog, judged, latest, read_changelog, verdict_report
 from orderwatch.streaming.rolling import rolling_ip_count_stream
 
 
@@ -236,3 +237,49 @@ def test_await_any_raises_the_failure_and_stops_the_rest(spark, trace, tmp_path)
         await_any(spark)
     assert not spark.streams.active
     spark.streams.resetTerminated()
+
+
+def test_alerts_judge_every_order(spark, tmp_path):
+    folder = tmp_path / "in"
+    write_batch(folder, 0, [order_json(f"b{i:02d}", i, "mouse", 30_000, "bot") for i in range(6)])
+    write_batch(folder, 1, [order_json(f"b{i:02d}", i, "mouse", 30_000, "bot") for i in range(6, 12)])
+    write_batch(folder, 2, [order_json("h", 20, "laptop", 1_500_000, "x"), order_json("n", 21, "mouse", 30_000, "x")])
+    path = str(tmp_path / "verdicts")
+    for query in run_alerts(orders(spark, folder), changelog(path), str(tmp_path / "a"), trigger="once"):
+        query.awaitTermination()
+    found = {r.order_id: (r.recent_orders, r.verdict) for r in spark.read.parquet(path).collect()}
+    assert found == {
+        **{f"b{i:02d}": (i + 1, "macro" if i >= 9 else "normal") for i in range(12)},
+        "h": (1, "high_value"),
+        "n": (2, "normal"),
+    }
+    lines = []
+    sink = judged(verdict_report(out=lines.append))
+    rows = spark.read.parquet(path).drop("verdict")
+    sink(rows, 5)
+    assert lines[0].count("macro") == 3 and "high_value" in lines[0] and "normal" not in lines[0]
+
+
+def test_command_line_runs_a_job_to_its_end(spark, tmp_path, trace):
+    """In the running session; the topic and the database are not reachable here."""
+    source = ["--format", "json", "--option", f"path={trace}", "--option", "maxFilesPerTrigger=1", "--trigger", "once"]
+    main(["tables", *source, "--output", str(tmp_path / "out"), "--checkpoints", str(tmp_path / "c")])
+    assert spark.read.parquet(str(tmp_path / "out" / "popular_products")).count() == 8
+    main(["alerts", *source, "--output", str(tmp_path / "out"), "--checkpoints", str(tmp_path / "d")])
+    assert spark.read.parquet(str(tmp_path / "out" / "verdicts")).count() == 8
+    with pytest.raises(SystemExit):
+        main(["tables", *source])
+
+
+def test_sinks_may_adapt_and_leave_few_files(spark, tmp_path):
+    write_batch(tmp_path / "in", 0, [order_json(f"o{i}", i, f"p{i}", 10, "x") for i in range(200)])
+    adaptive, path = [], tmp_path / "changes"
+    write = changelog(str(path))
+
+    def sink(batch, batch_id):
+        adaptive.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        write(batch, batch_id)
+
+    run(popular_products(orders(spark, tmp_path / "in")), "update", tmp_path, sink=sink)
+    assert set(adaptive) == {"true"}
+    assert len(list((path / "batch_id=0").glob("*.parquet"))) == 1
