@@ -45,11 +45,11 @@ def _levels(moments: DataFrame, look_back: str, cell: str) -> DataFrame:
     )
 
 
-def _id_block(df: DataFrame) -> Column:
+def _id_block(df: DataFrame, prefix: int) -> Column:
     """A coarse part of the order id that sorts as the id does, so that ties can be ranked in pieces."""
     if isinstance(df.schema[ORDER].dataType, IntegralType):
         return F.expr(f"{ORDER} div 65536")
-    return F.substring(ORDER, 1, 16)
+    return F.substring(ORDER, 1, prefix)
 
 
 def with_rolling_count(df: DataFrame, moments: DataFrame, look_back: str, cell: str) -> DataFrame:
@@ -59,12 +59,19 @@ def with_rolling_count(df: DataFrame, moments: DataFrame, look_back: str, cell:
 
 
 def rolling_ip_count(
-    df: DataFrame, look_back: str = "10 minutes", ties: str = "peers", cell: str = "1 minute"
+    df: DataFrame,
+    look_back: str = "10 minutes",
+    ties: str = "peers",
+    cell: str = "1 minute",
+    id_prefix: int = 16,
 ) -> DataFrame:
     """Adds `recent_orders`: the orders of the same address in the look-back, this one included.
 
     An order exactly one look-back old is out. Orders at the same time count each other ("peers"), or
     only those before them by order id ("arrival"). An order without address or time has no count.
+    Equal times are ranked in blocks of ids, 65,536 numbers or the texts of one `id_prefix`; choose a
+    prefix that ends a few characters before the id does.
+
     For tables. Counts come first and are then joined to the orders, so an address, a time or a copied
     order that holds a large part of all rows is added up before it is shuffled.
     """
@@ -76,7 +83,7 @@ def rolling_ip_count(
     if ties == "peers":
         moments = known.groupBy(IP, TIME).agg(F.count("*").alias("n"))
         return with_rolling_count(df, moments, look_back, cell)
-    blocks = known.groupBy(IP, TIME, _id_block(df).alias("id_block")).agg(F.count("*").alias("n"))
+    blocks = known.groupBy(IP, TIME, _id_block(df, id_prefix).alias("id_block")).agg(F.count("*").alias("n"))
     moments = blocks.groupBy(IP, TIME).agg(F.sum("n").alias("n"))
     # Of the level at its time, an order keeps what came before its block and its place in the block.
     from_block = Window.partitionBy(IP, TIME).orderBy(F.desc("id_block")).rowsBetween(Window.unboundedPreceding, 0)
@@ -86,7 +93,7 @@ def rolling_ip_count(
         .select(IP, TIME, "id_block", (F.col("level") - F.col("not_ahead")).alias("ahead"))
     )
     place = F.row_number().over(Window.partitionBy(IP, TIME, "id_block").orderBy(ORDER))
-    placed = df.withColumn("id_block", _id_block(df)).join(ahead, [IP, TIME, "id_block"], "left")
+    placed = df.withColumn("id_block", _id_block(df, id_prefix)).join(ahead, [IP, TIME, "id_block"], "left")
     return placed.withColumn("recent_orders", F.col("ahead") + place).select(*df.columns, "recent_orders")
 
 

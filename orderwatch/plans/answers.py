@@ -176,7 +176,9 @@ SELECT window_start AS "시작시간", window_end AS "종료시간", product_nam
        format('{:,}', total_sales) AS "총매출"
 FROM popular""",
     ),
-    "constant_column": _with(EVENT_ORDERS, _stats("6 hours"), select="SELECT stat_time, 0 AS suspicious_ip_count FROM stats"),
+    "constant_column": _with(
+        EVENT_ORDERS, _stats("6 hours"), select="SELECT stat_time, 0 AS suspicious_ip_count FROM stats"
+    ),
     "order_verdict": _with(
         EVENT_ORDERS,
         _rolling(ONE_DAY),
@@ -192,13 +194,17 @@ SELECT order_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS time_text, format
        total_price / 1048576 AS mb, "timestamp" - INTERVAL '10 minutes' AS cutoff
 FROM o""",
     ),
-    "session_timezone": _with(EVENT_ORDERS, select='SELECT order_id, "timestamp" + INTERVAL \'9 hours\' AS seoul_time FROM o'),
+    "session_timezone": _with(
+        EVENT_ORDERS, select="SELECT order_id, \"timestamp\" + INTERVAL '9 hours' AS seoul_time FROM o"
+    ),
     "agg_count": _with(EVENT_ORDERS, POPULAR, select="SELECT window_start, product_name, order_count FROM popular"),
     "agg_sum": _with(EVENT_ORDERS, POPULAR, select="SELECT window_start, product_name, total_sales FROM popular"),
     "agg_avg_truncated": _with(EVENT_ORDERS, _stats("6 hours"), select="SELECT stat_time, avg_order_value FROM stats"),
     "agg_collect_products": _with(EVENT_ORDERS, _lists(_tumbling("1 day"), 1, 4), select="SELECT * FROM lists"),
     "popular_products_tumbling": _with(EVENT_ORDERS, POPULAR, select=LATEST_POPULAR),
-    "compacted_latest": _with(EVENT_ORDERS, POPULAR, select="SELECT * REPLACE (CAST(order_count AS INTEGER) AS order_count) FROM popular"),
+    "compacted_latest": _with(
+        EVENT_ORDERS, POPULAR, select="SELECT * REPLACE (CAST(order_count AS INTEGER) AS order_count) FROM popular"
+    ),
     "emit_update": _with(EVENT_ORDERS, POPULAR, select=LATEST_POPULAR),
     "popular_products_sliding": _with(
         EVENT_ORDERS,
@@ -247,7 +253,9 @@ rolled AS (
 )""",
         select=ROLLED,
     ),
-    "sort_desc": _with(EVENT_ORDERS, POPULAR, select="SELECT * FROM popular ORDER BY order_count DESC, window_start, product_name"),
+    "sort_desc": _with(
+        EVENT_ORDERS, POPULAR, select="SELECT * FROM popular ORDER BY order_count DESC, window_start, product_name"
+    ),
     "top5_overall": _with(
         EVENT_ORDERS, POPULAR, select="SELECT * FROM popular ORDER BY order_count DESC, window_start, product_name LIMIT 5"
     ),

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 def _within(df: DataFrame, time: str, start: str, end: str) -> DataFrame:
     kind = df.schema[time].dataType
-    return df.filter((F.col(time) >= F.lit(start).cast(kind)) & (F.col(time) < F.lit(end).cast(kind)))
+    first, after = F.lit(start).cast(kind), F.lit(end).cast(kind)
+    if "day" in df.columns:  # the compacted view is stored by day, so only the days shown are read
+        df = df.filter(F.col("day").between(F.to_date(first), F.to_date(after)))
+    return df.filter((F.col(time) >= first) & (F.col(time) < after))
 
 
 def order_series(stats: DataFrame, start: str, end: str) -> DataFrame:

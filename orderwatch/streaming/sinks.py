@@ -65,17 +65,20 @@ def latest(changes: DataFrame, keys: list[str]) -> DataFrame:
     return newest.select(*[name for name in changes.columns if name != "batch_id"])
 
 
-def compact_latest(changes: DataFrame, keys: list[str], time: str, path: str, since: str | None = None) -> None:
+def compact_latest(
+    changes: DataFrame, keys: list[str], time: str, path: str, since: str | None = None
+) -> None:
     """Writes the latest view into one folder per day of `time`, replacing the days it covers.
 
-    With `since`, a date, only the changes to windows from that day on are read and replaced.
+    Without keys, for rows that never change, all rows are kept. With `since`, a date, only the changes
+    to windows from that day on are read and replaced.
     """
     days = changes.withColumn("day", F.to_date(time))
     if since:
         days = days.filter(F.col("day") >= F.lit(since).cast("date"))
+    rows = latest(days, [*keys, "day"]) if keys else days.drop("batch_id")
     # The rebalance hint splits large days and joins small ones, so files come out even.
-    rows = latest(days, [*keys, "day"]).hint("rebalance", "day")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def jdbc_append(url: str, table: str, properties: dict[str, str], with_batch_id: bool = False) -> Sink:

@@ -20,7 +20,6 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="4",
         spark__sql__streaming__noDataMicroBatches__enabled="true",
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -50,10 +50,15 @@ ORDERS = st.lists(
 
 
 @FEW
-@given(ORDERS, st.sampled_from(["peers", "arrival"]), st.sampled_from(["7 seconds", "1 minute", "1 hour"]))
-def test_rolling_equals_brute_force(spark, moments, ties, cell):
+@given(
+    ORDERS,
+    st.sampled_from(["peers", "arrival"]),
+    st.sampled_from(["7 seconds", "1 minute", "1 hour"]),
+    st.sampled_from([1, 3, 16]),
+)
+def test_rolling_equals_brute_force(spark, moments, ties, cell, prefix):
     rows = [(f"o{n:03d}", t, ip, "p", 1) for n, (t, ip) in enumerate(moments)]
-    found = rolling.rolling_ip_count(feed(spark, rows), "600 seconds", ties, cell)
+    found = rolling.rolling_ip_count(feed(spark, rows), "600 seconds", ties, cell, prefix)
     assert sorted((r.order_id, r.recent_orders) for r in found.collect()) == brute_rolling(rows, 600, ties)
 
 

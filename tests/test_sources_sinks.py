@@ -7,10 +7,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderwatch.functions.scalars import wall_time, with_total_price
 from orderwatch.plans import dashboard
-from orderwatch.schemas import HIGH_VALUE_ORDERS, ORDER_MESSAGE, OUTPUT_TABLES
+from orderwatch.plans.views import register_views
+from orderwatch.schemas import HIGH_VALUE_ORDERS, ORDER_MESSAGE, OUTPUT_TABLES, REALTIME_STATS
 from orderwatch.sources.codec import decode_orders, encode_orders, split_bad_records
 from orderwatch.sources.orders import read_metrics_csv, read_orders
 from orderwatch.streaming import sinks
@@ -192,5 +194,46 @@ def test_contracts_name_every_output_table():
     assert len(ORDER_MESSAGE) == 9
 
 
-def test_checkpoints_need_a_shared_folder(spark):
-    assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
+class Settings:
+    """Stands in for a session with the given settings."""
+
+    def __init__(self, **values):
+        self.conf, self.values = self, values
+
+    def get(self, name, default):
+        return self.values.get(name, default)
+
+
+def test_checkpoints_need_a_shared_folder():
+    assert checkpoint_root(Settings(**{"spark.checkpoint.dir": "/shared/c"})) == "/shared/c"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Settings())
+
+
+def test_views_over_the_change_logs(spark, tmp_path):
+    """Windows changed in a second batch count once, high-value orders are all kept."""
+    first, second = datetime(2025, 1, 1), datetime(2025, 1, 1, 0, 0, 30)
+    stats = sinks.changelog(str(tmp_path / "realtime_stats"))
+    stats(spark.createDataFrame([(first, 1, 10, 10, 0)], REALTIME_STATS), 0)
+    stats(spark.createDataFrame([(first, 3, 60, 20, 0), (second, 1, 5, 5, 0)], REALTIME_STATS), 1)
+    orders = sinks.changelog(str(tmp_path / "high_value_orders"))
+    for batch_id in range(2):
+        orders(spark.createDataFrame([(first, "a", "p", 1, 600_000, "x")], HIGH_VALUE_ORDERS), batch_id)
+    assert register_views(spark, str(tmp_path), ["realtime_stats", "high_value_orders"]) == [
+        "realtime_stats",
+        "realtime_stats_changes",
+        "high_value_orders",
+    ]
+    assert spark.sql("SELECT sum(total_orders) FROM realtime_stats").first()[0] == 4
+    assert spark.sql("SELECT sum(total_orders), max(batch_id) FROM realtime_stats_changes").first()[:] == (5, 1)
+    assert spark.table("high_value_orders").count() == 2
+
+
+def test_dashboard_reads_only_the_days_it_shows(spark, tmp_path):
+    rows = [(datetime(2025, 1, d), 1, 10, 10, 0, 0) for d in range(1, 9)]
+    changes = spark.createDataFrame(rows, T.StructType([*REALTIME_STATS.fields, T.StructField("batch_id", T.LongType())]))
+    sinks.compact_latest(changes, ["stat_time"], "stat_time", str(tmp_path / "stats"))
+    series = dashboard.order_series(spark.read.parquet(str(tmp_path / "stats")), "2025-01-02", "2025-01-04")
+    assert [r.stat_time.day for r in series.collect()] == [2, 3]
+    scan = next(line for line in series._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(day" in scan

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 import pytest
-from feed import EPOCH, TRACE, order_json, write_batch, write_trace
+from feed import EPOCH, order_json, write_batch, write_trace
 from pyspark.sql import functions as F
 
 from orderwatch.__main__ import main
 from orderwatch.functions.scalars import with_total_price
 from orderwatch.operators.ranking import sort_desc
 from orderwatch.operators.rolling import rolling_ip_count
-from orderwatch.operators.windows import popular_products, realtime_stats, suspicious_ips
+from orderwatch.operators.windows import popular_products, realtime_stats
+from orderwatch.schemas import OUTPUT_TABLES
 from orderwatch.sources.codec import decode_orders, observe_bad_records
 from orderwatch.sources.orders import read_orders
 from orderwatch.streaming.jobs import await_any, run_alerts, run_reports, run_tables, start
@@ -206,7 +205,7 @@ def test_tables_and_reports_fan_out(spark, tmp_path):
     write_batch(folder, 0, normal + bot)
     write_batch(folder, 1, [order_json("z", 1000, "mouse", 30_000, "10.0.0.1")])
     feed = orders(spark, folder)
-    paths = {name: str(tmp_path / name) for name in ("popular_products", "suspicious_ips", "high_value_orders", "realtime_stats")}
+    paths = {name: str(tmp_path / name) for name in OUTPUT_TABLES}
     queries = run_tables(feed, {n: changelog(p) for n, p in paths.items()}, str(tmp_path / "ct"), "once")
     lines = []
     queries += run_reports(feed, str(tmp_path / "cr"), "once", out=lines.append)
