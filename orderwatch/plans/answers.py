@@ -206,6 +206,10 @@ FROM o""",
         EVENT_ORDERS, POPULAR, select="SELECT * REPLACE (CAST(order_count AS INTEGER) AS order_count) FROM popular"
     ),
     "emit_update": _with(EVENT_ORDERS, POPULAR, select=LATEST_POPULAR),
+    "orders_source": _with(EVENT_ORDERS, POPULAR, select=LATEST_POPULAR),
+    "late_data": _with(
+        EVENT_ORDERS, POPULAR, select="SELECT * FROM popular WHERE window_start >= TIMESTAMP '2024-01-16'"
+    ),
     "popular_products_sliding": _with(
         EVENT_ORDERS,
         POPULAR_SLIDING,

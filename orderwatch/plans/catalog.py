@@ -16,7 +16,7 @@ from orderwatch.functions.scalars import with_total_price
 from orderwatch.operators import metrics, ranking, rolling, rules, windows
 from orderwatch.operators.prefix import running_total
 from orderwatch.plans import dashboard
-from orderwatch.plans.replay import event_stream, replay, run_folder, stream_session, without_zone
+from orderwatch.plans.replay import event_stream, replay, replay_messages, run_folder, stream_session, without_zone
 from orderwatch.sources import codec, feeds
 from orderwatch.sources.orders import read_metrics_csv
 from orderwatch.streaming import jobs, sinks
@@ -73,7 +73,9 @@ def bad_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = F.when(broken, F.substring(text, 1, 12)).otherwise(text).cast("binary")
     good, rejects = codec.split_bad_records(codec.decode_orders(_messages(spark, sf_dir).select(sent.alias("value"))))
     kept = good.groupBy("product_name").agg(F.count("*").alias("orders"), F.sum("price").alias("price"))
-    lost = rejects.agg(F.lit("rejects").alias("product_name"), F.count("*").alias("orders"), F.sum("price").alias("price"))
+    lost = rejects.agg(
+        F.lit("rejects").alias("product_name"), F.count("*").alias("orders"), F.sum("price").alias("price")
+    )
     return kept.unionByName(lost)
 
 
@@ -376,6 +378,20 @@ def stream_decode_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(spark, sf_dir, coded, "append").drop("batch_id")
 
 
+def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages published in two turns, the query restarted in between, in the middle of a window."""
+    second = F.col("timestamp") >= F.lit("2024-01-16 03:00:00").cast("timestamp_ntz")
+    build = lambda orders: windows.popular_products(orders, "6 hours")
+    return _latest(replay_messages(spark, sf_dir, build, "update", [~second, second]), "popular_products")
+
+
+def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the month arrives after the second: its windows are closed, and it is dropped."""
+    second = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    build = lambda orders: windows.popular_products(orders, "6 hours")
+    return _latest(replay_messages(spark, sf_dir, build, "update", [second, ~second]), "popular_products")
+
+
 def stream_rolling_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     def counted(path: str, sink: sinks.Sink) -> sinks.Sink:
         return rolling_ip_count_stream(path, sink, look_back=24 * 3600, cell="1 hour")
@@ -475,6 +491,8 @@ QUERIES: dict[str, Query] = {
     "stream_realtime_stats": stream_realtime_stats,
     "stream_realtime_stats_enriched": stream_realtime_stats_enriched,
     "stream_decode_orders": stream_decode_orders,
+    "orders_source": stream_messages,
+    "late_data": stream_late_data,
     "rolling_ip_count_stream": stream_rolling_ip_count,
     "fan_out": stream_fan_out,
 }

@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderwatch.functions.scalars import with_total_price
 from orderwatch.session import SETTINGS
+from orderwatch.sources.codec import decode_orders, encode_orders
 from orderwatch.sources.feeds import orders_from_events
+from orderwatch.sources.orders import read_orders
 from orderwatch.streaming.jobs import ONCE, checkpoint_root, start
 from orderwatch.streaming.sinks import Sink, changelog, read_changelog
 
@@ -68,3 +70,30 @@ def replay(
     query.awaitTermination()
     schema = without_zone(output(plan) if output else plan).schema
     return read_changelog(spark, f"{root}/changes", schema)
+
+
+def replay_messages(
+    spark: SparkSession,
+    sf_dir: str,
+    build: Callable[[DataFrame], DataFrame],
+    mode: str,
+    turns: list[Column],
+) -> DataFrame:
+    """Runs one query over events published as messages, some at a time, and reads back its change log.
+
+    Each turn publishes the orders it holds for, starts the query on the checkpoint the turn before left,
+    and lets it run to its end.
+    """
+    root = run_folder(spark)
+    session = stream_session(spark)
+    published = orders_from_events(session.read.parquet(f"{sf_dir}/events.parquet"))
+    log = changelog(f"{root}/changes")
+    for number, turn in enumerate(turns):
+        messages = encode_orders(published.filter(turn))
+        messages.select(*[F.col(c).cast("binary").alias(c) for c in messages.columns]).write.parquet(
+            f"{root}/topic/{number}"
+        )
+        orders = decode_orders(read_orders(session, "parquet", {"path": f"{root}/topic/*"}))
+        plan = without_zone(build(with_total_price(orders)))
+        start(uuid.uuid4().hex, plan, mode, log, f"{root}/checkpoint", ONCE).awaitTermination()
+    return read_changelog(spark, f"{root}/changes", plan.schema)

@@ -157,6 +157,13 @@ def run_alerts(
     return [start("alerts_verdicts", orders, "append", counted, f"{root}/verdicts", trigger)]
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped as too late, in the batches the query still keeps the progress of."""
+    return sum(
+        state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators
+    )
+
+
 def await_any(spark: SparkSession) -> None:
     """Waits until one query ends, raising its error if it failed, and then stops the others.
 

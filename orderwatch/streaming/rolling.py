@@ -10,6 +10,7 @@ from orderwatch.operators.rolling import IP, TIME, with_rolling_count
 from orderwatch.streaming.sinks import Sink
 
 MICROS = 1_000_000
+LISTED = 500  # buckets of one batch up to which their folders are named one by one
 
 
 def rolling_ip_count_stream(path: str, sink: Sink, look_back: int = 600, cell: str = "1 minute") -> Sink:
@@ -24,40 +25,40 @@ def rolling_ip_count_stream(path: str, sink: Sink, look_back: int = 600, cell: s
     address spreads over the cluster instead of being one state key. Bucket folders that no order can
     look back on any more are left to the retention rules of the folder.
     """
-    span = look_back * MICROS
+    bucket = F.floor(F.unix_micros(TIME) / F.lit(look_back * MICROS))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         kept = batch.persist()
         try:
-            moments = (
-                kept.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
-                .groupBy(IP, TIME)
-                .agg(F.count("*").alias("n"))
-                .withColumn("bucket", F.floor(F.unix_micros(TIME) / F.lit(span)))
-                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            )
-            whole = [T.StructField(name, T.LongType()) for name in ("n", "bucket", "batch_id")]
-            schema = T.StructType([batch.schema[IP], batch.schema[TIME], *whole])
-            moments.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "bucket", "batch_id"
-            ).parquet(path)
-            first, last = kept.agg(F.min(TIME), F.max(TIME)).select(
-                *[F.floor(F.unix_micros(c) / F.lit(span)) for c in (f"min({TIME})", f"max({TIME})")]
-            ).first()
-            if first is None:
+            known = kept.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull()).withColumn("bucket", bucket)
+            moments = known.groupBy(IP, TIME, "bucket").agg(F.count("*").alias("n"))
+            stored = moments.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+            stored.option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(path)
+            seen = _seen(known, batch_id, path)
+            if seen is None:
                 sink(kept.withColumn("recent_orders", F.lit(None).cast("bigint")), batch_id)
                 return
-            table = spark.read.schema(schema).option("basePath", path)
-            buckets = range(first - 1, last + 1)
-            # A live batch needs two or three buckets, so only their folders are listed.
-            named = ",".join(f"bucket={b}" for b in buckets) if len(buckets) <= 100 else "bucket=*"
-            seen = table.parquet(f"{path}/{{{named}}}").filter(
-                F.col("bucket").between(first - 1, last) & (F.col("batch_id") <= batch_id)
-            )
-            moments_seen = seen.groupBy(IP, TIME).agg(F.sum("n").alias("n"))
-            sink(with_rolling_count(kept, moments_seen, f"{look_back} seconds", cell), batch_id)
+            past_and_present = seen.groupBy(IP, TIME).agg(F.sum("n").alias("n"))
+            sink(with_rolling_count(kept, past_and_present, f"{look_back} seconds", cell), batch_id)
         finally:
             kept.unpersist()
 
     return write
+
+
+def _seen(known: DataFrame, batch_id: int, path: str) -> DataFrame | None:
+    """The stored moments the orders of a batch can look back on, its own among them; None if it has none."""
+    whole = [T.StructField(name, T.LongType()) for name in ("n", "bucket", "batch_id")]
+    schema = T.StructType([known.schema[IP], known.schema[TIME], *whole])
+    table = known.sparkSession.read.schema(schema).option("basePath", path)
+    buckets = [row["bucket"] for row in known.select("bucket").distinct().take(LISTED + 1)]
+    if not buckets:
+        return None
+    if len(buckets) <= LISTED:
+        # Naming the folders spares listing the files of all others. The first may not exist.
+        named = sorted({b for own in buckets for b in (own - 1, own)})
+        seen = table.parquet(f"{path}/{{{','.join(f'bucket={b}' for b in named)}}}")
+    else:
+        wanted = known.select(F.explode(F.array(F.col("bucket") - 1, F.col("bucket"))).alias("bucket")).distinct()
+        seen = table.parquet(path).join(wanted, "bucket", "left_semi")
+    return seen.filter(F.col("batch_id") <= batch_id)

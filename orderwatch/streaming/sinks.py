@@ -73,12 +73,14 @@ def compact_latest(
     Without keys, for rows that never change, all rows are kept. With `since`, a date, only the changes
     to windows from that day on are read and replaced.
     """
-    days = changes.withColumn("day", F.to_date(time))
     if since:
-        days = days.filter(F.col("day") >= F.lit(since).cast("date"))
+        kind = changes.schema[time].dataType
+        changes = changes.filter(F.col(time) >= F.lit(since).cast(kind))
+    days = changes.withColumn("day", F.to_date(time))
     rows = latest(days, [*keys, "day"]) if keys else days.drop("batch_id")
     # The rebalance hint splits large days and joins small ones, so files come out even.
-    rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    written = rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    written.partitionBy("day").parquet(path)
 
 
 def jdbc_append(url: str, table: str, properties: dict[str, str], with_batch_id: bool = False) -> Sink:
