@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +25,7 @@ def rolling_ip_count_stream(path: str, sink: Sink, look_back: int = 600, cell: s
     The state is a table of orders per address and time under `path`, in folders by time bucket and
     batch; a repeated batch replaces its own folders and does not see later ones. The count itself is
     the one for tables, which adds copies up first and splits every address by time, so that a hot
-    address spreads over the cluster instead of being one state key. Bucket folders that no order can
-    look back on any more are left to the retention rules of the folder.
+    address spreads over the cluster instead of being one state key. `forget_before` ends old state.
     """
     bucket = F.floor(F.unix_micros(TIME) / F.lit(look_back * MICROS))
 
@@ -62,3 +64,20 @@ def _seen(known: DataFrame, batch_id: int, path: str) -> DataFrame | None:
         wanted = known.select(F.explode(F.array(F.col("bucket") - 1, F.col("bucket"))).alias("bucket")).distinct()
         seen = table.parquet(path).join(wanted, "bucket", "left_semi")
     return seen.filter(F.col("batch_id") <= batch_id)
+
+
+def forget_before(spark: SparkSession, path: str, time: datetime, look_back: int = 600) -> int:
+    """Removes the state that no order at `time` or later can look back on; returns the buckets removed.
+
+    `time` has a zone. To be run now and then, with a time before any order still expected.
+    """
+    oldest = math.floor(time.timestamp() / look_back) - 1
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = 0
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("bucket=") and int(name.removeprefix("bucket=")) < oldest:
+            removed += files.delete(status.getPath(), True)
+    return removed

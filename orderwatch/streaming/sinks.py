@@ -87,12 +87,13 @@ def jdbc_append(url: str, table: str, properties: dict[str, str], with_batch_id:
     """Appends each batch to a database table by column name; the database fills its other columns.
 
     A batch that fails halfway is appended again, so a target that must not hold duplicates needs the
-    batch id as a column. `numPartitions` bounds the connections, `batchsize` the rows per statement.
+    batch id as a column. Rows are rebalanced, so that a small batch opens one connection and not one
+    per state partition; `numPartitions` bounds the connections, `batchsize` the rows per statement.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) if with_batch_id else batch
-        rows.write.jdbc(url=url, table=table, mode="append", properties=properties)
+        rows.hint("rebalance").write.jdbc(url=url, table=table, mode="append", properties=properties)
 
     return write
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pytest
 from feed import EPOCH, order_json, write_batch, write_trace
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from orderwatch.sources.codec import decode_orders, observe_bad_records
 from orderwatch.sources.orders import read_orders
 from orderwatch.streaming.jobs import await_any, late_rows, run_alerts, run_reports, run_tables, start
 from orderwatch.streaming.sinks import changelog, judged, latest, read_changelog, verdict_report
-from orderwatch.streaming.rolling import rolling_ip_count_stream
+from orderwatch.streaming.rolling import forget_before, rolling_ip_count_stream
 
 
 def orders(spark, folder, streaming=True):
@@ -123,6 +125,19 @@ def test_rolling_count_of_the_trace(spark, trace, tmp_path):
     assert seen[3] == ROLLING[3]
 
 
+def test_forgetting_keeps_what_orders_look_back_on(spark, tmp_path):
+    write_batch(tmp_path / "in", 0, [order_json(f"o{t}", t, "p", 10, "x") for t in (0, 60, 119, 120, 179)])
+    feed, seen = orders(spark, tmp_path / "in", streaming=False), []
+    sink = rolling_ip_count_stream(str(tmp_path / "m"), lambda df, i: seen.append(df.collect()), look_back=60)
+    sink(feed, 0)
+    assert forget_before(spark, str(tmp_path / "m"), EPOCH + timedelta(seconds=130), look_back=60) == 1
+    assert sorted(p.name for p in (tmp_path / "m").glob("bucket=*")) == [
+        f"bucket={int(EPOCH.timestamp()) // 60 + n}" for n in (1, 2)
+    ]
+    sink(feed.filter("order_id = 'o120'").withColumn("order_id", F.lit("again")), 1)
+    assert [r.recent_orders for r in seen[1]] == [3]
+
+
 def many_orders(folder, files=4):
     """Ordered in time over the files, with equal times, one hot address, and gaps of one look-back."""
     lines = []
