@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ def counter_delta(
     counters: list[str],
     order_by: list[str],
     partition_by: list[str] | None = None,
-    block: str = "1 hour",
+    block: str | Sequence[str] = "1 hour",
 ) -> DataFrame:
     """Adds for each cumulative byte counter its growth since the previous sample, in MB.
 

@@ -7,6 +7,8 @@ forward and put in front of the next block's rows, and each block is then worked
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,12 @@ def _led_by(rows: DataFrame, carries: DataFrame) -> DataFrame:
     return rows.unionByName(carries.filter(F.col("_carry").isNotNull()), allowMissingColumns=True)
 
 
+def _levels(block: str | Sequence[str]) -> tuple[str, list[str]]:
+    """The finest block and the coarser ones above it."""
+    blocks = [block] if isinstance(block, str) else list(block)
+    return blocks[-1], blocks[:-1]
+
+
 def running_total(
     df: DataFrame,
     value: str,
@@ -30,17 +38,26 @@ def running_total(
     alias: str,
     partition_by: list[str] | None = None,
     ties: list[str] | None = None,
-    block: str = "1 day",
+    block: str | Sequence[str] = "1 day",
 ) -> DataFrame:
-    """Adds the sum of `value` up to and including each row, in the order of `time` and `ties`."""
+    """Adds the sum of `value` up to and including each row, in the order of `time` and `ties`.
+
+    `block` may name several lengths, coarse to fine: a series with very many fine blocks then has their
+    sums added up by coarse block in turn.
+    """
     keys = list(partition_by or [])
-    rows = _blocked(df, time, block)
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        rows.groupBy(*keys, "_block")
-        .agg(F.sum(value).alias("_sum"))
-        .select(*keys, "_block", F.sum("_sum").over(earlier).alias("_carry"))
-    )
+    finest, coarser = _levels(block)
+    rows = _blocked(df, time, finest)
+    sums = rows.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum"))
+    if coarser:
+        sums = sums.withColumnRenamed("_block", "_start")
+        upto_block = running_total(sums, "_sum", "_start", "_upto", keys, block=coarser)
+        before, start = F.col("_upto") - F.coalesce("_sum", F.lit(0)), F.col("_start")
+    else:
+        upto_block, start = sums, F.col("_block")
+        earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.sum("_sum").over(earlier)
+    carries = upto_block.select(*keys, start.alias("_block"), before.alias("_carry"))
     upto = (
         Window.partitionBy(*keys, "_block")
         .orderBy(F.col("_carry").isNull(), time, *(ties or []))
@@ -56,20 +73,28 @@ def with_previous(
     columns: list[str],
     order_by: list[str],
     partition_by: list[str] | None = None,
-    block: str = "1 hour",
+    block: str | Sequence[str] = "1 hour",
 ) -> DataFrame:
     """Adds `previous`, a struct of the columns in the row before, null on the first row of a series.
 
-    The first of `order_by` is a time; the rest settle the order of equal times.
+    The first of `order_by` is a time; the rest settle the order of equal times. `block` is as in
+    `running_total`.
     """
     keys = list(partition_by or [])
-    rows = _blocked(df, order_by[0], block)
+    finest, coarser = _levels(block)
+    rows = _blocked(df, order_by[0], finest)
     state = F.struct(*columns)
     # A plain time keeps the aggregate on hashed buffers; a struct of columns makes it sort.
     order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
     last = rows.groupBy(*keys, "_block").agg(*[F.max_by(c, order).alias(c) for c in columns])
-    before = F.lag(state).over(Window.partitionBy(*keys).orderBy("_block"))
-    carries = last.select(*keys, "_block", before.alias("_carry"))
+    if coarser:
+        last = last.withColumnRenamed("_block", "_start")
+        carries = with_previous(last, columns, ["_start"], keys, coarser).select(
+            *keys, F.col("_start").alias("_block"), F.col("previous").alias("_carry")
+        )
+    else:
+        before = F.lag(state).over(Window.partitionBy(*keys).orderBy("_block"))
+        carries = last.select(*keys, "_block", before.alias("_carry"))
     within = Window.partitionBy(*keys, "_block").orderBy(F.col("_carry").isNull(), *order_by)
     led = _led_by(rows, carries).withColumn("previous", F.lag(F.coalesce("_carry", state)).over(within))
     return led.filter(F.col("_carry").isNull()).select(*df.columns, "previous")

@@ -198,12 +198,12 @@ SAMPLES = st.lists(
 
 
 @FEW
-@given(SAMPLES)
-def test_running_values_equal_brute_force(spark, samples):
+@given(SAMPLES, st.sampled_from(["30 minutes", ["2 hours", "1 minute"], ["1 day", "1 hour", "10 seconds"]]))
+def test_running_values_equal_brute_force(spark, samples, block):
     rows = [(n, host, at(t), v) for n, (host, t, v) in enumerate(samples)]
     df = spark.createDataFrame(rows, "id INT, host STRING, time TIMESTAMP_NTZ, v BIGINT")
-    totals = running_total(df, "v", "time", "total", ["host"], ["id"], block="1 hour")
-    both = with_previous(totals, ["v", "total"], ["time", "id"], ["host"], block="30 minutes")
+    totals = running_total(df, "v", "time", "total", ["host"], ["id"], block=block)
+    both = with_previous(totals, ["v", "total"], ["time", "id"], ["host"], block=block)
     found = {r.id: (r.total, tuple(r.previous) if r.previous else None) for r in both.collect()}
     expected = {}
     for host in {r[1] for r in rows}:
@@ -245,8 +245,8 @@ def test_scalar_texts(spark):
 
 
 def test_contract_orders_and_checks_types(spark):
-    rows = spark.createDataFrame([(5, "p", at(0), at(30), 7)], "total_sales BIGINT, product_name STRING, "
-                                 "window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, order_count BIGINT")
+    columns = "total_sales BIGINT, product_name STRING, window_start TIMESTAMP, window_end TIMESTAMP, order_count BIGINT"
+    rows = spark.createDataFrame([(5, "p", at(0), at(30), 7)], columns)
     typed = to_contract(rows, POPULAR_PRODUCTS)
     assert [(f.name, f.dataType) for f in typed.schema] == [(f.name, f.dataType) for f in POPULAR_PRODUCTS]
     assert typed.first().order_count == 7
