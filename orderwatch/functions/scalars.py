@@ -45,3 +45,14 @@ def megabytes(count: Column) -> Column:
 def seconds_between(start: Column, end: Column) -> Column:
     """Seconds from start to end as a double, the same for times with and without zone."""
     return (end - start).cast("interval second").cast("decimal(18,6)").cast("double")
+
+
+# Seconds per unit of an interval written as a number and a unit.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def interval_seconds(text: str) -> int | None:
+    """The length of an interval such as "10 minutes"; None for other notations."""
+    number, _, unit = text.strip().lower().partition(" ")
+    unit = unit.strip().removesuffix("s")
+    return int(number) * UNIT_SECONDS[unit] if number.isdecimal() and unit in UNIT_SECONDS else None

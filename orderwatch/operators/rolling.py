@@ -6,43 +6,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from orderwatch.functions.scalars import interval_seconds
+
 IP, TIME, ORDER = "ip_address", "timestamp", "order_id"
+MICROS = 1_000_000
 
 
-def _levels(moments: DataFrame, look_back: str, cell: str) -> DataFrame:
+def _levels(moments: DataFrame, look_back: str, cells: int) -> DataFrame:
     """Orders of each address that lie in the look-back, at each of its order times.
 
     `moments` has the number of orders `n` per address and time. Each moment adds n at its time and
     takes n away one look-back later, when its orders are exactly too old; the level is the running
-    sum. The sum is split into time cells: a cell opens with the sum of all cells before it. What a
-    task sorts is then the different order times of one address in one cell, however many orders
-    they stand for, and no frame is scanned twice.
+    sum. The sum is split into time cells, of which a look-back is a whole number: a cell opens with
+    the orders of the `cells` cells before it. What a task sorts is then the different order times of
+    one address in one cell, however many orders they stand for, and no frame is scanned twice.
     """
-    gone = F.col(TIME) + F.expr(f"INTERVAL {look_back}")
-    changes = moments.select(
-        IP,
-        F.inline(
-            F.array(
-                F.struct(F.col(TIME).alias("at"), F.col("n").alias("change"), F.lit(True).alias("is_order")),
-                F.struct(gone.alias("at"), (-F.col("n")).alias("change"), F.lit(False).alias("is_order")),
-            )
-        ),
-    ).withColumn("cell", F.window("at", cell)["start"])
-    earlier = Window.partitionBy(IP).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    openings = (
-        changes.groupBy(IP, "cell")
-        .agg(F.sum("change").alias("change"))
-        .withColumn("change", F.sum("change").over(earlier))
-        .filter(F.col("change") != 0)
-        .select(IP, F.col("cell").alias("at"), "change", F.lit(False).alias("is_order"), "cell")
+    length = interval_seconds(look_back)
+    if not length or length * MICROS % cells:
+        raise ValueError(f"no {cells} whole cells in a look-back of {look_back!r}")
+    micros = length * MICROS
+    cell = f"{micros // cells} microseconds"
+    own = moments.withColumn("cell", F.window(TIME, cell)["start"])
+    before = F.expr(
+        f"sum(n) OVER (PARTITION BY {IP} ORDER BY cell RANGE BETWEEN"
+        f" INTERVAL {micros} MICROSECONDS PRECEDING AND INTERVAL {cell} PRECEDING)"
     )
-    upto = Window.partitionBy(IP, "cell").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        changes.unionByName(openings)
-        .withColumn("level", F.sum("change").over(upto))
-        .filter("is_order")
-        .select(IP, F.col("at").alias(TIME), "level")
+    openings = own.groupBy(IP, "cell").agg(F.sum("n").alias("n")).withColumn("n", before).filter("n IS NOT NULL")
+    gone = F.expr(f"INTERVAL {micros} MICROSECONDS")
+    coming = F.struct(F.col(TIME).alias("at"), F.col("n").alias("change"), F.col("cell"))
+    going = F.struct((F.col(TIME) + gone).alias("at"), (-F.col("n")).alias("change"), (F.col("cell") + gone).alias("cell"))
+    # An opening has no time and sorts first; an order time is a change that adds.
+    changes = own.select(IP, F.inline(F.array(coming, going))).unionByName(
+        openings.select(IP, F.lit(None).cast(own.schema[TIME].dataType).alias("at"), F.col("n").alias("change"), "cell")
     )
+    upto = Window.partitionBy(IP, "cell").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = changes.withColumn("level", F.sum("change").over(upto))
+    return levels.filter("at IS NOT NULL AND change > 0").select(IP, F.col("at").alias(TIME), "level")
 
 
 def _id_block(df: DataFrame, prefix: int) -> Column:
@@ -52,9 +51,9 @@ def _id_block(df: DataFrame, prefix: int) -> Column:
     return F.substring(ORDER, 1, prefix)
 
 
-def with_rolling_count(df: DataFrame, moments: DataFrame, look_back: str, cell: str) -> DataFrame:
+def with_rolling_count(df: DataFrame, moments: DataFrame, look_back: str, cells: int) -> DataFrame:
     """Orders with the level of their address at their time, from the orders per address and time."""
-    levels = _levels(moments, look_back, cell).withColumnRenamed("level", "recent_orders")
+    levels = _levels(moments, look_back, cells).withColumnRenamed("level", "recent_orders")
     return df.join(levels, [IP, TIME], "left").select(*df.columns, "recent_orders")
 
 
@@ -62,7 +61,7 @@ def rolling_ip_count(
     df: DataFrame,
     look_back: str = "10 minutes",
     ties: str = "peers",
-    cell: str = "1 minute",
+    cells: int = 10,
     id_prefix: int = 16,
 ) -> DataFrame:
     """Adds `recent_orders`: the orders of the same address in the look-back, this one included.
@@ -72,6 +71,8 @@ def rolling_ip_count(
     Equal times are ranked in blocks of ids, 65,536 numbers or the texts of one `id_prefix`; choose a
     prefix that ends a few characters before the id does.
 
+    Work is split by address and time cell, `cells` to a look-back.
+
     For tables. Counts come first and are then joined to the orders, so an address, a time or a copied
     order that holds a large part of all rows is added up before it is shuffled.
     """
@@ -82,14 +83,14 @@ def rolling_ip_count(
     known = df.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
     if ties == "peers":
         moments = known.groupBy(IP, TIME).agg(F.count("*").alias("n"))
-        return with_rolling_count(df, moments, look_back, cell)
+        return with_rolling_count(df, moments, look_back, cells)
     blocks = known.groupBy(IP, TIME, _id_block(df, id_prefix).alias("id_block")).agg(F.count("*").alias("n"))
     moments = blocks.groupBy(IP, TIME).agg(F.sum("n").alias("n"))
     # Of the level at its time, an order keeps what came before its block and its place in the block.
     from_block = Window.partitionBy(IP, TIME).orderBy(F.desc("id_block")).rowsBetween(Window.unboundedPreceding, 0)
     ahead = (
         blocks.withColumn("not_ahead", F.sum("n").over(from_block))
-        .join(_levels(moments, look_back, cell), [IP, TIME])
+        .join(_levels(moments, look_back, cells), [IP, TIME])
         .select(IP, TIME, "id_block", (F.col("level") - F.col("not_ahead")).alias("ahead"))
     )
     place = F.row_number().over(Window.partitionBy(IP, TIME, "id_block").orderBy(ORDER))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwatch.functions.scalars import seconds_between
+from orderwatch.functions.scalars import interval_seconds, seconds_between
 from orderwatch.operators.prefix import running_total
 
 
@@ -18,19 +18,10 @@ def _watermarked(df: DataFrame, delay: str | None) -> DataFrame:
     return df.withWatermark("timestamp", delay) if df.isStreaming and delay else df
 
 
-# Seconds per unit of an interval written as a number and a unit.
-UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-
-
 def _divides(slide: str, duration: str) -> bool:
-    """Whether windows of `duration` consist of whole slides. False for intervals in other notations."""
-    lengths = []
-    for text in (slide, duration):
-        number, _, unit = text.strip().lower().partition(" ")
-        if not number.isdecimal() or unit.removesuffix("s") not in UNIT_SECONDS:
-            return False
-        lengths.append(int(number) * UNIT_SECONDS[unit.removesuffix("s")])
-    return lengths[0] > 0 and lengths[1] % lengths[0] == 0
+    """Whether windows of `duration` are known to consist of whole slides."""
+    part, whole = interval_seconds(slide), interval_seconds(duration)
+    return bool(part and whole) and whole % part == 0
 
 
 def _windowed(

@@ -52,7 +52,7 @@ def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rolling.rolling_ip_count(_orders(spark, sf_dir), "1 day", cell="1 hour")
+    return rolling.rolling_ip_count(_orders(spark, sf_dir), "1 day", cells=24)
 
 
 # Messages.
@@ -204,12 +204,12 @@ def rolling_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rolling_ip_count_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = rolling.rolling_ip_count(_line_orders(spark, sf_dir), "7 days", cell="30 days")
+    counted = rolling.rolling_ip_count(_line_orders(spark, sf_dir), "7 days", cells=1)
     return counted.select("order_id", "ip_address", "timestamp", "recent_orders")
 
 
 def rolling_ip_count_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = rolling.rolling_ip_count(_line_orders(spark, sf_dir), "7 days", "arrival", cell="30 days")
+    counted = rolling.rolling_ip_count(_line_orders(spark, sf_dir), "7 days", "arrival", cells=1)
     return counted.select("order_id", "ip_address", "timestamp", "recent_orders")
 
 
@@ -394,7 +394,7 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_rolling_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     def counted(path: str, sink: sinks.Sink) -> sinks.Sink:
-        return rolling_ip_count_stream(path, sink, look_back=24 * 3600, cell="1 hour")
+        return rolling_ip_count_stream(path, sink, look_back=24 * 3600, cells=24)
 
     columns = ["order_id", "ip_address", "timestamp"]
     return replay(

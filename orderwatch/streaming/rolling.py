@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderwatch.operators.rolling import IP, TIME, with_rolling_count
+from orderwatch.operators.rolling import IP, MICROS, TIME, with_rolling_count
 from orderwatch.streaming.sinks import Sink
 
-MICROS = 1_000_000
 LISTED = 500  # buckets of one batch up to which their folders are named one by one
 
 
-def rolling_ip_count_stream(path: str, sink: Sink, look_back: int = 600, cell: str = "1 minute") -> Sink:
+def rolling_ip_count_stream(path: str, sink: Sink, look_back: int = 600, cells: int = 10) -> Sink:
     """A sink that adds `recent_orders` to each batch of orders and hands it to the next sink.
 
     `look_back` is in seconds. An order is handed on once, in its batch: a late one is counted where it
@@ -41,7 +40,7 @@ def rolling_ip_count_stream(path: str, sink: Sink, look_back: int = 600, cell: s
                 sink(kept.withColumn("recent_orders", F.lit(None).cast("bigint")), batch_id)
                 return
             past_and_present = seen.groupBy(IP, TIME).agg(F.sum("n").alias("n"))
-            sink(with_rolling_count(kept, past_and_present, f"{look_back} seconds", cell), batch_id)
+            sink(with_rolling_count(kept, past_and_present, f"{look_back} seconds", cells), batch_id)
         finally:
             kept.unpersist()
 

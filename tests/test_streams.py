@@ -107,7 +107,7 @@ def test_rolling_count_of_the_trace(spark, trace, tmp_path):
         rows = batch.select("ip_address", "timestamp", "recent_orders").collect()
         seen[batch_id] = {(ip, seconds(time), n) for ip, time, n in rows}
 
-    sink = rolling_ip_count_stream(str(tmp_path / "moments"), keep, look_back=60, cell="20 seconds")
+    sink = rolling_ip_count_stream(str(tmp_path / "moments"), keep, look_back=60, cells=3)
     run(orders(spark, trace), "append", tmp_path, sink=sink)
     assert seen == ROLLING
     # Orders that are far apart read only the folders of their own buckets and those before.
@@ -153,7 +153,7 @@ def many_orders(folder, files=4):
 def test_rolling_stream_equals_batch(spark, tmp_path, monkeypatch, listed):
     monkeypatch.setattr("orderwatch.streaming.rolling.LISTED", listed)
     many_orders(tmp_path / "in")
-    expected = rolling_ip_count(orders(spark, tmp_path / "in", False), "60 seconds", cell="20 seconds")
+    expected = rolling_ip_count(orders(spark, tmp_path / "in", False), "60 seconds", cells=3)
     found = {}
 
     def keep(batch, batch_id):
