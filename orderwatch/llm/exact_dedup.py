@@ -28,7 +28,8 @@ def frequent_digests(rows: DataFrame, column: str = "digest", tracked: int = TRA
     """At most `tracked` values of `column`, all frequent ones among them."""
     sketch = F.expr(f"approx_top_k_accumulate({column}, {tracked})")
     branches = rows.groupBy((F.spark_partition_id() % BRANCHES).alias("branch")).agg(sketch.alias("sketch"))
-    found = branches.agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"))
+    # Grouped by a constant: without a group, a task that meets no sketch would hand on one without a type.
+    found = branches.groupBy(F.lit("all")).agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"))
     named = found.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {tracked})")).alias("found"))
     return named.filter("found.count > 1 and found.item is not null").select(F.col("found.item").alias(column))
 
