@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwatch.llm import exact_dedup, pii
+from orderwatch.llm import bpe_count, exact_dedup, jaccard_join, packing, pii, piece_codec
 from orderwatch.llm.common import read_table
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
@@ -20,16 +24,76 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_count.token_counts(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checksum is taken where the pieces are made, so that only numbers are shuffled."""
+    return packed_documents(read_table(spark, sf_dir, "documents"))
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    pieces = packing.token_pieces(docs, WORD_TOKENIZER)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), docs.count())
+
+
+def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(read_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+def piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_codec.encode_pieces(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return piece_codec.decode_pieces(encoded, PIECE_MODEL).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op3_pii": personal_data,
+    "op4_token_counts": token_counts,
+    "op5_packing": packed,
+    "op6_jaccard_join": similar_documents,
+    "op7_piece_codec": piece_codes,
     "op10_exact_dedup": exact_copies,
 }
 
+#: Word sets, all pairs that share a shingle, and the links followed to their ends.
+SIMILAR = r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), shingled AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+            ELSE list_distinct([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+        FROM words
+    ), each AS (SELECT doc_id, unnest(s) AS shingle FROM shingled),
+    links AS (
+        SELECT a.doc_id AS u, b.doc_id AS v
+        FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id != b.doc_id
+        JOIN shingled x ON x.doc_id = a.doc_id JOIN shingled y ON y.doc_id = b.doc_id
+        WHERE 100 * least(len(x.s), len(y.s)) >= 90 * greatest(len(x.s), len(y.s))
+        GROUP BY a.doc_id, b.doc_id, len(x.s), len(y.s)
+        HAVING 100 * count(*) >= 90 * (len(x.s) + len(y.s) - count(*))
+    ), reached AS (
+        SELECT doc_id, doc_id AS other FROM shingled
+        UNION SELECT r.doc_id, l.v FROM reached r JOIN links l ON l.u = r.other
+    )
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+    FROM shingled s JOIN reached r USING (doc_id) GROUP BY ALL
+"""
+
 ANSWERS = {
+    "op6_jaccard_join": SIMILAR,
     "op10_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
