@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderwatch.llm import exact_dedup, jaccard_join, quality, queries, secret_scan
+from orderwatch.llm.common import read_table, shared_folder
+
 
-from orderwatch.llm import exact_dedup
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,13 +21,39 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("exact_dedup", without_copies)]
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by shingles of five words at a similarity of 0.8."""
+    return jaccard_join.drop_similar(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked."""
+    masked = secret_scan.mask_secrets(docs, queries.RANKS, queries.SPLITS)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 tokens."""
+    return queries.packed_documents(docs)
+
+
+STAGES = [
+    ("quality_classifier", good_documents),
+    ("exact_dedup", without_copies),
+    ("jaccard_join", without_near_copies),
+    ("secret_scan", without_secrets),
+    ("packing", packed),
+]
 
+#: A fitted network and a tokenizer have no form in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """Each stage's rows are written to the shared folder and read again by the next."""
+    docs, folder = read_table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -18,16 +18,19 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes `df` to the shared checkpoint folder and goes on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in `spark.checkpoint.dir`, which executors share.
 
-    The folder is the one the session names in `spark.checkpoint.dir`. Where none is named, as in tests, one
-    beside the tables of the warehouse is used, which executors share as well.
+    Where none is named, as in tests, one beside the tables of the warehouse, which executors share as well.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes `df` to the shared folder and goes on from there."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -6,11 +6,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwatch.llm import bpe_count, exact_dedup, jaccard_join, packing, pii, piece_codec
+from orderwatch.llm import (
+    bpe_count,
+    exact_dedup,
+    jaccard_join,
+    line_rules,
+    packing,
+    pii,
+    piece_codec,
+    quality,
+    secret_scan,
+    url_filter,
+)
 from orderwatch.llm.common import read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+SPLITS = public_tokenizers.PATTERN
+
+
+def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,16 +73,35 @@ def piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read_table(spark, sf_dir, "documents"), RANKS, SPLITS)
+    base = secret_scan.KINDS[:3]
+    of_kind = lambda name: F.filter("spans", lambda s: s["kind"] == name)
+    counts = [F.size(of_kind(name)).cast("long").alias(f"n_{name}") for name in base]
+    of_base = pii.span_list(F.filter("spans", lambda s: s["kind"].isin(*base)))
+    return found.select(
+        "doc_id", *counts, F.sha2(of_base, 256).alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans")
+    )
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_url_filter": urls,
+    "op2_quality_rules": quality_rules,
     "op3_pii": personal_data,
     "op4_token_counts": token_counts,
     "op5_packing": packed,
     "op6_jaccard_join": similar_documents,
     "op7_piece_codec": piece_codes,
+    "op8_secret_scan": secrets,
+    "op9_quality_classifier": quality_scores,
     "op10_exact_dedup": exact_copies,
 }
 
