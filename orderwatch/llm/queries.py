@@ -105,31 +105,33 @@ QUERIES = {
     "op10_exact_dedup": exact_copies,
 }
 
-#: Word sets, all pairs that share a shingle, and the links followed to their ends.
+#: Word sets, all pairs of different sets that share a shingle, and the links followed to their ends.
 SIMILAR = r"""
     WITH RECURSIVE words AS (
         SELECT doc_id, regexp_extract_all(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[^\x20\x09-\x0D]+') AS w
         FROM documents
-    ), shingled AS (
-        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
-            ELSE list_distinct([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+    ), shingled AS MATERIALIZED (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_sort(list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)])) END AS s
         FROM words
-    ), each AS (SELECT doc_id, unnest(s) AS shingle FROM shingled),
-    links AS (
-        SELECT a.doc_id AS u, b.doc_id AS v
-        FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id != b.doc_id
-        JOIN shingled x ON x.doc_id = a.doc_id JOIN shingled y ON y.doc_id = b.doc_id
-        WHERE 100 * least(len(x.s), len(y.s)) >= 90 * greatest(len(x.s), len(y.s))
-        GROUP BY a.doc_id, b.doc_id, len(x.s), len(y.s)
-        HAVING 100 * count(*) >= 90 * (len(x.s) + len(y.s) - count(*))
-    ), reached AS (
-        SELECT doc_id, doc_id AS other FROM shingled
-        UNION SELECT r.doc_id, l.v FROM reached r JOIN links l ON l.u = r.other
-    )
-    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
-    FROM shingled s JOIN reached r USING (doc_id) GROUP BY ALL
+    ), sets AS MATERIALIZED (
+        SELECT s, len(s) AS n, min(doc_id) AS id FROM shingled WHERE len(s) > 0 GROUP BY s
+    ), each AS MATERIALIZED (SELECT id, n, unnest(s) AS shingle FROM sets),
+    links AS MATERIALIZED (
+        SELECT a.id AS u, b.id AS v
+        FROM each a JOIN each b ON a.shingle = b.shingle AND a.id < b.id
+        WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+        GROUP BY a.id, b.id, a.n, b.n
+        HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+    ), ways AS MATERIALIZED (SELECT u, v FROM links UNION SELECT v, u FROM links),
+    reached AS (
+        SELECT id, id AS other FROM sets
+        UNION SELECT r.id, l.v FROM reached r JOIN ways l ON l.u = r.other
+    ), named AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
+    SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+    FROM shingled d LEFT JOIN sets t ON t.s = d.s LEFT JOIN named c ON c.id = t.id
 """
 
 ANSWERS = {
