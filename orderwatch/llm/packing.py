@@ -9,49 +9,108 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderwatch.llm.common import Memo, text_or_empty
+from orderwatch.llm.common import text_or_empty
 
 WINDOW = 2048
 END = 1
 #: Documents of a block. It bounds what one task holds; a block leaves a window or two partly empty.
 BLOCK_DOCS = 16_384
 LONG = 64
+#: Rows handed back at a time.
+SLICE = 256
+
+_SIGN = re.compile(rb"(?<=[A-Za-z])[.,;:!?](?=[\x20\n])")
 
 
 class ChunkTokens:
-    """Ids of texts by the tokenizers library, remembered by blank-separated chunk: tokens never reach over blanks."""
+    """Ids of texts by the tokenizers library, remembered by blank-separated chunk: tokens never reach over blanks.
+
+    Chunks not yet known are encoded together. A chunk of letters alone is one word, and the ids tell where words
+    end; between other chunks stands a special string.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel work
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known = Memo(None)
-
-    def _encode(self, chunks: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit numbers."""
-        chunks, known = text.encode("utf-8", "replace").split(), self.known
-        fresh = list({c for c in chunks if c not in known})
-        own = known
-        if fresh:
-            encoded = dict(zip(fresh, self._encode(fresh), strict=True))
-            known.update((c, ids) for c, ids in encoded.items() if len(c) <= LONG)
-            own = known if all(len(c) <= LONG for c in fresh) else {**encoded, **{c: known[c] for c in chunks if c in known}}
-        out = b"".join([own[c] for c in chunks])
-        known.trim()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        suffix = self.tokenizer.model.end_of_word_suffix or "</w>"
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if not t.normalized}
+        self.mark_id, self.mark = max(special.items())
+        self.specials = list(special.values())
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.most = most
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _words(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that are one word each."""
+        ids = self._encode(" ".join(chunks))
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(ends) != len(chunks):  # the library knows letters otherwise than Python
+            return self._marked(chunks)
+        data = ids.tobytes()
+        return [data[4 * b : 4 * e] for b, e in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _marked(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks without special strings."""
+        ids = self._encode(self.mark.join(chunks))
+        ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
+        data, begins = ids.tobytes(), [0, *[end + 1 for end in ends[:-1]]]
+        return [data[4 * b : 4 * e] for b, e in zip(begins, ends, strict=True)]
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        words, others = [], []
+        for chunk in chunks:
+            text = chunk.decode()
+            if text.isalpha() and "İ" not in text:  # whose lower case is more than letters
+                words.append(text)
+            elif any(s in text for s in self.specials):
+                self.known[chunk] = self._encode(text).tobytes()
+            else:
+                others.append(text)
+        for encode, texts in ((self._words, words), (self._marked, others)):
+            for at in range(0, len(texts), 4096):
+                part = texts[at : at + 4096]
+                self.known.update(zip(map(str.encode, part), encode(part), strict=True))
+
+    def _chunks(self, text: str) -> list[bytes]:
+        """What blanks part, and what may as well be parted: a sign between a letter and a blank is a word of its
+        own. The tokenizer takes all letters in lower case; where that is plain, it is done here already."""
+        if text.isascii() and "<|" not in text:
+            text = text.lower()
+        return _SIGN.sub(rb" \g<0>", text.encode("utf-8", "replace")).split()
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
+        split = [self._chunks(text) for text in texts]
+        if len(self.known) > self.most:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        fresh = {c for chunks in split for c in set(chunks).difference(known)}
+        again = fresh & older.keys()
+        known.update((c, older[c]) for c in again)
+        self._learn(fresh - again)
+        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        for chunk in fresh:
+            if len(chunk) > LONG:
+                del known[chunk]
         return out
 
 
@@ -69,30 +128,23 @@ def token_pieces(
     or empty text is one piece that holds END alone.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end, step = chunk_tokens(vocabulary), np.array([END], "<u4").tobytes(), 4 * window
         for batch in batches:
-            rows, held = [], 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = tokens.ids(text) + end
-                rows.extend(
-                    (doc_id, at // 4, len(part := ids[at : at + step]) // 4, len(ids) // 4, part)
-                    for at in range(0, len(ids), step)
-                )
-                held += len(ids)
-                if held > 16_000_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
+            for part in (batch.slice(at, SLICE) for at in range(0, batch.num_rows, SLICE)):
+                own, rows = [], []
+                for i, ids in enumerate(tokens.ids(part.column("text").to_pylist())):
+                    ids += end
+                    for at in range(0, len(ids), step):
+                        own.append(i)
+                        rows.append((at // 4, min(step, len(ids) - at) // 4, len(ids) // 4, ids[at : at + step]))
+                columns = [pa.array(c) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(own)), *columns], names=names)
 
     names = ["doc_id", "start", "length", "doc_tokens", "ids"]
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    if kind not in ("string", "binary"):  # numbers with nulls would come as floats
-        texts = texts.withColumn("doc_id", F.col("doc_id").cast("string"))
-    made = texts.mapInPandas(run, "doc_id string, start long, length long, doc_tokens long, ids binary")
-    return made.withColumn("doc_id", F.col("doc_id").cast(kind))
+    return texts.mapInArrow(run, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
 
 
 class RoomTree:
