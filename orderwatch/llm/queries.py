@@ -65,7 +65,7 @@ def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = piece_codec.encode_pieces(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
-    return piece_codec.decode_pieces(encoded, PIECE_MODEL).select(
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

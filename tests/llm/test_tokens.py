@@ -69,17 +69,32 @@ def test_pieces_like_the_library(pieces):
 def test_backtracking_takes_pieces_back():
     """`ab` is the longest start of `abc`, but merging makes `bc` first."""
     codec = object.__new__(piece_codec.PieceCodec)
-    codec.score = {"a": -9.0, "b": -9.0, "c": -9.0, "bc": -1.0, "ab": -2.0}
-    codec.fits = piece_codec.Memo(lambda p: codec.merged(p[0] + p[1]) == [*p])
-    codec.alone = piece_codec.Memo(lambda p: codec.merged(p) == [p])
-    places = [["a", "ab"], ["b", "bc"], ["c"]]
-    assert codec.backtrack(places, 0, 3) == ["a", "bc"] == codec.merged("abc")
+    scores = {"a": -9.0, "b": -9.0, "c": -9.0, "bc": -1.0, "ab": -2.0}
+    codec._prepare({piece: (i, score) for i, (piece, score) in enumerate(scores.items())}, {})
+    assert codec.encode_stretch("abc") == np.array([0, 3], "<i4").tobytes()
+    assert codec.merged("abc") == ["a", "bc"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_backtracking_like_merging_on_small_vocabularies(seed):
+    rnd = random.Random(seed)
+    words = {"".join(rnd.choices("abc", k=rnd.randint(2, 5))) for _ in range(25)}
+    codec = object.__new__(piece_codec.PieceCodec)
+    plain = {piece: (i, -float(i)) for i, piece in enumerate(rnd.sample(sorted(words), len(words)))}
+    plain |= {c: (100 + i, -100.0 - i) for i, c in enumerate("abc")}
+    codec._prepare(plain, {})
+    for _ in range(400):
+        text = "".join(rnd.choices("abc", k=rnd.randint(1, 14)))
+        ids = np.frombuffer(codec.encode_unit(text), "<i4").tolist()
+        assert [codec.piece_of[i] for i in ids] == codec.merged(text)
 
 
 def test_piece_codes_of_awkward_rows(spark, pieces):
     docs = awkward(spark)
     encoded = piece_codec.encode_pieces(docs, queries.PIECE_MODEL)
-    rows = piece_codec.decode_pieces(encoded, queries.PIECE_MODEL).collect()
+    again = piece_codec.decode_pieces(encoded.drop("decoded"), queries.PIECE_MODEL)
+    rows = encoded.collect()
+    assert sorted(r.decoded for r in rows) == sorted(r.decoded for r in again.collect())
     assert len(rows) == docs.count()
     for row in rows:
         if row.doc_id is not None:
