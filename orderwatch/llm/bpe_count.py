@@ -40,10 +40,10 @@ class MergeCounter:
         model, parts = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
         self.ids: dict[str, int] = {}
         number = lambda symbol: self.ids.setdefault(symbol, len(self.ids))
-        self.merges = {
-            (number(left), number(right)): (rank, number(left + right))
-            for rank, (left, right) in enumerate(x if isinstance(x, list) else x.split(" ") for x in model["merges"])
-        }
+        pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
+        #: The rank of each pair, both symbols in one number, and the symbol that a rank makes.
+        self.ranks = {number(left) << 32 | number(right): rank for rank, (left, right) in enumerate(pairs)}
+        self.made = [number(left + right) for left, right in pairs]
         suffix = model["end_of_word_suffix"] or ""
         self.first = [number(letter) for letter in byte_letters()]
         self.last = [number(letter + suffix) for letter in byte_letters()]
@@ -55,42 +55,48 @@ class MergeCounter:
     def count_word(self, word: str) -> int:
         """Initial symbols minus merges."""
         data = word.encode()
-        symbols = [self.first[b] for b in data[:-1]] + [self.last[data[-1]]]
+        first = self.first
+        symbols = [first[b] for b in data]
+        symbols[-1] = self.last[data[-1]]
         count = len(symbols)
-        before, after = list(range(-1, count - 1)), [*range(1, count), -1]
-        merges, heap = self.merges, []
-        for i in range(count - 1):
-            if (found := merges.get((symbols[i], symbols[i + 1]))) is not None:
-                heap.append((found[0], i, found[1]))
+        if count == 1:
+            return 1
+        ranks, made, push = self.ranks, self.made, heapq.heappush
+        # An entry is a rank and a place in one number, so the lowest rank comes first, then the leftmost place.
+        found = [ranks.get(a << 32 | b) for a, b in zip(symbols, symbols[1:], strict=False)]
+        heap = [rank << 32 | i for i, rank in enumerate(found) if rank is not None]
         heapq.heapify(heap)
+        before, after = list(range(-1, count - 1)), [*range(1, count), -1]
         while heap:
-            _, i, merged = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            i, rank = entry & 0xFFFFFFFF, entry >> 32
             j = after[i]
-            if symbols[i] < 0 or j < 0:
-                continue
-            found = merges.get((symbols[i], symbols[j]))
-            if found is None or found[1] != merged:
+            if j < 0 or symbols[i] < 0 or ranks.get(symbols[i] << 32 | symbols[j]) != rank:
                 continue  # the pair at this place has changed since
-            symbols[i], symbols[j] = merged, -1
+            symbols[i], symbols[j] = merged, _ = made[rank], -1
             after[i] = k = after[j]
             count -= 1
             if k >= 0:
                 before[k] = i
-                if (found := merges.get((merged, symbols[k]))) is not None:
-                    heapq.heappush(heap, (found[0], i, found[1]))
-            if (h := before[i]) >= 0 and (found := merges.get((symbols[h], merged))) is not None:
-                heapq.heappush(heap, (found[0], h, found[1]))
+                if (rank := ranks.get(merged << 32 | symbols[k])) is not None:
+                    push(heap, rank << 32 | i)
+            if (h := before[i]) >= 0 and (rank := ranks.get(symbols[h] << 32 | merged)) is not None:
+                push(heap, rank << 32 | h)
         return count
 
     def count_plain(self, text: str) -> int:
-        text = unicodedata.normalize("NFC", text).translate(NEWER_LOWER)
-        # Letter by letter where it matters: as a whole word, a final sigma would get another form.
-        text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).translate(NEWER_LOWER)
+            # Letter by letter where it matters: as a whole word, a final sigma would get another form.
+            text = "".join(map(str.lower, text)) if "Σ" in text else text
+        text = text.lower()
         counts = self.by_word
-        return sum(counts[w] if len(w) <= LONG else self.count_word(w) for w in self.words.findall(text))
+        return sum([counts[w] if len(w) <= LONG else self.count_word(w) for w in self.words.findall(text)])
 
     def count_chunk(self, chunk: bytes) -> int:
         text, total, at = chunk.decode(), 0, 0
+        if not self.special.search(text):
+            return self.count_plain(text)
         for found in self.special.finditer(text):
             total += self.count_plain(text[at : found.start()]) + 1
             at = found.end()

@@ -35,16 +35,24 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 class Memo(dict):
-    """Results by key, computed when first asked for; emptied by `trim` once it holds more than `most`."""
+    """Results by key, computed when first asked for.
 
-    def __init__(self, make, most: int = 500_000):
+    Two generations bound the memory: once the younger holds more than `most`, `trim` makes it the older one, and
+    what is asked for again moves up.
+    """
+
+    def __init__(self, make, most: int = 300_000):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
     def trim(self) -> None:
         if len(self) > self.most:
+            self.older = dict(self)
             self.clear()
