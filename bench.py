@@ -84,6 +84,7 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="16g",
         spark__sql__shuffle__partitions=cpus,
+        spark__checkpoint__dir=os.path.abspath("spark-warehouse/checkpoints"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds(spark, "popular_products_tumbling", sf_dir)  # starts the executors and loads the classes

@@ -34,8 +34,15 @@ def wall_text(time: Column) -> Column:
 
 
 def wall_time(time: Column, zone: str) -> Column:
-    """The wall clock of `zone` at a UTC time, as a time without zone, for display."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), time.cast("timestamp_ntz"))
+    """The wall clock of `zone` at an instant, or at a time without zone taken as UTC; for display.
+
+    The result has no zone and is the same in every session.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    shifted = F.unix_micros(F.from_utc_timestamp(time.cast("timestamp"), zone))
+    of_instant = F.timestamp_add("MICROSECOND", shifted, epoch)
+    of_plain = F.convert_timezone(F.lit("UTC"), F.lit(zone), time.cast("timestamp_ntz"))
+    return F.when(F.typeof(time) == "timestamp", of_instant).otherwise(of_plain)
 
 
 def megabytes(count: Column) -> Column:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
 from orderwatch.functions.scalars import interval_seconds
 
 IP, TIME, ORDER = "ip_address", "timestamp", "order_id"
 MICROS = 1_000_000
+SPLITS = 64
 
 
 def _levels(moments: DataFrame, look_back: str, cells: int) -> DataFrame:
@@ -44,32 +44,46 @@ def _levels(moments: DataFrame, look_back: str, cells: int) -> DataFrame:
     return levels.filter("at IS NOT NULL AND change > 0").select(IP, F.col("at").alias(TIME), "level")
 
 
-def _id_block(df: DataFrame, prefix: int) -> Column:
-    """A coarse part of the order id that sorts as the id does, so that ties can be ranked in pieces."""
-    if isinstance(df.schema[ORDER].dataType, IntegralType):
-        return F.expr(f"{ORDER} div 65536")
-    return F.substring(ORDER, 1, prefix)
-
-
 def with_rolling_count(df: DataFrame, moments: DataFrame, look_back: str, cells: int) -> DataFrame:
     """Orders with the level of their address at their time, from the orders per address and time."""
     levels = _levels(moments, look_back, cells).withColumnRenamed("level", "recent_orders")
     return df.join(levels, [IP, TIME], "left").select(*df.columns, "recent_orders")
 
 
+def _places(known: DataFrame, moments: DataFrame, crowd: int) -> DataFrame:
+    """Adds `place` and `n`: the rank of an order by id among those of its address and time, and their number.
+
+    Orders with one id, or none, share the last of their places; none comes first. A crowd of more than `crowd`
+    orders at one time is cut at about SPLITS of its ids, those with certain hashes, so whatever the ids look
+    like, its pieces are ranked in different tasks and start with the sizes of the pieces before.
+    """
+    crowds = moments.filter(F.col("n") > crowd)
+    picked = F.pmod(F.xxhash64(ORDER), F.col("n")) < SPLITS
+    ids = F.array_sort(F.collect_set(ORDER))
+    splits = known.join(crowds, [IP, TIME]).filter(picked).groupBy(IP, TIME).agg(ids.alias("splits"))
+    piece = F.coalesce(F.size(F.filter("splits", lambda s: s < F.col(ORDER))), F.lit(0))
+    cut = known.join(moments.join(splits, [IP, TIME], "left"), [IP, TIME]).withColumn("piece", piece)
+    of_piece = Window.partitionBy(IP, TIME, "piece").orderBy(ORDER).rangeBetween(Window.unboundedPreceding, 0)
+    ranked = cut.withColumn("place", F.count("*").over(of_piece))
+    sizes = cut.filter(F.col("splits").isNotNull()).groupBy(IP, TIME, "piece").agg(F.count("*").alias("size"))
+    earlier = Window.partitionBy(IP, TIME).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sizes.select(IP, TIME, "piece", F.sum("size").over(earlier).alias("ahead"))
+    placed = ranked.join(ahead, [IP, TIME, "piece"], "left")
+    return placed.select(*known.columns, (F.col("place") + F.coalesce("ahead", F.lit(0))).alias("place"), "n")
+
+
 def rolling_ip_count(
     df: DataFrame,
     look_back: str = "10 minutes",
     ties: str = "peers",
     cells: int = 10,
-    id_prefix: int = 16,
+    crowd: int = 10_000,
 ) -> DataFrame:
     """Adds `recent_orders`: the orders of the same address in the look-back, this one included.
 
     An order exactly one look-back old is out. Orders at the same time count each other ("peers"), or
-    only those before them by order id ("arrival"). An order without address or time has no count.
-    Equal times are ranked in blocks of ids, 65,536 numbers or the texts of one `id_prefix`; choose a
-    prefix that ends a few characters before the id does.
+    only those before them by order id ("arrival"), an order without an id first. An order without address or
+    time has no count. More than `crowd` orders of one address at one time are ranked in pieces.
 
     Work is split by address and time cell, `cells` to a look-back.
 
@@ -80,22 +94,16 @@ def rolling_ip_count(
         raise ValueError("on a stream use rolling_ip_count_stream")
     if ties not in ("peers", "arrival"):
         raise ValueError("ties is 'peers' or 'arrival'")
-    known = df.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
+    timed = F.col(IP).isNotNull() & F.col(TIME).isNotNull()
+    known = df.filter(timed)
+    moments = known.groupBy(IP, TIME).agg(F.count("*").alias("n"))
     if ties == "peers":
-        moments = known.groupBy(IP, TIME).agg(F.count("*").alias("n"))
         return with_rolling_count(df, moments, look_back, cells)
-    blocks = known.groupBy(IP, TIME, _id_block(df, id_prefix).alias("id_block")).agg(F.count("*").alias("n"))
-    moments = blocks.groupBy(IP, TIME).agg(F.sum("n").alias("n"))
-    # Of the level at its time, an order keeps what came before its block and its place in the block.
-    from_block = Window.partitionBy(IP, TIME).orderBy(F.desc("id_block")).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = (
-        blocks.withColumn("not_ahead", F.sum("n").over(from_block))
-        .join(_levels(moments, look_back, cells), [IP, TIME])
-        .select(IP, TIME, "id_block", (F.col("level") - F.col("not_ahead")).alias("ahead"))
-    )
-    place = F.row_number().over(Window.partitionBy(IP, TIME, "id_block").orderBy(ORDER))
-    placed = df.withColumn("id_block", _id_block(df, id_prefix)).join(ahead, [IP, TIME, "id_block"], "left")
-    return placed.withColumn("recent_orders", F.col("ahead") + place).select(*df.columns, "recent_orders")
+    # Of the level at its time, an order keeps what came before that time and its place at it.
+    placed = _places(known, moments, crowd).join(_levels(moments, look_back, cells), [IP, TIME])
+    counted = placed.withColumn("recent_orders", F.col("level") - F.col("n") + F.col("place"))
+    rest = df.filter(~timed).withColumn("recent_orders", F.lit(None).cast("bigint"))
+    return counted.select(*df.columns, "recent_orders").unionByName(rest)
 
 
 def order_verdict(df: DataFrame, limit: int = 10, threshold: int = 500_000) -> DataFrame:

@@ -7,7 +7,9 @@ reaches the shuffle as one row per task and window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderwatch.functions.scalars import interval_seconds, seconds_between
@@ -68,11 +70,9 @@ def suspicious_ips(
     With `products`, each row also lists the bought products (see `product_lists`). That form is for
     tables; a stream hands on `ip_products`, and its sink does the rest.
     """
-    if products:
-        if df.isStreaming:
-            raise ValueError("on a stream use ip_products, and suspicious_ip_products in the sink")
-        return product_lists(suspicious_ip_products(ip_products(df, duration, slide), limit))
-    return (
+    if products and df.isStreaming:
+        raise ValueError("on a stream use ip_products, and suspicious_ip_products in the sink")
+    alerts = (
         _windowed(df, ["ip_address"], duration, slide, delay)
         .filter(F.col("orders") >= limit)
         .select(
@@ -82,6 +82,9 @@ def suspicious_ips(
             F.col("amount").alias("total_spent"),
         )
     )
+    if not products:
+        return alerts
+    return product_lists(_of_alerts(ip_products(df, duration, slide), alerts))
 
 
 def ip_products(
@@ -100,48 +103,36 @@ def ip_products(
     )
 
 
-def suspicious_ip_products(bought: DataFrame, limit: int = 10) -> DataFrame:
-    """The rows of `ip_products` of addresses with at least `limit` orders in the window, and their totals.
+def _of_alerts(bought: DataFrame, alerts: DataFrame) -> DataFrame:
+    """What the addresses of `alerts` bought, a row for each product, with the totals of the alert.
 
-    Copies are counted already, so a group holds one row per different product an address bought.
+    A join, so that what a hot address bought can be dealt to several tasks. Null addresses are no alerts.
     """
-    address = Window.partitionBy("window_start", "ip_address")
-    totals = {"order_count": F.sum("copies").over(address), "total_spent": F.sum("spent").over(address)}
-    rows = bought.withColumns(totals).filter(F.col("order_count") >= limit)
+    rows = bought.select("window_start", "ip_address", "product_name", "copies").join(alerts, ["window_start", "ip_address"])
     return rows.select("window_start", "ip_address", "order_count", "total_spent", "product_name", "copies")
 
 
-def product_lists(bought: DataFrame, part_size: int = 100_000) -> DataFrame:
-    """The rows of `suspicious_ip_products` as lists of product names, copies kept, in name order.
+def suspicious_ip_products(bought: DataFrame, limit: int = 10) -> DataFrame:
+    """The rows of `ip_products` of addresses with at least `limit` orders in the window, and their totals.
 
-    A list longer than `part_size` comes in several rows, numbered by `part`, which are put together
-    in different tasks: neither a cell nor a task grows with the orders of one address.
+    This is the whole list of an alert whatever its length: a row for each different product and its copies.
     """
-    alert = ["window_start", "ip_address"]
-    size = F.lit(part_size).cast("bigint")
-    # Each product takes the positions first <= p < after of the whole list. Unnamed ones take none.
-    named = F.when(F.col("product_name").isNotNull(), F.col("copies")).otherwise(F.lit(0))
-    so_far = Window.partitionBy(*alert).orderBy("product_name").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        bought.withColumn("copies", named)
-        .withColumn("after", F.sum("copies").over(so_far))
-        .withColumn("first", F.col("after") - F.col("copies"))
-    )
-    first_part = F.expr(f"first div {part_size}")
-    last_part = F.expr(f"greatest(first, after - 1) div {part_size}")
-    pieces = placed.withColumn("part", F.explode(F.sequence(first_part, last_part))).withColumn(
-        "copies",
-        F.least("after", (F.col("part") + 1) * size) - F.greatest("first", F.col("part") * size),
-    )
-    names = F.transform(
-        F.sort_array(F.collect_list(F.struct("product_name", "copies"))),
-        lambda run: F.array_repeat(run["product_name"], run["copies"].cast("int")),
-    )
-    return (
-        pieces.repartition(*alert, "part")
-        .groupBy(*alert, "order_count", "total_spent", "part")
-        .agg(F.flatten(names).alias("products"))
+    totals = bought.groupBy("window_start", "ip_address").agg(
+        F.sum("copies").alias("order_count"), F.sum("spent").alias("total_spent")
     )
+    return _of_alerts(bought, totals.filter(F.col("order_count") >= limit))
+
+
+def product_lists(bought: DataFrame) -> DataFrame:
+    """One row for each alert of `suspicious_ip_products`, its products as an array of name and copies, by name.
+
+    An entry stands for all copies of a product, so the array grows with the different products of an alert,
+    not with its orders. Orders without a product name count in the totals and have no entry.
+    """
+    runs = F.sort_array(F.collect_list(F.struct("product_name", "copies")))
+    named = F.filter("products", lambda run: run["product_name"].isNotNull())
+    alert = ["window_start", "ip_address", "order_count", "total_spent"]
+    return bought.groupBy(*alert).agg(runs.alias("products")).withColumn("products", named)
 
 
 def realtime_stats(
@@ -182,14 +173,15 @@ def realtime_stats(
     )
 
 
-def throughput(df: DataFrame, interval: str = "1 second") -> DataFrame:
+def throughput(df: DataFrame, interval: str = "1 second", block: str | Sequence[str] = "1 day") -> DataFrame:
     """Orders per interval, the running total, and the average rate per second since the first interval.
 
-    For a table. Intervals without orders have no row.
+    For a table. Intervals without orders have no row. `block` is that of `running_total`: what one task sums.
     """
     sent = df.groupBy(F.window("timestamp", interval).alias("window")).agg(F.count("*").alias("sent"))
     sent = sent.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "sent")
-    begun = sent.agg(F.min("window_start")).scalar()
-    rated = running_total(sent, "sent", "window_start", "total_sent")
+    # The first interval comes from the times alone, which reads one column and sorts nothing.
+    begun = df.agg(F.min("timestamp").alias("first")).select(F.window("first", interval)["start"]).scalar()
+    rated = running_total(sent, "sent", "window_start", "total_sent", block=block)
     rate = F.col("total_sent") / seconds_between(begun, F.col("window_end"))
     return rated.select("window_start", "sent", "total_sent", rate.alias("avg_rate"))

@@ -5,9 +5,12 @@ The tables are sparse, so windows are hours and days here and limits are lower t
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderwatch import schemas
@@ -15,8 +18,16 @@ from orderwatch.functions import scalars
 from orderwatch.functions.scalars import with_total_price
 from orderwatch.operators import metrics, ranking, rolling, rules, windows
 from orderwatch.operators.prefix import running_total
-from orderwatch.plans import dashboard
-from orderwatch.plans.replay import event_stream, replay, replay_messages, run_folder, stream_session, without_zone
+from orderwatch.plans import dashboard, views
+from orderwatch.plans.replay import (
+    event_stream,
+    published,
+    replay,
+    replay_messages,
+    run_folder,
+    stream_session,
+    without_zone,
+)
 from orderwatch.sources import codec, feeds
 from orderwatch.sources.orders import read_metrics_csv
 from orderwatch.streaming import jobs, sinks
@@ -71,12 +82,9 @@ def bad_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("value").cast("string")
     broken = F.get_json_object(text, "$.product_name") == "error"
     sent = F.when(broken, F.substring(text, 1, 12)).otherwise(text).cast("binary")
-    good, rejects = codec.split_bad_records(codec.decode_orders(_messages(spark, sf_dir).select(sent.alias("value"))))
-    kept = good.groupBy("product_name").agg(F.count("*").alias("orders"), F.sum("price").alias("price"))
-    lost = rejects.agg(
-        F.lit("rejects").alias("product_name"), F.count("*").alias("orders"), F.sum("price").alias("price")
-    )
-    return kept.unionByName(lost)
+    flagged = codec.flag_bad_records(codec.decode_orders(_messages(spark, sf_dir).select(sent.alias("value"))))
+    kind = F.when(F.col("undecodable"), "rejects").otherwise(F.col("product_name")).alias("product_name")
+    return flagged.groupBy(kind).agg(F.count("*").alias("orders"), F.sum("price").alias("price"))
 
 
 def orders_encode_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,8 +149,17 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_timezone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = scalars.wall_time(F.col("timestamp"), "Asia/Seoul")
-    return _orders(spark, sf_dir).select("order_id", shown.alias("seoul_time"))
+    """Instants and times without zone, shown in Seoul by a session that runs in New York."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "America/New_York")
+    plain = F.col("timestamp").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), plain)
+    instant = F.timestamp_micros(micros)
+    return _orders(session, sf_dir).select(
+        "order_id",
+        scalars.wall_time(plain, "Asia/Seoul").alias("seoul_time"),
+        scalars.wall_time(instant, "Asia/Seoul").alias("seoul_time_of_instant"),
+    )
 
 
 # Aggregates over windows.
@@ -161,13 +178,14 @@ def agg_avg_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _listed(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("products", F.array_join("products", ","))
+    runs = F.transform("products", lambda run: F.concat(run["product_name"], F.lit(" x"), run["copies"]))
+    return rows.withColumn("products", F.array_join(runs, ","))
 
 
 def agg_collect_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists in parts of four names."""
+    """Every address of a day, with what it bought."""
     bought = windows.suspicious_ip_products(windows.ip_products(_orders(spark, sf_dir), "1 day"), limit=1)
-    return _listed(windows.product_lists(bought, part_size=4))
+    return _listed(windows.product_lists(bought))
 
 
 def popular_products_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,43 +303,72 @@ def output_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Window results as two batches of changes, the first without sales yet, compacted by day."""
+    """Window results in four batches: without sales, some of it whole, compacted, more of it, and a tail."""
     root = run_folder(spark)
     popular = schemas.to_contract(_popular(spark, sf_dir), schemas.POPULAR_PRODUCTS)
-    log = sinks.changelog(f"{root}/changes")
+    log = sinks.changelog(f"{root}/popular_products")
+    late = F.col("window_start") >= F.lit("2024-01-16").cast("timestamp")
     log(popular.withColumn("total_sales", F.lit(0).cast("bigint")), 0)
-    log(popular, 1)
-    changes = sinks.read_changelog(spark, f"{root}/changes", schemas.POPULAR_PRODUCTS)
-    keys = schemas.TABLE_KEYS["popular_products"]
-    sinks.compact_latest(changes, keys, "window_start", f"{root}/latest")
-    return without_zone(spark.read.schema(schemas.POPULAR_PRODUCTS).parquet(f"{root}/latest").drop("day"))
+    log(popular.filter(~late), 1)
+    views.compact_tables(spark, root, ["popular_products"])
+    log(popular.filter(late).withColumn("order_count", F.lit(0)), 2)
+    views.compact_tables(spark, root, ["popular_products"])
+    log(popular.filter(late), 3)
+    return without_zone(views.latest_table(spark, root, "popular_products").drop("day"))
+
+
+# Dashboard panels, over the view of a stream's change log, compacted after its second turn.
+
 
+def _shown(spark: SparkSession, sf_dir: str, name: str, build: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
+    root, session = run_folder(spark), stream_session(spark)
+    contract = schemas.OUTPUT_TABLES[name]
+    for number, schema in enumerate(published(spark, sf_dir, f"{root}/in")):
+        plan = schemas.to_contract(build(event_stream(session, f"{root}/in", schema)), contract)
+        sink = sinks.changelog(f"{root}/{name}")
+        jobs.start(uuid.uuid4().hex, plan, mode, sink, f"{root}/checkpoint", jobs.ONCE).awaitTermination()
+        if number == 1:
+            views.compact_tables(spark, root, [name])
+    return without_zone(views.latest_table(spark, root, name, FROM, TO))
 
-# Dashboard panels.
+
+def _shown_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(spark, sf_dir, "realtime_stats", lambda orders: windows.realtime_stats(orders, "6 hours"), "update")
 
 
 def dash_order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.order_series(_stats(spark, sf_dir), FROM, TO)
+    return _counted(dashboard.order_series(_shown_stats(spark, sf_dir), FROM, TO))
 
 
 def dash_sales_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.sales_series(_stats(spark, sf_dir), FROM, TO)
+    return dashboard.sales_series(_shown_stats(spark, sf_dir), FROM, TO)
 
 
 def dash_suspicious_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.suspicious_series(realtime_stats_enriched(spark, sf_dir), FROM, TO)
+    build = lambda orders: windows.realtime_stats(orders, "1 day", enrich=True, limit=5)
+    rows = dashboard.suspicious_series(_shown(spark, sf_dir, "realtime_stats", build, "append"), FROM, TO)
+    return rows.withColumn("suspicious_ip_count", F.col("suspicious_ip_count").cast("bigint"))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Counts as they are before they take the type of their table."""
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("total_orders", "order_count") if c in rows.columns})
 
 
 def dash_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.top_products(_popular(spark, sf_dir), FROM, TO)
+    build = lambda orders: windows.popular_products(orders, "6 hours")
+    return dashboard.top_products(_shown(spark, sf_dir, "popular_products", build, "update"), FROM, TO)
 
 
 def dash_suspicious_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.suspicious_table(_suspicious(spark, sf_dir), FROM, TO)
+    build = lambda orders: windows.suspicious_ips(orders, "1 day", limit=5)
+    shown = dashboard.suspicious_table(_shown(spark, sf_dir, "suspicious_ips", build, "update"), FROM, TO)
+    return _counted(shown).withColumn("ip_address", F.col("ip_address").cast("bigint")).drop("day")
 
 
 def dash_high_value_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.high_value_count(high_value_orders(spark, sf_dir), FROM, TO)
+    rows = _shown(spark, sf_dir, "high_value_orders", rules.high_value_orders, "append")
+    return dashboard.high_value_count(rows, FROM, TO)
 
 
 # Streaming runs over all events.
@@ -407,35 +454,67 @@ def stream_rolling_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("batch_id")
 
 
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts job over all events, with a day to look back on."""
+    root, session = run_folder(spark), stream_session(spark)
+    for schema in published(spark, sf_dir, f"{root}/in"):
+        orders = event_stream(session, f"{root}/in", schema)
+        sink = sinks.changelog(f"{root}/verdicts")
+        for query in jobs.run_alerts(orders, sink, f"{root}/alerts", 24 * 3600, limit=5, trigger=jobs.ONCE):
+            query.awaitTermination()
+    verdicts = spark.read.parquet(f"{root}/verdicts")
+    return verdicts.select("order_id", "recent_orders", "total_price", "verdict")
+
+
+FAN_OUT = {
+    "popular_products": lambda orders: windows.popular_products(orders, "6 hours"),
+    "suspicious_ips": lambda orders: windows.suspicious_ips(orders, "1 day", limit=5),
+    "high_value_orders": rules.high_value_orders,
+    "realtime_stats": lambda orders: windows.realtime_stats(orders, "6 hours"),
+}
+
+
 def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four table queries at once over one stream, with their own windows; rows and amount of each table."""
-    root = run_folder(spark)
-    session = stream_session(spark)
-    tables = {name: f"{root}/{name}" for name in schemas.OUTPUT_TABLES}
-    started = jobs.run_tables(
-        event_stream(session, sf_dir),
-        {name: sinks.changelog(path) for name, path in tables.items()},
-        f"{root}/checkpoints",
-        jobs.ONCE,
-    )
-    for query in started:
-        query.awaitTermination()
+    """The four table queries at once over one stream, with wider windows; rows and amount of each table."""
+    root, session = run_folder(spark), stream_session(spark)
+    logs = {name: sinks.changelog(f"{root}/{name}") for name in schemas.OUTPUT_TABLES}
+    wider = {name: replace(jobs.TABLE_QUERIES[name], build=build) for name, build in FAN_OUT.items()}
+    for schema in published(spark, sf_dir, f"{root}/in"):
+        orders = event_stream(session, f"{root}/in", schema)
+        for query in jobs.run_tables(orders, logs, f"{root}/checkpoints", jobs.ONCE, wider):
+            query.awaitTermination()
     amounts = {
         "popular_products": "total_sales",
         "suspicious_ips": "total_spent",
         "high_value_orders": "total_price",
         "realtime_stats": "total_sales",
     }
-    totals = None
-    for name, contract in schemas.OUTPUT_TABLES.items():
-        rows = sinks.read_changelog(spark, tables[name], contract)
-        if name in schemas.TABLE_KEYS:
-            rows = _latest(rows, name)
-        total = rows.agg(
-            F.lit(name).alias("table_name"), F.count("*").alias("n"), F.sum(amounts[name]).alias("amount")
-        ).withColumn("amount", F.coalesce("amount", F.lit(0).cast("bigint")))
-        totals = total if totals is None else totals.unionByName(total)
-    return totals
+    totals = [
+        views.latest_table(spark, root, name)
+        .agg(F.lit(name).alias("table_name"), F.count("*").alias("n"), F.sum(amount).alias("amount"))
+        .withColumn("amount", F.coalesce("amount", F.lit(0).cast("bigint")))
+        for name, amount in amounts.items()
+    ]
+    return reduce(DataFrame.unionByName, totals)
+
+
+def stream_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches of a stream that reach a sink which skips those without rows: only two turns have any."""
+    shown = lambda orders: orders.filter(_middle()).select("order_id")
+    changes = replay(spark, sf_dir, shown, "append", wrap=lambda _, sink: sinks.skip_empty(_from_one(sink)))
+    return changes.groupBy().agg(
+        F.count_distinct("batch_id").alias("batches"), F.count("*").alias("orders")
+    )
+
+
+def _from_one(sink: sinks.Sink) -> sinks.Sink:
+    """Numbers batches from one, as a change log keeps batch 0 even without rows."""
+    return lambda batch, batch_id: sink(batch, batch_id + 1)
+
+
+def _middle() -> Column:
+    time = F.col("timestamp").cast("timestamp_ntz")
+    return time.between(F.lit("2024-01-10").cast("timestamp_ntz"), F.lit("2024-01-20").cast("timestamp_ntz"))
 
 
 QUERIES: dict[str, Query] = {
@@ -495,4 +574,6 @@ QUERIES: dict[str, Query] = {
     "late_data": stream_late_data,
     "rolling_ip_count_stream": stream_rolling_ip_count,
     "fan_out": stream_fan_out,
+    "alerts_verdicts": stream_alerts,
+    "skip_empty_batch": stream_skip_empty,
 }

@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderwatch.functions.scalars import with_total_price
 from orderwatch.session import SETTINGS
 from orderwatch.sources.codec import decode_orders, encode_orders
 from orderwatch.sources.feeds import orders_from_events
 from orderwatch.sources.orders import read_orders
+from orderwatch.streaming.folders import remove
 from orderwatch.streaming.jobs import ONCE, checkpoint_root, start
 from orderwatch.streaming.sinks import Sink, changelog, read_changelog
 
 
+TURNS = 4
+
+
 def run_folder(spark: SparkSession) -> str:
-    """A new folder for one run in the shared checkpoint folder; in local mode without one, a temporary folder."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="replay-")
+    """A new folder for one run in the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/replay-{uuid.uuid4().hex}"
 
 
@@ -35,14 +37,35 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def event_stream(session: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a stream of orders. Event times become instants, as watermarks need."""
-    path = f"{sf_dir}/events.parquet"
-    # As a pattern, the path may be one file as well as a folder of files.
-    events = session.readStream.schema(session.read.parquet(path).schema).parquet(f"{sf_dir}/{{events.parquet}}")
+def turns(spark: SparkSession, sf_dir: str, count: int = TURNS) -> list[Column]:
+    """Conditions on `ts` that cut the events into `count` stretches of time, off every full hour."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / count
+    cuts = [(first + i * step).replace(minute=37, second=11, microsecond=0) for i in range(1, count)]
+    edges = [None, *[F.lit(cut).cast("timestamp_ntz") for cut in cuts], None]
+    time = F.col("ts").cast("timestamp_ntz")
+    whole = F.lit(True)
+    return [
+        (whole if low is None else time >= low) & (whole if high is None else time < high)
+        for low, high in zip(edges, edges[1:], strict=False)
+    ]
+
+
+def event_stream(session: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """The events published under `folder` as a stream of orders. Their times become instants, as watermarks need."""
+    events = session.readStream.schema(schema).parquet(f"{folder}/*")
     return with_total_price(orders_from_events(events)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
+def published(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[StructType]:
+    """Publishes the events stretch by stretch, in order of time, and stops after each; gives their schema."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for number, turn in enumerate(turns(spark, sf_dir)):
+        events.filter(turn).write.parquet(f"{folder}/{number}")
+        yield events.schema
+
+
 def without_zone(df: DataFrame) -> DataFrame:
     """Instants as the zoneless times they came from, whatever zone the reading session has."""
     times = [f.name for f in df.schema if f.dataType.typeName() == "timestamp"]
@@ -57,19 +80,24 @@ def replay(
     wrap: Callable[[str, Sink], Sink] | None = None,
     output: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Runs one query over all events to its end and reads back everything it handed on, with batch ids.
+    """Runs one query over all events and reads back everything it handed on, with batch ids.
 
-    `wrap` puts another sink before the change log, given a folder for its own use; `output` then
-    gives the change log's columns from those of the query.
+    The events come in TURNS stretches of time, cut within windows. After each the query works off what is new and
+    ends, and the next starts on its checkpoint. `wrap` puts another sink before the change log, given a folder for
+    its own use; `output` then gives the change log's columns from those of the query.
     """
-    root = run_folder(spark)
-    plan = build(event_stream(stream_session(spark), sf_dir))
+    root, session = run_folder(spark), stream_session(spark)
     log = changelog(f"{root}/changes")
     sink = lambda batch, batch_id: log(without_zone(batch), batch_id)
-    query = start(uuid.uuid4().hex, plan, mode, wrap(f"{root}/kept", sink) if wrap else sink, f"{root}/checkpoint", ONCE)
-    query.awaitTermination()
-    schema = without_zone(output(plan) if output else plan).schema
-    return read_changelog(spark, f"{root}/changes", schema)
+    sink = wrap(f"{root}/kept", sink) if wrap else sink
+    for schema in published(spark, sf_dir, f"{root}/in"):
+        plan = build(event_stream(session, f"{root}/in", schema))
+        start(uuid.uuid4().hex, plan, mode, sink, f"{root}/checkpoint", ONCE).awaitTermination()
+    kinds = without_zone(output(plan) if output else plan).schema
+    remove(spark, f"{root}/in")
+    remove(spark, f"{root}/checkpoint")
+    remove(spark, f"{root}/kept")
+    return read_changelog(spark, f"{root}/changes", kinds)
 
 
 def replay_messages(

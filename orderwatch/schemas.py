@@ -6,49 +6,74 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TEXT, WHOLE, BIG, REAL, TIME = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType()
-
-
-def _columns(**kinds: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
-
-
-# One JSON order as it travels; the time is ISO-8601 text with an offset.
-ORDER_MESSAGE = _columns(
-    order_id=TEXT,
-    timestamp=TEXT,
-    user_id=TEXT,
-    product_id=TEXT,
-    product_name=TEXT,
-    price=WHOLE,
-    quantity=WHOLE,
-    ip_address=TEXT,
-    payment_method=TEXT,
+# One JSON order as it travels; the time is ISO-8601 text with an offset.
+ORDER_MESSAGE = T.StructType(
+    [
+        T.StructField("order_id", T.StringType()),
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("product_id", T.StringType()),
+        T.StructField("product_name", T.StringType()),
+        T.StructField("price", T.IntegerType()),
+        T.StructField("quantity", T.IntegerType()),
+        T.StructField("ip_address", T.StringType()),
+        T.StructField("payment_method", T.StringType()),
+    ]
 )
 
-METRICS = _columns(
-    timestamp=TIME,
-    cpu_percent=REAL,
-    memory_percent=REAL,
-    memory_used_mb=REAL,
-    disk_read_mb=REAL,
-    disk_write_mb=REAL,
-    network_sent_mb=REAL,
-    network_recv_mb=REAL,
+# A sample of the host's metrics.
+METRICS = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("cpu_percent", T.DoubleType()),
+        T.StructField("memory_percent", T.DoubleType()),
+        T.StructField("memory_used_mb", T.DoubleType()),
+        T.StructField("disk_read_mb", T.DoubleType()),
+        T.StructField("disk_write_mb", T.DoubleType()),
+        T.StructField("network_sent_mb", T.DoubleType()),
+        T.StructField("network_recv_mb", T.DoubleType()),
+    ]
 )
 
-POPULAR_PRODUCTS = _columns(
-    window_start=TIME, window_end=TIME, product_name=TEXT, order_count=WHOLE, total_sales=BIG
+# The columns of the output tables.
+POPULAR_PRODUCTS = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("product_name", T.StringType()),
+        T.StructField("order_count", T.IntegerType()),
+        T.StructField("total_sales", T.LongType()),
+    ]
 )
 
-SUSPICIOUS_IPS = _columns(window_start=TIME, ip_address=TEXT, order_count=WHOLE, total_spent=BIG)
+SUSPICIOUS_IPS = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("ip_address", T.StringType()),
+        T.StructField("order_count", T.IntegerType()),
+        T.StructField("total_spent", T.LongType()),
+    ]
+)
 
-HIGH_VALUE_ORDERS = _columns(
-    order_time=TIME, order_id=TEXT, product_name=TEXT, quantity=WHOLE, total_price=BIG, ip_address=TEXT
+HIGH_VALUE_ORDERS = T.StructType(
+    [
+        T.StructField("order_time", T.TimestampType()),
+        T.StructField("order_id", T.StringType()),
+        T.StructField("product_name", T.StringType()),
+        T.StructField("quantity", T.IntegerType()),
+        T.StructField("total_price", T.LongType()),
+        T.StructField("ip_address", T.StringType()),
+    ]
 )
 
-REALTIME_STATS = _columns(
-    stat_time=TIME, total_orders=WHOLE, total_sales=BIG, avg_order_value=BIG, suspicious_ip_count=WHOLE
+REALTIME_STATS = T.StructType(
+    [
+        T.StructField("stat_time", T.TimestampType()),
+        T.StructField("total_orders", T.IntegerType()),
+        T.StructField("total_sales", T.LongType()),
+        T.StructField("avg_order_value", T.LongType()),
+        T.StructField("suspicious_ip_count", T.IntegerType()),
+    ]
 )
 
 OUTPUT_TABLES = {
@@ -66,6 +91,14 @@ TABLE_KEYS = {
     "realtime_stats": ["stat_time"],
 }
 
+# The time by which each table is stored and shown.
+TABLE_TIMES = {
+    "popular_products": "window_start",
+    "suspicious_ips": "window_start",
+    "high_value_orders": "order_time",
+    "realtime_stats": "stat_time",
+}
+
 # The captions of the console reports.
 CONSOLE_CAPTIONS = {
     "popular_products": {

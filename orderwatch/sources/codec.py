@@ -27,8 +27,16 @@ def _undecodable() -> Column:
     return F.col("order_id").isNull() | F.col("timestamp").isNull() | F.col("price").isNull()
 
 
+def flag_bad_records(df: DataFrame) -> DataFrame:
+    """Decoded orders with `undecodable`, for counts of both kinds in one pass."""
+    return df.withColumn("undecodable", _undecodable())
+
+
 def split_bad_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decoded orders with id, time and price, and the rest. Each row is in one of the two."""
+    """Decoded orders with id, time and price, and the rest. Each row is in one of the two.
+
+    For two sinks, each of which reads the messages; where one pass will do, use `flag_bad_records`.
+    """
     return df.filter(~_undecodable()), df.filter(_undecodable())
 
 
@@ -53,11 +61,13 @@ def encode_orders(df: DataFrame) -> DataFrame:
 
 
 def publish_orders(df: DataFrame, options: dict[str, str], checkpoint: str | None = None):
-    """Writes orders to a topic. A stream needs a checkpoint and returns its query.
+    """Writes orders to a topic. A stream returns its query; without a checkpoint it is refused.
 
     Batching and compression are producer options: `kafka.linger.ms`, `kafka.batch.size`,
     `kafka.compression.type`.
     """
+    if df.isStreaming and not checkpoint:
+        raise ValueError("publishing a stream needs a checkpoint")
     messages = encode_orders(df)
     if not df.isStreaming:
         return messages.write.format("kafka").options(**options).save()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from orderwatch.operators.ranking import top_overall
@@ -13,7 +15,7 @@ from orderwatch.operators.rules import high_value_display, high_value_orders
 from orderwatch.operators.windows import ip_products, popular_products, realtime_stats, suspicious_ips
 from orderwatch.schemas import OUTPUT_TABLES, to_contract
 from orderwatch.streaming.rolling import rolling_ip_count_stream
-from orderwatch.streaming.sinks import Sink, adaptively, judged, report, suspicious_report, verdict_report
+from orderwatch.streaming.sinks import Sink, adaptively, judged, report, suspicious_report
 
 ONCE = "once"
 
@@ -104,17 +106,21 @@ def fan_out(
 
 
 def run_tables(
-    orders: DataFrame, sinks: Mapping[str, Sink], checkpoints: str | None = None, trigger: str | None = None
+    orders: DataFrame,
+    sinks: Mapping[str, Sink],
+    checkpoints: str | None = None,
+    trigger: str | None = None,
+    queries: Mapping[str, Query] = TABLE_QUERIES,
 ) -> list[StreamingQuery]:
     """The four table queries, each cut to its table's columns and types before its sink."""
     root = checkpoints or f"{checkpoint_root(orders.sparkSession)}/tables"
 
     def typed(name: str) -> Query:
-        query = TABLE_QUERIES[name]
+        query = queries[name]
         contract = OUTPUT_TABLES[name]
         return Query(lambda df: to_contract(query.build(df), contract), query.mode, query.trigger)
 
-    return fan_out("tables", orders, {name: typed(name) for name in TABLE_QUERIES}, sinks, root, trigger)
+    return fan_out("tables", orders, {name: typed(name) for name in queries}, sinks, root, trigger)
 
 
 def run_reports(
@@ -141,7 +147,7 @@ def run_reports(
 
 def run_alerts(
     orders: DataFrame,
-    sink: Sink | None = None,
+    sink: Sink,
     checkpoints: str | None = None,
     look_back: int = 600,
     limit: int = 10,
@@ -150,18 +156,38 @@ def run_alerts(
 ) -> list[StreamingQuery]:
     """A verdict for every order: too many orders from its address in the look-back, high value, or normal.
 
-    The verdicts go to `sink`, or are printed. Counts of past orders are kept beside the checkpoint.
+    All verdicts go to `sink`. Counts of past orders are kept beside the checkpoint.
     """
     root = checkpoints or f"{checkpoint_root(orders.sparkSession)}/alerts"
-    counted = rolling_ip_count_stream(f"{root}/recent", judged(sink or verdict_report(), limit, threshold), look_back)
+    counted = rolling_ip_count_stream(f"{root}/recent", judged(sink, limit, threshold), look_back)
     return [start("alerts_verdicts", orders, "append", counted, f"{root}/verdicts", trigger)]
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as too late, in the batches the query still keeps the progress of."""
-    return sum(
-        state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that queries drop as too late, over their whole life, by query name."""
+
+    def __init__(self) -> None:
+        self.dropped: Counter[str | None] = Counter()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        progress = event.progress
+        self.dropped[progress.name] += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def watch_late_rows(spark: SparkSession) -> LateRows:
+    """Counts late rows of all queries of the session from now on."""
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    return listener
 
 
 def await_any(spark: SparkSession) -> None:

@@ -2,81 +2,76 @@
 
 from __future__ import annotations
 
-import math
-from datetime import datetime
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderwatch.operators.rolling import IP, MICROS, TIME, with_rolling_count
+from orderwatch.streaming.folders import finished, remove
 from orderwatch.streaming.sinks import Sink
 
-LISTED = 500  # buckets of one batch up to which their folders are named one by one
-
 
-def rolling_ip_count_stream(path: str, sink: Sink, look_back: int = 600, cells: int = 10) -> Sink:
+def rolling_ip_count_stream(
+    path: str, sink: Sink, look_back: int = 600, cells: int = 10, lateness: int = 600, merge_every: int = 16
+) -> Sink:
     """A sink that adds `recent_orders` to each batch of orders and hands it to the next sink.
 
     `look_back` is in seconds. An order is handed on once, in its batch: a late one is counted where it
-    belongs, but does not change counts already handed on.
-
-    The state is a table of orders per address and time under `path`, in folders by time bucket and
-    batch; a repeated batch replaces its own folders and does not see later ones. The count itself is
-    the one for tables, which adds copies up first and splits every address by time, so that a hot
-    address spreads over the cluster instead of being one state key. `forget_before` ends old state.
+    belongs, but does not change counts already handed on. An order more than `lateness` seconds behind the
+    newest one seen at the last merge may find part of its past gone.
+
+    The past is a table of orders per address and time under `path`: the changes of each batch, and every
+    `merge_every` batches one merged folder, without what no order can look back on any more. A batch reads the
+    newest merged folder before it and the changes since, of its own span of time and its own addresses. A
+    merged folder counts once it is whole, and what it stands for stays until the next one, so a batch that is
+    repeated, at any point, finds what it found before. The count itself is the one for tables, which adds copies up
+    first and splits every address by time, so that a hot address spreads over the cluster instead of being one
+    state key.
     """
-    bucket = F.floor(F.unix_micros(TIME) / F.lit(look_back * MICROS))
+    ago = F.expr(f"INTERVAL {look_back} SECONDS")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            known = kept.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull()).withColumn("bucket", bucket)
-            moments = known.groupBy(IP, TIME, "bucket").agg(F.count("*").alias("n"))
-            stored = moments.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-            stored.option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(path)
-            seen = _seen(known, batch_id, path)
-            if seen is None:
+            known = kept.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
+            span = known.agg(F.min(TIME).alias("first"), F.max(TIME).alias("last"))
+            if span.filter("last IS NOT NULL").isEmpty():
                 sink(kept.withColumn("recent_orders", F.lit(None).cast("bigint")), batch_id)
                 return
-            past_and_present = seen.groupBy(IP, TIME).agg(F.sum("n").alias("n"))
-            sink(with_rolling_count(kept, past_and_present, f"{look_back} seconds", cells), batch_id)
+            moments = known.groupBy(IP, TIME).agg(F.count("*").alias("n"))
+            moments.hint("rebalance").write.mode("overwrite").parquet(f"{path}/changes-{batch_id}")
+            past = _past(known, batch_id, path)
+            first, last = span.select(F.col("first") - ago).scalar(), span.select("last").scalar()
+            seen = past.filter((F.col(TIME) > first) & (F.col(TIME) <= last))
+            seen = seen.join(known.select(IP).distinct(), IP, "left_semi").groupBy(IP, TIME).agg(F.sum("n").alias("n"))
+            sink(with_rolling_count(kept, seen, f"{look_back} seconds", cells), batch_id)
+            if (batch_id + 1) % merge_every == 0:
+                _merge(past, batch_id, path, look_back + lateness)
         finally:
             kept.unpersist()
 
     return write
 
 
-def _seen(known: DataFrame, batch_id: int, path: str) -> DataFrame | None:
-    """The stored moments the orders of a batch can look back on, its own among them; None if it has none."""
-    whole = [T.StructField(name, T.LongType()) for name in ("n", "bucket", "batch_id")]
-    schema = T.StructType([known.schema[IP], known.schema[TIME], *whole])
-    table = known.sparkSession.read.schema(schema).option("basePath", path)
-    buckets = [row["bucket"] for row in known.select("bucket").distinct().take(LISTED + 1)]
-    if not buckets:
-        return None
-    if len(buckets) <= LISTED:
-        # Naming the folders spares listing the files of all others. The first may not exist.
-        named = sorted({b for own in buckets for b in (own - 1, own)})
-        seen = table.parquet(f"{path}/{{{','.join(f'bucket={b}' for b in named)}}}")
-    else:
-        wanted = known.select(F.explode(F.array(F.col("bucket") - 1, F.col("bucket"))).alias("bucket")).distinct()
-        seen = table.parquet(path).join(wanted, "bucket", "left_semi")
-    return seen.filter(F.col("batch_id") <= batch_id)
-
-
-def forget_before(spark: SparkSession, path: str, time: datetime, look_back: int = 600) -> int:
-    """Removes the state that no order at `time` or later can look back on; returns the buckets removed.
-
-    `time` has a zone. To be run now and then, with a time before any order still expected.
-    """
-    oldest = math.floor(time.timestamp() / look_back) - 1
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    removed = 0
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("bucket=") and int(name.removeprefix("bucket=")) < oldest:
-            removed += files.delete(status.getPath(), True)
-    return removed
+def _past(known: DataFrame, batch_id: int, path: str) -> DataFrame:
+    """The stored moments up to a batch: the newest merged folder before it and the changes since, its own too."""
+    spark = known.sparkSession
+    merged = [n for n in finished(spark, path, "merged-") if n < batch_id]
+    changes = [n for n in finished(spark, path, "changes-") if (merged[-1] if merged else -1) < n <= batch_id]
+    folders = [f"{path}/merged-{n}" for n in merged[-1:]] + [f"{path}/changes-{n}" for n in changes]
+    return spark.read.schema(T.StructType([known.schema[IP], known.schema[TIME], T.StructField("n", T.LongType())])).parquet(*folders)
+
+
+def _merge(past: DataFrame, batch_id: int, path: str, kept_seconds: int) -> None:
+    """Writes the past as one folder, and removes what the merged folder before this one stood for."""
+    spark = past.sparkSession
+    oldest = past.agg((F.max(TIME) - F.expr(f"INTERVAL {kept_seconds * MICROS} MICROSECONDS")).alias("t")).scalar()
+    rows = past.filter(F.col(TIME) > oldest).groupBy(IP, TIME).agg(F.sum("n").alias("n"))
+    rows.hint("rebalance").sortWithinPartitions(IP, TIME).write.mode("overwrite").parquet(f"{path}/merged-{batch_id}")
+    before = [n for n in finished(spark, path, "merged-") if n < batch_id]
+    if before:
+        for number in finished(spark, path, "changes-"):
+            if number <= before[-1]:
+                remove(spark, f"{path}/changes-{number}")
+        for number in before[:-1]:
+            remove(spark, f"{path}/merged-{number}")

@@ -12,6 +12,7 @@ from orderwatch.functions.scalars import money_text
 from orderwatch.operators.rolling import order_verdict
 from orderwatch.operators.windows import product_lists, suspicious_ip_products
 from orderwatch.schemas import with_captions
+from orderwatch.streaming.folders import finished, remove
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -36,8 +37,23 @@ def adaptively(sink: Sink) -> Sink:
     return write
 
 
+def both(*sinks: Sink) -> Sink:
+    """Hands every batch to each of the sinks in turn, computing it once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            for sink in sinks:
+                sink(kept, batch_id)
+        finally:
+            kept.unpersist()
+
+    return write
+
+
 def changelog(path: str) -> Sink:
-    """Keeps every batch under its own folder, which a repeated batch replaces: no duplicates after a restart.
+    """Keeps every batch that has rows under its own folder, which a repeated batch replaces: no duplicates after a
+    restart. The first batch is kept also without rows, so that there is something to read.
 
     The rows are rebalanced first: a batch would otherwise leave one small file per state partition.
     """
@@ -45,11 +61,12 @@ def changelog(path: str) -> Sink:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return write
+    whole = skip_empty(write)
+    return lambda batch, batch_id: (whole if batch_id else write)(batch, batch_id)
 
 
 def read_changelog(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows ever handed on, with the batch they came in. A window appears once per change."""
+    """All rows handed on and not compacted yet, with the batch they came in. A window appears once per change."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(with_batch).parquet(path)
 
@@ -60,27 +77,79 @@ def latest(changes: DataFrame, keys: list[str]) -> DataFrame:
     A key occurs once per batch at most, so the columns may be taken one by one; that keeps the
     aggregate on hashed fixed-width buffers.
     """
+    return _newest(changes, keys).drop("batch_id")
+
+
+def _newest(changes: DataFrame, keys: list[str]) -> DataFrame:
     values = [name for name in changes.columns if name not in (*keys, "batch_id")]
-    newest = changes.groupBy(*keys).agg(*[F.max_by(name, "batch_id").alias(name) for name in values])
-    return newest.select(*[name for name in changes.columns if name != "batch_id"])
+    newest = [F.max_by(name, "batch_id").alias(name) for name in values]
+    return changes.groupBy(*keys).agg(*newest, F.max("batch_id").alias("batch_id")).select(*changes.columns)
+
+
+def _compacted(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame | None, int]:
+    """The compacted rows with their `batch_id` and `day`, and the batch they reach; None and -1 before any."""
+    marks = finished(spark, f"{path}-latest", "upto=")
+    if not marks:
+        return None, -1
+    extra = [T.StructField("batch_id", T.LongType()), T.StructField("day", T.DateType())]
+    rows = spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(f"{path}-latest/rows")
+    # Rows of a run that broke off before its marker are still in the change log.
+    return rows.filter(F.col("batch_id") <= marks[-1]), marks[-1]
+
+
+def _changes_after(spark: SparkSession, path: str, schema: T.StructType, batch: int, time: str) -> DataFrame:
+    folders = [f"{path}/batch_id={n}" for n in finished(spark, path, "batch_id=") if n > batch]
+    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    reader = spark.read.schema(with_batch).option("basePath", path)
+    changes = reader.parquet(*folders) if folders else spark.createDataFrame([], with_batch)
+    return changes.withColumn("day", F.to_date(time))
 
 
-def compact_latest(
-    changes: DataFrame, keys: list[str], time: str, path: str, since: str | None = None
-) -> None:
-    """Writes the latest view into one folder per day of `time`, replacing the days it covers.
+def read_latest(
+    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], time: str, since: str = "", until: str = ""
+) -> DataFrame:
+    """The newest row of each key, or all rows without keys: what is compacted, and the changes after that.
 
-    Without keys, for rows that never change, all rows are kept. With `since`, a date, only the changes
-    to windows from that day on are read and replaced.
+    `since` and `until` are days; only those are read, and only those of the result are whole. The column `day`
+    stays, for further pruning.
     """
+    compacted, upto = _compacted(spark, path, schema)
+    rows = _changes_after(spark, path, schema, upto, time)
+    rows = rows if compacted is None else rows.unionByName(compacted)
     if since:
-        kind = changes.schema[time].dataType
-        changes = changes.filter(F.col(time) >= F.lit(since).cast(kind))
-    days = changes.withColumn("day", F.to_date(time))
-    rows = latest(days, [*keys, "day"]) if keys else days.drop("batch_id")
-    # The rebalance hint splits large days and joins small ones, so files come out even.
-    written = rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    written.partitionBy("day").parquet(path)
+        rows = rows.filter(F.col("day") >= F.to_date(F.lit(since)))
+    if until:
+        rows = rows.filter(F.col("day") <= F.to_date(F.lit(until)))
+    return (_newest(rows, [*keys, "day"]) if keys else rows).drop("batch_id")
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], time: str) -> int:
+    """Works the finished batches of a change log into its latest view, by day of `time`, and removes them.
+
+    Only days that changed are read and written again. The view remembers which batch it reaches in a marker
+    written last; a run that broke off before that is done again with the same result, as rows carry their batch.
+    To be run between batches, or with the last `batch_id` still to be repeated left alone by the caller.
+    Returns the batch the view reaches.
+    """
+    compacted, upto = _compacted(spark, path, schema)
+    batches = [n for n in finished(spark, path, "batch_id=") if n > upto]
+    if batches:
+        changes = _changes_after(spark, path, schema, upto, time)
+        if compacted is not None:
+            days = changes.select("day").distinct()
+            changes = changes.unionByName(compacted.join(days, "day", "left_semi"))
+        rows = _newest(changes, [*keys, "day"]) if keys else changes
+        # The rebalance hint splits large days and joins small ones, so files come out even.
+        written = rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        written.partitionBy("day").parquet(f"{path}-latest/rows")
+        upto = batches[-1]
+        spark.range(0).write.mode("overwrite").parquet(f"{path}-latest/upto={upto}")
+        for mark in finished(spark, f"{path}-latest", "upto=")[:-1]:
+            remove(spark, f"{path}-latest/upto={mark}")
+    for number in finished(spark, path, "batch_id="):
+        if number <= upto:
+            remove(spark, f"{path}/batch_id={number}")
+    return upto
 
 
 def jdbc_append(url: str, table: str, properties: dict[str, str], with_batch_id: bool = False) -> Sink:
@@ -157,7 +226,7 @@ def report(
                 return
             lines = [f"{title} (batch {batch_id})", _table(shown.columns, rows[:k])]
             if counted:
-                lines.append(f"{kept.count()} rows")
+                lines.append(f"{shown.count()} rows")
             elif len(rows) > k:
                 lines.append(f"first {k} rows")
             out("\n".join(lines))
@@ -169,7 +238,10 @@ def report(
 
 
 def verdict_report(k: int = 20, normal: bool = False, out: Callable[[str], None] = print) -> Sink:
-    """Prints the judged orders of each batch, the most recent counts first; normal ones only if asked for."""
+    """Prints the first k judged orders of each batch, the most recent counts first, and how many there were.
+
+    Normal ones only if asked for. An extra beside a sink that keeps every verdict.
+    """
 
     def shown(batch: DataFrame) -> DataFrame:
         rows = batch if normal else batch.filter(F.col("verdict") != "normal")
@@ -183,22 +255,22 @@ def verdict_report(k: int = 20, normal: bool = False, out: Callable[[str], None]
             money_text(F.col("total_price")).alias("total_price"),
         )
 
-    return report("Orders by verdict", k, order=shown, out=out)
+    return report("Orders by verdict", k, order=shown, counted=True, out=out)
 
 
 def suspicious_report(
     title: str,
     k: int = 20,
     limit: int = 10,
-    part_size: int = 1000,
     empty: str | None = None,
     out: Callable[[str], None] = print,
 ) -> Sink:
     """Prints, of batches of `ip_products`, the addresses with at least `limit` orders and what they bought."""
 
     def lists(batch: DataFrame) -> DataFrame:
-        rows = product_lists(suspicious_ip_products(batch, limit), part_size)
-        rows = rows.orderBy("window_start", "ip_address", "part")
-        return with_captions(rows.withColumn("total_spent", money_text(F.col("total_spent"))), "suspicious_ips")
+        rows = product_lists(suspicious_ip_products(batch, limit)).orderBy("window_start", "ip_address")
+        bought = F.transform("products", lambda run: F.concat(run["product_name"], F.lit(" x"), run["copies"]))
+        shown = rows.withColumns({"total_spent": money_text(F.col("total_spent")), "products": bought})
+        return with_captions(shown, "suspicious_ips")
 
     return report(title, k, order=lists, empty=empty, out=out)

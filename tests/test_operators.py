@@ -38,9 +38,9 @@ def brute_rolling(rows, look_back, ties):
             continue
         inside = [r for r in rows if r[2] == ip and r[1] is not None and t - look_back < r[1] <= t]
         if ties == "arrival":
-            inside = [r for r in inside if (r[1], r[0]) <= (t, i)]
+            inside = [r for r in inside if (r[1], r[0] is not None, r[0] or "") <= (t, i is not None, i or "")]
         counts.append((i, len(inside)))
-    return sorted(counts)
+    return sorted(counts, key=str)
 
 
 MOMENTS = [0, 60, 300, 600, 601, 1200, 1500, 1800, 2400]
@@ -54,19 +54,25 @@ ORDERS = st.lists(
     ORDERS,
     st.sampled_from(["peers", "arrival"]),
     st.sampled_from([1, 6, 10, 600]),
-    st.sampled_from([1, 3, 16]),
+    st.sampled_from([1, 3, 10_000]),
+    st.sets(st.integers(0, 59)),
 )
-def test_rolling_equals_brute_force(spark, moments, ties, cells, prefix):
-    rows = [(f"o{n:03d}", t, ip, "p", 1) for n, (t, ip) in enumerate(moments)]
-    found = rolling.rolling_ip_count(feed(spark, rows), "600 seconds", ties, cells, prefix)
-    assert sorted((r.order_id, r.recent_orders) for r in found.collect()) == brute_rolling(rows, 600, ties)
+def test_rolling_equals_brute_force(spark, moments, ties, cells, crowd, nameless):
+    rows = [(None if n in nameless else f"o{n:03d}", t, ip, "p", 1) for n, (t, ip) in enumerate(moments)]
+    found = rolling.rolling_ip_count(feed(spark, rows), "600 seconds", ties, cells, crowd)
+    assert sorted(((r.order_id, r.recent_orders) for r in found.collect()), key=str) == brute_rolling(rows, 600, ties)
 
 
-def test_rolling_ranks_ties_over_many_id_blocks(spark):
-    """One address, one time, number ids far apart: each block of ids is ranked on its own."""
-    rows = [(n * 40_000, 5, "hot", "p", 1) for n in range(50)] + [(1, 4, "hot", "p", 1)]
-    found = rolling.rolling_ip_count(feed(spark, rows, "BIGINT"), ties="arrival")
-    assert sorted((r.order_id, r.recent_orders) for r in found.collect()) == brute_rolling(rows, 600, "arrival")
+def test_rolling_ranks_a_crowd_in_pieces(spark):
+    """One address, one time, ids with a long constant head, and numbers far apart."""
+    for ids, kind in (([f"{'head' * 9}{n:05d}" for n in range(900)], "STRING"), ([n * 40_000 for n in range(900)], "BIGINT")):
+        rows = [(i, 5, "hot", "p", 1) for i in ids] + [(ids[0], 4, "hot", "p", 1)]
+        df = feed(spark, rows, kind)
+        found = rolling.rolling_ip_count(df, ties="arrival", crowd=100)
+        assert sorted(r.recent_orders for r in found.filter("timestamp > '2025-01-01 00:00:04'").collect()) == list(range(2, 902))
+        moments = df.groupBy("ip_address", "timestamp").agg(F.count("*").alias("n"))
+        placed = rolling._places(df, moments, 100)
+        assert sorted(r.place for r in placed.filter("n > 1").collect()) == list(range(1, 901))
 
 
 def test_rolling_counts_copies(spark):
@@ -149,26 +155,30 @@ def test_orders_without_time_fall_into_no_window(spark):
     assert windows.realtime_stats(feed(spark, rows)).first().total_orders == 1
 
 
-def test_product_lists_come_in_bounded_parts(spark):
-    """A hot address: no part is larger than asked for, and together they are the whole list."""
+def test_an_alert_is_one_row_with_all_its_products(spark):
     names = [f"p{n % 5}" if n % 3 else "hit" for n in range(400)]
     rows = [(str(n), n % 60, "hot", name, 10) for n, name in enumerate(names)]
     rows += [(f"n{n}", n, "calm", "p0", 10) for n in range(9)] + [("u", 3, "hot", None, 10)]
+    rows += [(f"x{n}", 3, None, "p0", 10) for n in range(30)]
     bought = windows.suspicious_ip_products(windows.ip_products(feed(spark, rows)))
-    parts = sorted(windows.product_lists(bought, part_size=7).collect(), key=lambda r: r.part)
-    assert {r.ip_address for r in parts} == {"hot"} and {r.order_count for r in parts} == {401}
-    assert [r.part for r in parts] == list(range(len(parts)))
-    assert [len(r.products) for r in parts] == [7] * 57 + [1]
-    assert [name for r in parts for name in r.products] == sorted(names)
-    whole = windows.suspicious_ips(feed(spark, rows), products=True).collect()
-    assert [(r.part, r.products) for r in whole] == [(0, sorted(names))]
+    for alerts in (windows.product_lists(bought), windows.suspicious_ips(feed(spark, rows), products=True)):
+        (alert,) = alerts.collect()
+        assert (alert.ip_address, alert.order_count, alert.total_spent) == ("hot", 401, 4010)
+        assert [tuple(run) for run in alert.products] == sorted(Counter(names).items())
+
+
+def test_the_limit_comes_before_the_products(spark, tmp_path):
+    feed(spark, [(str(n), n, "x", "p", 1) for n in range(10)]).write.parquet(str(tmp_path / "orders"))
+    rows = windows.suspicious_ips(spark.read.parquet(str(tmp_path / "orders")), products=True)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window " not in plan.replace("Window [window", "") and plan.index("Join") < plan.index("orders#")
+    assert [(r.order_count, [tuple(p) for p in r.products]) for r in rows.collect()] == [(10, [("p", 10)])]
 
 
 def test_address_with_unnamed_products_only_has_an_empty_list(spark):
     rows = [(str(n), n, "x", None, 1) for n in range(10)]
-    for size in (1, 1000):
-        bought = windows.suspicious_ip_products(windows.ip_products(feed(spark, rows)))
-        assert [(r.order_count, r.products) for r in windows.product_lists(bought, size).collect()] == [(10, [])]
+    bought = windows.suspicious_ip_products(windows.ip_products(feed(spark, rows)))
+    assert [(r.order_count, r.products) for r in windows.product_lists(bought).collect()] == [(10, [])]
 
 
 def test_stats_average_is_exact_and_cut(spark):
@@ -195,7 +205,11 @@ def test_top_per_window_and_overall(spark):
 
 
 SAMPLES = st.lists(
-    st.tuples(st.sampled_from(["h1", "h2", None]), st.integers(0, 20_000), st.integers(0, 99)), min_size=1, max_size=40
+    st.tuples(
+        st.sampled_from(["h1", "h2", None]), st.one_of(st.none(), st.integers(0, 20_000)), st.integers(0, 99)
+    ),
+    min_size=1,
+    max_size=40,
 )
 
 
@@ -207,7 +221,8 @@ def test_running_values_equal_brute_force(spark, samples, block):
     totals = running_total(df, "v", "time", "total", ["host"], ["id"], block=block)
     both = with_previous(totals, ["v", "total"], ["time", "id"], ["host"], block=block)
     found = {r.id: (r.total, tuple(r.previous) if r.previous else None) for r in both.collect()}
-    expected = {}
+    expected = {n: (None, None) for n, _, t, _ in rows if t is None}
+    rows = [r for r in rows if r[2] is not None]
     for host in {r[1] for r in rows}:
         total, before = 0, None
         for n, _, _, v in sorted((r for r in rows if r[1] == host), key=lambda r: (r[2], r[0])):
@@ -218,15 +233,15 @@ def test_running_values_equal_brute_force(spark, samples, block):
 
 
 def test_counter_delta_of_one_series(spark):
-    rows = [(at(0), 0), (at(6), 3 * 1024 * 1024), (at(9000), 5 * 1024 * 1024)]
+    rows = [(at(0), 0), (at(6), 3 * 1024 * 1024), (None, 4 * 1024 * 1024), (at(9000), 5 * 1024 * 1024)]
     df = spark.createDataFrame(rows, "timestamp TIMESTAMP_NTZ, written BIGINT")
     found = metrics.counter_delta(df, ["written"], ["timestamp"]).orderBy("timestamp").collect()
-    assert [r.written_delta_mb for r in found] == [None, 3.0, 2.0]
+    assert [(r.timestamp, r.written_delta_mb) for r in found] == [(None, None), (at(0), None), (at(6), 3.0), (at(9000), 2.0)]
 
 
 def test_throughput(spark):
     rows = [(str(n), t, "x", "p", 1) for n, t in enumerate([0, 0, 1, 86_400 * 2])]
-    found = windows.throughput(feed(spark, rows)).orderBy("window_start").collect()
+    found = windows.throughput(feed(spark, rows), block=["1 day", "1 hour"]).orderBy("window_start").collect()
     assert [(r.sent, r.total_sent) for r in found] == [(2, 2), (1, 3), (1, 4)]
     assert [r.avg_rate for r in found] == [2.0, 1.5, pytest.approx(4 / 172_801)]
 

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderwatch.functions.scalars import wall_time, with_total_price
 from orderwatch.plans import dashboard
-from orderwatch.plans.views import register_views
+from orderwatch.plans.views import compact_tables, latest_table, register_views
 from orderwatch.schemas import HIGH_VALUE_ORDERS, ORDER_MESSAGE, OUTPUT_TABLES, REALTIME_STATS
-from orderwatch.sources.codec import decode_orders, encode_orders, split_bad_records
+from orderwatch.sources.codec import decode_orders, encode_orders, publish_orders, split_bad_records
 from orderwatch.sources.orders import read_metrics_csv, read_orders
 from orderwatch.streaming import sinks
 from orderwatch.streaming.jobs import checkpoint_root
@@ -119,9 +119,61 @@ def test_metrics_csv(spark, tmp_path):
     assert rows.first().memory_used_mb == 5000.25
 
 
-def test_wall_time_does_not_depend_on_the_session(spark):
-    shown = spark.range(1).select(wall_time(F.lit("2025-12-31 09:23:59").cast("timestamp_ntz"), "Asia/Seoul"))
-    assert shown.first()[0] == datetime(2025, 12, 31, 18, 23, 59)
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Seoul", "America/New_York"])
+def test_wall_time_does_not_depend_on_the_session(spark, zone):
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", zone)
+    times = session.sql("SELECT timestamp'2025-12-31T09:23:59.5Z' AS instant, timestamp_ntz'2025-12-31 09:23:59.5' AS plain")
+    shown = times.select(wall_time(F.col("instant"), "Asia/Seoul"), wall_time(F.col("plain"), "Asia/Seoul"))
+    assert tuple(shown.first()) == (datetime(2025, 12, 31, 18, 23, 59, 500_000),) * 2
+    autumn = session.sql("SELECT timestamp'2024-11-03T05:30:00Z' AS t UNION ALL SELECT timestamp'2024-11-03T06:30:00Z'")
+    assert {r[0] for r in autumn.select(wall_time(F.col("t"), "Asia/Seoul")).collect()} == {
+        datetime(2024, 11, 3, 14, 30),
+        datetime(2024, 11, 3, 15, 30),
+    }
+
+
+class Topic:
+    """Stands in for a frame's writer and keeps what it is asked for."""
+
+    def __init__(self, asked):
+        self.asked = asked
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **options):
+        self.asked.update(options)
+        return self
+
+    def option(self, name, value):
+        self.asked[name] = value
+        return self
+
+    def save(self):
+        self.asked["done"] = "save"
+
+    def start(self):
+        self.asked["done"] = "start"
+
+
+def test_publishing_options(spark, monkeypatch):
+    """No topic here: the options handed to Spark's writers are what is checked."""
+    asked = {}
+    kind = type(spark.range(0))
+    monkeypatch.setattr(kind, "write", property(lambda self: Topic(asked)))
+    monkeypatch.setattr(kind, "writeStream", property(lambda self: Topic(asked)))
+    options = {"kafka.bootstrap.servers": "broker:9092", "topic": "orders", "kafka.linger.ms": "5"}
+    batch = spark.createDataFrame([], ", ".join(f"{name} STRING" for name in ORDER_MESSAGE.fieldNames()))
+    publish_orders(batch, options)
+    assert asked == {"format": "kafka", "done": "save", **options}
+    asked.clear()
+    stream = spark.readStream.format("rate").load().select(*[F.lit("x").alias(n) for n in ORDER_MESSAGE.fieldNames()])
+    publish_orders(stream, options, "/shared/c")
+    assert asked == {"format": "kafka", "done": "start", "checkpointLocation": "/shared/c", **options}
+    with pytest.raises(ValueError, match="checkpoint"):
+        publish_orders(stream, options)
 
 
 def test_jdbc_append_passes_the_batch_on(spark, monkeypatch):
@@ -163,18 +215,69 @@ def test_report_prints_rows_or_nothing(spark):
     assert lines[2:] == ["Names (batch 7): none"]
 
 
-def test_latest_takes_the_newest_batch_and_compaction_replaces_days(spark, tmp_path):
+def test_latest_takes_the_newest_batch(spark):
     schema = "window_start TIMESTAMP, k STRING, v INT, batch_id BIGINT"
     one, two = datetime(2025, 1, 1, 5), datetime(2025, 1, 2, 5)
     changes = spark.createDataFrame(
         [(one, "a", 1, 0), (one, "a", 2, 9), (one, "a", 3, 10), (two, "b", 4, 1), (two, "b", None, 2)], schema
     )
     assert sorted((r.k, r.v) for r in sinks.latest(changes, ["window_start", "k"]).collect()) == [("a", 3), ("b", None)]
-    path = str(tmp_path / "latest")
-    sinks.compact_latest(changes, ["window_start", "k"], "window_start", path)
-    newer = changes.unionByName(spark.createDataFrame([(one, "a", 99, 20), (two, "b", 7, 20)], schema))
-    sinks.compact_latest(newer, ["window_start", "k"], "window_start", path, since="2025-01-02")
-    assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == [("a", 3), ("b", 7)]
+
+
+def test_changelog_leaves_out_empty_batches(spark, tmp_path):
+    rows, log = spark.createDataFrame([(1,)], "v INT"), sinks.changelog(str(tmp_path))
+    for batch_id, batch in enumerate([rows.limit(0), rows, rows.limit(0), rows]):
+        log(batch, batch_id)
+    assert sorted(p.name for p in tmp_path.glob("batch_id=*")) == ["batch_id=0", "batch_id=1", "batch_id=3"]
+
+
+STATS_KEYS = (["stat_time"], "stat_time")
+
+
+def stats_view(spark, path):
+    rows = sinks.read_latest(spark, path, REALTIME_STATS, *STATS_KEYS)
+    return sorted((r.stat_time.day, r.total_orders) for r in rows.collect())
+
+
+def test_compaction_keeps_the_view_and_empties_the_log(spark, tmp_path):
+    path = str(tmp_path / "stats")
+    log = sinks.changelog(path)
+    row = lambda day, n: (datetime(2025, 1, day), n, 10 * n, 10, 0)
+    batches = [[row(1, 1), row(2, 1)], [row(2, 2)], [], [row(1, 5), row(3, 1)], [row(3, 2)]]
+    expected = {}
+    for batch_id, rows in enumerate(batches):
+        log(spark.createDataFrame(rows, REALTIME_STATS), batch_id)
+        expected |= {r[0].day: r[1] for r in rows}
+        assert stats_view(spark, path) == sorted(expected.items())
+        if batch_id in (1, 3):
+            assert sinks.compact(spark, path, REALTIME_STATS, *STATS_KEYS) == batch_id
+            assert not list((tmp_path / "stats").glob("batch_id=*"))
+            assert stats_view(spark, path) == sorted(expected.items())
+    # A batch that was compacted already and comes again changes nothing.
+    log(spark.createDataFrame(batches[3], REALTIME_STATS), 3)
+    assert stats_view(spark, path) == sorted(expected.items())
+    assert sinks.compact(spark, path, REALTIME_STATS, *STATS_KEYS) == 4
+    assert sinks.compact(spark, path, REALTIME_STATS, *STATS_KEYS) == 4
+    assert stats_view(spark, path) == sorted(expected.items())
+
+
+@pytest.mark.parametrize("keys", [["stat_time"], []])
+def test_a_compaction_that_broke_off_is_done_again(spark, tmp_path, monkeypatch, keys):
+    path = str(tmp_path / "stats")
+    log = sinks.changelog(path)
+    for batch_id in range(2):
+        log(spark.createDataFrame([(datetime(2025, 1, 1 + batch_id), 1, 10, 10, 0)], REALTIME_STATS), batch_id)
+        if not batch_id:
+            sinks.compact(spark, path, REALTIME_STATS, keys, "stat_time")
+    marker = spark.range
+    monkeypatch.setattr(type(spark), "range", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        sinks.compact(spark, path, REALTIME_STATS, keys, "stat_time")
+    monkeypatch.undo()
+    assert marker is not None
+    for _ in range(2):
+        assert sinks.read_latest(spark, path, REALTIME_STATS, keys, "stat_time").count() == 2
+        assert sinks.compact(spark, path, REALTIME_STATS, keys, "stat_time") == 1
 
 
 def test_dashboard_ranges_are_half_open(spark):
@@ -230,10 +333,12 @@ def test_views_over_the_change_logs(spark, tmp_path):
 
 
 def test_dashboard_reads_only_the_days_it_shows(spark, tmp_path):
-    rows = [(datetime(2025, 1, d), 1, 10, 10, 0, 0) for d in range(1, 9)]
-    changes = spark.createDataFrame(rows, T.StructType([*REALTIME_STATS.fields, T.StructField("batch_id", T.LongType())]))
-    sinks.compact_latest(changes, ["stat_time"], "stat_time", str(tmp_path / "stats"))
-    series = dashboard.order_series(spark.read.parquet(str(tmp_path / "stats")), "2025-01-02", "2025-01-04")
+    path = str(tmp_path / "realtime_stats")
+    rows = [(datetime(2025, 1, d), 1, 10, 10, 0) for d in range(1, 9)]
+    sinks.changelog(path)(spark.createDataFrame(rows, REALTIME_STATS), 0)
+    compact_tables(spark, str(tmp_path))
+    shown = latest_table(spark, str(tmp_path), "realtime_stats", "2025-01-02", "2025-01-04")
+    series = dashboard.order_series(shown, "2025-01-02", "2025-01-04")
     assert [r.stat_time.day for r in series.collect()] == [2, 3]
-    scan = next(line for line in series._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
-    assert "PartitionFilters: [isnotnull(day" in scan
+    plan = series._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"FileScan[^\n]*PartitionFilters: \[[^\]]*day", plan)

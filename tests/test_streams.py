@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 import pytest
 from feed import EPOCH, order_json, write_batch, write_trace
 from pyspark.sql import functions as F
@@ -13,12 +11,14 @@ from orderwatch.functions.scalars import with_total_price
 from orderwatch.operators.ranking import sort_desc
 from orderwatch.operators.rolling import rolling_ip_count
 from orderwatch.operators.windows import popular_products, realtime_stats
+from orderwatch.plans.views import latest_table
 from orderwatch.schemas import OUTPUT_TABLES
 from orderwatch.sources.codec import decode_orders, observe_bad_records
 from orderwatch.sources.orders import read_orders
-from orderwatch.streaming.jobs import await_any, late_rows, run_alerts, run_reports, run_tables, start
-from orderwatch.streaming.sinks import changelog, judged, latest, read_changelog, verdict_report
-from orderwatch.streaming.rolling import forget_before, rolling_ip_count_stream
+from orderwatch.streaming import rolling
+from orderwatch.streaming.jobs import await_any, run_alerts, run_reports, run_tables, start, watch_late_rows
+from orderwatch.streaming.rolling import rolling_ip_count_stream
+from orderwatch.streaming.sinks import both, changelog, judged, latest, read_changelog, verdict_report
 
 
 def orders(spark, folder, streaming=True):
@@ -110,7 +110,7 @@ def test_rolling_count_of_the_trace(spark, trace, tmp_path):
     sink = rolling_ip_count_stream(str(tmp_path / "moments"), keep, look_back=60, cells=3)
     run(orders(spark, trace), "append", tmp_path, sink=sink)
     assert seen == ROLLING
-    # Orders that are far apart read only the folders of their own buckets and those before.
+    # Orders that are far apart are counted where they belong.
     far = orders(spark, trace, streaming=False).filter("order_id = 'c0'")
     ancient = far.withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 30 DAYS"))
     seen.clear()
@@ -125,17 +125,34 @@ def test_rolling_count_of_the_trace(spark, trace, tmp_path):
     assert seen[3] == ROLLING[3]
 
 
-def test_forgetting_keeps_what_orders_look_back_on(spark, tmp_path):
-    write_batch(tmp_path / "in", 0, [order_json(f"o{t}", t, "p", 10, "x") for t in (0, 60, 119, 120, 179)])
-    feed, seen = orders(spark, tmp_path / "in", streaming=False), []
-    sink = rolling_ip_count_stream(str(tmp_path / "m"), lambda df, i: seen.append(df.collect()), look_back=60)
-    sink(feed, 0)
-    assert forget_before(spark, str(tmp_path / "m"), EPOCH + timedelta(seconds=130), look_back=60) == 1
-    assert sorted(p.name for p in (tmp_path / "m").glob("bucket=*")) == [
-        f"bucket={int(EPOCH.timestamp()) // 60 + n}" for n in (1, 2)
-    ]
-    sink(feed.filter("order_id = 'o120'").withColumn("order_id", F.lit("again")), 1)
-    assert [r.recent_orders for r in seen[1]] == [3]
+def test_work_and_state_stay_bounded(spark, tmp_path, monkeypatch):
+    """Forty batches at one rate: as many files and rows are read in the last as in the tenth, and old ones are gone."""
+    folder, read, seen = tmp_path / "m", [], {}
+    past = rolling._past
+
+    def measured(known, batch_id, path):
+        table = past(known, batch_id, path)
+        read.append((len(table.inputFiles()), table.count()))
+        return table
+
+    monkeypatch.setattr(rolling, "_past", measured)
+    sink = rolling_ip_count_stream(
+        str(folder), lambda df, i: seen.update({i: df.collect()}), look_back=60, lateness=30, merge_every=5, cells=3
+    )
+    start_of = "timestamp'2025-01-01T00:00:00Z' + make_dt_interval(0, 0, 0, id)"
+    for number in range(40):
+        seconds_of = spark.range(number * 20, number * 20 + 20, numPartitions=1)
+        batch = seconds_of.selectExpr("CAST(id AS STRING) AS order_id", f"{start_of} AS timestamp", "CAST(id % 2 AS STRING) AS ip_address")
+        sink(batch, number)
+    assert all(row.recent_orders == min(int(row.order_id) // 2 + 1, 30) for rows in seen.values() for row in rows)
+    assert max(files for files, _ in read[10:20]) == max(files for files, _ in read[30:]) <= 12
+    assert max(rows for _, rows in read[10:20]) == max(rows for _, rows in read[30:]) <= 300
+    assert len(list(folder.glob("changes-*"))) <= 11 and len(list(folder.glob("merged-*"))) == 2
+    # A batch that comes again after the merge that followed it finds the same past.
+    again = spark.range(39 * 20, 40 * 20).selectExpr("CAST(id AS STRING) AS order_id", f"{start_of} AS timestamp", "CAST(id % 2 AS STRING) AS ip_address")
+    expected = sorted(seen[39])
+    sink(again, 39)
+    assert sorted(seen[39]) == expected
 
 
 def many_orders(folder, files=4):
@@ -149,9 +166,8 @@ def many_orders(folder, files=4):
         write_batch(folder, number, lines[number * step : (number + 1) * step])
 
 
-@pytest.mark.parametrize("listed", [500, 0])
-def test_rolling_stream_equals_batch(spark, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr("orderwatch.streaming.rolling.LISTED", listed)
+@pytest.mark.parametrize("merge_every", [1, 2, 16])
+def test_rolling_stream_equals_batch(spark, tmp_path, merge_every):
     many_orders(tmp_path / "in")
     expected = rolling_ip_count(orders(spark, tmp_path / "in", False), "60 seconds", cells=3)
     found = {}
@@ -161,7 +177,7 @@ def test_rolling_stream_equals_batch(spark, tmp_path, monkeypatch, listed):
             assert row["order_id"] not in found
             found[row["order_id"]] = tuple(row)
 
-    run(orders(spark, tmp_path / "in"), "append", tmp_path, sink=rolling_ip_count_stream(str(tmp_path / "m"), keep, 60))
+    run(orders(spark, tmp_path / "in"), "append", tmp_path, sink=rolling_ip_count_stream(str(tmp_path / "m"), keep, 60, merge_every=merge_every))
     assert found == {row["order_id"]: tuple(row) for row in expected.collect()}
 
 
@@ -203,9 +219,12 @@ def test_late_orders_are_dropped_and_counted(spark, tmp_path):
     for number, second in enumerate([1, 200, 300, 2]):
         write_batch(folder, number, [order_json(f"o{number}", second, "p", 10, "x")])
     plan = popular_products(orders(spark, folder))
+    late = watch_late_rows(spark)
     query = start("late", plan, "update", lambda df, i: df.count(), str(tmp_path / "c"), "once")
     query.awaitTermination()
-    assert late_rows(query) == 1
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    spark.streams.removeListener(late)
+    assert late.dropped["late"] == 1
 
 
 def test_bad_messages_are_counted_on_the_way(spark, tmp_path):
@@ -240,7 +259,7 @@ def test_tables_and_reports_fan_out(spark, tmp_path):
     assert read["realtime_stats"].agg(F.sum("total_orders")).first()[0] == 71
     text = "\n".join(lines)
     assert "Popular products, top 5 (batch 0)" in text and "150,000,000" in text
-    assert "laptop, laptop" in text and "no suspicious address" in text
+    assert "laptop x20" in text and "no suspicious address" in text
     assert "20 rows" in text
 
 
@@ -278,6 +297,19 @@ def test_alerts_judge_every_order(spark, tmp_path):
     rows = spark.read.parquet(path).drop("verdict")
     sink(rows, 5)
     assert lines[0].count("macro") == 3 and "high_value" in lines[0] and "normal" not in lines[0]
+    assert lines[0].endswith("4 rows")
+
+
+def test_no_verdict_is_lost(spark, tmp_path):
+    """Fifty macro orders in one batch: the print shows some and says how many, the sink has all."""
+    folder, path, lines = tmp_path / "in", str(tmp_path / "verdicts"), []
+    write_batch(folder, 0, [order_json(f"b{i:02d}", i, "mouse", 30_000, "bot") for i in range(59)])
+    sink = both(changelog(path), verdict_report(out=lines.append))
+    for query in run_alerts(orders(spark, folder), sink, str(tmp_path / "a"), trigger="once"):
+        query.awaitTermination()
+    assert spark.read.parquet(path).filter("verdict = 'macro'").count() == 50
+    assert spark.read.parquet(path).count() == 59
+    assert lines[0].count("macro") == 20 and lines[0].endswith("50 rows")
 
 
 def test_command_line_runs_a_job_to_its_end(spark, tmp_path, trace):
@@ -285,10 +317,17 @@ def test_command_line_runs_a_job_to_its_end(spark, tmp_path, trace):
     source = ["--format", "json", "--option", f"path={trace}", "--option", "maxFilesPerTrigger=1", "--trigger", "once"]
     main(["tables", *source, "--output", str(tmp_path / "out"), "--checkpoints", str(tmp_path / "c")])
     assert spark.read.parquet(str(tmp_path / "out" / "popular_products")).count() == 8
-    main(["alerts", *source, "--output", str(tmp_path / "out"), "--checkpoints", str(tmp_path / "d")])
-    assert spark.read.parquet(str(tmp_path / "out" / "verdicts")).count() == 8
-    with pytest.raises(SystemExit):
-        main(["tables", *source])
+    limits = ["--limit", "2", "--threshold", "900", "--look-back", "60"]
+    main(["alerts", *source, *limits, "--output", str(tmp_path / "out"), "--checkpoints", str(tmp_path / "d")])
+    verdicts = {r.order_id: r.verdict for r in spark.read.parquet(str(tmp_path / "out" / "verdicts")).collect()}
+    assert verdicts == {**dict.fromkeys(["a1", "b0", "b1", "d1"], "macro"), "d0": "high_value", **dict.fromkeys(["a0", "c0", "c1"], "normal")}
+    main(["compact", "--output", str(tmp_path / "out")])
+    main(["compact", "--output", str(tmp_path / "out")])
+    assert not list((tmp_path / "out" / "popular_products").glob("batch_id=*"))
+    assert latest_table(spark, str(tmp_path / "out"), "popular_products").count() == 6
+    for job in ("tables", "alerts", "compact"):
+        with pytest.raises(SystemExit):
+            main([job, *source])
 
 
 def test_sinks_may_adapt_and_leave_few_files(spark, tmp_path):
