@@ -112,7 +112,7 @@ class Scheme:
         """The key of each segment, the shingles in it, and the one-deletion keys of the segments set aside."""
         m = self.segments(band)
         mixed = _mix(found * _STEP + np.uint64(band))
-        segment = (mixed % np.uint64(m)).astype(np.int64)
+        segment = (mixed % np.uint64(m)).astype(np.uint16 if m < 1 << 16 else np.int64)  # short numbers sort fast
         order = np.argsort(segment, kind="stable")
         sizes = np.bincount(segment, minlength=m)
         with np.errstate(over="ignore"):
