@@ -38,7 +38,7 @@ class ChunkTokens:
     end; between other chunks stands a special string.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel work
         from tokenizers import Tokenizer
 
