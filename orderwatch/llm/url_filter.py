@@ -181,7 +181,7 @@ def judge_urls(
     """
     host, path = host_and_path(F.col(url_col).cast("string"))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    counts = cut(with_seeds(word_counts(F.col(text_col), pages), seeds))
+    counts = cut(with_seeds(cut(word_counts(F.col(text_col), pages)), seeds))
     hosts = cut(segmented_hosts(urls, counts))
     of_path = F.regexp_extract_all(F.lower("path"), F.lit("[a-z]+|[0-9]+"), F.lit(0))
     worded = urls.join(hosts, "host", "left").withColumn(
