@@ -34,6 +34,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
+    """`docs` without the rows whose id is a `doc_id` of `dropped`, null among them, whatever its columns are called."""
+    name = "dropped_id"
+    while name in docs.columns:
+        name += "_"
+    ids = dropped.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(ids, docs[id_col].eqNullSafe(ids[name]), "left_anti")
+
+
 class Memo(dict):
     """Results by key, computed when first asked for.
 

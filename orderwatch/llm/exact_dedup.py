@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwatch.llm.common import BLANKS, cut, text_or_empty
+from orderwatch.llm.common import BLANKS, cut, text_or_empty, without_ids
 
 #: Counters of a sketch, and with that the most winners that are broadcast. A digest with more than about
 #: 3.5 / TRACKED of all rows is never missed.
@@ -70,5 +70,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the copies, all columns as they were."""
-    dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped.distinct(), F.col(id_col).eqNullSafe(F.col("_dropped")), "left_anti")
+    return without_ids(docs, exact_groups(docs, id_col, text_col).filter(~F.col("kept")), id_col)

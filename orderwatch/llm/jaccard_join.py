@@ -7,9 +7,10 @@ over H, some segment agrees within its tolerance. The larger set of a pair looks
 below. It allots its tolerances by cost: segments with few shingles agree by chance and are left out first, paid
 for by one-deletion neighbourhoods in the segments set aside for them.
 
-Each agreement is a key. Sets that share a key form families, found from the least set of each key, which is
-combined before the shuffle. The members of a family are compared exactly, in tiles of bounded size; only edges
-that join what is not yet joined in a tile leave it.
+Each agreement is a key. Keys are first only counted, which is combined before the shuffle; the sets behind those
+that more than one set has are then looked up in a second pass over the texts. Sets that share a key form families.
+The members of a family are compared exactly, in tiles of bounded size; only edges that join what is not yet joined
+in a tile leave it.
 """
 
 from __future__ import annotations
@@ -19,21 +20,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderwatch.llm.common import cut, text_or_empty
+from orderwatch.llm.common import cut, text_or_empty, without_ids
 from orderwatch.llm.components import components
 
-BAND_RATIO = 1.3
+BAND_RATIO = 1.7
 #: Segments of a band that also have one-deletion neighbourhoods.
 SET_ASIDE = 2
 #: Shingles and sets of one tile; a comparison reads two tiles. A set is never cut.
 TILE = 2_000_000
 TILE_SETS = 1000
-#: Bits of the table of keys that lets the second pass over the texts hand on only what can match.
+#: Bits of the tables by which a pass over the texts hands on only what can matter. They spare work; what they let
+#: through by chance is sorted out by joins.
 SLOT_BITS = 23
+#: Rows worked on at a time.
+SLICE = 512
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -216,117 +221,90 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def set_table(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles and the two hashes of its set."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(text, k) for text in batch["text"]]
-            hashes = [set_hashes(found) for found in sets]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "n_shingles": [len(x) for x in sets],
-                    "one": [h[0] for h in hashes],
-                    "two": [h[1] for h in hashes],
-                }
-            )
+            for part in (batch.slice(at, SLICE) for at in range(0, batch.num_rows, SLICE)):
+                sets = (shingles(text, k) for text in part.column("text").to_pylist())
+                rows = zip(*((len(x), *set_hashes(x)) for x in sets), strict=True)
+                columns = [pa.array(c, pa.int64()) for c in rows]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
 
+    names = ["doc_id", "n_shingles", "one", "two"]
     texts = _documents(docs, id_col, text_col)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInPandas(run, f"doc_id {kind}, n_shingles long, one long, two long")
+    return texts.mapInArrow(run, f"doc_id {kind}, n_shingles long, one long, two long")
 
 
-def _key_rows(texts: DataFrame, k: int, scheme: Scheme, slots: bytes | None = None) -> DataFrame:
-    """Per set and key: key, set (its first hash) and looks; only keys in the bit table, if one is given."""
-    shared = texts.sparkSession.sparkContext.broadcast(slots) if slots else None
+def _slotted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return _documents(docs, id_col, text_col).withColumn("slot", _slot(F.xxhash64("doc_id")))
 
-    def frame(parts: list[tuple[np.ndarray, np.ndarray, int]]) -> pd.DataFrame:
-        owner = np.repeat(np.array([p[2] for p in parts], np.int64), [len(p[0]) for p in parts])
-        return pd.DataFrame(
-            {"key": np.concatenate([p[0] for p in parts]), "set": owner, "looks": np.concatenate([p[1] for p in parts])}
-        )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.frombuffer(shared.value, np.uint32) if shared else None
+def _key_rows(texts: DataFrame, k: int, scheme: Scheme, reps: bytes, slots: bytes | None = None) -> DataFrame:
+    """The keys of the documents in the bit table `reps`: key and looks, or, of the keys in `slots`, key and set."""
+    context = texts.sparkSession.sparkContext
+    reps_shared, slots_shared = context.broadcast(reps), context.broadcast(slots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reps = np.frombuffer(reps_shared.value, np.uint32)
+        table = np.frombuffer(slots_shared.value, np.uint32) if slots_shared.value else None
         for batch in batches:
-            parts, pending = [], 0
-            for text in batch["text"]:
-                found = shingles(text, k)
-                if not len(found):
-                    continue
-                keys, looks = scheme.keys(found)
-                if table is not None:
-                    kept = _hit(table, keys & ((1 << SLOT_BITS) - 1))
-                    keys, looks = keys[kept], looks[kept]
-                parts.append((keys, looks, set_hashes(found)[0]))
-                pending += len(keys)
-                if pending > 500_000:
-                    yield frame(parts)
-                    parts, pending = [], 0
-            if parts:
-                yield frame(parts)
-
-    return texts.select("text").mapInPandas(run, "key long, set long, looks boolean")
-
-
-def _sets_of(texts: DataFrame, k: int, slots: bytes) -> DataFrame:
-    """The shingles of the documents whose id is in the bit table."""
-    shared = texts.sparkSession.sparkContext.broadcast(slots)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            hit = np.flatnonzero(_hit(reps, batch.column("slot").to_numpy()))
+            for at in range(0, len(hit), SLICE):
+                parts = []
+                for text in batch.column("text").take(pa.array(hit[at : at + SLICE])).to_pylist():
+                    found = shingles(text, k)
+                    keys, other = scheme.keys(found)
+                    if table is not None:
+                        keys = keys[_hit(table, keys & ((1 << SLOT_BITS) - 1))]
+                        other = np.full(len(keys), set_hashes(found)[0] if len(keys) else 0, np.int64)
+                    parts.append((keys, other))
+                columns = [pa.array(np.concatenate([p[i] for p in parts])) for i in range(2)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "looks" if table is None else "set"])
+
+    return texts.select("text", "slot").mapInArrow(run, "key long, looks boolean" if slots is None else "key long, set long")
+
+
+def _sets_of(texts: DataFrame, k: int, wanted: bytes) -> DataFrame:
+    """The shingles of the documents in the bit table `wanted`."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(shared.value, np.uint32)
         for batch in batches:
-            picked = batch[_hit(table, batch["slot"].to_numpy())]
-            for begin in range(0, len(picked), 500):
-                part = picked.iloc[begin : begin + 500]
-                sets = [shingles(text, k) for text in part["text"]]
-                hashes = [set_hashes(x) for x in sets]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].to_numpy(),
-                        "one": [h[0] for h in hashes],
-                        "two": [h[1] for h in hashes],
-                        "members": [x.tobytes() for x in sets],
-                    }
-                )
-
+            hit = np.flatnonzero(_hit(table, batch.column("slot").to_numpy()))
+            for at in range(0, len(hit), SLICE):
+                part = batch.take(pa.array(hit[at : at + SLICE]))
+                sets = [shingles(text, k) for text in part.column("text").to_pylist()]
+                one, two = (pa.array([set_hashes(x)[i] for x in sets], pa.int64()) for i in range(2))
+                members = pa.array([x.tobytes() for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), one, two, members], names=names)
+
+    names = ["doc_id", "one", "two", "members"]
     kind = texts.schema["doc_id"].dataType.simpleString()
-    slotted = texts.withColumn("slot", _slot(F.xxhash64("doc_id")))
-    return slotted.mapInPandas(run, f"doc_id {kind}, one long, two long, members binary")
-
+    return texts.mapInArrow(run, f"doc_id {kind}, one long, two long, members binary")
 
-def candidate_edges(docs: DataFrame, k: int, num: int, den: int, text_col: str = "text") -> DataFrame:
-    """Edges (u, v) between first hashes of sets that connect all sets sharing a key.
 
-    A key is first reduced to its least and largest set, before and after the shuffle. Only keys of more than two
-    rows are looked up again, for the sets in between.
-    """
-    texts = docs.select(text_or_empty(text_col).alias("text"))
-    scheme = Scheme(num, den)
-    rows = _key_rows(texts, k, scheme)
-    weight = F.lit(1) + F.when(F.col("looks"), F.lit(1 << 40)).otherwise(F.lit(0))
-    keys = (
-        rows.groupBy("key")
-        .agg(F.min("set").alias("low"), F.max("set").alias("high"), F.sum(weight).alias("weight"))
-        .filter(f"low < high and weight >= {1 << 40}")
-    )
-    keys = cut(keys.select("key", "low", "high", (F.col("weight") % (1 << 40)).alias("rows")))
-    many = keys.filter("rows > 2").select("key", "low")
-    again = _key_rows(texts, k, scheme, _slots(many, F.col("key"))).join(many, "key")
-    return cut(
-        keys.select(F.col("low").alias("u"), F.col("high").alias("v"))
-        .unionByName(again.filter("low != set").select(F.col("low").alias("u"), F.col("set").alias("v")))
-        .distinct()
-    )
+def candidate_edges(texts: DataFrame, reps: bytes, k: int, num: int, den: int) -> DataFrame:
+    """Edges (u, v) between first hashes of sets that connect all sets sharing a key at which one of them looks."""
+    scheme, looked = Scheme(num, den), 1 << 40
+    weight = F.lit(1) + F.when(F.col("looks"), F.lit(looked)).otherwise(F.lit(0))
+    counted = _key_rows(texts, k, scheme, reps).groupBy("key").agg(F.sum(weight).alias("weight"))
+    keys = cut(counted.filter(f"weight >= {looked} and weight % {looked} > 1").select("key"))
+    found = _key_rows(texts, k, scheme, reps, _slots(keys, F.col("key")))
+    found = cut(found.join(keys, "key").distinct())
+    low = found.groupBy("key").agg(F.min("set").alias("low"))
+    edges = found.join(low, "key").filter("low != set").select(F.col("low").alias("u"), F.col("set").alias("v"))
+    return edges.distinct()
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """Deals the members of each family into tiles and each tile into its pairs with every other."""
-    tiles = F.greatest(F.ceil(F.sum(F.length("members")) / (8 * TILE)), F.ceil(F.count(F.lit(1)) / TILE_SETS))
-    sizes = members.groupBy("family").agg(tiles.cast("int").alias("tiles"))
+    """Deals the members of each family into tiles, and each tile into its pairs with every other, as `a` and `b`."""
+    tiles = F.greatest(F.ceil(F.sum("n_shingles") / TILE), F.ceil(F.count(F.lit(1)) / TILE_SETS)).cast("int")
+    sizes = members.groupBy("family").agg(tiles.alias("tiles"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     dealt = members.join(sizes, "family").withColumn("tile", F.expr("int(pmod(xxhash64(one, two), tiles))"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    return dealt.select(
-        "family", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "doc_id", "members"
-    )
+    pair = [F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b")]
+    return dealt.select("family", *pair, "doc_id", "one", "two")
 
 
 def jaccard_links(
@@ -338,14 +316,15 @@ def jaccard_links(
     representatives) and overlap. Two sets link when den * intersection >= num * union; the links returned join
     everything that such links join, though not every pair of a group is listed.
     """
-    texts = _documents(docs, id_col, text_col)
+    texts = _slotted(docs, id_col, text_col)
     table = cut(set_table(docs, k, id_col, text_col))
     classes = cut(table.filter("n_shingles > 0").groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("doc_id")))
-    families = components(candidate_edges(docs, k, num, den, text_col))
+    reps = _slots(classes, F.xxhash64("doc_id"))
+    families = components(candidate_edges(texts, reps, k, num, den))
     found = classes.join(families.select(F.col("node").alias("one"), F.col("component").alias("family")), "one")
-    found = cut(found.filter("doc_id is not null").select("family", "doc_id", "one", "two"))
+    found = cut(found.filter("doc_id is not null"))
     names = ["doc_id", "one", "two"]
-    sets = _sets_of(texts, k, _slots(found, F.xxhash64("doc_id"))).dropDuplicates(names).join(found, names)
+    sets = _sets_of(texts, k, _slots(found, F.xxhash64("doc_id"))).dropDuplicates(names)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         members = [np.frombuffer(x, np.uint64) for x in group["members"]]
@@ -356,7 +335,8 @@ def jaccard_links(
         )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    links = _tiles(sets).groupBy("family", "a", "b").applyInPandas(compare, f"u {kind}, v {kind}, overlap long")
+    dealt = _tiles(found).join(sets, names).select("family", "a", "b", "doc_id", "members")
+    links = dealt.groupBy("family", "a", "b").applyInPandas(compare, f"u {kind}, v {kind}, overlap long")
     return table, classes, cut(links.distinct())
 
 
@@ -383,5 +363,4 @@ def drop_similar(
 ) -> DataFrame:
     """`docs` with one document of each group, the one with the smallest id; all columns as they were."""
     groups = similar_groups(docs, k, num, den, id_col, text_col)
-    dropped = groups.filter("component_id != doc_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    return without_ids(docs, groups.filter("component_id != doc_id"), id_col)
