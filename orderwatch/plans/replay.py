@@ -15,7 +15,7 @@ from orderwatch.sources.codec import decode_orders, encode_orders
 from orderwatch.sources.feeds import orders_from_events
 from orderwatch.sources.orders import read_orders
 from orderwatch.streaming.folders import remove
-from orderwatch.streaming.jobs import ONCE, checkpoint_root, start
+from orderwatch.streaming.jobs import ONCE, start
 from orderwatch.streaming.sinks import Sink, changelog, read_changelog
 
 
@@ -23,8 +23,9 @@ TURNS = 4
 
 
 def run_folder(spark: SparkSession) -> str:
-    """A new folder for one run in the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/replay-{uuid.uuid4().hex}"
+    """A new folder for one run in the shared checkpoint folder; beside the warehouse's tables where none is named."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_replays"
+    return f"{root}/replay-{uuid.uuid4().hex}"
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
