@@ -8,15 +8,18 @@ below. It allots its tolerances by cost: segments with few shingles agree by cha
 for by one-deletion neighbourhoods in the segments set aside for them.
 
 Each agreement is a key. Keys are first only counted, which is combined before the shuffle; the sets behind those
-that more than one set has are then looked up in a second pass over the texts. Sets that share a key form families.
-The members of a family are compared exactly, in tiles of bounded size; only edges that join what is not yet joined
-in a tile leave it.
+that more than one set has are then looked up in a second pass over the texts. Sets that share a key are compared by
+sketches: the number of shingles in each of PARTS parts of the universe, whose differences add up to no more than
+the sets differ by. That rules nearly all chance pairs out. Of the others, first only those of a least spanning
+forest of each key are verified on the shingles themselves; then, across the components these make, all that are left.
+A key of very many sets is dealt into tiles of bounded size, and pairs of tiles.
 """
 
 from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,14 +34,16 @@ from orderwatch.llm.components import components
 BAND_RATIO = 1.7
 #: Segments of a band that also have one-deletion neighbourhoods.
 SET_ASIDE = 2
-#: Shingles and sets of one tile; a comparison reads two tiles. A set is never cut.
-TILE = 2_000_000
-TILE_SETS = 1000
+#: Numbers in a sketch, one byte each.
+PARTS = 64
+#: Sets of one key that one tile holds; a comparison reads two tiles.
+TILE_SETS = 2000
 #: Bits of the tables by which a pass over the texts hands on only what can matter. They spare work; what they let
 #: through by chance is sorted out by joins.
 SLOT_BITS = 23
 #: Rows worked on at a time.
 SLICE = 512
+FAR = 1 << 40
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,39 +161,54 @@ class Scheme:
         return np.concatenate(keys).view(np.int64), np.concatenate(looks)
 
 
-def similar_pairs(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int, int]]:
-    """Pairs of positions with their overlap that join everything joined by similar pairs.
+def sketch(found: np.ndarray) -> bytes:
+    """How many shingles fall into each part of the universe, up to 255."""
+    return np.minimum(np.bincount((found % np.uint64(PARTS)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8).tobytes()
 
-    Overlaps are counted exactly, as products of membership matrices over the shingles that more than one set
-    has, some columns at a time.
-    """
-    sizes = np.array([len(x) for x in sets], np.int64)
-    if len(sets) == 2:
-        overlap = np.array([[0, len(np.intersect1d(sets[0], sets[1], assume_unique=True))]] * 2)
-    else:
-        _, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        shared = counts > 1
-        columns = (np.cumsum(shared) - 1)[codes]
-        rows, inside = np.repeat(np.arange(len(sets)), sizes), shared[codes]
-        rows, columns = rows[inside], columns[inside]
-        order = np.argsort(columns, kind="stable")
-        rows, columns = rows[order], columns[order]
-        overlap = np.zeros((len(sets), len(sets)), np.float32)
-        wide = max(256, 16_000_000 // (4 * len(sets)))
-        for begin in range(0, int(shared.sum()), wide):
-            a, b = np.searchsorted(columns, [begin, begin + wide])
-            part = np.zeros((len(sets), wide), np.float32)
-            part[rows[a:b], columns[a:b] - begin] = 1
-            overlap += part @ part.T
-    group, links = np.arange(len(sets)), []
-    for i in range(len(sets)):
-        both = overlap[i].astype(np.int64)
-        hits = np.flatnonzero((both * den >= num * (sizes + sizes[i] - both)) & (both > 0))
-        for j in hits[hits > i].tolist():
-            if group[i] != group[j]:
-                group[group == group[j]] = group[i]
-                links.append((i, j, int(both[j])))
-    return links
+
+class Near:
+    """Sets by size and sketch: which of them may be similar."""
+
+    def __init__(self, scheme: Scheme, sizes: np.ndarray, sketches: np.ndarray):
+        self.scheme, self.sizes, self.sketches = scheme, sizes, sketches
+
+    def part(self, begin: int, end: int) -> Near:
+        return Near(self.scheme, self.sizes[begin:end], self.sketches[begin:end].astype(np.int16))
+
+    def distances(self, i: int | np.ndarray, among: np.ndarray | slice) -> np.ndarray:
+        """Least differences of sets by sketch; a very large number where they cannot be similar."""
+        num, den = self.scheme.num, self.scheme.den
+        sizes, own = self.sizes[among], self.sizes[i]
+        apart = self.sketches[among].astype(np.int16) - self.sketches[i].astype(np.int16)
+        found = np.abs(apart).sum(axis=1, dtype=np.int64)
+        fine = (np.minimum(sizes, own) * den >= num * np.maximum(sizes, own)) & (
+            found <= (den - num) * (sizes + own) // (den + num)
+        )
+        return np.where(fine, found, FAR)
+
+    def forest(self) -> list[tuple[int, int]]:
+        """A least spanning forest, grown set by set."""
+        count = len(self.sizes)
+        best, link = np.full(count, FAR), np.full(count, -1)
+        left, edges = np.ones(count, bool), []
+        for _ in range(count):
+            i = int(np.where(left, best, FAR + 1).argmin())
+            if link[i] >= 0:
+                edges.append((int(link[i]), i))
+            left[i] = False
+            found = self.distances(i, slice(None))
+            closer = left & (found < best)
+            best[closer], link[closer] = found[closer], i
+        return edges
+
+    def across(self, groups: np.ndarray) -> list[tuple[int, int]]:
+        """All pairs of different groups."""
+        edges = []
+        for i in range(len(self.sizes) - 1):
+            others = np.flatnonzero(groups[i + 1 :] != groups[i]) + i + 1
+            if len(others):
+                edges.extend((i, int(j)) for j in others[self.distances(i, others) < FAR])
+        return edges
 
 
 def _slot(hashed: Column) -> Column:
@@ -219,20 +239,20 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def set_table(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles and the two hashes of its set."""
+    """Per row: doc_id, n_shingles, the two hashes of its set, and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(at, SLICE) for at in range(0, batch.num_rows, SLICE)):
                 sets = (shingles(text, k) for text in part.column("text").to_pylist())
-                rows = zip(*((len(x), *set_hashes(x)) for x in sets), strict=True)
-                columns = [pa.array(c, pa.int64()) for c in rows]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
+                n, one, two, drawn = zip(*((len(x), *set_hashes(x), sketch(x)) for x in sets), strict=True)
+                numbers = [pa.array(c, pa.int64()) for c in (n, one, two)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *numbers, pa.array(drawn, pa.binary())], names=names)
 
-    names = ["doc_id", "n_shingles", "one", "two"]
+    names = ["doc_id", "n_shingles", "one", "two", "sketch"]
     texts = _documents(docs, id_col, text_col)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, n_shingles long, one long, two long")
+    return texts.mapInArrow(run, f"doc_id {kind}, n_shingles long, one long, two long, sketch binary")
 
 
 def _slotted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -284,27 +304,90 @@ def _sets_of(texts: DataFrame, k: int, wanted: bytes) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {kind}, one long, two long, members binary")
 
 
-def candidate_edges(texts: DataFrame, reps: bytes, k: int, num: int, den: int) -> DataFrame:
-    """Edges (u, v) between first hashes of sets that connect all sets sharing a key at which one of them looks."""
-    scheme, looked = Scheme(num, den), 1 << 40
+def shared_keys(texts: DataFrame, reps: bytes, k: int, scheme: Scheme) -> DataFrame:
+    """The keys that several sets have and one of them looks at: key and set (a first hash), each pair once."""
+    looked = 1 << 40
     weight = F.lit(1) + F.when(F.col("looks"), F.lit(looked)).otherwise(F.lit(0))
     counted = _key_rows(texts, k, scheme, reps).groupBy("key").agg(F.sum(weight).alias("weight"))
     keys = cut(counted.filter(f"weight >= {looked} and weight % {looked} > 1").select("key"))
     found = _key_rows(texts, k, scheme, reps, _slots(keys, F.col("key")))
-    found = cut(found.join(keys, "key").distinct())
-    low = found.groupBy("key").agg(F.min("set").alias("low"))
-    edges = found.join(low, "key").filter("low != set").select(F.col("low").alias("u"), F.col("set").alias("v"))
-    return edges.distinct()
+    return cut(found.join(keys, "key").distinct())
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """Deals the members of each family into tiles, and each tile into its pairs with every other, as `a` and `b`."""
-    tiles = F.greatest(F.ceil(F.sum("n_shingles") / TILE), F.ceil(F.count(F.lit(1)) / TILE_SETS)).cast("int")
-    sizes = members.groupBy("family").agg(tiles.alias("tiles"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    dealt = members.join(sizes, "family").withColumn("tile", F.expr("int(pmod(xxhash64(one, two), tiles))"))
+    """Deals the sets of each key into tiles, and each tile into its pairs with every other, as `a` and `b`."""
+    tiles = F.ceil(F.count(F.lit(1)) / TILE_SETS).cast("int")
+    sizes = members.groupBy("key").agg(tiles.alias("tiles"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    dealt = members.join(sizes, "key").withColumn("tile", F.expr("int(pmod(xxhash64(set), tiles))"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     pair = [F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b")]
-    return dealt.select("family", *pair, "doc_id", "one", "two")
+    return dealt.select(*members.columns, *pair)
+
+
+def _candidates(members: DataFrame, classes: DataFrame, scheme: Scheme, across: bool) -> DataFrame:
+    """Pairs (u, v) of sets that share a key and may be similar by size and sketch.
+
+    `members` has key, set and group. With `across`, all such pairs of different groups; without, a least spanning
+    forest of each key. Keys come one after the other, so a task holds one pair of tiles and one batch.
+    """
+    columns = ["key", "a", "b", "set", "n_shingles", "group"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in chain(batches, [None]):
+            parts = held + ([pa.Table.from_batches([batch])] if batch is not None and batch.num_rows else [])
+            if not parts:
+                continue
+            table = pa.concat_tables(parts)
+            rows = {c: table.column(c).to_numpy() for c in columns}
+            drawn = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, PARTS)
+            new = np.ones(table.num_rows + 1, bool)
+            new[1:-1] = False
+            for c in ("key", "a", "b"):
+                new[1:-1] |= rows[c][1:] != rows[c][:-1]
+            edges = np.flatnonzero(new)
+            held = [] if batch is None else [table.slice(edges[-2])]  # the last key may go on in the next batch
+            begins, ends = (edges[:-1], edges[1:]) if batch is None else (edges[:-2], edges[1:-1])
+            near = Near(scheme, rows["n_shingles"], drawn)
+            pairs = begins[ends - begins == 2]
+            fine = near.distances(pairs, pairs + 1) < FAR
+            if across:
+                fine &= rows["group"][pairs] != rows["group"][pairs + 1]
+            found = [(pairs[fine], pairs[fine] + 1)]
+            for begin, end in zip(begins.tolist(), ends.tolist(), strict=True):
+                if end - begin > 2:
+                    part = near.part(begin, end)
+                    linked = part.across(rows["group"][begin:end]) if across else part.forest()
+                    found.append((np.array([x[0] for x in linked], np.int64) + begin, np.array([x[1] for x in linked], np.int64) + begin))
+            u, v = (rows["set"][np.concatenate([x[i] for x in found])] for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    of_sets = classes.select(F.col("one").alias("set"), "n_shingles", "sketch")
+    dealt = _tiles(members).join(of_sets, "set").select(*columns, "sketch")
+    ordered = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
+    found = ordered.mapInArrow(run, "u long, v long")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Of pairs of first hashes, those whose sets are similar: u, v (ids of the representatives) and overlap."""
+    ends = pairs.select(F.col("u").alias("one")).unionByName(pairs.select(F.col("v").alias("one"))).distinct()
+    wanted = cut(classes.join(ends, "one").filter("doc_id is not null").select("doc_id", "one", "two"))
+    names = ["doc_id", "one", "two"]
+    sets = _sets_of(texts, k, _slots(wanted, F.xxhash64("doc_id"))).dropDuplicates(names).join(wanted, names)
+
+    @F.pandas_udf("long")
+    def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
+        both = zip(a, b, strict=True)
+        sizes = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)) for x, y in both]
+        return pd.Series(sizes, dtype="int64")
+
+    left = sets.select(F.col("one").alias("u"), F.col("doc_id").alias("u_id"), F.col("members").alias("u_members"))
+    right = sets.select(F.col("one").alias("v"), F.col("doc_id").alias("v_id"), F.col("members").alias("v_members"))
+    found = pairs.join(left, "u").join(right, "v").withColumn("overlap", overlap("u_members", "v_members"))
+    union = F.expr("(length(u_members) + length(v_members)) div 8") - F.col("overlap")
+    similar = found.filter((F.col("overlap") * den >= union * num) & (F.col("overlap") > 0))
+    return cut(similar.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"), "overlap"))
 
 
 def jaccard_links(
@@ -312,32 +395,24 @@ def jaccard_links(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The set of each row, the classes of equal sets, and verified links between their representatives.
 
-    Sets: see `set_table`. Classes: one, two (the set's hashes), n_shingles, doc_id (the smallest of the class). Links: u, v (two
-    representatives) and overlap. Two sets link when den * intersection >= num * union; the links returned join
-    everything that such links join, though not every pair of a group is listed.
+    Sets: see `set_table`. Classes: one, two (the set's hashes), n_shingles, doc_id (the smallest of the class) and
+    sketch. Links: u, v (two representatives) and overlap. Two sets link when den * intersection >= num * union; the
+    links returned join everything that such links join, though not every pair of a group is listed.
     """
-    texts = _slotted(docs, id_col, text_col)
+    texts, scheme = _slotted(docs, id_col, text_col), Scheme(num, den)
     table = cut(set_table(docs, k, id_col, text_col))
-    classes = cut(table.filter("n_shingles > 0").groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("doc_id")))
-    reps = _slots(classes, F.xxhash64("doc_id"))
-    families = components(candidate_edges(texts, reps, k, num, den))
-    found = classes.join(families.select(F.col("node").alias("one"), F.col("component").alias("family")), "one")
-    found = cut(found.filter("doc_id is not null"))
-    names = ["doc_id", "one", "two"]
-    sets = _sets_of(texts, k, _slots(found, F.xxhash64("doc_id"))).dropDuplicates(names)
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        members = [np.frombuffer(x, np.uint64) for x in group["members"]]
-        links = similar_pairs(members, num, den) if len(members) > 1 else []
-        ids = group["doc_id"].to_numpy()
-        return pd.DataFrame(
-            {"u": ids[[x[0] for x in links]], "v": ids[[x[1] for x in links]], "overlap": [x[2] for x in links]}
-        )
-
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    dealt = _tiles(found).join(sets, names).select("family", "a", "b", "doc_id", "members")
-    links = dealt.groupBy("family", "a", "b").applyInPandas(compare, f"u {kind}, v {kind}, overlap long")
-    return table, classes, cut(links.distinct())
+    same = table.filter("n_shingles > 0").groupBy("one", "two", "n_shingles")
+    classes = cut(same.agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch")))
+    members = shared_keys(texts, _slots(classes, F.xxhash64("doc_id")), k, scheme)
+    one_group = members.withColumn("group", F.lit(0).cast("long"))
+    links = _verified(cut(_candidates(one_group, classes, scheme, across=False)), texts, classes, k, num, den)
+    joined = components(links.select("u", "v")).select(F.col("node").alias("doc_id"), "component")
+    group = F.xxhash64(F.coalesce("component", "doc_id")).alias("group")
+    grouped = members.join(classes.join(joined, "doc_id", "left").select(F.col("one").alias("set"), group), "set")
+    open_keys = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
+    grouped = grouped.join(open_keys.select("key"), "key")
+    rest = cut(_candidates(grouped, classes, scheme, across=True))
+    return table, classes, cut(links.unionByName(_verified(rest, texts, classes, k, num, den)))
 
 
 def similar_groups(
