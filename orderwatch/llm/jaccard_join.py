@@ -34,8 +34,8 @@ from orderwatch.llm.components import components
 BAND_RATIO = 1.7
 #: Segments of a band that also have one-deletion neighbourhoods.
 SET_ASIDE = 2
-#: Numbers in a sketch, one byte each.
-PARTS = 64
+#: Numbers in a sketch, one byte each. Twice as many tell sets twice as large apart.
+PARTS = 256
 #: Sets of one key that one tile holds; a comparison reads two tiles.
 TILE_SETS = 2000
 #: Bits of the tables by which a pass over the texts hands on only what can matter. They spare work; what they let
@@ -285,7 +285,7 @@ def _key_rows(texts: DataFrame, k: int, scheme: Scheme, reps: bytes, slots: byte
 
 
 def _sets_of(texts: DataFrame, k: int, wanted: bytes) -> DataFrame:
-    """The shingles of the documents in the bit table `wanted`."""
+    """The shingles of the documents in the bit table `wanted`: one (the first hash) and members, each set once."""
     shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,15 +293,13 @@ def _sets_of(texts: DataFrame, k: int, wanted: bytes) -> DataFrame:
         for batch in batches:
             hit = np.flatnonzero(_hit(table, batch.column("slot").to_numpy()))
             for at in range(0, len(hit), SLICE):
-                part = batch.take(pa.array(hit[at : at + SLICE]))
-                sets = [shingles(text, k) for text in part.column("text").to_pylist()]
-                one, two = (pa.array([set_hashes(x)[i] for x in sets], pa.int64()) for i in range(2))
+                part = batch.column("text").take(pa.array(hit[at : at + SLICE]))
+                sets = [shingles(text, k) for text in part.to_pylist()]
+                one = pa.array([set_hashes(x)[0] for x in sets], pa.int64())
                 members = pa.array([x.tobytes() for x in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), one, two, members], names=names)
+                yield pa.RecordBatch.from_arrays([one, members], names=["one", "members"])
 
-    names = ["doc_id", "one", "two", "members"]
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, one long, two long, members binary")
+    return texts.select("text", "slot").mapInArrow(run, "one long, members binary").dropDuplicates(["one"])
 
 
 def shared_keys(texts: DataFrame, reps: bytes, k: int, scheme: Scheme) -> DataFrame:
@@ -372,9 +370,8 @@ def _candidates(members: DataFrame, classes: DataFrame, scheme: Scheme, across:
 def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Of pairs of first hashes, those whose sets are similar: u, v (ids of the representatives) and overlap."""
     ends = pairs.select(F.col("u").alias("one")).unionByName(pairs.select(F.col("v").alias("one"))).distinct()
-    wanted = cut(classes.join(ends, "one").filter("doc_id is not null").select("doc_id", "one", "two"))
-    names = ["doc_id", "one", "two"]
-    sets = _sets_of(texts, k, _slots(wanted, F.xxhash64("doc_id"))).dropDuplicates(names).join(wanted, names)
+    ids = cut(classes.join(ends, "one").filter("doc_id is not null").select("one", "doc_id"))
+    sets = _sets_of(texts, k, _slots(ids, F.xxhash64("doc_id")))
 
     @F.pandas_udf("long")
     def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -382,12 +379,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, k: int, nu
         sizes = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)) for x, y in both]
         return pd.Series(sizes, dtype="int64")
 
-    left = sets.select(F.col("one").alias("u"), F.col("doc_id").alias("u_id"), F.col("members").alias("u_members"))
-    right = sets.select(F.col("one").alias("v"), F.col("doc_id").alias("v_id"), F.col("members").alias("v_members"))
+    left = sets.select(F.col("one").alias("u"), F.col("members").alias("u_members"))
+    right = sets.select(F.col("one").alias("v"), F.col("members").alias("v_members"))
     found = pairs.join(left, "u").join(right, "v").withColumn("overlap", overlap("u_members", "v_members"))
     union = F.expr("(length(u_members) + length(v_members)) div 8") - F.col("overlap")
     similar = found.filter((F.col("overlap") * den >= union * num) & (F.col("overlap") > 0))
-    return cut(similar.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"), "overlap"))
+    similar = cut(similar.select("u", "v", "overlap"))
+    of_u, of_v = (ids.select(F.col("one").alias(end), F.col("doc_id").alias(f"{end}_id")) for end in "uv")
+    named = similar.join(of_u, "u").join(of_v, "v")
+    return cut(named.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"), "overlap"))
 
 
 def jaccard_links(
