@@ -8,6 +8,7 @@ room that still holds it, found in a segment tree over remaining room.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -41,10 +42,18 @@ class ChunkTokens:
     def __init__(self, path: str, most: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel work
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        if isinstance(self.tokenizer.model, BPE):  # the same model without a memory of its own
+            with open(path, encoding="utf-8") as file:
+                spec = json.load(file)["model"]
+            pairs = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in spec["merges"]]
+            names = ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+            more = {name: spec[name] for name in names if spec.get(name) is not None}
+            self.tokenizer.model = BPE(spec["vocab"], pairs, cache_capacity=0, **more)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         suffix = self.tokenizer.model.end_of_word_suffix or "</w>"
@@ -59,18 +68,18 @@ class ChunkTokens:
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _words(self, chunks: list[str]) -> list[bytes]:
+    def _words(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of chunks that are one word each."""
-        ids = self._encode(" ".join(chunks))
-        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        ids = self._encode(b" ".join(chunks).decode())
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
         if len(ends) != len(chunks):  # the library knows letters otherwise than Python
             return self._marked(chunks)
         data = ids.tobytes()
-        return [data[4 * b : 4 * e] for b, e in zip([0, *ends[:-1]], ends, strict=True)]
+        return [data[b:e] for b, e in zip([0, *ends], ends, strict=False)]
 
-    def _marked(self, chunks: list[str]) -> list[bytes]:
+    def _marked(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of chunks without special strings."""
-        ids = self._encode(self.mark.join(chunks))
+        ids = self._encode(self.mark.encode().join(chunks).decode())
         ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
         data, begins = ids.tobytes(), [0, *[end + 1 for end in ends[:-1]]]
         return [data[4 * b : 4 * e] for b, e in zip(begins, ends, strict=True)]
@@ -78,17 +87,20 @@ class ChunkTokens:
     def _learn(self, chunks: set[bytes]) -> None:
         words, others = [], []
         for chunk in chunks:
+            if chunk.isalpha():  # letters a to z only
+                words.append(chunk)
+                continue
             text = chunk.decode()
             if text.isalpha() and "İ" not in text:  # whose lower case is more than letters
-                words.append(text)
+                words.append(chunk)
             elif any(s in text for s in self.specials):
                 self.known[chunk] = self._encode(text).tobytes()
             else:
-                others.append(text)
-        for encode, texts in ((self._words, words), (self._marked, others)):
-            for at in range(0, len(texts), 4096):
-                part = texts[at : at + 4096]
-                self.known.update(zip(map(str.encode, part), encode(part), strict=True))
+                others.append(chunk)
+        for encode, part in ((self._words, words), (self._marked, others)):
+            for at in range(0, len(part), 4096):
+                piece = part[at : at + 4096]
+                self.known.update(zip(piece, encode(piece), strict=True))
 
     def _chunks(self, text: str) -> list[bytes]:
         """What blanks part, and what may as well be parted: a sign between a letter and a blank is a word of its
@@ -99,19 +111,23 @@ class ChunkTokens:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        split = [self._chunks(text) for text in texts]
         if len(self.known) > self.most:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        fresh = {c for chunks in split for c in set(chunks).difference(known)}
+        split = [self._chunks(text) for text in texts]
+        found = [list(map(known.get, chunks)) for chunks in split]
+        gaps = [[i for i, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
+        fresh = {chunks[i] for chunks, own in zip(split, gaps, strict=True) for i in own}
         again = fresh & older.keys()
         known.update((c, older[c]) for c in again)
         self._learn(fresh - again)
-        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        for chunks, own, missing in zip(split, found, gaps, strict=True):
+            for i in missing:
+                own[i] = known[chunks[i]]
         for chunk in fresh:
             if len(chunk) > LONG:
                 del known[chunk]
-        return out
+        return [b"".join(own) for own in found]
 
 
 @functools.lru_cache(maxsize=4)
