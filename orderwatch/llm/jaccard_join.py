@@ -10,9 +10,10 @@ for by one-deletion neighbourhoods in the segments set aside for them.
 Each agreement is a key. Keys are first only counted, which is combined before the shuffle; the sets behind those
 that more than one set has are then looked up in a second pass over the texts. Sets that share a key are compared by
 sketches: the number of shingles in each of PARTS parts of the universe, whose differences add up to no more than
-the sets differ by. That rules nearly all chance pairs out. Of the others, first only those of a least spanning
-forest of each key are verified on the shingles themselves; then, across the components these make, all that are left.
-A key of very many sets is dealt into tiles of bounded size, and pairs of tiles.
+the sets differ by. That rules nearly all chance pairs out. What is left, as a least spanning forest of each key, makes
+families, and any two sets that link are in one. The members of a family are compared exactly, on the shingles
+themselves; only edges that join what is not yet joined leave a comparison. Keys and families of very many sets are
+dealt into tiles of bounded size, and pairs of tiles.
 """
 
 from __future__ import annotations
@@ -35,9 +36,10 @@ BAND_RATIO = 1.7
 #: Segments of a band that also have one-deletion neighbourhoods.
 SET_ASIDE = 2
 #: Numbers in a sketch, one byte each. Twice as many tell sets twice as large apart.
-PARTS = 256
-#: Sets of one key that one tile holds; a comparison reads two tiles.
-TILE_SETS = 2000
+PARTS = 128
+#: Sets, and shingles, that one tile holds; a comparison reads two tiles. A set is never cut.
+TILE_SETS = 1000
+TILE = 2_000_000
 #: Bits of the tables by which a pass over the texts hands on only what can matter. They spare work; what they let
 #: through by chance is sorted out by joins.
 SLOT_BITS = 23
@@ -161,6 +163,41 @@ class Scheme:
         return np.concatenate(keys).view(np.int64), np.concatenate(looks)
 
 
+def similar_pairs(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int, int]]:
+    """Pairs of positions with their overlap that join everything joined by similar pairs.
+
+    Overlaps are counted exactly, as products of membership matrices over the shingles that more than one set
+    has, some columns at a time.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    if len(sets) == 2:
+        overlap = np.array([[0, len(np.intersect1d(sets[0], sets[1], assume_unique=True))]] * 2)
+    else:
+        _, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = counts > 1
+        columns = (np.cumsum(shared) - 1)[codes]
+        rows, inside = np.repeat(np.arange(len(sets)), sizes), shared[codes]
+        rows, columns = rows[inside], columns[inside]
+        order = np.argsort(columns, kind="stable")
+        rows, columns = rows[order], columns[order]
+        overlap = np.zeros((len(sets), len(sets)), np.float32)
+        wide = max(256, 16_000_000 // (4 * len(sets)))
+        for begin in range(0, int(shared.sum()), wide):
+            a, b = np.searchsorted(columns, [begin, begin + wide])
+            part = np.zeros((len(sets), wide), np.float32)
+            part[rows[a:b], columns[a:b] - begin] = 1
+            overlap += part @ part.T
+    group, links = np.arange(len(sets)), []
+    for i in range(len(sets)):
+        both = overlap[i].astype(np.int64)
+        hits = np.flatnonzero((both * den >= num * (sizes + sizes[i] - both)) & (both > 0))
+        for j in hits[hits > i].tolist():
+            if group[i] != group[j]:
+                group[group == group[j]] = group[i]
+                links.append((i, j, int(both[j])))
+    return links
+
+
 def sketch(found: np.ndarray) -> bytes:
     """How many shingles fall into each part of the universe, up to 255."""
     return np.minimum(np.bincount((found % np.uint64(PARTS)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8).tobytes()
@@ -173,18 +210,20 @@ class Near:
         self.scheme, self.sizes, self.sketches = scheme, sizes, sketches
 
     def part(self, begin: int, end: int) -> Near:
-        return Near(self.scheme, self.sizes[begin:end], self.sketches[begin:end].astype(np.int16))
+        return Near(self.scheme, self.sizes[begin:end], self.sketches[begin:end])
+
+    def _alike(self, i: int | np.ndarray, among: np.ndarray | slice) -> np.ndarray:
+        """Whether sets are of sizes that similar sets may have."""
+        sizes, own = self.sizes[among], self.sizes[i]
+        return np.minimum(sizes, own) * self.scheme.den >= self.scheme.num * np.maximum(sizes, own)
 
-    def distances(self, i: int | np.ndarray, among: np.ndarray | slice) -> np.ndarray:
+    def distances(self, i: int | np.ndarray, among: np.ndarray) -> np.ndarray:
         """Least differences of sets by sketch; a very large number where they cannot be similar."""
+        one, other = self.sketches[among], self.sketches[i]
+        found = (np.maximum(one, other) - np.minimum(one, other)).sum(axis=1, dtype=np.int64)
         num, den = self.scheme.num, self.scheme.den
-        sizes, own = self.sizes[among], self.sizes[i]
-        apart = self.sketches[among].astype(np.int16) - self.sketches[i].astype(np.int16)
-        found = np.abs(apart).sum(axis=1, dtype=np.int64)
-        fine = (np.minimum(sizes, own) * den >= num * np.maximum(sizes, own)) & (
-            found <= (den - num) * (sizes + own) // (den + num)
-        )
-        return np.where(fine, found, FAR)
+        near = found <= (den - num) * (self.sizes[among] + self.sizes[i]) // (den + num)
+        return np.where(near & self._alike(i, among), found, FAR)
 
     def forest(self) -> list[tuple[int, int]]:
         """A least spanning forest, grown set by set."""
@@ -196,18 +235,10 @@ class Near:
             if link[i] >= 0:
                 edges.append((int(link[i]), i))
             left[i] = False
-            found = self.distances(i, slice(None))
-            closer = left & (found < best)
-            best[closer], link[closer] = found[closer], i
-        return edges
-
-    def across(self, groups: np.ndarray) -> list[tuple[int, int]]:
-        """All pairs of different groups."""
-        edges = []
-        for i in range(len(self.sizes) - 1):
-            others = np.flatnonzero(groups[i + 1 :] != groups[i]) + i + 1
-            if len(others):
-                edges.extend((i, int(j)) for j in others[self.distances(i, others) < FAR])
+            among = np.flatnonzero(left & self._alike(i, slice(None)))
+            found = self.distances(i, among)
+            closer = found < best[among]
+            best[among[closer]], link[among[closer]] = found[closer], i
         return edges
 
 
@@ -312,23 +343,25 @@ def shared_keys(texts: DataFrame, reps: bytes, k: int, scheme: Scheme) -> DataFr
     return cut(found.join(keys, "key").distinct())
 
 
-def _tiles(members: DataFrame) -> DataFrame:
-    """Deals the sets of each key into tiles, and each tile into its pairs with every other, as `a` and `b`."""
-    tiles = F.ceil(F.count(F.lit(1)) / TILE_SETS).cast("int")
-    sizes = members.groupBy("key").agg(tiles.alias("tiles"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    dealt = members.join(sizes, "key").withColumn("tile", F.expr("int(pmod(xxhash64(set), tiles))"))
+def _tiles(members: DataFrame, by: str, weight: Column) -> DataFrame:
+    """Deals the members of each group into tiles, and each tile into its pairs with every other, as `a` and `b`.
+
+    A tile holds about TILE_SETS members, or TILE of `weight`. Groups of one are left out.
+    """
+    tiles = F.greatest(F.ceil(F.count(F.lit(1)) / TILE_SETS), F.ceil(F.sum(weight) / TILE)).cast("int")
+    sizes = members.groupBy(by).agg(tiles.alias("tiles"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    dealt = members.join(sizes, by).withColumn("tile", F.expr("int(pmod(xxhash64(set), tiles))"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     pair = [F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b")]
     return dealt.select(*members.columns, *pair)
 
 
-def _candidates(members: DataFrame, classes: DataFrame, scheme: Scheme, across: bool) -> DataFrame:
-    """Pairs (u, v) of sets that share a key and may be similar by size and sketch.
+def _near_pairs(members: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """Pairs (u, v) of sets that share a key and may be similar by size and sketch: a least spanning forest of each key.
 
-    `members` has key, set and group. With `across`, all such pairs of different groups; without, a least spanning
-    forest of each key. Keys come one after the other, so a task holds one pair of tiles and one batch.
+    `members` has key and set. Keys come one after the other, so a task holds one pair of tiles and one batch.
     """
-    columns = ["key", "a", "b", "set", "n_shingles", "group"]
+    columns = ["key", "a", "b", "set", "n_shingles"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
@@ -348,46 +381,18 @@ def _candidates(members: DataFrame, classes: DataFrame, scheme: Scheme, across:
             begins, ends = (edges[:-1], edges[1:]) if batch is None else (edges[:-2], edges[1:-1])
             near = Near(scheme, rows["n_shingles"], drawn)
             pairs = begins[ends - begins == 2]
-            fine = near.distances(pairs, pairs + 1) < FAR
-            if across:
-                fine &= rows["group"][pairs] != rows["group"][pairs + 1]
-            found = [(pairs[fine], pairs[fine] + 1)]
+            pairs = pairs[near.distances(pairs, pairs + 1) < FAR]
+            found = [np.column_stack((pairs, pairs + 1))]
             for begin, end in zip(begins.tolist(), ends.tolist(), strict=True):
-                if end - begin > 2:
-                    part = near.part(begin, end)
-                    linked = part.across(rows["group"][begin:end]) if across else part.forest()
-                    found.append((np.array([x[0] for x in linked], np.int64) + begin, np.array([x[1] for x in linked], np.int64) + begin))
-            u, v = (rows["set"][np.concatenate([x[i] for x in found])] for i in range(2))
+                if end - begin > 2 and (linked := near.part(begin, end).forest()):
+                    found.append(np.array(linked) + begin)
+            u, v = (rows["set"][np.concatenate(found)[:, i]] for i in range(2))
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
     of_sets = classes.select(F.col("one").alias("set"), "n_shingles", "sketch")
-    dealt = _tiles(members).join(of_sets, "set").select(*columns, "sketch")
+    dealt = _tiles(members, "key", F.lit(0)).join(of_sets, "set").select(*columns, "sketch")
     ordered = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
-    found = ordered.mapInArrow(run, "u long, v long")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Of pairs of first hashes, those whose sets are similar: u, v (ids of the representatives) and overlap."""
-    ends = pairs.select(F.col("u").alias("one")).unionByName(pairs.select(F.col("v").alias("one"))).distinct()
-    ids = cut(classes.join(ends, "one").filter("doc_id is not null").select("one", "doc_id"))
-    sets = _sets_of(texts, k, _slots(ids, F.xxhash64("doc_id")))
-
-    @F.pandas_udf("long")
-    def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-        both = zip(a, b, strict=True)
-        sizes = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)) for x, y in both]
-        return pd.Series(sizes, dtype="int64")
-
-    left = sets.select(F.col("one").alias("u"), F.col("members").alias("u_members"))
-    right = sets.select(F.col("one").alias("v"), F.col("members").alias("v_members"))
-    found = pairs.join(left, "u").join(right, "v").withColumn("overlap", overlap("u_members", "v_members"))
-    union = F.expr("(length(u_members) + length(v_members)) div 8") - F.col("overlap")
-    similar = found.filter((F.col("overlap") * den >= union * num) & (F.col("overlap") > 0))
-    similar = cut(similar.select("u", "v", "overlap"))
-    of_u, of_v = (ids.select(F.col("one").alias(end), F.col("doc_id").alias(f"{end}_id")) for end in "uv")
-    named = similar.join(of_u, "u").join(of_v, "v")
-    return cut(named.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"), "overlap"))
+    return ordered.mapInArrow(run, "u long, v long").distinct()
 
 
 def jaccard_links(
@@ -403,16 +408,24 @@ def jaccard_links(
     table = cut(set_table(docs, k, id_col, text_col))
     same = table.filter("n_shingles > 0").groupBy("one", "two", "n_shingles")
     classes = cut(same.agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch")))
-    members = shared_keys(texts, _slots(classes, F.xxhash64("doc_id")), k, scheme)
-    one_group = members.withColumn("group", F.lit(0).cast("long"))
-    links = _verified(cut(_candidates(one_group, classes, scheme, across=False)), texts, classes, k, num, den)
-    joined = components(links.select("u", "v")).select(F.col("node").alias("doc_id"), "component")
-    group = F.xxhash64(F.coalesce("component", "doc_id")).alias("group")
-    grouped = members.join(classes.join(joined, "doc_id", "left").select(F.col("one").alias("set"), group), "set")
-    open_keys = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
-    grouped = grouped.join(open_keys.select("key"), "key")
-    rest = cut(_candidates(grouped, classes, scheme, across=True))
-    return table, classes, cut(links.unionByName(_verified(rest, texts, classes, k, num, den)))
+    shared = shared_keys(texts, _slots(classes, F.xxhash64("doc_id")), k, scheme)
+    families = components(_near_pairs(shared, classes, scheme))
+    families = families.select(F.col("node").alias("set"), F.col("component").alias("family"))
+    of_sets = classes.select(F.col("one").alias("set"), "doc_id", "n_shingles").filter("doc_id is not null")
+    members = cut(families.join(of_sets, "set"))
+    sets = _sets_of(texts, k, _slots(members, F.xxhash64("doc_id")))
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        found = similar_pairs([np.frombuffer(x, np.uint64) for x in group["members"]], num, den)
+        ids = group["doc_id"].to_numpy()
+        u, v = ids[[x[0] for x in found]], ids[[x[1] for x in found]]
+        return pd.DataFrame({"u": u, "v": v, "overlap": [x[2] for x in found]})
+
+    dealt = _tiles(members, "family", F.col("n_shingles")).join(sets, F.col("set") == F.col("one"))
+    dealt = dealt.select("family", "a", "b", "doc_id", "members")
+    links = dealt.groupBy("family", "a", "b").applyInPandas(compare, f"u {kind}, v {kind}, overlap long")
+    return table, classes, cut(links)
 
 
 def similar_groups(
