@@ -35,7 +35,8 @@ HEX = re.compile(r"[0-9a-f]{16,}+")
 
 KEYWORDS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "random")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % SHORTEST)
+# An equals sign ends a candidate as padding, but may stand before one: that is where values are.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % SHORTEST)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 NAMED_DIGEST = re.compile(r"(?i)(?:md5|sha-?\d*|checksum|digest|commit|etag|integrity|crc)\W{0,4}(?:\w{1,6}\W{1,3})?$")
 #: Digests that everybody knows: those of nothing.

@@ -155,6 +155,16 @@ def test_random_strings_by_token_efficiency(scan, text, found):
     assert any(kind == "random" for kind, _, _ in scan(text)) == found
 
 
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [("export GH_AUTH=", "\nexport A=b"), ("https://h/x?sig=", "&v=1"), ("GH_AUTH='", "'"), ('{"sig"="', '"}'), ("a==", "==")],
+)
+def test_random_strings_behind_an_equals_sign(scan, before, after):
+    value = "ghx_9aB3kZ0qLm28XcVt55RrYw1"
+    end = len(before) + len(value) + (2 if after == "==" else 0)
+    assert scan(before + value + after) == [("random", len(before), end)]
+
+
 def test_masking_leaves_nothing_to_find(spark, scan):
     docs = awkward(spark).withColumn("text", F.concat("text", F.lit(" xK9fQ2mZ7Lp0Rt5Vw8Yb3Nc6")))
     masked = secret_scan.mask_secrets(docs, queries.RANKS, queries.SPLITS)
