@@ -1,8 +1,8 @@
 """Secrets in texts: three fixed patterns, and random strings by their token efficiency.
 
 A vocabulary of byte pairs writes words in few tokens and random strings in many. A run of letters, digits and
-joiners that mixes letters with digits and has few characters per token is taken for a secret, unless it is a
-digest that is named as one or known by value, or a plain identifier.
+joiners that has few characters per token is taken for a secret, unless it is a number, a digest that is named as
+one or known by value, or an identifier: words of the vocabulary, told apart by case or joiners.
 """
 
 from __future__ import annotations
@@ -24,6 +24,10 @@ from orderwatch.llm.common import text_or_empty
 LEAST_EFFICIENCY = 2.4
 SHORTEST = 20
 NEAR = 24
+#: Letters that a word of an identifier has at least, and the most letters and digits that it has beside its words.
+#: None of 20,000 uniform base-62 strings of SHORTEST characters has so few beside words.
+LEAST_WORD = 3
+MOST_BESIDE = 7
 
 # The patterns of the contract.
 ASSIGN = re.compile(
@@ -38,6 +42,7 @@ KINDS = ("assign", "access", "hex", "random")
 # An equals sign ends a candidate as padding, but may stand before one: that is where values are.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % SHORTEST)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 NAMED_DIGEST = re.compile(r"(?i)(?:md5|sha-?\d*|checksum|digest|commit|etag|integrity|crc)\W{0,4}(?:\w{1,6}\W{1,3})?$")
 #: Digests that everybody knows: those of nothing.
 KNOWN_DIGESTS = frozenset(
@@ -65,16 +70,27 @@ class SecretScanner:
         """Characters per token."""
         return len(text) / max(1, len(self.encoding.encode_ordinary(text)))
 
+    def is_word(self, word: str) -> bool:
+        """Whether the vocabulary knows a run of letters, at the start of a text or behind a blank."""
+        if len(word) < LEAST_WORD:
+            return False
+        tokens = min(len(self.encoding.encode_ordinary(x)) for x in (word, " " + word))
+        return len(word) >= LEAST_EFFICIENCY * tokens
+
+    def is_identifier(self, value: str) -> bool:
+        """Whether little is left of a value without joiners and words."""
+        words = sum(len(word) for word in WORD.findall(value) if self.is_word(word.lower()))
+        return sum(c.isalnum() for c in value) - words <= MOST_BESIDE
+
     def is_random(self, text: str, found: re.Match) -> bool:
         value = found[0]
-        digits = sum(c.isdigit() for c in value)
-        if digits < 3 or digits == len(value) or not any(c.isalpha() for c in value):
+        if not any(c.isalpha() for c in value):
             return False
         if value.lower() in KNOWN_DIGESTS or UUID.fullmatch(value):
             return False
         if NAMED_DIGEST.search(text, max(0, found.start() - NEAR), found.start()):
             return False
-        return self.efficiency(value) < LEAST_EFFICIENCY
+        return self.efficiency(value) < LEAST_EFFICIENCY and not self.is_identifier(value)
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """All spans by start, then kind as listed."""

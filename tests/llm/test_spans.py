@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 
 import pytest
 from cases import TEXTS, awkward
@@ -165,6 +167,30 @@ def test_random_strings_behind_an_equals_sign(scan, before, after):
     assert scan(before + value + after) == [("random", len(before), end)]
 
 
+@pytest.mark.parametrize("alphabet", [string.ascii_letters + string.digits, string.ascii_letters])
+@pytest.mark.parametrize("size", [20, 24, 32])
+def test_random_strings_with_few_digits(scan, alphabet, size):
+    rnd = random.Random(size)
+    values = ["".join(rnd.choices(alphabet, k=size)) for _ in range(500)]
+    found = [scan(f"key {v} end") for v in values]
+    assert sum(any(start <= 4 and end >= 4 + size for _, start, end in f) for f in found) >= 499
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", [("random", 22, 62)]),
+        ("MAX_CONNECTION_RETRY_COUNT=5", []),
+        ("SPARK_SQL_SHUFFLE_PARTITIONS", []),
+        ("getElementsByClassNameNS", []),
+        ("prod_service_account_9aB3kZ0qLm2", [("random", 0, 32)]),
+        ("--------------------____", []),
+    ],
+)
+def test_identifiers_are_words_of_the_vocabulary(scan, text, found):
+    assert scan(text) == found
+
+
 def test_masking_leaves_nothing_to_find(spark, scan):
     docs = awkward(spark).withColumn("text", F.concat("text", F.lit(" xK9fQ2mZ7Lp0Rt5Vw8Yb3Nc6")))
     masked = secret_scan.mask_secrets(docs, queries.RANKS, queries.SPLITS)
