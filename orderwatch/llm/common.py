@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: The six white-space characters of the contracts, [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
+#: The most rows of an id and a digest that are broadcast.
+BROADCAST = 4096
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,13 +36,33 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
-    """`docs` without the rows whose id is a `doc_id` of `dropped`, null among them, whatever its columns are called."""
-    name = "dropped_id"
+def keep_rows(docs: DataFrame, decided: DataFrame, digest: Column, id_col: str, text_col: str) -> DataFrame:
+    """`docs` by decisions on its rows: `decided` has doc_id, digest and kept, of which kept follows from the others.
+
+    A row goes by its own id (null is one) and digest. Of rows equal in both the one with the longest text stays.
+    The columns of `docs` may have any names.
+    """
+    id_name, digest_name, own = (_unused(name, docs) for name in ("decided_id", "decided_digest", "own_digest"))
+    marks = decided.groupBy("doc_id", "digest").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
+    marks = cut(marks.filter("not kept or times > 1"))
+    marks = marks.select(F.col("doc_id").alias(id_name), F.col("digest").alias(digest_name), "kept")
+    keyed = docs.withColumn(own, digest)
+    alike = keyed[id_col].eqNullSafe(F.col(id_name)) & (F.col(own) == F.col(digest_name))
+    out = keyed.join(marks.drop("kept"), alike, "left_anti").drop(own)
+    repeated = marks.filter("kept").drop("kept")
+    count = repeated.count()
+    if not count:
+        return out
+    several = keyed.join(F.broadcast(repeated) if count <= BROADCAST else repeated, alike, "left_semi")
+    row, text = F.struct(*[F.col(f"`{name}`") for name in docs.columns]), text_or_empty(text_col)
+    one = several.groupBy(keyed[id_col], own).agg(F.max_by(row, F.struct(F.length(text), text)).alias("row"))
+    return out.unionByName(one.select("row.*"))
+
+
+def _unused(name: str, docs: DataFrame) -> str:
     while name in docs.columns:
         name += "_"
-    ids = dropped.select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(ids[name]), "left_anti")
+    return name
 
 
 class Memo(dict):

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwatch.llm.common import BLANKS, cut, text_or_empty, without_ids
+from orderwatch.llm.common import BLANKS, cut, keep_rows, text_or_empty
 
 #: Counters of a sketch, and with that the most winners that are broadcast. A digest with more than about
 #: 3.5 / TRACKED of all rows is never missed.
@@ -69,5 +69,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the copies, all columns as they were."""
-    return without_ids(docs, exact_groups(docs, id_col, text_col).filter(~F.col("kept")), id_col)
+    """`docs` with one row of each group, all columns as they were.
+
+    Rows are decided one by one: what shares its id with a copy, or like a copy has no id, stays unless its own text
+    is one. Of rows that repeat an id with the same text one stays.
+    """
+    decided = exact_groups(docs, id_col, text_col).withColumnRenamed("text_sha256", "digest")
+    return keep_rows(docs, decided, F.sha2(normalised(text_or_empty(text_col)), 256), id_col, text_col)

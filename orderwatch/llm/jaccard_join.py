@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderwatch.llm.common import cut, text_or_empty, without_ids
+from orderwatch.llm.common import cut, keep_rows, text_or_empty
 from orderwatch.llm.components import components
 
 BAND_RATIO = 1.7
@@ -269,8 +269,14 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
 
-def set_table(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, the two hashes of its set, and its sketch."""
+def _text_digest(text_col: str) -> Column:
+    return F.sha2(text_or_empty(text_col), 256)
+
+
+def set_table(
+    docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text", digests: bool = False
+) -> DataFrame:
+    """Per row: doc_id, with `digests` the text's digest, n_shingles, the two hashes of its set, and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,12 +284,15 @@ def set_table(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "
                 sets = (shingles(text, k) for text in part.column("text").to_pylist())
                 n, one, two, drawn = zip(*((len(x), *set_hashes(x), sketch(x)) for x in sets), strict=True)
                 numbers = [pa.array(c, pa.int64()) for c in (n, one, two)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *numbers, pa.array(drawn, pa.binary())], names=names)
+                own = [part.column(c) for c in names[:-4]]
+                yield pa.RecordBatch.from_arrays([*own, *numbers, pa.array(drawn, pa.binary())], names=names)
 
-    names = ["doc_id", "n_shingles", "one", "two", "sketch"]
+    names = ["doc_id", *(["digest"] if digests else []), "n_shingles", "one", "two", "sketch"]
     texts = _documents(docs, id_col, text_col)
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, n_shingles long, one long, two long, sketch binary")
+    kind = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}"
+    if digests:
+        texts, kind = texts.withColumn("digest", _text_digest("text")), f"{kind}, digest string"
+    return texts.mapInArrow(run, f"{kind}, n_shingles long, one long, two long, sketch binary")
 
 
 def _slotted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -396,7 +405,13 @@ def _near_pairs(members: DataFrame, classes: DataFrame, scheme: Scheme) -> DataF
 
 
 def jaccard_links(
-    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    k: int = 5,
+    num: int = 80,
+    den: int = 100,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    digests: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The set of each row, the classes of equal sets, and verified links between their representatives.
 
@@ -405,7 +420,7 @@ def jaccard_links(
     links returned join everything that such links join, though not every pair of a group is listed.
     """
     texts, scheme = _slotted(docs, id_col, text_col), Scheme(num, den)
-    table = cut(set_table(docs, k, id_col, text_col))
+    table = cut(set_table(docs, k, id_col, text_col, digests))
     same = table.filter("n_shingles > 0").groupBy("one", "two", "n_shingles")
     classes = cut(same.agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch")))
     shared = shared_keys(texts, _slots(classes, F.xxhash64("doc_id")), k, scheme)
@@ -437,18 +452,31 @@ def similar_groups(
     share an id are one document. A row without an id is grouped with what its text equals, if anything, and never
     gives its group a name. Other columns are neither read nor returned.
     """
-    table, classes, links = jaccard_links(docs, k, num, den, id_col, text_col)
+    return _grouped(*jaccard_links(docs, k, num, den, id_col, text_col)).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(table: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of `table` with component_id."""
     joined = components(links.select("u", "v")).select(F.col("node").alias("doc_id"), "component")
     named = classes.join(joined, "doc_id", "left").select(
         "one", "two", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
     out = table.join(named, ["one", "two", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
 def drop_similar(
     docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """`docs` with one document of each group, the one with the smallest id; all columns as they were."""
-    groups = similar_groups(docs, k, num, den, id_col, text_col)
-    return without_ids(docs, groups.filter("component_id != doc_id"), id_col)
+    """`docs` with one document of each group, the one with the smallest id; all columns as they were.
+
+    Rows are decided one by one, by their own text. Of rows that repeat an id with the same set one stays, of those
+    without words and of those without an id one of each text.
+    """
+    rows = _grouped(*jaccard_links(docs, k, num, den, id_col, text_col, digests=True))
+    sets = ["doc_id", "one", "two", "n_shingles"]
+    first = rows.filter("n_shingles > 0 and doc_id = component_id").groupBy(*sets).agg(F.min("digest").alias("first"))
+    decided = rows.join(first, sets, "left").withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & F.coalesce(F.col("digest") == F.col("first"), F.lit(True))
+    )
+    return keep_rows(docs, decided.select("doc_id", "digest", "kept"), _text_digest(text_col), id_col, text_col)

@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from cases import awkward, groups, shingle_set, variants
 from compare import KINDS, difference, tables
-from orderwatch.llm import exact_dedup, jaccard_join, queries
+from orderwatch.llm import common, exact_dedup, jaccard_join, queries
 from orderwatch.llm.components import components
+from pyspark.sql import functions as F
 
 
 @pytest.mark.parametrize("name", sorted(queries.ANSWERS))
@@ -37,6 +38,29 @@ def test_case_and_ties(spark):
     assert found == {1: (1, 1, True), 2: (2, 2, True), 3: (2, 2, False)}
 
 
+def test_copies_go_row_by_row(spark):
+    rows = [(None, "same text"), (None, "alone one"), (1, "same text"), (2, "other words"), (2, "same  text"), (2, "third")]
+    rows += [(3, "again"), (3, "again"), (3, "ag ain"), (None, ""), (9, None), (None, "nameless"), (None, "nameless")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("decided_id", F.lit("kept"))
+    out = exact_dedup.drop_copies(docs.repartition(5))
+    assert out.dtypes == docs.dtypes
+    expected = [(None, "alone one"), (None, "nameless"), (2, "other words"), (2, "same  text"), (2, "third"), (3, "ag ain")]
+    assert sorted(((r.doc_id or 0, r.text or "") for r in out.collect())) == sorted(
+        [(i or 0, text) for i, text in expected] + [(9, "")]
+    )
+
+
+def test_near_copies_go_row_by_row(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST", 1)
+    a, b, c = ("one two three four five six", "seven eight nine ten eleven", "twelve thirteen fourteen fifteen sixteen")
+    rows = [(1, a), (2, a.upper()), (2, b), (None, a), (None, c), (None, c), (3, "x"), (3, "x"), (3, "X"), (4, ""), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = jaccard_join.drop_similar(docs.repartition(5))
+    assert out.dtypes == docs.dtypes
+    left = sorted((r.doc_id or 0, r.text.lower()) for r in out.collect())
+    assert left == [(0, c), (1, a), (2, b), (3, "x"), (4, "")]
+
+
 def test_a_third_of_all_rows_in_one_group(spark):
     rows = [(i, "same text" if i % 3 == 0 else f"text {i % 500}") for i in range(6000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
