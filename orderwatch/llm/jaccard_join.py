@@ -12,15 +12,15 @@ that more than one set has are then looked up in a second pass over the texts. S
 sketches: the number of shingles in each of PARTS parts of the universe, whose differences add up to no more than
 the sets differ by. That rules nearly all chance pairs out. What is left, as a least spanning forest of each key, makes
 families, and any two sets that link are in one. The members of a family are compared exactly, on the shingles
-themselves; only edges that join what is not yet joined leave a comparison. Keys and families of very many sets are
-dealt into tiles of bounded size, and pairs of tiles.
+themselves. Each set's number of links leaves a comparison, and of the links those that join what is not yet joined, or
+all where they are asked for. Keys and families of very many sets are dealt into tiles of bounded size, and pairs of tiles.
 """
 
 from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -163,15 +163,17 @@ class Scheme:
         return np.concatenate(keys).view(np.int64), np.concatenate(looks)
 
 
-def similar_pairs(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int, int]]:
-    """Pairs of positions with their overlap that join everything joined by similar pairs.
+def similar_pairs(sets: list[np.ndarray], num: int, den: int, split: int = 0) -> np.ndarray:
+    """All similar pairs: a row of two positions and the overlap each, by the first, then the second position.
 
-    Overlaps are counted exactly, as products of membership matrices over the shingles that more than one set
-    has, some columns at a time.
+    With `split`, only pairs of one of the first `split` sets and one of the others. Overlaps are counted exactly, as
+    products of membership matrices over the shingles that more than one set has, some columns at a time.
     """
     sizes = np.array([len(x) for x in sets], np.int64)
+    upper, lower = slice(split or None), slice(split, None)
     if len(sets) == 2:
-        overlap = np.array([[0, len(np.intersect1d(sets[0], sets[1], assume_unique=True))]] * 2)
+        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        overlap = np.array([[both]] if split else [[0, both], [both, 0]])
     else:
         _, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         shared = counts > 1
@@ -180,22 +182,29 @@ def similar_pairs(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int,
         rows, columns = rows[inside], columns[inside]
         order = np.argsort(columns, kind="stable")
         rows, columns = rows[order], columns[order]
-        overlap = np.zeros((len(sets), len(sets)), np.float32)
+        overlap = np.zeros((len(sizes[upper]), len(sizes[lower])), np.float32)
         wide = max(256, 16_000_000 // (4 * len(sets)))
         for begin in range(0, int(shared.sum()), wide):
             a, b = np.searchsorted(columns, [begin, begin + wide])
             part = np.zeros((len(sets), wide), np.float32)
             part[rows[a:b], columns[a:b] - begin] = 1
-            overlap += part @ part.T
-    group, links = np.arange(len(sets)), []
-    for i in range(len(sets)):
-        both = overlap[i].astype(np.int64)
-        hits = np.flatnonzero((both * den >= num * (sizes + sizes[i] - both)) & (both > 0))
-        for j in hits[hits > i].tolist():
-            if group[i] != group[j]:
-                group[group == group[j]] = group[i]
-                links.append((i, j, int(both[j])))
-    return links
+            overlap += part[upper] @ part[lower].T
+    overlap = overlap.astype(np.int64)
+    hit = (overlap * den >= num * (sizes[upper, None] + sizes[lower] - overlap)) & (overlap > 0)
+    i, j = np.nonzero(hit if split else np.triu(hit, 1))
+    return np.column_stack((i, j + split, overlap[i, j]))
+
+
+def spanning(pairs: np.ndarray, count: int) -> np.ndarray:
+    """Of the pairs of `count` sets those that join what is not yet joined."""
+    group, kept = np.arange(count), []
+    edges = np.flatnonzero(np.diff(pairs[:, 0], prepend=-1, append=-1)).tolist() if len(pairs) else []
+    for begin, end in pairwise(edges):
+        i, others = pairs[begin, 0], pairs[begin:end, 1]
+        while len(apart := np.flatnonzero(group[others] != group[i])):
+            kept.append(begin + apart[0])
+            group[group == group[others[apart[0]]]] = group[i]
+    return pairs[np.array(kept, np.int64)]
 
 
 def sketch(found: np.ndarray) -> bytes:
@@ -355,6 +364,8 @@ def shared_keys(texts: DataFrame, reps: bytes, k: int, scheme: Scheme) -> DataFr
 def _tiles(members: DataFrame, by: str, weight: Column) -> DataFrame:
     """Deals the members of each group into tiles, and each tile into its pairs with every other, as `a` and `b`.
 
+    Members have their `tile` beside them; a pair of equal tiles is that tile alone.
+
     A tile holds about TILE_SETS members, or TILE of `weight`. Groups of one are left out.
     """
     tiles = F.greatest(F.ceil(F.count(F.lit(1)) / TILE_SETS), F.ceil(F.sum(weight) / TILE)).cast("int")
@@ -362,7 +373,7 @@ def _tiles(members: DataFrame, by: str, weight: Column) -> DataFrame:
     dealt = members.join(sizes, by).withColumn("tile", F.expr("int(pmod(xxhash64(set), tiles))"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     pair = [F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b")]
-    return dealt.select(*members.columns, *pair)
+    return dealt.select(*members.columns, "tile", *pair)
 
 
 def _near_pairs(members: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -404,43 +415,82 @@ def _near_pairs(members: DataFrame, classes: DataFrame, scheme: Scheme) -> DataF
     return ordered.mapInArrow(run, "u long, v long").distinct()
 
 
-def jaccard_links(
-    docs: DataFrame,
-    k: int = 5,
-    num: int = 80,
-    den: int = 100,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    digests: bool = False,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The set of each row, the classes of equal sets, and verified links between their representatives.
+def _compared(
+    docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, digests: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What `jaccard_links` returns, with a forest (u, v) of the links, which joins all that they join, before them.
 
-    Sets: see `set_table`. Classes: one, two (the set's hashes), n_shingles, doc_id (the smallest of the class) and
-    sketch. Links: u, v (two representatives) and overlap. Two sets link when den * intersection >= num * union; the
-    links returned join everything that such links join, though not every pair of a group is listed.
+    Every two sets of a family meet in one pair of tiles. Counts and forest leave the comparison, no more rows than it
+    reads; the links themselves are listed only where they are asked for.
     """
     texts, scheme = _slotted(docs, id_col, text_col), Scheme(num, den)
     table = cut(set_table(docs, k, id_col, text_col, digests))
     same = table.filter("n_shingles > 0").groupBy("one", "two", "n_shingles")
-    classes = cut(same.agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch")))
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+    classes = cut(same.agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch"), n_rows))
     shared = shared_keys(texts, _slots(classes, F.xxhash64("doc_id")), k, scheme)
     families = components(_near_pairs(shared, classes, scheme))
     families = families.select(F.col("node").alias("set"), F.col("component").alias("family"))
-    of_sets = classes.select(F.col("one").alias("set"), "doc_id", "n_shingles").filter("doc_id is not null")
+    of_sets = classes.select(F.col("one").alias("set"), "doc_id", "n_shingles", "n_rows").filter("doc_id is not null")
     members = cut(families.join(of_sets, "set"))
     sets = _sets_of(texts, k, _slots(members, F.xxhash64("doc_id")))
     kind = texts.schema["doc_id"].dataType.simpleString()
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        found = similar_pairs([np.frombuffer(x, np.uint64) for x in group["members"]], num, den)
+    def verified(key: tuple, group: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+        """The members of a pair of tiles, those of the first tile first, and the similar pairs not met elsewhere."""
+        group = group.sort_values("tile", kind="stable", ignore_index=True)
+        split = 0 if key[1] == key[2] else int((group["tile"] == key[1]).sum())
+        if len(group) < 2 or (key[1] != key[2] and split in (0, len(group))):
+            return group, np.empty((0, 3), np.int64)
+        return group, similar_pairs([np.frombuffer(x, np.uint64) for x in group["members"]], num, den, split)
+
+    def listed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group, pairs = verified(key, group)
         ids = group["doc_id"].to_numpy()
-        u, v = ids[[x[0] for x in found]], ids[[x[1] for x in found]]
-        return pd.DataFrame({"u": u, "v": v, "overlap": [x[2] for x in found]})
+        return pd.DataFrame({"u": ids[pairs[:, 0]], "v": ids[pairs[:, 1]], "overlap": pairs[:, 2]})
+
+    def summed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group, pairs = verified(key, group)
+        ids, sizes, counts = group["doc_id"].to_numpy(), group["n_rows"].to_numpy(), np.zeros(len(group), np.int64)
+        np.add.at(counts, pairs[:, 0], sizes[pairs[:, 1]])
+        np.add.at(counts, pairs[:, 1], sizes[pairs[:, 0]])
+        kept, linked = spanning(pairs, len(group)), np.flatnonzero(counts)
+        joins = pd.DataFrame({"u": ids[kept[:, 0]], "v": ids[kept[:, 1]], "set": 0, "n_links": 0})
+        tally = pd.DataFrame({"u": ids[linked], "v": None, "set": group["set"].to_numpy()[linked], "n_links": counts[linked]})
+        return pd.concat([joins.astype({"v": object}), tally], ignore_index=True)
 
     dealt = _tiles(members, "family", F.col("n_shingles")).join(sets, F.col("set") == F.col("one"))
-    dealt = dealt.select("family", "a", "b", "doc_id", "members")
-    links = dealt.groupBy("family", "a", "b").applyInPandas(compare, f"u {kind}, v {kind}, overlap long")
-    return table, classes, cut(links)
+    dealt = dealt.select("family", "a", "b", "tile", "set", "doc_id", "n_rows", "members").groupBy("family", "a", "b")
+    found = cut(dealt.applyInPandas(summed, f"u {kind}, v {kind}, set long, n_links long"))
+    tallies = found.filter("v is null").groupBy(F.col("set").alias("one")).agg(F.sum("n_links").alias("others"))
+    n_links = (F.coalesce("others", F.lit(0)) + F.col("n_rows") - 1).alias("n_links")
+    classes = classes.join(tallies, "one", "left").select(*classes.columns, n_links)
+    links = dealt.applyInPandas(listed, f"u {kind}, v {kind}, overlap long")
+    return table, classes, found.filter("v is not null").select("u", "v"), links
+
+
+def jaccard_links(
+    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The set of each row, the classes of equal sets, and all verified links between their representatives.
+
+    Sets: see `set_table`. Classes: one, two (the set's hashes), n_shingles, doc_id (the smallest of the class),
+    sketch, n_rows (its rows) and n_links (the other rows that a row of the class links with, copies among them). Links:
+    u, v (two representatives) and overlap, each pair once. Two sets link when den * intersection >= num * union. A
+    class without any id is not compared. The links of a large group are as many as its pairs.
+    """
+    table, classes, _, links = _compared(docs, k, num, den, id_col, text_col)
+    return table, classes, links
+
+
+def link_counts(
+    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per row: doc_id and n_links, the other rows it links with; none for a text without words."""
+    table, classes, _ = jaccard_links(docs, k, num, den, id_col, text_col)
+    sets = ["one", "two", "n_shingles"]
+    rows = table.join(classes.select(*sets, "n_links"), sets, "left")
+    return rows.select("doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def similar_groups(
@@ -452,12 +502,12 @@ def similar_groups(
     share an id are one document. A row without an id is grouped with what its text equals, if anything, and never
     gives its group a name. Other columns are neither read nor returned.
     """
-    return _grouped(*jaccard_links(docs, k, num, den, id_col, text_col)).select("doc_id", "n_shingles", "component_id")
+    return _grouped(*_compared(docs, k, num, den, id_col, text_col)[:3]).select("doc_id", "n_shingles", "component_id")
 
 
-def _grouped(table: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+def _grouped(table: DataFrame, classes: DataFrame, forest: DataFrame) -> DataFrame:
     """The rows of `table` with component_id."""
-    joined = components(links.select("u", "v")).select(F.col("node").alias("doc_id"), "component")
+    joined = components(forest).select(F.col("node").alias("doc_id"), "component")
     named = classes.join(joined, "doc_id", "left").select(
         "one", "two", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
@@ -473,7 +523,7 @@ def drop_similar(
     Rows are decided one by one, by their own text. Of rows that repeat an id with the same set one stays, of those
     without words and of those without an id one of each text.
     """
-    rows = _grouped(*jaccard_links(docs, k, num, den, id_col, text_col, digests=True))
+    rows = _grouped(*_compared(docs, k, num, den, id_col, text_col, digests=True)[:3])
     sets = ["doc_id", "one", "two", "n_shingles"]
     first = rows.filter("n_shingles > 0 and doc_id = component_id").groupBy(*sets).agg(F.min("digest").alias("first"))
     decided = rows.join(first, sets, "left").withColumn(

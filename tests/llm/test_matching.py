@@ -128,6 +128,31 @@ def test_groups_like_all_pairs(spark, monkeypatch, k, num):
     assert kept == {i for i, group in expected.items() if i == group}
 
 
+@pytest.mark.parametrize("tile", [1000, 7])
+def test_every_link_is_listed_and_counted(spark, monkeypatch, tile):
+    monkeypatch.setattr(jaccard_join, "TILE_SETS", tile)
+    texts = variants(6, [30, 12, 2, *[1] * 5], [150], 1)
+    texts = dict(enumerate([*texts, *texts[:9], "", "one", "ONE", "one two"]))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    sets = {i: frozenset(shingle_set(t, 3)) for i, t in texts.items()}
+    alike = {
+        (a, b): len(sets[a] & sets[b])
+        for a in sets
+        for b in sets
+        if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])
+    }
+    first = {}
+    for i, found in sets.items():
+        first.setdefault(found, i)
+    expected = {p: n for p, n in alike.items() if first[sets[p[0]]] == p[0] and first[sets[p[1]]] == p[1]}
+    assert len(expected) > 60
+    rows = jaccard_join.jaccard_links(docs, 3, 90)[2].collect()
+    assert len(rows) == len(expected)
+    assert {(min(r.u, r.v), max(r.u, r.v)): r.overlap for r in rows} == expected
+    counted = {r.doc_id: r.n_links for r in jaccard_join.link_counts(docs, 3, 90).collect()}
+    assert counted == {i: sum(i in p for p in alike) for i in texts}
+
+
 def test_groups_of_awkward_rows(spark):
     docs = awkward(spark)
     rows = jaccard_join.similar_groups(docs, 3, 90).collect()
