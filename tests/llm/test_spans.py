@@ -85,6 +85,19 @@ def test_added_kinds_need_a_checksum_or_a_word_nearby(spark, text, kind):
     assert added == ([kind] if kind else [])
 
 
+def test_account_numbers_end_where_their_country_says(spark):
+    short, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    behind = [" BIC COBADEFFXXX", " BIC COBADEFF", " 1000 EUR", " EUR", " PAID IN FULL 2024", "\nBIC", ".", ""]
+    texts = [(f"AB12 IBAN {value}{rest}", value) for value in (short, spaced) for rest in behind]
+    texts += [(f"{value} NO MORE", value) for value in ("GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947")]
+    texts += [(f"{short}0", None), (f"{short}x", None), ("ZZ22 3704 0044 0532 0130 00", "ZZ22 3704 0044 0532 0130 00")]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(texts)], "doc_id long, text string")
+    for row in pii.find_personal_data(docs).collect():
+        text, value = texts[row.doc_id]
+        found = [(s.start, s.hit) for s in row.spans if s.kind == "iban"]
+        assert found == ([(text.index(value), value)] if value else []), text
+
+
 def test_words_nearby_lift_the_score(spark):
     docs = spark.createDataFrame([(1, "4111111111111111"), (2, "my card 4111111111111111")], "doc_id long, text string")
     scores = {r.doc_id: r.spans[0].score for r in pii.find_personal_data(docs).collect()}
