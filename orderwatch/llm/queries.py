@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orderwatch.llm import (
     bpe_count,
+    byte_codec,
     exact_dedup,
     jaccard_join,
     line_rules,
@@ -16,6 +17,7 @@ from orderwatch.llm import (
     piece_codec,
     quality,
     secret_scan,
+    spelling,
     url_filter,
 )
 from orderwatch.llm.common import read_table
@@ -92,6 +94,20 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def byte_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_codec.encode_bytes(read_table(spark, sf_dir, "documents"), RANKS, SPLITS)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": urls,
     "op2_quality_rules": quality_rules,
@@ -103,6 +119,8 @@ QUERIES = {
     "op8_secret_scan": secrets,
     "op9_quality_classifier": quality_scores,
     "op10_exact_dedup": exact_copies,
+    "op11_byte_codec": byte_codes,
+    "op12_spelling_variants": spelling_variants,
 }
 
 #: Word sets, all pairs of different sets that share a shingle, and the links followed to their ends.
