@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderwatch.llm.common import cut, keep_rows, text_or_empty
+from orderwatch.llm.common import cut, keep_rows, mix, text_or_empty
 from orderwatch.llm.components import components
 
 BAND_RATIO = 1.7
@@ -50,14 +50,6 @@ FAR = 1 << 40
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every bit of the result depends on every bit of `x`."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def shingles(text: str, k: int) -> np.ndarray:
     """The distinct k-word shingles of a text as sorted 64-bit hashes; of fewer words, the whole sequence as one."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # of bytes: only A-Z, only the six blanks
@@ -69,14 +61,14 @@ def shingles(text: str, k: int) -> np.ndarray:
     found = np.full(count, size, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(size):
-            found = _mix(found * _STEP + each[i : i + count])
+            found = mix(found * _STEP + each[i : i + count])
     return np.unique(found)
 
 
 def set_hashes(found: np.ndarray) -> tuple[int, int]:
     """Two independent hashes of a set, each a sum over its members."""
     with np.errstate(over="ignore"):
-        one, two = _mix(found + _STEP).sum(dtype=np.uint64), _mix(found ^ _STEP).sum(dtype=np.uint64)
+        one, two = mix(found + _STEP).sum(dtype=np.uint64), mix(found ^ _STEP).sum(dtype=np.uint64)
     return int(np.int64(one.view(np.int64))), int(np.int64(two.view(np.int64)))
 
 
@@ -123,19 +115,19 @@ class Scheme:
     def _of_band(self, found: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """The key of each segment, the shingles in it, and the one-deletion keys of the segments set aside."""
         m = self.segments(band)
-        mixed = _mix(found * _STEP + np.uint64(band))
+        mixed = mix(found * _STEP + np.uint64(band))
         segment = (mixed % np.uint64(m)).astype(np.uint16 if m < 1 << 16 else np.int64)  # short numbers sort fast
         order = np.argsort(segment, kind="stable")
         sizes = np.bincount(segment, minlength=m)
         with np.errstate(over="ignore"):
-            terms = _mix(mixed)[order]
+            terms = mix(mixed)[order]
             running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
             ends = np.cumsum(sizes)
             values = running[ends] - running[ends - sizes]
-            salt = _mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 32))
+            salt = mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 32))
             aside = range(min(SET_ASIDE, m))
-            near = [_mix((values[i] - terms[ends[i] - sizes[i] : ends[i]]) ^ salt[i]) for i in aside]
-        return _mix(values ^ salt), sizes, near
+            near = [mix((values[i] - terms[ends[i] - sizes[i] : ends[i]]) ^ salt[i]) for i in aside]
+        return mix(values ^ salt), sizes, near
 
     def keys(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The keys of a set, and for each whether the set looks for others there or only waits to be found."""

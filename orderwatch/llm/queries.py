@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderwatch.llm import (
     bpe_count,
     byte_codec,
+    collocations,
     exact_dedup,
     jaccard_join,
     line_rules,
@@ -108,6 +109,10 @@ def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": urls,
     "op2_quality_rules": quality_rules,
@@ -121,6 +126,7 @@ QUERIES = {
     "op10_exact_dedup": exact_copies,
     "op11_byte_codec": byte_codes,
     "op12_spelling_variants": spelling_variants,
+    "op13_collocations": phrase_collocations,
 }
 
 #: Word sets, all pairs of different sets that share a shingle, and the links followed to their ends.
@@ -152,7 +158,45 @@ SIMILAR = r"""
     FROM shingled d LEFT JOIN sets t ON t.s = d.s LEFT JOIN named c ON c.id = t.id
 """
 
+#: All phrases of up to five words within pieces, counted by language; every cut of the frequent ones.
+COLLOCATIONS = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), words AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    f AS MATERIALIZED (
+        SELECT lang, k, phrase, count(*) AS f
+        FROM (
+            SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+            FROM words, range(1, 6) AS sizes(k)
+        ) GROUP BY lang, k, phrase HAVING count(*) >= 100
+    ), candidates AS MATERIALIZED (
+        SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+    ), inside AS (
+        SELECT DISTINCT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, a
+        FROM candidates, range(2, 5) AS sizes(size), range(1, 5) AS places(i) WHERE size < k AND i + size - 1 <= k
+    ), kept AS (
+        SELECT c.* FROM candidates c
+        WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 100 * c.a)
+    ), cuts AS (
+        SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, n, cut,
+               CAST((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+        FROM kept c, range(1, 5) AS places(cut), f x, f y, totals t
+        WHERE cut < c.k AND t.lang = c.lang
+          AND x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+          AND y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')
+    ), scored AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM scored QUALIFY rank <= 2000
+"""
+
 ANSWERS = {
+    "op13_collocations": COLLOCATIONS,
     "op6_jaccard_join": SIMILAR,
     "op10_exact_dedup": r"""
         WITH rows AS (
