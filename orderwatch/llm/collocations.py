@@ -185,6 +185,8 @@ def grams(texts: DataFrame, size: int, shared, range_bits: int, table: bytes | N
         yield from cut_by_range(merged(layout, held))
 
     def cut_by_range(counts: Counts) -> Iterator[pa.RecordBatch]:
+        if not len(counts):
+            return
         numbers, begins = np.unique(layout.ranges(counts.left), return_index=True)
         ends = np.append(begins[1:], len(counts))
         part = lambda a, b: Counts(counts.left[a:b], counts.right[a:b], counts.n[a:b])
