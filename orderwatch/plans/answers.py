@@ -369,4 +369,41 @@ SELECT count(DISTINCT (SELECT count(*) FROM cuts WHERE cut <= "timestamp")) AS b
 FROM o WHERE "timestamp" BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'""",
     ),
 }
+CLOSED_POPULAR = f"(SELECT * FROM popular WHERE window_end <= {CLOSED.format('1 minute')})"
+ANSWERS |= {
+    "late_rows": _with(
+        EVENT_ORDERS,
+        select="""SELECT order_id, "timestamp", product_name, total_price FROM o WHERE "timestamp" < TIMESTAMP '2024-01-16'""",
+    ),
+    "windows_beside_late": _with(
+        EVENT_ORDERS, POPULAR, select=f"SELECT * FROM {CLOSED_POPULAR} WHERE window_start >= TIMESTAMP '2024-01-16'"
+    ),
+    "top5_overall_stream": _with(
+        EVENT_ORDERS,
+        POPULAR,
+        select=f"""
+SELECT *, CAST(row_number() OVER (ORDER BY order_count DESC, window_start, product_name) AS INTEGER) AS rank
+FROM {CLOSED_POPULAR} QUALIFY rank <= 5""",
+    ),
+    "top5_per_window_stream": _with(
+        EVENT_ORDERS,
+        POPULAR_SLIDING,
+        select=f"""
+SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY order_count DESC, product_name) AS INTEGER) AS rank
+FROM {CLOSED_POPULAR} QUALIFY rank <= 2""",
+    ),
+    "realtime_stats_enriched_update": ANSWERS["realtime_stats_enriched"],
+    "counter_delta_stream": _with(
+        EVENT_ORDERS,
+        select=f"""
+SELECT order_id, CAST(price AS BIGINT) AS sent_bytes, sent_bytes_delta_mb
+FROM (
+  SELECT *, (price - lag(price) OVER (PARTITION BY user_id ORDER BY "timestamp", order_id)) / 1048576 AS sent_bytes_delta_mb
+  FROM o
+) WHERE time_bucket(INTERVAL '1 minute', "timestamp" + INTERVAL '59.999999 seconds') <= {CLOSED.format('1 minute')}""",
+    ),
+    "throughput_report_stream": f"""
+SELECT * FROM ({ANSWERS["throughput_report"]})
+WHERE window_start + INTERVAL '1 hour' <= {CLOSED.format('10 seconds')}""",
+}
 ANSWERS["alerts_verdicts"] = ANSWERS["order_verdict"]

@@ -31,7 +31,10 @@ from orderwatch.plans.replay import (
 from orderwatch.sources import codec, feeds
 from orderwatch.sources.orders import read_metrics_csv
 from orderwatch.streaming import jobs, sinks
-from orderwatch.streaming.rolling import rolling_ip_count_stream
+from orderwatch.streaming.late import divided, windows_and_late
+from orderwatch.streaming.live import PART_KEYS, live_stats, stats_of_parts
+from orderwatch.streaming.rolling import counted, rolling_counts
+from orderwatch.streaming.running import counter_delta_stream, throughput_stream, top_of_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -439,18 +442,80 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest(replay_messages(spark, sf_dir, build, "update", [second, ~second]), "popular_products")
 
 
-def stream_rolling_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def counted(path: str, sink: sinks.Sink) -> sinks.Sink:
-        return rolling_ip_count_stream(path, sink, look_back=24 * 3600, cells=24)
+def _divided(spark: SparkSession, sf_dir: str, of_windows: bool) -> DataFrame:
+    """The second half of the month, then the first, which is late; the closed windows, or the late orders."""
+    second = F.col("ts").cast("timestamp_ntz") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    popular = lambda orders: windows.popular_products(orders, "6 hours", delay=None)
+    ignored = lambda batch, batch_id: None
+    return replay(
+        spark,
+        sf_dir,
+        lambda orders: windows_and_late(orders, popular, "6 hours", "1 minute"),
+        "append",
+        wrap=lambda _, sink: divided(sink, ignored) if of_windows else divided(ignored, sink),
+        output=lambda plan: plan.select("window.*" if of_windows else "late.*"),
+        cuts=[second, ~second],
+    ).drop("batch_id")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The late orders themselves."""
+    return _divided(spark, sf_dir, False).select("order_id", "timestamp", "product_name", "total_price")
+
+
+def stream_windows_beside_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closed windows of the orders that came in time."""
+    return _divided(spark, sf_dir, True)
+
+
+def stream_top5_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of the windows that are closed, from state of five rows."""
+    build = lambda orders: top_of_stream(windows.popular_products(orders, "6 hours"), "order_count")
+    return sinks.latest(replay(spark, sf_dir, build, "append"), ["rank"])
+
+
+def stream_top5_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two best of each window as it closes."""
+    return replay(
+        spark,
+        sf_dir,
+        lambda orders: windows.popular_products(orders, "6 hours", "2 hours"),
+        "append",
+        wrap=lambda _, sink: sinks.ranked(sink, "order_count", 2),
+        output=lambda popular: popular.withColumn("rank", F.lit(0)),
+    ).drop("batch_id")
+
+
+def stream_stats_enriched_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update mode: open windows too, handed on again when an address crosses the limit."""
+    parts = replay(spark, sf_dir, lambda orders: live_stats(orders, "1 day", limit=5, parts=4), "update")
+    return stats_of_parts(sinks.latest(parts, PART_KEYS))
+
+
+def stream_counter_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's price as the sample of a counter of its user."""
 
+    def build(orders: DataFrame) -> DataFrame:
+        samples = orders.select("order_id", "timestamp", "user_id", F.col("price").cast("bigint").alias("sent_bytes"))
+        return counter_delta_stream(samples, ["sent_bytes"], ["timestamp", "order_id"], ["user_id"])
+
+    return replay(spark, sf_dir, build, "append").select("order_id", "sent_bytes", "sent_bytes_delta_mb")
+
+
+def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = replay(spark, sf_dir, lambda orders: throughput_stream(orders, "1 hour"), "append").drop("batch_id")
+    return report.withColumn("avg_rate", F.round("avg_rate", 9))
+
+
+def stream_rolling_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["order_id", "ip_address", "timestamp"]
     return replay(
         spark,
         sf_dir,
-        lambda orders: orders.select(*columns),
+        lambda orders: rolling_counts(orders.select(*columns), look_back=24 * 3600, cells=1),
         "append",
-        wrap=counted,
-        output=lambda orders: orders.withColumn("recent_orders", F.lit(0).cast("bigint")),
+        wrap=lambda _, sink: counted(sink),
+        output=lambda plan: plan.select("order.*", "level.recent_orders"),
     ).drop("batch_id")
 
 
@@ -460,7 +525,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for schema in published(spark, sf_dir, f"{root}/in"):
         orders = event_stream(session, f"{root}/in", schema)
         sink = sinks.changelog(f"{root}/verdicts")
-        for query in jobs.run_alerts(orders, sink, f"{root}/alerts", 24 * 3600, limit=5, trigger=jobs.ONCE):
+        for query in jobs.run_alerts(orders, sink, f"{root}/alerts", 24 * 3600, limit=5, trigger=jobs.ONCE, cells=1):
             query.awaitTermination()
     verdicts = spark.read.parquet(f"{root}/verdicts")
     return verdicts.select("order_id", "recent_orders", "total_price", "verdict")
@@ -573,6 +638,13 @@ QUERIES: dict[str, Query] = {
     "orders_source": stream_messages,
     "late_data": stream_late_data,
     "rolling_ip_count_stream": stream_rolling_ip_count,
+    "late_rows": stream_late_rows,
+    "windows_beside_late": stream_windows_beside_late,
+    "top5_overall_stream": stream_top5_overall,
+    "top5_per_window_stream": stream_top5_per_window,
+    "realtime_stats_enriched_update": stream_stats_enriched_update,
+    "counter_delta_stream": stream_counter_delta,
+    "throughput_report_stream": stream_throughput,
     "fan_out": stream_fan_out,
     "alerts_verdicts": stream_alerts,
     "skip_empty_batch": stream_skip_empty,

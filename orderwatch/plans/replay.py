@@ -59,10 +59,10 @@ def event_stream(session: SparkSession, folder: str, schema: StructType) -> Data
     return with_total_price(orders_from_events(events)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
-def published(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[StructType]:
-    """Publishes the events stretch by stretch, in order of time, and stops after each; gives their schema."""
+def published(spark: SparkSession, sf_dir: str, folder: str, cuts: list[Column] | None = None) -> Iterator[StructType]:
+    """Publishes the events stretch by stretch, in order of time or by `cuts`, and stops after each; gives their schema."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    for number, turn in enumerate(turns(spark, sf_dir)):
+    for number, turn in enumerate(cuts or turns(spark, sf_dir)):
         events.filter(turn).write.parquet(f"{folder}/{number}")
         yield events.schema
 
@@ -80,10 +80,11 @@ def replay(
     mode: str,
     wrap: Callable[[str, Sink], Sink] | None = None,
     output: Callable[[DataFrame], DataFrame] | None = None,
+    cuts: list[Column] | None = None,
 ) -> DataFrame:
     """Runs one query over all events and reads back everything it handed on, with batch ids.
 
-    The events come in TURNS stretches of time, cut within windows. After each the query works off what is new and
+    The events come in TURNS stretches of time, cut within windows, or as `cuts` on `ts` says. After each the query works off what is new and
     ends, and the next starts on its checkpoint. `wrap` puts another sink before the change log, given a folder for
     its own use; `output` then gives the change log's columns from those of the query.
     """
@@ -91,7 +92,7 @@ def replay(
     log = changelog(f"{root}/changes")
     sink = lambda batch, batch_id: log(without_zone(batch), batch_id)
     sink = wrap(f"{root}/kept", sink) if wrap else sink
-    for schema in published(spark, sf_dir, f"{root}/in"):
+    for schema in published(spark, sf_dir, f"{root}/in", cuts):
         plan = build(event_stream(session, f"{root}/in", schema))
         start(uuid.uuid4().hex, plan, mode, sink, f"{root}/checkpoint", ONCE).awaitTermination()
     kinds = without_zone(output(plan) if output else plan).schema

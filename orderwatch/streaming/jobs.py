@@ -14,7 +14,7 @@ from orderwatch.operators.ranking import top_overall
 from orderwatch.operators.rules import high_value_display, high_value_orders
 from orderwatch.operators.windows import ip_products, popular_products, realtime_stats, suspicious_ips
 from orderwatch.schemas import OUTPUT_TABLES, to_contract
-from orderwatch.streaming.rolling import rolling_ip_count_stream
+from orderwatch.streaming.rolling import counted, rolling_counts
 from orderwatch.streaming.sinks import Sink, adaptively, judged, report, suspicious_report
 
 ONCE = "once"
@@ -153,14 +153,16 @@ def run_alerts(
     limit: int = 10,
     threshold: int = 500_000,
     trigger: str | None = None,
+    cells: int = 10,
 ) -> list[StreamingQuery]:
     """A verdict for every order: too many orders from its address in the look-back, high value, or normal.
 
-    All verdicts go to `sink`. Counts of past orders are kept beside the checkpoint.
+    All verdicts go to `sink`. The orders of the past are state of the query, in its checkpoint.
     """
     root = checkpoints or f"{checkpoint_root(orders.sparkSession)}/alerts"
-    counted = rolling_ip_count_stream(f"{root}/recent", judged(sink, limit, threshold), look_back)
-    return [start("alerts_verdicts", orders, "append", counted, f"{root}/verdicts", trigger)]
+    plan = rolling_counts(orders, look_back, cells)
+    judge = counted(judged(sink, limit, threshold))
+    return [start("alerts_verdicts", plan, "append", judge, f"{root}/verdicts", trigger)]
 
 
 class LateRows(StreamingQueryListener):

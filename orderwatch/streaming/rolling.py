@@ -1,77 +1,151 @@
-"""The rolling count per address on a stream."""
+"""The rolling count per address on a stream, with its past in Spark's state."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from orderwatch.operators.rolling import IP, MICROS, TIME, with_rolling_count
-from orderwatch.streaming.folders import finished, remove
+from orderwatch.operators.rolling import IP, MICROS, TIME
 from orderwatch.streaming.sinks import Sink
 
+#: What a row tells a cell: orders of its own, orders of cells that lie wholly in every look-back, or orders of the
+#: cell that a look-back begins in.
+OWN, BETWEEN, OLDEST = 0, 1, 2
+#: Moments a task holds before it hands them on.
+HELD = 200_000
+
+MESSAGE = {"cell": pa.int64(), "role": pa.int32(), "at": pa.int64(), "n": pa.int64()}
+
 
-def rolling_ip_count_stream(
-    path: str, sink: Sink, look_back: int = 600, cells: int = 10, lateness: int = 600, merge_every: int = 16
-) -> Sink:
-    """A sink that adds `recent_orders` to each batch of orders and hands it to the next sink.
+def rolling_counts(
+    orders: DataFrame, look_back: int = 600, cells: int = 10, lateness: int = 600, ahead: int = 3600
+) -> DataFrame:
+    """A streaming plan over `orders` whose batches `counted` turns into orders with `recent_orders`.
 
-    `look_back` is in seconds. An order is handed on once, in its batch: a late one is counted where it
-    belongs, but does not change counts already handed on. An order more than `lateness` seconds behind the
-    newest one seen at the last merge may find part of its past gone.
+    Columns: `order`, an order as it came, or null; `level`, how many orders an address has in its look-back at one of
+    the times it ordered at in this batch, or null.
 
-    The past is a table of orders per address and time under `path`: the changes of each batch, and every
-    `merge_every` batches one merged folder, without what no order can look back on any more. A batch reads the
-    newest merged folder before it and the changes since, of its own span of time and its own addresses. A
-    merged folder counts once it is whole, and what it stands for stays until the next one, so a batch that is
-    repeated, at any point, finds what it found before. The count itself is the one for tables, which adds copies up
-    first and splits every address by time, so that a hot address spreads over the cluster instead of being one
-    state key.
+    `look_back`, `lateness` and `ahead` are in seconds. State is kept by address and time cell, `cells` to a look-back:
+    the orders of the cell by time, those of the cell one look-back before it, and one sum of what lies between. A hot
+    address is thus many keys, and orders of one address and time are added up in the tasks that read them. A timer drops a
+    cell once the watermark, `lateness` behind the newest time, has passed it; a later order opens it again without its
+    past. A time more than `ahead` seconds ahead of the clock does not move the watermark, so that one wrong clock does not
+    end the past of all others.
+    """
+    length = look_back * MICROS
+    if look_back <= 0 or length % cells:
+        raise ValueError(f"no {cells} whole cells in a look-back of {look_back} seconds")
+    plausible = F.col(TIME) <= F.current_timestamp() + F.expr(f"INTERVAL {ahead} SECONDS")
+    marked = orders.withColumn("_clock", F.when(plausible, F.col(TIME))).withWatermark("_clock", f"{lateness} seconds")
+    kind = orders.schema[IP].dataType.simpleString()
+    timed = marked.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
+    moments = timed.select(F.col(IP).alias("ip"), F.unix_micros(TIME).alias("at"))
+    messages = moments.mapInArrow(_to_cells(length // cells, cells), f"ip {kind}, cell long, role int, at long, n long")
+    levels = messages.groupBy("ip", "cell").transformWithState(
+        CellLevels(length, cells), f"ip {kind}, at long, recent_orders long", "append", "EventTime"
+    )
+    order = F.struct(*orders.columns)
+    nothing = F.lit(None)
+    passed = marked.select(order.alias("order"), nothing.cast(levels.select(F.struct("*")).schema[0].dataType).alias("level"))
+    return passed.unionByName(
+        levels.select(nothing.cast(marked.select(order).schema[0].dataType).alias("order"), F.struct("*").alias("level"))
+    )
+
+
+def counted(sink: Sink) -> Sink:
+    """Joins the orders of a batch of `rolling_counts` to their levels and hands them on with `recent_orders`.
+
+    An order is handed on once, in its batch: a late one is counted where it belongs, but does not change counts
+    already handed on. An order without address or time has no count.
     """
-    ago = F.expr(f"INTERVAL {look_back} SECONDS")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            known = kept.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
-            span = known.agg(F.min(TIME).alias("first"), F.max(TIME).alias("last"))
-            if span.filter("last IS NOT NULL").isEmpty():
-                sink(kept.withColumn("recent_orders", F.lit(None).cast("bigint")), batch_id)
-                return
-            moments = known.groupBy(IP, TIME).agg(F.count("*").alias("n"))
-            moments.hint("rebalance").write.mode("overwrite").parquet(f"{path}/changes-{batch_id}")
-            past = _past(known, batch_id, path)
-            first, last = span.select(F.col("first") - ago).scalar(), span.select("last").scalar()
-            seen = past.filter((F.col(TIME) > first) & (F.col(TIME) <= last))
-            seen = seen.join(known.select(IP).distinct(), IP, "left_semi").groupBy(IP, TIME).agg(F.sum("n").alias("n"))
-            sink(with_rolling_count(kept, seen, f"{look_back} seconds", cells), batch_id)
-            if (batch_id + 1) % merge_every == 0:
-                _merge(past, batch_id, path, look_back + lateness)
+            orders = kept.filter("order IS NOT NULL").select("order.*")
+            levels = kept.filter("level IS NOT NULL").select(
+                F.col("level.ip").alias(IP), F.timestamp_micros("level.at").alias(TIME), "level.recent_orders"
+            )
+            sink(orders.join(levels, [IP, TIME], "left").select(*orders.columns, "recent_orders"), batch_id)
         finally:
             kept.unpersist()
 
     return write
 
 
-def _past(known: DataFrame, batch_id: int, path: str) -> DataFrame:
-    """The stored moments up to a batch: the newest merged folder before it and the changes since, its own too."""
-    spark = known.sparkSession
-    merged = [n for n in finished(spark, path, "merged-") if n < batch_id]
-    changes = [n for n in finished(spark, path, "changes-") if (merged[-1] if merged else -1) < n <= batch_id]
-    folders = [f"{path}/merged-{n}" for n in merged[-1:]] + [f"{path}/changes-{n}" for n in changes]
-    return spark.read.schema(T.StructType([known.schema[IP], known.schema[TIME], T.StructField("n", T.LongType())])).parquet(*folders)
-
-
-def _merge(past: DataFrame, batch_id: int, path: str, kept_seconds: int) -> None:
-    """Writes the past as one folder, and removes what the merged folder before this one stood for."""
-    spark = past.sparkSession
-    oldest = past.agg((F.max(TIME) - F.expr(f"INTERVAL {kept_seconds * MICROS} MICROSECONDS")).alias("t")).scalar()
-    rows = past.filter(F.col(TIME) > oldest).groupBy(IP, TIME).agg(F.sum("n").alias("n"))
-    rows.hint("rebalance").sortWithinPartitions(IP, TIME).write.mode("overwrite").parquet(f"{path}/merged-{batch_id}")
-    before = [n for n in finished(spark, path, "merged-") if n < batch_id]
-    if before:
-        for number in finished(spark, path, "changes-"):
-            if number <= before[-1]:
-                remove(spark, f"{path}/changes-{number}")
-        for number in before[:-1]:
-            remove(spark, f"{path}/merged-{number}")
+def _to_cells(width: int, cells: int):
+    """Adds orders up by address and time, and sends each sum to its own cell and those that look back on it."""
+
+    def messages(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        moments = pa.concat_tables(held).group_by(["ip", "at"]).aggregate([([], "count_all")])
+        ip, at, n = (moments.column(c).combine_chunks() for c in ("ip", "at", "count_all"))
+        cell = at.to_numpy() // width
+        yield message(ip, cell, OWN, at, n)
+        yield message(ip, cell + cells, OLDEST, at, n)
+        whole = pa.table({"ip": ip, "cell": cell, "n": n}).group_by(["ip", "cell"]).aggregate([("n", "sum")])
+        ip, cell, n = (whole.column(c).combine_chunks() for c in ("ip", "cell", "n_sum"))
+        for further in range(1, cells):
+            yield message(ip, cell.to_numpy() + further, BETWEEN, pa.nulls(len(ip), pa.int64()), n)
+
+    def message(ip, cell, role, at, n) -> pa.RecordBatch:
+        columns = {"cell": cell, "role": np.full(len(ip), role), "at": at, "n": n}
+        arrays = [pa.array(columns[c], kind) if isinstance(columns[c], np.ndarray) else columns[c].cast(kind) for c, kind in MESSAGE.items()]
+        return pa.RecordBatch.from_arrays([ip, *arrays], names=["ip", *MESSAGE])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(pa.Table.from_batches([batch]))
+            size += batch.num_rows
+            if size > HELD:
+                yield from messages(held)
+                held, size = [], 0
+        if size:
+            yield from messages(held)
+
+    return run
+
+
+class CellLevels(StatefulProcessor):
+    """Of one address and cell: the level at each time that a batch has orders of."""
+
+    def __init__(self, length: int, cells: int):
+        self.length, self.cells = length, cells
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.past = handle.getValueState("past", "times array<long>, counts array<long>, between long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        ip, cell = key
+        times, counts, between = self.past.get() or ([], [], 0)
+        if not times and not between:
+            self.handle.registerTimer((cell + 1) * (self.length // self.cells) // 1000)
+        counts_at, wanted = dict(zip(times, counts, strict=True)), set()
+        for row in rows:
+            if row.role == BETWEEN:
+                between += row.n
+                continue
+            counts_at[row.at] = counts_at.get(row.at, 0) + row.n
+            if row.role == OWN:
+                wanted.add(row.at)
+        times = sorted(counts_at)
+        counts = [counts_at[at] for at in times]
+        self.past.update((times, counts, between))
+        ends = np.array(times)
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        for at in sorted(wanted):
+            first, last = np.searchsorted(ends, [at - self.length, at], side="right")
+            yield Row(ip=ip, at=at, recent_orders=int(upto[last] - upto[first] + between))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        self.past.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderwatch.functions.scalars import money_text
+from orderwatch.operators.ranking import top_per_window
 from orderwatch.operators.rolling import order_verdict
 from orderwatch.operators.windows import product_lists, suspicious_ip_products
 from orderwatch.schemas import with_captions
@@ -152,6 +153,14 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str
     return upto
 
 
+def ranked(sink: Sink, by: str, k: int = 5, ties: list[str] | None = None) -> Sink:
+    """Hands on the k largest rows of each window of a batch, with their rank.
+
+    For an aggregate in append mode, which hands on all rows of a window in one batch.
+    """
+    return lambda batch, batch_id: sink(top_per_window(batch, by, k, ties), batch_id)
+
+
 def jdbc_append(url: str, table: str, properties: dict[str, str], with_batch_id: bool = False) -> Sink:
     """Appends each batch to a database table by column name; the database fills its other columns.
 
