@@ -6,9 +6,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderwatch.llm.bit_table import MOST_AS_ROWS, bit_words, bits_for, with_hit
+
 #: The six white-space characters of the contracts, [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
-#: The most rows of an id and a digest that are broadcast.
+#: The most rows of a small table that are broadcast.
 BROADCAST = 4096
 
 
@@ -49,22 +51,26 @@ def keep_rows(docs: DataFrame, decided: DataFrame, digest: Column, id_col: str,
     """`docs` by decisions on its rows: `decided` has doc_id, digest and kept, of which kept follows from the others.
 
     A row goes by its own id (null is one) and digest. Of rows equal in both the one with the longest text stays.
-    The columns of `docs` may have any names.
+    The columns of `docs` may have any names. A bit table of what may go tells most rows that they stay; they are not
+    shuffled. The others are joined.
     """
-    id_name, digest_name, own = (_unused(name, docs) for name in ("decided_id", "decided_digest", "own_digest"))
+    id_name, digest_name, own, met = (_unused(name, docs) for name in ("decided_id", "decided_digest", "own_digest", "met"))
     marks = decided.groupBy("doc_id", "digest").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
     marks = cut(marks.filter("not kept or times > 1"))
+    bits = bits_for(marks.count(), MOST_AS_ROWS)
+    words = cut(bit_words(marks, F.xxhash64("doc_id", "digest"), bits))
     marks = marks.select(F.col("doc_id").alias(id_name), F.col("digest").alias(digest_name), "kept")
-    keyed = docs.withColumn(own, digest)
+    keyed = with_hit(docs.withColumn(own, digest), F.xxhash64(id_col, own), words, bits, met)
     alike = keyed[id_col].eqNullSafe(F.col(id_name)) & (F.col(own) == F.col(digest_name))
-    out = keyed.join(marks.drop("kept"), alike, "left_anti").drop(own)
+    hit = keyed.filter(F.col(met)).drop(met)
+    out = keyed.filter(~F.col(met)).drop(met, own)
+    out = out.unionByName(hit.join(marks.drop("kept"), alike, "left_anti").drop(own))
     repeated = marks.filter("kept").drop("kept")
-    count = repeated.count()
-    if not count:
+    if repeated.isEmpty():
         return out
-    several = keyed.join(F.broadcast(repeated) if count <= BROADCAST else repeated, alike, "left_semi")
+    several = hit.join(repeated, alike, "left_semi")
     row, text = F.struct(*[F.col(f"`{name}`") for name in docs.columns]), text_or_empty(text_col)
-    one = several.groupBy(keyed[id_col], own).agg(F.max_by(row, F.struct(F.length(text), text)).alias("row"))
+    one = several.groupBy(F.col(id_col), own).agg(F.max_by(row, F.struct(F.length(text), text)).alias("row"))
     return out.unionByName(one.select("row.*"))
 
 

@@ -9,8 +9,8 @@ for by one-deletion neighbourhoods in the segments set aside for them.
 
 Each agreement is a key. Keys are first only counted, which is combined before the shuffle; the sets behind those
 that more than one set has are then looked up in a second pass over the texts. Sets that share a key are compared by
-sketches: the number of shingles in each of PARTS parts of the universe, whose differences add up to no more than
-the sets differ by. That rules nearly all chance pairs out. What is left, as a least spanning forest of each key, makes
+sketches: the number of shingles in each part of the universe, whose differences add up to no more than the sets differ
+by. Larger sets have more parts. That rules nearly all chance pairs out. What is left, as a least spanning forest of each key, makes
 families, and any two sets that link are in one. The members of a family are compared exactly, on the shingles
 themselves. Each set's number of links leaves a comparison, and of the links those that join what is not yet joined, or
 all where they are asked for. Keys and families of very many sets are dealt into tiles of bounded size, and pairs of tiles.
@@ -19,6 +19,7 @@ all where they are asked for. Keys and families of very many sets are dealt into
 from __future__ import annotations
 
 import bisect
+import copy
 from collections.abc import Iterator
 from itertools import chain, pairwise
 
@@ -35,8 +36,12 @@ from orderwatch.llm.components import components
 BAND_RATIO = 1.7
 #: Segments of a band that also have one-deletion neighbourhoods.
 SET_ASIDE = 2
-#: Numbers in a sketch, one byte each. Twice as many tell sets twice as large apart.
+#: The least numbers in a sketch, one byte each, and the shingles of a set for which it has one.
 PARTS = 128
+EACH_PART = 8
+#: Sets of a key that are compared pair by pair in one go, with those of other keys; bytes of sketches in one go.
+SMALL = 12
+AT_ONCE = 4_000_000
 #: Sets, and shingles, that one tile holds; a comparison reads two tiles. A set is never cut.
 TILE_SETS = 1000
 TILE = 2_000_000
@@ -199,32 +204,107 @@ def spanning(pairs: np.ndarray, count: int) -> np.ndarray:
     return pairs[np.array(kept, np.int64)]
 
 
+def parts_of(size: int) -> int:
+    """How many parts of the universe the sketch of a set of `size` shingles counts: a power of two, at least PARTS.
+
+    Of a few shingles a part, unlike sets differ in most parts; of many, all parts of large sets look alike.
+    """
+    return max(PARTS, 1 << (max(1, size // EACH_PART) - 1).bit_length())
+
+
 def sketch(found: np.ndarray) -> bytes:
     """How many shingles fall into each part of the universe, up to 255."""
-    return np.minimum(np.bincount((found % np.uint64(PARTS)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8).tobytes()
+    parts = parts_of(len(found))
+    counts = np.bincount((found % np.uint64(parts)).astype(np.int64), minlength=parts)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 class Near:
-    """Sets by size and sketch: which of them may be similar."""
+    """Sets by size and sketch: which of them may be similar.
+
+    A sketch is folded to compare it with one of half its parts; sizes of similar sets allow no more than that.
+    """
 
-    def __init__(self, scheme: Scheme, sizes: np.ndarray, sketches: np.ndarray):
-        self.scheme, self.sizes, self.sketches = scheme, sizes, sketches
+    def __init__(self, scheme: Scheme, sizes: np.ndarray, sketches: list[bytes]):
+        lengths = np.array([len(s) for s in sketches])
+        self.scheme, self.sizes, self.parts, self.place = scheme, sizes, lengths, np.zeros(len(sizes), np.int64)
+        self.whole: dict[int, np.ndarray] = {}
+        self.folded: dict[int, np.ndarray] = {}
+        for parts in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == parts)
+            self.place[at] = np.arange(len(at))
+            rows = np.frombuffer(b"".join([sketches[i] for i in at.tolist()]), np.uint8).reshape(-1, parts)
+            half = parts // 2
+            self.whole[parts] = rows
+            self.folded[half] = np.minimum(rows[:, :half].astype(np.uint16) + rows[:, half:], 255).astype(np.uint8)
 
     def part(self, begin: int, end: int) -> Near:
-        return Near(self.scheme, self.sizes[begin:end], self.sketches[begin:end])
+        some = copy.copy(self)
+        some.sizes, some.parts, some.place = self.sizes[begin:end], self.parts[begin:end], self.place[begin:end]
+        return some
 
     def _alike(self, i: int | np.ndarray, among: np.ndarray | slice) -> np.ndarray:
         """Whether sets are of sizes that similar sets may have."""
         sizes, own = self.sizes[among], self.sizes[i]
         return np.minimum(sizes, own) * self.scheme.den >= self.scheme.num * np.maximum(sizes, own)
 
+    def _counts(self, rows: np.ndarray, parts: int) -> np.ndarray:
+        """The sketches of sets at `parts` parts, which each has itself or after one fold."""
+        places, fold = self.place[rows], self.parts[rows] != parts
+        if not fold.any():
+            return self.whole[parts][places]
+        found = np.empty((len(rows), parts), np.uint8)
+        found[fold] = self.folded[parts][places[fold]]
+        if not fold.all():
+            found[~fold] = self.whole[parts][places[~fold]]
+        return found
+
     def distances(self, i: int | np.ndarray, among: np.ndarray) -> np.ndarray:
         """Least differences of sets by sketch; a very large number where they cannot be similar."""
-        one, other = self.sketches[among], self.sketches[i]
-        found = (np.maximum(one, other) - np.minimum(one, other)).sum(axis=1, dtype=np.int64)
+        one = np.ndim(i) == 0
         num, den = self.scheme.num, self.scheme.den
-        near = found <= (den - num) * (self.sizes[among] + self.sizes[i]) // (den + num)
-        return np.where(near & self._alike(i, among), found, FAR)
+        out, alike = np.full(len(among), FAR), self._alike(i, among)
+        low, high = np.minimum(self.parts[among], self.parts[i]), np.maximum(self.parts[among], self.parts[i])
+        for parts in np.unique(low[alike]).tolist():
+            every, step = np.flatnonzero(alike & (low == parts) & (high <= 2 * parts)), max(1, AT_ONCE // parts)
+            for at in (every[begin : begin + step] for begin in range(0, len(every), step)):
+                own = np.array([i]) if one else i[at]
+                first, second = self._counts(among[at], parts), self._counts(own, parts)
+                found = (np.maximum(first, second) - np.minimum(first, second)).sum(axis=1, dtype=np.int64)
+                near = found <= (den - num) * (self.sizes[among[at]] + self.sizes[own]) // (den + num)
+                out[at[near]] = found[near]
+        out[alike & (high > 2 * low)] = 0  # too far apart to be folded; only where sizes may differ by more than half
+        return out
+
+    def small_forests(self, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Least spanning forests of many groups of few sets, each a stretch of this one: rows of two positions."""
+        first, second = [], []
+        for size in np.unique(sizes).tolist():
+            i, j = np.triu_indices(size, 1)
+            of_size = begins[sizes == size][:, None]
+            first.append((of_size + i).ravel())
+            second.append((of_size + j).ravel())
+        if not first:
+            return np.empty((0, 2), np.int64)
+        first, second = np.concatenate(first), np.concatenate(second)
+        found = self.distances(first, second)
+        at = np.flatnonzero(found < FAR)
+        at = at[np.argsort(found[at], kind="stable")]
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (above := root.get(x, x)) != x:
+                root[x] = root.get(above, above)
+                x = above
+            return x
+
+        kept = []
+        for place, u, v in zip(at.tolist(), first[at].tolist(), second[at].tolist(), strict=True):
+            u, v = top(u), top(v)
+            if u != v:
+                root[u] = v
+                kept.append(place)
+        return np.column_stack((first[kept], second[kept])).astype(np.int64)
 
     def forest(self) -> list[tuple[int, int]]:
         """A least spanning forest, grown set by set."""
@@ -350,7 +430,18 @@ def shared_keys(texts: DataFrame, reps: bytes, k: int, scheme: Scheme) -> DataFr
     counted = _key_rows(texts, k, scheme, reps).groupBy("key").agg(F.sum(weight).alias("weight"))
     keys = cut(counted.filter(f"weight >= {looked} and weight % {looked} > 1").select("key"))
     found = _key_rows(texts, k, scheme, reps, _slots(keys, F.col("key")))
-    return cut(found.join(keys, "key").distinct())
+    return one_of_each(cut(found.join(keys, "key").distinct()))
+
+
+def one_of_each(members: DataFrame) -> DataFrame:
+    """Of keys with the same sets, the first: sets that are much alike share hundreds of keys.
+
+    `members` has key and set, each pair once. Sets are the same if they are as many and two hashes of them agree.
+    """
+    of_sets = [F.bit_xor(F.xxhash64("set", F.lit(salt))).alias(name) for salt, name in ((1, "one"), (2, "two"))]
+    keys = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *of_sets)
+    first = keys.groupBy("size", "one", "two").agg(F.min("key").alias("key"))
+    return cut(members.join(first.select("key"), "key", "left_semi"))
 
 
 def _tiles(members: DataFrame, by: str, weight: Column) -> DataFrame:
@@ -383,7 +474,7 @@ def _near_pairs(members: DataFrame, classes: DataFrame, scheme: Scheme) -> DataF
                 continue
             table = pa.concat_tables(parts)
             rows = {c: table.column(c).to_numpy() for c in columns}
-            drawn = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, PARTS)
+            drawn = table.column("sketch").to_pylist()
             new = np.ones(table.num_rows + 1, bool)
             new[1:-1] = False
             for c in ("key", "a", "b"):
@@ -392,11 +483,10 @@ def _near_pairs(members: DataFrame, classes: DataFrame, scheme: Scheme) -> DataF
             held = [] if batch is None else [table.slice(edges[-2])]  # the last key may go on in the next batch
             begins, ends = (edges[:-1], edges[1:]) if batch is None else (edges[:-2], edges[1:-1])
             near = Near(scheme, rows["n_shingles"], drawn)
-            pairs = begins[ends - begins == 2]
-            pairs = pairs[near.distances(pairs, pairs + 1) < FAR]
-            found = [np.column_stack((pairs, pairs + 1))]
-            for begin, end in zip(begins.tolist(), ends.tolist(), strict=True):
-                if end - begin > 2 and (linked := near.part(begin, end).forest()):
+            small = ends - begins <= SMALL
+            found = [near.small_forests(begins[small], (ends - begins)[small])]
+            for begin, end in zip(begins[~small].tolist(), ends[~small].tolist(), strict=True):
+                if linked := near.part(begin, end).forest():
                     found.append(np.array(linked) + begin)
             u, v = (rows["set"][np.concatenate(found)[:, i]] for i in range(2))
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
