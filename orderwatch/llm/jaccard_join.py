@@ -502,8 +502,9 @@ def _compared(
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """What `jaccard_links` returns, with a forest (u, v) of the links, which joins all that they join, before them.
 
-    Every two sets of a family meet in one pair of tiles. Counts and forest leave the comparison, no more rows than it
-    reads; the links themselves are listed only where they are asked for.
+    Sets are named by their first hash, whether a row of theirs has an id or not. Every two sets of a family meet in one
+    pair of tiles. Counts and forest leave the comparison, no more rows than it reads; the links themselves are listed
+    only where they are asked for.
     """
     texts, scheme = _slotted(docs, id_col, text_col), Scheme(num, den)
     table = cut(set_table(docs, k, id_col, text_col, digests))
@@ -513,10 +514,9 @@ def _compared(
     shared = shared_keys(texts, _slots(classes, F.xxhash64("doc_id")), k, scheme)
     families = components(_near_pairs(shared, classes, scheme))
     families = families.select(F.col("node").alias("set"), F.col("component").alias("family"))
-    of_sets = classes.select(F.col("one").alias("set"), "doc_id", "n_shingles", "n_rows").filter("doc_id is not null")
+    of_sets = classes.select(F.col("one").alias("set"), "doc_id", "n_shingles", "n_rows")
     members = cut(families.join(of_sets, "set"))
     sets = _sets_of(texts, k, _slots(members, F.xxhash64("doc_id")))
-    kind = texts.schema["doc_id"].dataType.simpleString()
 
     def verified(key: tuple, group: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
         """The members of a pair of tiles, those of the first tile first, and the similar pairs not met elsewhere."""
@@ -528,27 +528,27 @@ def _compared(
 
     def listed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group, pairs = verified(key, group)
-        ids = group["doc_id"].to_numpy()
-        return pd.DataFrame({"u": ids[pairs[:, 0]], "v": ids[pairs[:, 1]], "overlap": pairs[:, 2]})
+        names = group["set"].to_numpy()
+        return pd.DataFrame({"u": names[pairs[:, 0]], "v": names[pairs[:, 1]], "overlap": pairs[:, 2]})
 
     def summed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group, pairs = verified(key, group)
-        ids, sizes, counts = group["doc_id"].to_numpy(), group["n_rows"].to_numpy(), np.zeros(len(group), np.int64)
+        names, sizes, counts = group["set"].to_numpy(), group["n_rows"].to_numpy(), np.zeros(len(group), np.int64)
         np.add.at(counts, pairs[:, 0], sizes[pairs[:, 1]])
         np.add.at(counts, pairs[:, 1], sizes[pairs[:, 0]])
         kept, linked = spanning(pairs, len(group)), np.flatnonzero(counts)
-        joins = pd.DataFrame({"u": ids[kept[:, 0]], "v": ids[kept[:, 1]], "set": 0, "n_links": 0})
-        tally = pd.DataFrame({"u": ids[linked], "v": None, "set": group["set"].to_numpy()[linked], "n_links": counts[linked]})
-        return pd.concat([joins.astype({"v": object}), tally], ignore_index=True)
+        joins = pd.DataFrame({"u": names[kept[:, 0]], "v": names[kept[:, 1]], "n_links": 0})
+        tally = pd.DataFrame({"u": names[linked], "v": names[linked], "n_links": counts[linked]})
+        return pd.concat([joins, tally], ignore_index=True)
 
     dealt = _tiles(members, "family", F.col("n_shingles")).join(sets, F.col("set") == F.col("one"))
-    dealt = dealt.select("family", "a", "b", "tile", "set", "doc_id", "n_rows", "members").groupBy("family", "a", "b")
-    found = cut(dealt.applyInPandas(summed, f"u {kind}, v {kind}, set long, n_links long"))
-    tallies = found.filter("v is null").groupBy(F.col("set").alias("one")).agg(F.sum("n_links").alias("others"))
+    dealt = dealt.select("family", "a", "b", "tile", "set", "n_rows", "members").groupBy("family", "a", "b")
+    found = cut(dealt.applyInPandas(summed, "u long, v long, n_links long"))
+    tallies = found.filter("u = v").groupBy(F.col("u").alias("one")).agg(F.sum("n_links").alias("others"))
     n_links = (F.coalesce("others", F.lit(0)) + F.col("n_rows") - 1).alias("n_links")
     classes = classes.join(tallies, "one", "left").select(*classes.columns, n_links)
-    links = dealt.applyInPandas(listed, f"u {kind}, v {kind}, overlap long")
-    return table, classes, found.filter("v is not null").select("u", "v"), links
+    links = dealt.applyInPandas(listed, "u long, v long, overlap long")
+    return table, classes, found.filter("u != v").select("u", "v"), links
 
 
 def jaccard_links(
@@ -558,11 +558,14 @@ def jaccard_links(
 
     Sets: see `set_table`. Classes: one, two (the set's hashes), n_shingles, doc_id (the smallest of the class),
     sketch, n_rows (its rows) and n_links (the other rows that a row of the class links with, copies among them). Links:
-    u, v (two representatives) and overlap, each pair once. Two sets link when den * intersection >= num * union. A
-    class without any id is not compared. The links of a large group are as many as its pairs.
+    u, v (the ids of two representatives, null where no row has one), one_u, one_v (their sets' first hashes) and overlap,
+    each pair once. Two sets link when den * intersection >= num * union. The links of a large group are as many as
+    its pairs.
     """
     table, classes, _, links = _compared(docs, k, num, den, id_col, text_col)
-    return table, classes, links
+    named = lambda end: classes.select(F.col("one").alias(f"one_{end}"), F.col("doc_id").alias(end))
+    links = links.withColumnsRenamed({"u": "one_u", "v": "one_v"}).join(named("u"), "one_u").join(named("v"), "one_v")
+    return table, classes, links.select("u", "v", "one_u", "one_v", "overlap")
 
 
 def link_counts(
@@ -581,18 +584,23 @@ def similar_groups(
     """Per row: doc_id, n_shingles and component_id, the smallest id reachable by links.
 
     A text without words (also null) has no shingles and is alone. Rows with equal sets are linked. Rows that
-    share an id are one document. A row without an id is grouped with what its text equals, if anything, and never
-    gives its group a name. Other columns are neither read nor returned.
+    share an id are one document. A row without an id is compared as any other and has the smallest id of its group; it
+    never gives its group a name, so where none of a group has an id component_id is null. Other columns are neither
+    read nor returned.
     """
     return _grouped(*_compared(docs, k, num, den, id_col, text_col)[:3]).select("doc_id", "n_shingles", "component_id")
 
 
 def _grouped(table: DataFrame, classes: DataFrame, forest: DataFrame) -> DataFrame:
-    """The rows of `table` with component_id."""
-    joined = components(forest).select(F.col("node").alias("doc_id"), "component")
-    named = classes.join(joined, "doc_id", "left").select(
-        "one", "two", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    """The rows of `table` with component_id, and `lead`, the least hash of a set of the group (null without words)."""
+    joined = components(forest).select(F.col("node").alias("one"), "component")
+    named = cut(
+        classes.join(joined, "one", "left").select(
+            "one", "two", "n_shingles", "doc_id", F.coalesce("component", "one").alias("component")
+        )
     )
+    groups = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min("one").alias("lead"))
+    named = named.join(groups, "component").select("one", "two", "n_shingles", "component_id", "lead")
     out = table.join(named, ["one", "two", "n_shingles"], "left")
     return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
@@ -602,13 +610,15 @@ def drop_similar(
 ) -> DataFrame:
     """`docs` with one document of each group, the one with the smallest id; all columns as they were.
 
-    Rows are decided one by one, by their own text. Of rows that repeat an id with the same set one stays, of those
-    without words and of those without an id one of each text.
+    Rows are decided one by one, by their own text. Of rows that repeat an id with the same set one stays, and one of a
+    group in which no row has an id. Of rows without words, one of each id and text stays.
     """
     rows = _grouped(*_compared(docs, k, num, den, id_col, text_col, digests=True)[:3])
-    sets = ["doc_id", "one", "two", "n_shingles"]
-    first = rows.filter("n_shingles > 0 and doc_id = component_id").groupBy(*sets).agg(F.min("digest").alias("first"))
-    decided = rows.join(first, sets, "left").withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & F.coalesce(F.col("digest") == F.col("first"), F.lit(True))
-    )
+    nameless = F.col("component_id").isNull() & (F.col("one") == F.col("lead"))
+    chosen = rows.filter("n_shingles > 0").filter((F.col("doc_id") == F.col("component_id")) | nameless)
+    sets = ["one", "two", "n_shingles"]
+    first = chosen.groupBy(F.col("doc_id").alias("chosen"), *sets).agg(F.min("digest").alias("first"))
+    own = F.col("doc_id").eqNullSafe(F.col("chosen")) & (F.col("digest") == F.col("first"))
+    kept = (F.col("n_shingles") == 0) | F.coalesce(own, F.lit(False))
+    decided = rows.join(first, sets, "left").withColumn("kept", kept)
     return keep_rows(docs, decided.select("doc_id", "digest", "kept"), _text_digest(text_col), id_col, text_col)

@@ -153,6 +153,62 @@ def test_every_link_is_listed_and_counted(spark, monkeypatch, tile):
     assert counted == {i: sum(i in p for p in alike) for i in texts}
 
 
+def test_rows_without_an_id_bridge_documents(spark):
+    """Two documents that only a row without an id links, and groups in which no row has an id."""
+    words = [f"w{i}" for i in range(60)]
+    other = [f"v{i}" for i in range(60)]
+    bridge = [(8, words), (None, [*words[2:], "x1", "x2"]), (5, [*words[4:], "x1", "x2", "x3", "x4"])]
+    nameless = [(None, other), (None, [*other[1:], "y"]), (None, ["z", *other])]
+    rows = [(i, " ".join(w)) for i, w in [*bridge, *nameless, (3, ["alone", "here", "now", "then"]), (None, []), (None, [])]]
+    texts = dict(enumerate(text for _, text in rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected, _ = plain_groups(texts, 3, 90)
+    assert expected[0] == expected[1] == expected[2]
+    assert plain_groups({0: texts[0], 2: texts[2]}, 3, 90)[0] == {0: 0, 2: 2}  # not without the bridge
+    found = jaccard_join.similar_groups(docs, 3, 90).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0)] * 5 + [(0, 5), (3, 3), (5, 5), (8, 5)]
+    out = [(r.doc_id, r.text) for r in jaccard_join.drop_similar(docs, 3, 90).collect()]
+    assert sorted(i or 0 for i, _ in out) == [0, 0, 3, 5]
+    assert len({text for i, text in out if i is None} & {texts[3], texts[4], texts[5]}) == 1
+    counts = sorted(r.n_links for r in jaccard_join.link_counts(docs, 3, 90).collect())
+    assert counts == sorted(sum(a != b and bool(t) and 100 * len(shingle_set(t, 3) & shingle_set(u, 3)) >= 90 * len(shingle_set(t, 3) | shingle_set(u, 3)) for b, u in texts.items()) for a, t in texts.items())
+
+
+def test_sketches_never_part_similar_sets():
+    """Sketches of sets on both sides of a doubling of their parts; forests of few and of many sets join the same."""
+    rng = np.random.default_rng(3)
+    scheme = jaccard_join.Scheme(80, 100)
+    sets = []
+    for size in (40, 1020, 1030, 2040, 2060, 9000):
+        base = rng.integers(1, 2**63, size, dtype=np.uint64)
+        sets += [np.unique(base[: size - i * size // 40]) for i in range(4)]
+        sets += [np.unique(np.concatenate((base[: size // 2], rng.integers(1, 2**63, size // 2, dtype=np.uint64))))]
+    sizes = np.array([len(x) for x in sets])
+    near = jaccard_join.Near(scheme, sizes, [jaccard_join.sketch(x) for x in sets])
+    linked = []
+    for i in range(len(sets)):
+        found = near.distances(i, np.arange(len(sets)))
+        assert (near.distances(np.full(len(sets), i), np.arange(len(sets))) == found).all()
+        for j in range(len(sets)):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 80 * (sizes[i] + sizes[j] - both):
+                assert found[j] < jaccard_join.FAR
+            if found[j] < jaccard_join.FAR:
+                assert found[j] <= sizes[i] + sizes[j] - 2 * both
+                linked.append((i, j))
+    # Of large sets, those that share half of their shingles are told apart.
+    assert all(i // 5 == j // 5 for i, j in linked) and not any(i % 5 == 4 != j % 5 for i, j in linked if sizes[i] > 2000)
+    few = near.small_forests(np.array([0]), np.array([len(sets)]))
+    assert groups(range(len(sets)), few.tolist()) == groups(range(len(sets)), near.forest()) == groups(range(len(sets)), linked)
+
+
+def test_keys_of_the_same_sets_are_kept_once(spark):
+    rows = [(1, 5), (1, 6), (2, 5), (2, 6), (3, 5), (3, 6), (3, 7), (4, 6), (4, 7), (5, 6), (5, 7)]
+    members = spark.createDataFrame(rows, "key long, set long")
+    found = jaccard_join.one_of_each(members).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 5), (1, 6), (3, 5), (3, 6), (3, 7), (4, 6), (4, 7)]
+
+
 def test_groups_of_awkward_rows(spark):
     docs = awkward(spark)
     rows = jaccard_join.similar_groups(docs, 3, 90).collect()
