@@ -59,12 +59,16 @@ def windows_and_late(
     marked = orders.withWatermark(TIME, delay).filter(F.col(TIME).isNotNull())
     ended = marked.withColumn("_window_end", F.window(TIME, duration)["end"])
     plain = with_micros(ended).withColumnRenamed("_window_end", "window_end")
-    dealt = plain.withColumn("_key", F.pmod(F.xxhash64(*orders.columns), F.lit(keys))).groupBy("_key")
+
+    def dealt(salt: int):
+        """Dealt differently for each branch: one that reuses the other's exchange would not see the watermark."""
+        return plain.withColumn("_key", F.pmod(F.xxhash64(*orders.columns, F.lit(salt)), F.lit(keys))).groupBy("_key")
+
     names, schema = orders.columns, with_micros(orders).schema
-    late = dealt.transformWithState(Lateness(names, True), f"{ddl(schema)}, window_end long", "append", "EventTime")
+    late = dealt(1).transformWithState(Lateness(names, True), f"{ddl(schema)}, window_end long", "append", "EventTime")
     late = with_instants(late, orders.schema)
     timed = StructType([StructField(TIME, TimestampType()) if f.name == TIME else f for f in schema])
-    on_time = dealt.transformWithState(OnTime(names, False), timed, "append", "EventTime", eventTimeColumnName=TIME)
+    on_time = dealt(2).transformWithState(OnTime(names, False), timed, "append", "EventTime", eventTimeColumnName=TIME)
     windows = build(with_instants(on_time, StructType([f for f in orders.schema if f.name != TIME])))
     nothing = F.lit(None)
     window, order = F.struct(*windows.columns), F.struct(*names)

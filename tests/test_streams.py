@@ -15,9 +15,11 @@ from orderwatch.plans.views import latest_table
 from orderwatch.schemas import OUTPUT_TABLES
 from orderwatch.sources.codec import decode_orders, observe_bad_records
 from orderwatch.sources.orders import read_orders
-from orderwatch.streaming import rolling
 from orderwatch.streaming.jobs import await_any, run_alerts, run_reports, run_tables, start, watch_late_rows
-from orderwatch.streaming.rolling import rolling_ip_count_stream
+from orderwatch.streaming.late import divided, windows_and_late
+from orderwatch.streaming.live import PART_KEYS, live_stats, stats_of_parts
+from orderwatch.streaming.rolling import counted, rolling_counts
+from orderwatch.streaming.running import counter_delta_stream, throughput_stream, top_of_stream
 from orderwatch.streaming.sinks import both, changelog, judged, latest, read_changelog, verdict_report
 
 
@@ -100,59 +102,65 @@ ROLLING = {
 }
 
 
+def levels_of(seen):
+    def keep(batch, batch_id):
+        rows = batch.select("ip_address", "timestamp", "recent_orders").collect()
+        seen[batch_id] = {(ip, time and seconds(time), n) for ip, time, n in rows}
+
+    return counted(keep)
+
+
 def test_rolling_count_of_the_trace(spark, trace, tmp_path):
     seen = {}
+    run(rolling_counts(orders(spark, trace), 60, 3), "append", tmp_path, sink=levels_of(seen))
+    assert {i: rows for i, rows in seen.items() if rows} == ROLLING
 
-    def keep(batch, batch_id):
-        rows = batch.select("ip_address", "timestamp", "recent_orders").collect()
-        seen[batch_id] = {(ip, seconds(time), n) for ip, time, n in rows}
-
-    sink = rolling_ip_count_stream(str(tmp_path / "moments"), keep, look_back=60, cells=3)
-    run(orders(spark, trace), "append", tmp_path, sink=sink)
-    assert seen == ROLLING
-    # Orders that are far apart are counted where they belong.
-    far = orders(spark, trace, streaming=False).filter("order_id = 'c0'")
-    ancient = far.withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 30 DAYS"))
-    seen.clear()
-    sink(far.unionByName(ancient), 4)
-    assert seen[4] == {("x", 100, 2), ("x", 100 - 30 * 86400, 1)}
-    sink(far.limit(0), 5)
-    sink(far.withColumn("ip_address", F.lit(None).cast("string")), 6)
-    assert seen[5] == set() and seen[6] == {(None, 100, None)}
-    # A repeated batch finds the same past and answers the same.
-    last = orders(spark, trace, streaming=False).filter(F.col("order_id").isin("d0", "d1"))
-    sink(last, 3)
-    assert seen[3] == ROLLING[3]
-
-
-def test_work_and_state_stay_bounded(spark, tmp_path, monkeypatch):
-    """Forty batches at one rate: as many files and rows are read in the last as in the tenth, and old ones are gone."""
-    folder, read, seen = tmp_path / "m", [], {}
-    past = rolling._past
-
-    def measured(known, batch_id, path):
-        table = past(known, batch_id, path)
-        read.append((len(table.inputFiles()), table.count()))
-        return table
-
-    monkeypatch.setattr(rolling, "_past", measured)
-    sink = rolling_ip_count_stream(
-        str(folder), lambda df, i: seen.update({i: df.collect()}), look_back=60, lateness=30, merge_every=5, cells=3
-    )
-    start_of = "timestamp'2025-01-01T00:00:00Z' + make_dt_interval(0, 0, 0, id)"
-    for number in range(40):
-        seconds_of = spark.range(number * 20, number * 20 + 20, numPartitions=1)
-        batch = seconds_of.selectExpr("CAST(id AS STRING) AS order_id", f"{start_of} AS timestamp", "CAST(id % 2 AS STRING) AS ip_address")
-        sink(batch, number)
-    assert all(row.recent_orders == min(int(row.order_id) // 2 + 1, 30) for rows in seen.values() for row in rows)
-    assert max(files for files, _ in read[10:20]) == max(files for files, _ in read[30:]) <= 12
-    assert max(rows for _, rows in read[10:20]) == max(rows for _, rows in read[30:]) <= 300
-    assert len(list(folder.glob("changes-*"))) <= 11 and len(list(folder.glob("merged-*"))) == 2
-    # A batch that comes again after the merge that followed it finds the same past.
-    again = spark.range(39 * 20, 40 * 20).selectExpr("CAST(id AS STRING) AS order_id", f"{start_of} AS timestamp", "CAST(id % 2 AS STRING) AS ip_address")
-    expected = sorted(seen[39])
-    sink(again, 39)
-    assert sorted(seen[39]) == expected
+
+def test_a_wrong_clock_does_not_end_the_past(spark, tmp_path):
+    """An order of the year 2099, and orders without address or time; counts of the others go on over a restart."""
+    folder, seen = tmp_path / "in", {}
+    batches = [
+        [("a", 1, "p", 10, "x")],
+        [("b", 75 * 365 * 86400, "p", 10, "x"), ("c", 5, "p", 10, None)],
+        [("d", 30, "p", 10, "x"), ("e", 31, "p", 10, "y")],
+        [("f", 59, "p", 10, "x"), ("g", 61, "p", 10, "x")],
+    ]
+    for number, rows in enumerate(batches):
+        write_batch(folder, number, [order_json(*row) for row in rows])
+        run(rolling_counts(orders(spark, folder), 60, 3, lateness=60), "append", tmp_path, sink=levels_of(seen))
+    seen = {row for rows in seen.values() for row in rows}
+    far = {row for row in seen if row[1] > 1000}
+    assert seen - far == {("x", 1, 1), (None, 5, None), ("x", 30, 2), ("y", 31, 1), ("x", 59, 3), ("x", 61, 3)}
+    assert {n for _, _, n in far} == {1}
+
+
+def rows_of_state(query):
+    progress = [p for p in query.recentProgress if p.stateOperators]
+    return [sum(s.numRowsTotal for s in p.stateOperators) for p in progress]
+
+
+@pytest.fixture
+def state_counted(spark):
+    name = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_state_stays_bounded(spark, tmp_path, state_counted):
+    """Orders at one rate: the state is as large after twenty batches as after eight, and every count is right."""
+    for number in range(20):
+        lines = [order_json(f"o{i}", i, "p", 10, f"ip{i % 2}") for i in range(number * 20, number * 20 + 20)]
+        write_batch(tmp_path / "in", number, lines)
+    found = {}
+    sink = counted(lambda batch, i: found.update({r.order_id: r.recent_orders for r in batch.collect()}))
+    plan = rolling_counts(orders(spark, tmp_path / "in"), 60, 3, lateness=20)
+    query = start("bounded", plan, "append", sink, str(tmp_path / "c"), "once")
+    query.awaitTermination()
+    assert found == {f"o{i}": min(i // 2 + 1, 30) for i in range(400)}
+    rows = rows_of_state(query)
+    assert max(rows[16:]) <= max(rows[6:10]) and len(rows) >= 20
 
 
 def many_orders(folder, files=4):
@@ -166,8 +174,8 @@ def many_orders(folder, files=4):
         write_batch(folder, number, lines[number * step : (number + 1) * step])
 
 
-@pytest.mark.parametrize("merge_every", [1, 2, 16])
-def test_rolling_stream_equals_batch(spark, tmp_path, merge_every):
+@pytest.mark.parametrize("cells", [1, 6])
+def test_rolling_stream_equals_batch(spark, tmp_path, cells):
     many_orders(tmp_path / "in")
     expected = rolling_ip_count(orders(spark, tmp_path / "in", False), "60 seconds", cells=3)
     found = {}
@@ -177,10 +185,80 @@ def test_rolling_stream_equals_batch(spark, tmp_path, merge_every):
             assert row["order_id"] not in found
             found[row["order_id"]] = tuple(row)
 
-    run(orders(spark, tmp_path / "in"), "append", tmp_path, sink=rolling_ip_count_stream(str(tmp_path / "m"), keep, 60, merge_every=merge_every))
+    run(rolling_counts(orders(spark, tmp_path / "in"), 60, cells), "append", tmp_path, sink=counted(keep))
     assert found == {row["order_id"]: tuple(row) for row in expected.collect()}
 
 
+def test_best_rows_of_a_stream(spark, tmp_path, state_counted):
+    """Ranks change as windows close; state is as many rows as are asked for, besides the open windows."""
+    for number in range(12):
+        lines = [order_json(f"o{number}-{i}", number * 30 + i, f"p{i % (number % 4 + 1)}", 10, "x") for i in range(20)]
+        write_batch(tmp_path / "in", number, lines)
+    popular = lambda feed: popular_products(feed, delay="1 second")
+    plan, path = top_of_stream(popular(orders(spark, tmp_path / "in")), "order_count", 3), str(tmp_path / "changes")
+    query = start("best", plan, "append", changelog(path), str(tmp_path / "c"), "once")
+    query.awaitTermination()
+    best = latest(read_changelog(spark, path, plan.schema), ["rank"]).orderBy("rank").collect()
+    closed = popular(orders(spark, tmp_path / "in", False)).filter("window_end <= timestamp'2025-01-01T00:05:30Z'")
+    expected = closed.orderBy(F.desc("order_count"), "window_start", "product_name").limit(3).collect()
+    assert [tuple(r)[1:] for r in best] == [tuple(r) for r in expected]
+    assert [r.rank for r in best] == [1, 2, 3]
+    assert max(rows_of_state(query)) <= 3 + 3 * 4
+
+
+def test_counter_growth_out_of_order(spark, tmp_path):
+    """Samples of two series, some out of order across batches, one too late: as if they had come in order."""
+    batches = [
+        [("a", 10, 100, "h"), ("b", 30, 900, "h")],
+        [("c", 20, 400, "h"), ("d", 15, 7, "i")],
+        [("e", 200, 1000, "h"), ("f", 190, 9, "i")],
+        [("g", 12, 5, "h"), ("h", 400, 0, "z")],
+    ]
+    for number, rows in enumerate(batches):
+        write_batch(tmp_path / "in", number, [order_json(i, t, "p", price, host) for i, t, price, host in rows])
+    samples = orders(spark, tmp_path / "in").select("order_id", "timestamp", "ip_address", F.col("price").cast("long").alias("sent"))
+    plan = counter_delta_stream(samples, ["sent"], ["timestamp", "order_id"], ["ip_address"], "60 seconds", 10)
+    found = {}
+    run(plan, "append", tmp_path, sink=lambda df, i: found.update({r.order_id: r.sent_delta_mb for r in df.collect()}))
+    grown = lambda bytes_: bytes_ / 1048576
+    assert found == {"a": None, "c": grown(300), "b": grown(500), "e": grown(100), "d": None, "f": grown(2)}
+
+
+def test_throughput_as_intervals_close(spark, trace, tmp_path):
+    found = full(run(throughput_stream(orders(spark, trace), "30 seconds", "1 second"), "append", tmp_path))
+    rows = sorted(row for batch in found.values() for row in batch)
+    assert rows == [(0, 3, 3, 0.1), (30, 2, 5, 5 / 60)]
+
+
+def test_open_windows_change_when_an_address_crosses_the_limit(spark, trace, tmp_path):
+    path = str(tmp_path / "changes")
+    plan = live_stats(orders(spark, trace), "30 seconds", "100 seconds", limit=3, parts=2)
+    run(plan, "update", tmp_path, sink=changelog(path))
+    changes = read_changelog(spark, path, plan.schema)
+    found = stats_of_parts(latest(changes, PART_KEYS)).collect()
+    expected = realtime_stats(orders(spark, trace, False), enrich=True, limit=3).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, expected))
+    first = [r.suspicious for r in changes.filter("orders > 0").orderBy("batch_id").collect() if r.batch_id < 2]
+    assert max(first) == 1  # the third order of x came in the second batch
+
+
+def test_late_orders_are_kept_beside_the_windows(spark, tmp_path):
+    """Every order is in a window or late; a batch that meets both hands on both."""
+    times = [[1, 2], [200, 31], [3, 210], [300, 4], [301]]
+    for number, some in enumerate(times):
+        write_batch(tmp_path / "in", number, [order_json(f"o{t}", t, "p", 10, "x") for t in some])
+    build = lambda feed: popular_products(feed, delay=None)
+    plan = windows_and_late(orders(spark, tmp_path / "in"), build, "30 seconds", "1 second")
+    closed, late = {}, {}
+    sink = divided(
+        lambda df, i: closed.update({seconds(r.window_start): r.order_count for r in df.collect()}),
+        lambda df, i: late.update({r.order_id: (i, seconds(r.timestamp), r.total_price) for r in df.collect()}),
+    )
+    run(plan, "append", tmp_path, sink=sink)
+    assert closed == {0: 2, 30: 1, 180: 1, 210: 1}
+    assert late == {"o3": (2, 3, 10), "o4": (3, 4, 10)}
+
+
 def test_latest_of_updates_equals_batch(spark, trace, tmp_path):
     path = str(tmp_path / "changes")
     plan = popular_products(orders(spark, trace))
