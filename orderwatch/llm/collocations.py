@@ -300,6 +300,11 @@ def _joined(words: Column, begin, length) -> Column:
     return F.array_join(F.slice(words, begin, length), " ")
 
 
+def score() -> Column:
+    """1000 * a * n / (l * r) without its fraction, in whole numbers of up to 38 digits."""
+    return F.expr("(CAST(1000 AS DECIMAL(38,0)) * a * n) div (CAST(l AS DECIMAL(38,0)) * r)")
+
+
 def collocations(
     docs: DataFrame,
     longest: int = LONGEST,
@@ -335,8 +340,7 @@ def collocations(
     small = totals.withColumnRenamed("total", "n")
     small = F.broadcast(small) if totals.count() <= BROADCAST else small
     scored = cuts.join(of_part("first", "l"), ["lang", "first"]).join(of_part("rest", "r"), ["lang", "rest"]).join(small, "lang")
-    score = F.expr("(CAST(1000 AS DECIMAL(38,0)) * a * n) div (CAST(l AS DECIMAL(38,0)) * r)")
-    lowest = F.min(F.struct(score.alias("score"), "cut", "a", "l", "r", "n")).alias("best")
+    lowest = F.min(F.struct(score().alias("score"), "cut", "a", "l", "r", "n")).alias("best")
     best = scored.groupBy("lang", "phrase").agg(lowest).select("lang", "phrase", "best.*")
     order = [F.desc("score"), F.desc("a"), "phrase"]
     dealt = best.withColumn("dealt", F.pmod(F.xxhash64("phrase"), F.lit(RANKED)))

@@ -8,6 +8,7 @@ one or known by value, or an identifier: words of the vocabulary, told apart by
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import hashlib
 import re
@@ -60,6 +61,18 @@ SPANS = ArrayType(
 )
 
 
+def _joined(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Where spans of any kind begin and end, those that overlap taken as one."""
+    begins, ends = [], []
+    for begin, end in sorted((begin, end) for _, begin, end in spans):
+        if ends and begin < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            begins.append(begin)
+            ends.append(end)
+    return begins, ends
+
+
 class SecretScanner:
     def __init__(self, ranks_path: str, pattern: str):
         with open(ranks_path, "rb") as file:
@@ -101,10 +114,11 @@ class SecretScanner:
         if "AKIA" in text:
             found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
         found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-        base = list(found)
+        begins, ends = _joined(found)
         for m in CANDIDATE.finditer(text):
-            apart = all(m.end() <= start or end <= m.start() for _, start, end in base)
-            if apart and self.is_random(text, m):
+            # The last joined span that begins before the candidate ends is the only one that may reach into it.
+            last = bisect.bisect_left(begins, m.end()) - 1
+            if (last < 0 or ends[last] <= m.start()) and self.is_random(text, m):
                 found.append(("random", m.start(), m.end()))
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 

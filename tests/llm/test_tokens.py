@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 
@@ -44,7 +45,7 @@ def test_count_query(spark, sf_dir, tokenizer):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = queries.QUERIES["op4_token_counts"](spark, sf_dir).collect()
     assert len(rows) == len(texts)
-    for row in rows[::7]:
+    for row in rows:
         assert row.n_tokens == len(tokenizer.encode(texts[row.doc_id], add_special_tokens=False).ids)
         assert (row.n_bytes, row.over_limit) == (len(texts[row.doc_id].encode()), row.n_tokens > 2048)
 
@@ -175,3 +176,14 @@ def test_packing_of_awkward_rows(spark, tokenizer):
 
 def test_vocabulary_files_are_not_in_the_repository():
     assert public_tokenizers.__file__ not in queries.__file__
+
+
+def test_piece_query_on_every_document(spark, sf_dir, pieces):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = queries.QUERIES["op7_piece_codec"](spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = pieces.encode(texts[row.doc_id])
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(pieces.decode(ids).encode()).hexdigest()
