@@ -109,6 +109,11 @@ def _between(time: str) -> str:
 POPULAR = _popular(_tumbling("6 hours"), "6 hours")
 POPULAR_SLIDING = _popular(_sliding("6 hours", "2 hours", 3), "6 hours")
 SUSPICIOUS = _suspicious(_tumbling("1 day"), 5)
+CUTS = """
+cuts AS (
+  SELECT date_trunc('hour', min(ts) + i * (max(ts) - min(ts)) / 4) + INTERVAL '37 minutes 11 seconds' AS cut
+  FROM events, range(1, 4) AS r(i) GROUP BY i
+)"""
 CLOSED = "(SELECT max(ts) - INTERVAL '{0}' FROM events)"
 
 DECODED = """
@@ -359,11 +364,7 @@ UNION ALL SELECT 'realtime_stats', count(*), CAST(sum(total_sales) AS BIGINT) FR
     ),
     "skip_empty_batch": _with(
         EVENT_ORDERS,
-        """
-cuts AS (
-  SELECT date_trunc('hour', min(ts) + i * (max(ts) - min(ts)) / 4) + INTERVAL '37 minutes 11 seconds' AS cut
-  FROM events, range(1, 4) AS r(i) GROUP BY i
-)""",
+        CUTS,
         select="""
 SELECT count(DISTINCT (SELECT count(*) FROM cuts WHERE cut <= "timestamp")) AS batches, count(*) AS orders
 FROM o WHERE "timestamp" BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'""",
@@ -371,6 +372,15 @@ FROM o WHERE "timestamp" BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-2
 }
 CLOSED_POPULAR = f"(SELECT * FROM popular WHERE window_end <= {CLOSED.format('1 minute')})"
 ANSWERS |= {
+    "output_tables_catalog": f"SELECT *, true AS numbered, true AS timed FROM ({ANSWERS['output_tables']})",
+    "shutdown": _with(
+        EVENT_ORDERS,
+        CUTS,
+        select="""
+SELECT batch_id, count(*) AS orders, count(*) FILTER (product_name = 'error') AS rejects,
+       (SELECT count(*) FROM o WHERE product_name <> 'error') AS decoded
+FROM (SELECT *, (SELECT count(*) FROM cuts WHERE cut <= "timestamp") AS batch_id FROM o) GROUP BY batch_id""",
+    ),
     "late_rows": _with(
         EVENT_ORDERS,
         select="""SELECT order_id, "timestamp", product_name, total_price FROM o WHERE "timestamp" < TIMESTAMP '2024-01-16'""",

@@ -26,11 +26,13 @@ from orderwatch.plans.replay import (
     replay_messages,
     run_folder,
     stream_session,
+    turns,
     without_zone,
 )
 from orderwatch.sources import codec, feeds
 from orderwatch.sources.orders import read_metrics_csv
 from orderwatch.streaming import jobs, sinks
+from orderwatch.streaming.catalog_tables import catalog_sink, create_tables
 from orderwatch.streaming.late import divided, windows_and_late
 from orderwatch.streaming.live import PART_KEYS, live_stats, stats_of_parts
 from orderwatch.streaming.rolling import counted, rolling_counts
@@ -305,6 +307,44 @@ def output_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(spark.read.schema(contract).parquet(path))
 
 
+def output_tables_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High-value orders of a stream in a catalog table, which has filled the columns that the batches do not name."""
+    database = f"shop_{uuid.uuid4().hex}"
+    create_tables(spark, database, ["high_value_orders"], f"{run_folder(spark)}/{database}")
+    sink = catalog_sink(database, "high_value_orders")
+    replay(spark, sf_dir, rules.high_value_orders, "append", wrap=lambda _, log: sinks.both(log, sink))
+    rows = spark.table(f"{database}.high_value_orders")
+    numbered = F.count_distinct("id") == F.count(F.lit(1))
+    filled = rows.agg(numbered, F.bool_and(F.col("created_at").isNotNull())).first()
+    shown = rows.drop("id", "created_at", "batch_id")
+    return without_zone(shown.withColumns({"numbered": F.lit(filled[0]), "timed": F.lit(filled[1])}))
+
+
+def shutdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listener heard of a stream of messages that was drained in its first batch and then went on.
+
+    One batch for each of four files; some orders are cut off, so that they are rejects.
+    """
+    root, session = run_folder(spark), stream_session(spark)
+    text = F.col("value").cast("string")
+    broken = F.get_json_object(text, "$.product_name") == "error"
+    for number, turn in enumerate(turns(spark, sf_dir)):
+        events = spark.read.parquet(f"{sf_dir}/events.parquet").filter(turn)
+        messages = codec.encode_orders(feeds.orders_from_events(events)).select(F.col("value").cast("binary").alias("value"))
+        sent = messages.select(F.when(broken, F.substring(text, 1, 12)).otherwise(text).cast("binary").alias("value"))
+        sent.coalesce(1).write.parquet(f"{root}/topic/{number}")
+    source = session.readStream.schema("value binary").option("maxFilesPerTrigger", 1).parquet(f"{root}/topic/*")
+    orders = codec.observe_bad_records(codec.decode_orders(source))
+    heard, name, log = jobs.watch(session), uuid.uuid4().hex, sinks.changelog(f"{root}/changes")
+    jobs.drain([jobs.start(name, orders, "append", log, f"{root}/checkpoint", "1 second")])
+    jobs.start(name, orders, "append", log, f"{root}/checkpoint", jobs.ONCE).awaitTermination()
+    jobs.unwatch(session, heard)
+    facts = [(i, orders, rejects) for i, _, rows, orders, rejects in heard.batches[name] if rows]
+    batches = spark.createDataFrame(facts, "batch_id long, orders long, rejects long")
+    kept = spark.read.parquet(f"{root}/changes").agg(F.count_distinct("order_id")).first()[0]
+    return batches.withColumn("decoded", F.lit(kept))
+
+
 def compacted_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window results in four batches: without sales, some of it whole, compacted, more of it, and a tail."""
     root = run_folder(spark)
@@ -588,6 +628,8 @@ QUERIES: dict[str, Query] = {
     "orders_encode_publish": orders_encode_publish,
     "metrics_csv_source": metrics_csv_source,
     "output_tables": output_tables,
+    "output_tables_catalog": output_tables_catalog,
+    "shutdown": shutdown,
     "total_price": total_price,
     "high_value_orders": high_value_orders,
     "high_value_display": high_value_display,

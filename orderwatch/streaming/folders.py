@@ -22,6 +22,14 @@ def finished(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return [n for n in numbers if done(n)]
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The folders under `path`, whether their writer has ended or not."""
+    folder, files, _ = _store(spark, path)
+    if not files.exists(folder):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     folder, files, _ = _store(spark, path)
     files.delete(folder, True)

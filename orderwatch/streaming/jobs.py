@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Mapping
+import threading
+import time
+from collections import Counter, defaultdict, deque
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,17 +43,37 @@ def start(
     `trigger` is an interval such as "30 seconds", "once" to work off what is there and stop, or None
     to begin a batch as soon as the last one ends.
     """
+    closing = threading.Event()
     writer = (
         df.writeStream.queryName(name)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(adaptively(sink))
+        .foreachBatch(_unless(closing, adaptively(sink)))
     )
     if trigger == ONCE:
         writer = writer.trigger(availableNow=True)
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    query = writer.start()
+    CLOSING[query.runId] = closing
+    return query
+
+
+class Drained(Exception):
+    """A batch that began after its query was told to end."""
+
+
+#: Set for a run of a query that is to begin no further batch.
+CLOSING: dict[str, threading.Event] = {}
+
+
+def _unless(closing: threading.Event, sink: Sink) -> Sink:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if closing.is_set():
+            raise Drained(f"batch {batch_id} waits for the next start")
+        sink(batch, batch_id)
+
+    return write
 
 
 @dataclass(frozen=True)
@@ -165,11 +187,16 @@ def run_alerts(
     return [start("alerts_verdicts", plan, "append", judge, f"{root}/verdicts", trigger)]
 
 
-class LateRows(StreamingQueryListener):
-    """Adds up the rows that queries drop as too late, over their whole life, by query name."""
+class Watch(StreamingQueryListener):
+    """What the queries of a session do, by query name: rows dropped as too late, and the last batches.
+
+    A batch is (batch id, start, rows read, orders and rejects of `observe_bad_records`, or null without it). `kept`
+    batches of a query are held.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, kept: int = 1000) -> None:
         self.dropped: Counter[str | None] = Counter()
+        self.batches: defaultdict[str | None, deque] = defaultdict(lambda: deque(maxlen=kept))
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
@@ -177,6 +204,10 @@ class LateRows(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:  # noqa: N802
         progress = event.progress
         self.dropped[progress.name] += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+        counts = progress.observedMetrics.get("bad_records")
+        orders, rejects = (counts.orders, counts.rejects) if counts else (None, None)
+        batch = (progress.batchId, progress.timestamp, progress.numInputRows, orders, rejects)
+        self.batches[progress.name].append(batch)
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
@@ -185,22 +216,47 @@ class LateRows(StreamingQueryListener):
         pass
 
 
-def watch_late_rows(spark: SparkSession) -> LateRows:
-    """Counts late rows of all queries of the session from now on."""
-    listener = LateRows()
+def watch(spark: SparkSession) -> Watch:
+    """Watches all queries of the session from now on."""
+    listener = Watch()
     spark.streams.addListener(listener)
     return listener
 
 
+def unwatch(spark: SparkSession, listener: Watch) -> None:
+    """Ends watching, once what has happened so far has been heard."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    spark.streams.removeListener(listener)
+
+
+def drain(queries: Iterable[StreamingQuery], poll_seconds: float = 0.05) -> None:
+    """Ends queries that `start` began, each after the batch that it is in, so that no work is thrown away.
+
+    A batch that begins meanwhile is turned away before its sink, and done first after a restart; the query then ends
+    with `Drained` as its error.
+    """
+    waiting = list(queries)
+    for query in waiting:
+        if query.runId in CLOSING:
+            CLOSING[query.runId].set()
+    while waiting:
+        for query in list(waiting):
+            if not query.isActive or not query.status["isTriggerActive"]:
+                query.stop()
+                waiting.remove(query)
+        if waiting:
+            time.sleep(poll_seconds)
+
+
 def await_any(spark: SparkSession) -> None:
     """Waits until one query ends, raising its error if it failed, and then stops the others.
 
-    An interrupt stops them too.
+    An interrupt stops them too, each after the batch that it is in.
     """
     try:
         spark.streams.awaitAnyTermination()
     except KeyboardInterrupt:
-        pass
+        drain(spark.streams.active)
     finally:
         for query in spark.streams.active:
             query.stop()

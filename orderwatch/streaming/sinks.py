@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from orderwatch.operators.ranking import top_per_window
 from orderwatch.operators.rolling import order_verdict
 from orderwatch.operators.windows import product_lists, suspicious_ip_products
 from orderwatch.schemas import with_captions
-from orderwatch.streaming.folders import finished, remove
+from orderwatch.streaming.folders import finished, names, remove
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -87,15 +88,29 @@ def _newest(changes: DataFrame, keys: list[str]) -> DataFrame:
     return changes.groupBy(*keys).agg(*newest, F.max("batch_id").alias("batch_id")).select(*changes.columns)
 
 
-def _compacted(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame | None, int]:
-    """The compacted rows with their `batch_id` and `day`, and the batch they reach; None and -1 before any."""
+def _whole_days(spark: SparkSession, path: str) -> tuple[dict[date | None, int], int]:
+    """Which compaction wrote each day of the latest view, by the newest marker, and the batch it reaches; {} and -1
+    before any. A row for each day."""
     marks = finished(spark, f"{path}-latest", "upto=")
     if not marks:
-        return None, -1
+        return {}, -1
+    kind = "day DATE, written BIGINT"
+    return {r.day: r.written for r in spark.read.schema(kind).parquet(f"{path}-latest/upto={marks[-1]}").collect()}, marks[-1]
+
+
+def _day_folder(path: str, day: date | None, written: int) -> str:
+    return f"{path}-latest/rows/written={written}/day={day or '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def _compacted(spark: SparkSession, path: str, schema: T.StructType, days: dict[date | None, int]) -> DataFrame:
+    """The compacted rows of some days with their `batch_id` and `day`."""
     extra = [T.StructField("batch_id", T.LongType()), T.StructField("day", T.DateType())]
-    rows = spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(f"{path}-latest/rows")
-    # Rows of a run that broke off before its marker are still in the change log.
-    return rows.filter(F.col("batch_id") <= marks[-1]), marks[-1]
+    kind = T.StructType([*schema.fields, *extra])
+    if not days:
+        return spark.createDataFrame([], kind)
+    with_written = T.StructType([*kind.fields, T.StructField("written", T.LongType())])
+    reader = spark.read.schema(with_written).option("basePath", f"{path}-latest/rows")
+    return reader.parquet(*[_day_folder(path, day, written) for day, written in days.items()]).select(*kind.names)
 
 
 def _changes_after(spark: SparkSession, path: str, schema: T.StructType, batch: int, time: str) -> DataFrame:
@@ -114,9 +129,9 @@ def read_latest(
     `since` and `until` are days; only those are read, and only those of the result are whole. The column `day`
     stays, for further pruning.
     """
-    compacted, upto = _compacted(spark, path, schema)
-    rows = _changes_after(spark, path, schema, upto, time)
-    rows = rows if compacted is None else rows.unionByName(compacted)
+    days, upto = _whole_days(spark, path)
+    shown = {d: n for d, n in days.items() if not (since or until) or d and (not since or str(d) >= since) and (not until or str(d) <= until)}
+    rows = _changes_after(spark, path, schema, upto, time).unionByName(_compacted(spark, path, schema, shown))
     if since:
         rows = rows.filter(F.col("day") >= F.to_date(F.lit(since)))
     if until:
@@ -127,30 +142,51 @@ def read_latest(
 def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], time: str) -> int:
     """Works the finished batches of a change log into its latest view, by day of `time`, and removes them.
 
-    Only days that changed are read and written again. The view remembers which batch it reaches in a marker
-    written last; a run that broke off before that is done again with the same result, as rows carry their batch.
-    To be run between batches, or with the last `batch_id` still to be repeated left alone by the caller.
-    Returns the batch the view reaches.
+    Only days that changed are read and written again, into folders of this compaction. Then a marker, written last, says
+    which folders hold each day and which batch they reach. Only after that is removed what it replaces, so that a run
+    that breaks off at any point leaves the view as it was or as it will be, and the next one tidies up. To be run
+    between batches, or with the last `batch_id` still to be repeated left alone by the caller. Returns the batch the
+    view reaches.
     """
-    compacted, upto = _compacted(spark, path, schema)
+    days, upto = _whole_days(spark, path)
     batches = [n for n in finished(spark, path, "batch_id=") if n > upto]
     if batches:
         changes = _changes_after(spark, path, schema, upto, time)
-        if compacted is not None:
-            days = changes.select("day").distinct()
-            changes = changes.unionByName(compacted.join(days, "day", "left_semi"))
+        changed = {row.day for row in changes.select("day").distinct().collect()}
+        before = _compacted(spark, path, schema, {day: n for day, n in days.items() if day in changed})
+        changes = changes.unionByName(before)
         rows = _newest(changes, [*keys, "day"]) if keys else changes
-        # The rebalance hint splits large days and joins small ones, so files come out even.
-        written = rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        written.partitionBy("day").parquet(f"{path}-latest/rows")
         upto = batches[-1]
-        spark.range(0).write.mode("overwrite").parquet(f"{path}-latest/upto={upto}")
-        for mark in finished(spark, f"{path}-latest", "upto=")[:-1]:
-            remove(spark, f"{path}-latest/upto={mark}")
+        # The rebalance hint splits large days and joins small ones, so files come out even.
+        rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{path}-latest/rows/written={upto}")
+        days |= dict.fromkeys(changed, upto)
+        _mark(spark, path, days, upto)
+    _tidy(spark, path, days, upto)
+    return upto
+
+
+def _mark(spark: SparkSession, path: str, days: dict[date | None, int], upto: int) -> None:
+    marker = spark.createDataFrame(list(days.items()), "day DATE, written BIGINT").coalesce(1)
+    marker.write.mode("overwrite").parquet(f"{path}-latest/upto={upto}")
+
+
+def _tidy(spark: SparkSession, path: str, days: dict[date | None, int], upto: int) -> None:
+    """Removes batches that the view holds, markers before the newest, and days that another folder holds."""
     for number in finished(spark, path, "batch_id="):
         if number <= upto:
             remove(spark, f"{path}/batch_id={number}")
-    return upto
+    for mark in finished(spark, f"{path}-latest", "upto=")[:-1]:
+        remove(spark, f"{path}-latest/upto={mark}")
+    kept = {_day_folder(path, day, written) for day, written in days.items()}
+    written = set(days.values())
+    for folder in names(spark, f"{path}-latest/rows"):
+        whole = f"{path}-latest/rows/{folder}"
+        if folder.startswith("written=") and int(folder.removeprefix("written=")) not in written:
+            remove(spark, whole)
+            continue
+        for day in names(spark, whole):
+            if day.startswith("day=") and f"{whole}/{day}" not in kept:
+                remove(spark, f"{whole}/{day}")
 
 
 def ranked(sink: Sink, by: str, k: int = 5, ties: list[str] | None = None) -> Sink:

@@ -17,6 +17,7 @@ KINDS = {
     "DOUBLE": "double",
     "VARCHAR": "string",
     "TIMESTAMP": "timestamp_ntz",
+    "BOOLEAN": "boolean",
 }
 
 

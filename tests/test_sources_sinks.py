@@ -262,22 +262,49 @@ def test_compaction_keeps_the_view_and_empties_the_log(spark, tmp_path):
 
 
 @pytest.mark.parametrize("keys", [["stat_time"], []])
-def test_a_compaction_that_broke_off_is_done_again(spark, tmp_path, monkeypatch, keys):
-    path = str(tmp_path / "stats")
+@pytest.mark.parametrize("step", ["_mark", "_tidy", "remove"])
+def test_a_compaction_that_broke_off_loses_nothing(spark, tmp_path, monkeypatch, keys, step):
+    """Lost before its marker, before what it replaces is removed, or in the middle of that."""
+    path, where = str(tmp_path / "stats"), (str(tmp_path / "stats"), REALTIME_STATS, keys, "stat_time")
     log = sinks.changelog(path)
-    for batch_id in range(2):
-        log(spark.createDataFrame([(datetime(2025, 1, 1 + batch_id), 1, 10, 10, 0)], REALTIME_STATS), batch_id)
-        if not batch_id:
-            sinks.compact(spark, path, REALTIME_STATS, keys, "stat_time")
-    marker = spark.range
-    monkeypatch.setattr(type(spark), "range", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("lost")))
+    day = lambda number, n: (datetime(2025, 1, number), n, 10 * n, 10, 0)
+    view = lambda: sorted((r.stat_time.day, r.total_orders) for r in sinks.read_latest(spark, *where).collect())
+    log(spark.createDataFrame([day(1, 1), day(2, 1)], REALTIME_STATS), 0)
+    log(spark.createDataFrame([day(3, 1)], REALTIME_STATS), 1)
+    assert sinks.compact(spark, *where) == 1
+    log(spark.createDataFrame([day(2, 5)], REALTIME_STATS), 2)
+    before = view()
+    assert before == ([(1, 1), (2, 5), (3, 1)] if keys else [(1, 1), (2, 1), (2, 5), (3, 1)])
+    calls, real = [], getattr(sinks, step)
+
+    def lost(*args):
+        calls.append(args)
+        if step == "remove" and len(calls) == 1:
+            return real(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, step, lost)
     with pytest.raises(RuntimeError):
-        sinks.compact(spark, path, REALTIME_STATS, keys, "stat_time")
+        sinks.compact(spark, *where)
+    assert view() == before
+    log(spark.createDataFrame([day(4, 7)], REALTIME_STATS), 3)
     monkeypatch.undo()
-    assert marker is not None
     for _ in range(2):
-        assert sinks.read_latest(spark, path, REALTIME_STATS, keys, "stat_time").count() == 2
-        assert sinks.compact(spark, path, REALTIME_STATS, keys, "stat_time") == 1
+        assert view() == [*before, (4, 7)]
+        assert sinks.compact(spark, *where) == 3
+    kept = sorted(f"{p.parent.name}/{p.name}" for p in (tmp_path / "stats-latest").glob("rows/written=*/day=*"))
+    assert len(kept) == 4 and len(list((tmp_path / "stats-latest").glob("upto=*"))) == 1
+    assert not list((tmp_path / "stats").glob("batch_id=*"))
+
+
+def test_rows_without_a_time_survive_compaction(spark, tmp_path):
+    where = (str(tmp_path / "stats"), REALTIME_STATS, [], "stat_time")
+    log = sinks.changelog(where[0])
+    for batch_id in range(3):
+        log(spark.createDataFrame([(None, batch_id, 1, 1, 0), (datetime(2025, 1, 1), 5, 1, 1, 0)], REALTIME_STATS), batch_id)
+        sinks.compact(spark, *where)
+        assert sorted(r.total_orders for r in sinks.read_latest(spark, *where).collect()) == [*range(batch_id + 1), *[5] * (batch_id + 1)]
+    assert sinks.read_latest(spark, *where, since="2025-01-01").count() == 3
 
 
 def test_dashboard_ranges_are_half_open(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from feed import EPOCH, order_json, write_batch, write_trace
 from pyspark.sql import functions as F
@@ -15,7 +17,8 @@ from orderwatch.plans.views import latest_table
 from orderwatch.schemas import OUTPUT_TABLES
 from orderwatch.sources.codec import decode_orders, observe_bad_records
 from orderwatch.sources.orders import read_orders
-from orderwatch.streaming.jobs import await_any, run_alerts, run_reports, run_tables, start, watch_late_rows
+from orderwatch.streaming.catalog_tables import catalog_sink, create_tables
+from orderwatch.streaming.jobs import await_any, drain, run_alerts, run_reports, run_tables, start, unwatch, watch
 from orderwatch.streaming.late import divided, windows_and_late
 from orderwatch.streaming.live import PART_KEYS, live_stats, stats_of_parts
 from orderwatch.streaming.rolling import counted, rolling_counts
@@ -297,11 +300,10 @@ def test_late_orders_are_dropped_and_counted(spark, tmp_path):
     for number, second in enumerate([1, 200, 300, 2]):
         write_batch(folder, number, [order_json(f"o{number}", second, "p", 10, "x")])
     plan = popular_products(orders(spark, folder))
-    late = watch_late_rows(spark)
+    late = watch(spark)
     query = start("late", plan, "update", lambda df, i: df.count(), str(tmp_path / "c"), "once")
     query.awaitTermination()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
-    spark.streams.removeListener(late)
+    unwatch(spark, late)
     assert late.dropped["late"] == 1
 
 
@@ -315,6 +317,46 @@ def test_bad_messages_are_counted_on_the_way(spark, tmp_path):
     assert (counts[0].orders, counts[0].rejects) == (3, 2)
 
 
+def test_a_drained_query_ends_between_batches(spark, tmp_path):
+    """Stopped in its second batch, which still ends; the rest follows after a restart, and nothing comes twice."""
+    folder, seen = tmp_path / "in", []
+    for number in range(5):
+        write_batch(folder, number, [order_json(f"o{number}", number, "p", 10, "x"), "junk"])
+    feed = lambda: observe_bad_records(decode_orders(read_orders(spark, "json", {"path": str(folder), "maxFilesPerTrigger": "1"})))
+
+    def slow(batch, batch_id):
+        seen.append((batch_id, sorted(r.order_id or "" for r in batch.collect())))
+        time.sleep(1)
+
+    heard = watch(spark)
+    query = start("drained", feed(), "append", slow, str(tmp_path / "c"), None)
+    while len(seen) < 2:
+        time.sleep(0.02)
+    drain([query])
+    assert [i for i, _ in seen] == [0, 1] and (query.exception() is None or "Drained" in str(query.exception()))
+    start("drained", feed(), "append", slow, str(tmp_path / "c"), "once").awaitTermination()
+    unwatch(spark, heard)
+    assert seen == [(i, ["", f"o{i}"]) for i in range(5)]
+    rows = [batch for batch in heard.batches["drained"] if batch[2]]
+    assert [(i, n, orders, rejects) for i, _, n, orders, rejects in rows] == [(i, 2, 2, 1) for i in range(5)]
+    starts = [begun for _, begun, *_ in rows]
+    assert starts == sorted(starts) and len(set(starts)) == 5
+
+
+def test_catalog_tables_fill_the_other_columns(spark, tmp_path):
+    names = create_tables(spark, "shop_test", location=str(tmp_path / "shop"))
+    assert create_tables(spark, "shop_test") == names and len(names) == 4
+    sink = catalog_sink("shop_test", "suspicious_ips")
+    row = "timestamp'2025-01-01T00:00:00Z' AS window_start, CAST(id AS STRING) AS ip_address, id AS order_count, 5L AS total_spent"
+    batch = lambda n: spark.range(0, n, 1, 4).selectExpr(*row.split(", "))
+    for batch_id, n in ((0, 7), (1, 9), (1, 5), (2, 0), (4, 6)):
+        sink(batch(n), batch_id)
+    rows = spark.table("shop_test.suspicious_ips").orderBy("id").collect()
+    assert [(r.batch_id, r.total_spent) for r in rows] == [(0, 5)] * 7 + [(1, 5)] * 5 + [(4, 5)] * 6
+    assert len({r.id for r in rows}) == len(rows) and all(r.created_at for r in rows)
+    spark.sql("DROP DATABASE shop_test CASCADE")
+
+
 def test_tables_and_reports_fan_out(spark, tmp_path):
     """A feed with one address that orders far too often: it, and only it, is reported."""
     folder = tmp_path / "in"
