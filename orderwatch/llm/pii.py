@@ -17,6 +17,8 @@ from orderwatch.llm.common import text_or_empty
 #: Positions are summed in blocks of so many matches, so that a text full of matches costs no square.
 BLOCK = 64
 NEAR = 40
+#: Characters of a piece of the text; what stands around a match is cut from two pieces, not from the text's start.
+PIECE = 256
 LEAST_SCORE = 0.5
 
 
@@ -54,6 +56,16 @@ def mod97(account: Column) -> Column:
     return rest == 1
 
 
+def _account(run: Column) -> Column:
+    """The longest beginning of a run of capitals and digits, ending with a word, that is an account number; or null."""
+    words = F.split(run, " ")
+    beginnings = F.transform(
+        F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda count: F.array_join(F.slice(words, F.lit(1), count), " ")
+    )
+    passed = lambda part: F.length(F.translate(part, " ", "")).between(15, 34) & ~part.rlike("[a-z]") & mod97(part)
+    return F.get(F.filter(beginnings, passed), F.lit(0))
+
+
 def _card(hit: Column) -> Column:
     return _digit_count(13, 19)(hit) & luhn(_digits(hit))
 
@@ -77,6 +89,8 @@ class Kind:
     score: float
     lift: float
     context: str
+    #: Of a pattern that looks ahead in its first group: the part of match and group that counts, or null.
+    taken: Callable[[Column], Column] | None = None
 
 
 # The four kinds of the contract, in its order. A match of the plain pattern starts where a run starts or where
@@ -160,15 +174,17 @@ ADDED = (
         0.3,
         "iban|bank|account|konto|compte|cuenta",
     ),
-    # Of a country that the table lacks. Searched apart, so that a run of capitals and digits hides no listed one.
+    # Of a country that the table lacks. Searched apart, so that a run of capitals and digits hides no listed one. Words
+    # in capitals may follow, which the pattern looks at without taking them.
     Kind(
         "iban",
-        rf"(?<![A-Za-z0-9])(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?=((?:\x20?[A-Z0-9]){{11,30}}+[A-Za-z0-9]*+))",
         lambda text: text.rlike("[A-Z]{2}[0-9]{2}"),
-        mod97,
+        lambda hit: hit.isNotNull(),
         0.7,
         0.3,
         "iban|bank|account|konto|compte|cuenta",
+        taken=lambda run: _account(run),
     ),
     Kind(
         "national_id",
@@ -198,7 +214,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _positions(text: Column, pattern: str) -> Column:
+def _positions(text: Column, kind: Kind) -> Column:
     """Every match with its start: what lies between matches comes from splitting at them."""
     size = lambda part: F.aggregate(part, F.lit(0), lambda a, s: a + s["size"])
 
@@ -207,7 +223,7 @@ def _positions(text: Column, pattern: str) -> Column:
             block,
             lambda s, i: F.struct(
                 s["hit"].alias("hit"),
-                (before + size(F.slice(block, F.lit(1), i)) + s["size"] - F.length(s["hit"])).alias("start"),
+                (before + size(F.slice(block, F.lit(1), i)) + s["size"] - s["own"]).alias("start"),
             ),
         )
 
@@ -223,53 +239,92 @@ def _positions(text: Column, pattern: str) -> Column:
             lambda all_: F.flatten(F.transform(all_, lambda x, b: located(x["part"], size(F.slice(all_, F.lit(1), b))))),
         )
 
-    hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.arrays_zip(hits.alias("hit"), gaps.alias("gap"))
+    found = lambda group: F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(group))
+    hits, gaps = found(0), F.split(text, kind.pattern, -1)
+    arrays = [hits.alias("hit"), gaps.alias("gap")]
+    if kind.taken:
+        arrays.append(found(1).alias("ahead"))
     steps = F.transform(
-        F.filter(pairs, lambda x: x["hit"].isNotNull()),
-        lambda x: F.struct(x["hit"].alias("hit"), (F.length(x["gap"]) + F.length(x["hit"])).alias("size")),
+        F.filter(F.arrays_zip(*arrays), lambda x: x["hit"].isNotNull()),
+        lambda x: F.struct(
+            (kind.taken(F.concat(x["hit"], x["ahead"])) if kind.taken else x["hit"]).alias("hit"),
+            (F.length(x["gap"]) + F.length(x["hit"])).alias("size"),
+            F.length(x["hit"]).alias("own"),
+        ),
     )
     return _let(steps, in_blocks)
 
 
+def _cut_out(pieces: Column, begin: Column, length: Column) -> Column:
+    """`length` characters, at most PIECE, of a text in pieces."""
+    first = F.floor(begin / PIECE).cast("int")
+    two = F.concat(F.coalesce(F.get(pieces, first), F.lit("")), F.coalesce(F.get(pieces, first + 1), F.lit("")))
+    return F.substring(two, begin - first * PIECE + 1, length)
+
+
 def _spans(text: Column, kind: Kind) -> Column:
-    def scored(at: Column) -> Column:
-        begin = F.greatest(at["start"] - NEAR, F.lit(0))
-        around = F.lower(F.substring(text, begin + 1, at["start"] - begin + F.length(at["hit"]) + NEAR))
+    def scored(at: Column, pieces: Column) -> Column:
+        begin, end = F.greatest(at["start"] - NEAR, F.lit(0)), at["start"] + F.length(at["hit"])
+        before, behind = _cut_out(pieces, begin, at["start"] - begin), _cut_out(pieces, end, F.lit(NEAR))
+        around = F.lower(F.concat(before, at["hit"], behind))
         near = F.when(around.rlike(rf"(?<![a-z])(?:{kind.context})"), kind.lift).otherwise(0.0)
         return F.struct(
             F.lit(kind.name).alias("kind"),
             at["start"].alias("start"),
-            (at["start"] + F.length(at["hit"])).alias("end"),
+            end.alias("end"),
             at["hit"].alias("hit"),
             (F.lit(kind.score) + near).alias("score"),
         )
 
-    valid = F.filter(_positions(text, kind.pattern), lambda at: kind.valid(at["hit"]))
-    searched = F.when(kind.needs(text) & text.rlike(kind.pattern), F.transform(valid, scored))
+    valid = F.filter(_positions(text, kind), lambda at: kind.valid(at["hit"]))
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    searched = F.when(
+        kind.needs(text) & text.rlike(kind.pattern),
+        _let(pieces, lambda cut: F.transform(valid, lambda at: scored(at, cut))),
+    )
     return F.coalesce(searched.cast(f"array<{SPAN}>"), F.array().cast(f"array<{SPAN}>"))
 
 
+def _meets(span: Column, base: Column) -> Column:
+    """Whether a span overlaps one of `base`, which are of one kind: in order, and apart from each other."""
+    halves = F.array(*[F.lit(1 << power) for power in reversed(range(31))])
+    # How many begin before the span ends, found by halves; places beyond the last are null and not taken.
+    count = F.aggregate(
+        halves,
+        F.lit(0),
+        lambda low, step: F.when(
+            (step <= F.size(base) - low) & (F.get(base, low + step - 1)["start"] < span["end"]), low + step
+        ).otherwise(low),
+    )
+    return F.coalesce(F.get(base, count - 1)["end"] > span["start"], F.lit(False))
+
+
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id and `spans`, an array of kind, start, end (code points, end exclusive), hit and score.
 
     Spans are ordered by kind as listed, then start. Base kinds are all kept; an added span is dropped below
     LEAST_SCORE or where it overlaps a base one. A null text counts as empty; an empty text has no spans; repeated
-    rows are judged one by one; other columns are neither read nor returned.
+    rows are judged one by one; other columns are neither read nor returned. The work grows with the text and its
+    matches, not with their square.
     """
     text = F.col("_text")
     found = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("_text"))
-    base = found.select(
+    names = list(dict.fromkeys(kind.name for kind in ADDED))
+    of_name = lambda name: F.concat(*[_spans(text, kind) for kind in ADDED if kind.name == name])
+    searched = found.select(
         "doc_id",
-        F.concat(*[_spans(text, kind) for kind in BASE]).alias("base"),
-        F.concat(*[_spans(text, kind) for kind in ADDED]).alias("added"),
+        *[_spans(text, kind).alias(f"base_{kind.name}") for kind in BASE],
+        F.concat(*[F.array_sort(of_name(name)) for name in names]).alias("added"),
     )
-    apart = F.filter(
-        "added",
-        lambda a: (a["score"] >= LEAST_SCORE)
-        & ~F.exists("base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])),
-    )
-    return base.select("doc_id", F.concat("base", apart).alias("spans"))
+    base = [f"base_{kind.name}" for kind in BASE]
+
+    def apart(span: Column) -> Column:
+        kept = span["score"] >= LEAST_SCORE
+        for name in base:
+            kept = kept & ~_meets(span, F.col(name))
+        return kept
+
+    return searched.select("doc_id", F.concat(*base, F.filter("added", apart)).alias("spans"))
 
 
 def span_list(spans: Column) -> Column:

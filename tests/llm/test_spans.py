@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import pytest
 from cases import TEXTS, awkward
@@ -23,6 +24,7 @@ HARD = [
     "@@a@b@c.d.e..f a.@b.c-",
     "+1 23456789 " * 2_000,
     "\n+49 30 123456\n1.1.1.1\n" * 3,
+    "long text, é 日本 " * 9_000 + "write to last@place.example or 10.0.0.7, card 4111 1111 1111 1111",
     "",
 ]
 
@@ -33,7 +35,7 @@ def luhn(digits):
 
 def plain_personal(text):
     digits = lambda m: re.sub("[^0-9]", "", m[0])
-    found = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text[:19_000])]
+    found = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
         found += [("ip", m)] if all(int(p) <= 255 for p in m[0].split(".")) else []
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
@@ -98,6 +100,59 @@ def test_account_numbers_end_where_their_country_says(spark):
         assert found == ([(text.index(value), value)] if value else []), text
 
 
+def test_spans_are_by_kind_and_start(spark):
+    """Accounts of listed and unlisted countries in any order; words in capitals and other accounts behind them."""
+    german, other = "DE89370400440532013000", "ZZ22 3704 0044 0532 0130 00"
+    rows = [
+        (f"konto {other} then {german} end", [other, german]),
+        (f"konto {german} then {other} end", [german, other]),
+        (f"IBAN {other} BIC COBADEFFXXX", [other]),
+        (f"IBAN {other} {other} BIC COBADEFFXXX AND MORE OF THIS IN CAPITALS", [other, other]),
+        (f"{other} {german} {other}", [other, german, other]),
+        (f"{other}7", []),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(rows)], "doc_id long, text string")
+    for row in pii.find_personal_data(docs).collect():
+        accounts = [s for s in row.spans if s.kind == "iban"]
+        assert [s.hit for s in accounts] == rows[row.doc_id][1]
+        assert [s.start for s in accounts] == sorted(s.start for s in accounts)
+        assert all(s.hit == rows[row.doc_id][0][s.start : s.end] for s in accounts)
+
+
+def test_added_spans_never_meet_base_ones(spark):
+    rnd = random.Random(8)
+    parts = ["a@b.co", "10.0.0.7", "4111 1111 1111 1111", "+1 (437) 555-0689", "(437) 555-0689", "123-45-6789", " ", " tel ", " ssn ", "x", "-"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(1, 60))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names, added = [k.name for k in pii.BASE], 0
+    for row in pii.find_personal_data(docs).collect():
+        base = [s for s in row.spans if s.kind in names]
+        for span in row.spans:
+            assert span.hit == texts[row.doc_id][span.start : span.end]
+            if span.kind not in names:
+                added += 1
+                assert not any(span.start < b.end and b.start < span.end for b in base)
+    assert added > 50
+
+
+def seconds_a_kilobyte(work, text):
+    begun = time.perf_counter()
+    work(text)
+    return (time.perf_counter() - begun) / len(text) * 1000
+
+
+def test_time_grows_with_the_text(spark):
+    """Texts full of matches of all kinds: ten times the text costs no more than twice the time for each kilobyte."""
+    line = "write a.b@c.example or call (437) 555-0689, konto DE89370400440532013000, 10.1.2.3, password = abcdefghijkl12 0123456789abcdef01 "
+    schema = "doc_id long, text string"
+    personal = lambda text: pii.find_personal_data(spark.createDataFrame([(1, text)], schema)).selectExpr("size(spans)").first()
+    scan = secret_scan.scanner(queries.RANKS, queries.SPLITS).spans
+    for work, size in ((personal, 400_000), (scan, 400_000)):
+        work(line * 100)
+        small, large = (seconds_a_kilobyte(work, line * (n // len(line))) for n in (size, 10 * size))
+        assert large <= 2 * small, (work, small, large)
+
+
 def test_words_nearby_lift_the_score(spark):
     docs = spark.createDataFrame([(1, "4111111111111111"), (2, "my card 4111111111111111")], "doc_id long, text string")
     scores = {r.doc_id: r.spans[0].score for r in pii.find_personal_data(docs).collect()}
