@@ -2,18 +2,16 @@
 
 Hosts run words together. Each run of letters in a host is split by Viterbi decoding under a unigram model, whose
 counts come from the text of all pages; candidates reach the counts by a join, so the model may be of any size.
-Naive Bayes counts hashed words of every URL that a seed list marks or does not mark, and judges URLs that no
-rule decides.
+Naive Bayes counts the words of every URL that a seed list marks or does not mark, and judges URLs that no
+rule decides. The most frequent words of URLs go to every task; the others reach their URLs by a join.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +19,9 @@ from pyspark.sql import functions as F
 from orderwatch.llm.common import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LONGEST_WORD = 20
-#: Slots of the hashed words. With that the model has a fixed size, whatever the number of words.
-SLOTS = 1 << 16
+#: The most words whose odds are sent to every task, and the most letters of one; the others are joined.
+SENT_WORDS = 1 << 16
+SENT_LETTERS = 64
 #: Words of a host or path that mark a URL as an example of what to block.
 SEED_SHARE = 1e-4
 SEEDS = tuple(
@@ -71,10 +69,10 @@ def longest_rule(host: Column, path: Column, rules: Iterable[Rule]) -> tuple[Col
 
 
 def word_counts(text: Column, rows: DataFrame) -> DataFrame:
-    """How often each word of letters a-z, up to LONGEST_WORD of them, stands in a column of marked-up text."""
+    """How often each word of letters a-z, of any length, stands in a column of marked-up text."""
     plain = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "<[^>]*>", " "))
     words = rows.select(F.explode(F.split(plain, "[^a-z]+")).alias("word"))
-    return words.filter(F.length("word").between(1, LONGEST_WORD)).groupBy("word").count()
+    return words.filter(F.length("word") > 0).groupBy("word").count()
 
 
 def with_seeds(counts: DataFrame, seeds: Iterable[str]) -> DataFrame:
@@ -87,18 +85,22 @@ def with_seeds(counts: DataFrame, seeds: Iterable[str]) -> DataFrame:
 
 def split_words(run: str, starts: list[int], words: list[str], counts: list[int], total: int) -> list[str]:
     """The most likely words of a run of letters. A stretch without a known word costs as an unseen word of its
-    length; ties go to the longer last word."""
-    unseen = lambda size: -math.log(total + 1) - size * math.log(10)
-    known = {(s, len(w)): math.log(c / total) for s, w, c in zip(starts, words, counts, strict=True)}
+    length; ties go to the longer last word. The work grows with the letters and the known words among them."""
+    known: dict[int, list[tuple[int, float]]] = {}
+    for begin, word, count in zip(starts, words, counts, strict=True):
+        known.setdefault(begin + len(word), []).append((begin, math.log(count / total)))
+    unseen, letter = -math.log(total + 1), math.log(10)
     best, cut_at = [0.0], [0]
+    # Where the best unseen word would begin: each letter of it costs the same, so it is the same up to any end.
+    gain, opening = 0.0, 0
     for end in range(1, len(run) + 1):
-        options = [
-            (best[begin] + known.get((begin, end - begin), unseen(end - begin)), -begin)
-            for begin in range(max(0, end - LONGEST_WORD), end)
-        ]
+        options = [(gain + unseen - end * letter, -opening)]
+        options += [(best[begin] + chance, -begin) for begin, chance in known.get(end, ())]
         score, begin = max(options)
         best.append(score)
         cut_at.append(-begin)
+        if score + end * letter > gain:
+            gain, opening = score + end * letter, end
     out, end = [], len(run)
     while end:
         out.append(run[cut_at[end] : end])
@@ -112,7 +114,9 @@ def segmented_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     parts = hosts.select("host").distinct().select("host", F.posexplode(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0))))
     runs = parts.select(F.col("col").alias("run")).distinct()
     begins = runs.select("run", F.explode(F.sequence(F.lit(0), F.length("run") - 1)).alias("begin"))
-    sizes = F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("run") - F.col("begin")))
+    # Only stretches as long as some word are looked up.
+    lengths = sorted(row.size for row in counts.select(F.length("word").alias("size")).distinct().collect())
+    sizes = F.filter(F.lit(lengths).cast("array<int>"), lambda size: size <= F.length("run") - F.col("begin"))
     pieces = begins.select("run", "begin", F.explode(sizes).alias("size"))
     pieces = pieces.select("run", "begin", F.col("run").substr(F.col("begin") + 1, F.col("size")).alias("word"))
     known = pieces.join(counts, "word").groupBy("run").agg(
@@ -136,34 +140,38 @@ def segmented_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def _slot(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "replace")) % SLOTS
-
-
 @dataclass
 class NaiveBayes:
-    """Log odds for blocking: of the classes, and of each slot."""
+    """Log odds for blocking: of the classes, and of the words that go to every task."""
 
     prior: float
-    slots: np.ndarray
+    words: dict[str, float]
+
+    def judge(self, words: Iterable[str]) -> tuple[float, list[str]]:
+        """The odds of the words known here, with those of the classes, and the other words."""
+        words = list(words)
+        return self.prior + sum(self.words.get(w, 0.0) for w in words), sorted(w for w in words if w not in self.words)
 
-    def odds(self, words: Iterable[str]) -> float:
-        return self.prior + float(sum(self.slots[_slot(w)] for w in words))
 
+def fit_naive_bayes(examples: DataFrame, sent: int = SENT_WORDS) -> tuple[NaiveBayes, DataFrame | None]:
+    """Multinomial counts with one added to each word, from `words` (array) and `bad` (boolean) of all examples.
 
-def fit_naive_bayes(examples: DataFrame) -> NaiveBayes:
-    """Multinomial counts with one added to each used slot, from `words` (array) and `bad` (boolean) of all examples."""
+    Returns the model with the `sent` most frequent words, and the odds of the others: word, odds; None without others.
+    """
     bad = F.col("bad").cast("long")
     urls = examples.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(bad), F.lit(0)).alias("bad")).first()
-    slot = (F.crc32(F.col("word")) % SLOTS).cast("int")
-    each = examples.select(bad.alias("bad"), F.explode("words").alias("word")).select("bad", slot.alias("slot"))
-    table = np.zeros((2, SLOTS))
-    for row in each.groupBy("slot").agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("n")).collect():
-        table[:, row.slot] += (row.n - row.bad, row.bad)  # at most SLOTS rows
-    used = table.any(axis=0)
-    logs = np.log((table + 1) / (table.sum(axis=1, keepdims=True) + used.sum() + 1))
-    logs[:, ~used] = 0  # a word that no example has says nothing
-    return NaiveBayes(math.log((urls.bad + 1) / (urls.n - urls.bad + 1)), logs[1] - logs[0])
+    each = examples.select(bad.alias("bad"), F.explode("words").alias("word"))
+    counts = cut(each.groupBy("word").agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("n")))
+    all_ = counts.agg(F.count(F.lit(1)).alias("words"), F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
+    share = lambda n, of: F.log((n + 1) / F.lit((of or 0) + all_.words + 1))
+    odds = share(F.col("bad"), all_.bad) - share(F.col("n") - F.col("bad"), (all_.n or 0) - (all_.bad or 0))
+    table = counts.select("word", "n", odds.alias("odds"))
+    short = table.filter(F.length("word") <= SENT_LETTERS).orderBy(F.desc("n"), "word").limit(sent).select("word", "odds")
+    known = {row.word: row.odds for row in short.collect()}  # at most `sent` short words
+    model = NaiveBayes(math.log((urls.bad + 1) / (urls.n - urls.bad + 1)), known)
+    if len(known) == all_.words:
+        return model, None
+    return model, table.join(F.broadcast(cut(short.select("word"))), "word", "left_anti").select("word", "odds")
 
 
 def judge_urls(
@@ -173,6 +181,7 @@ def judge_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     text_col: str = "html",
+    sent: int = SENT_WORDS,
 ) -> DataFrame:
     """Per row: page_id, host, path, rule, verdict, and the log odds for blocking.
 
@@ -188,15 +197,22 @@ def judge_urls(
         "words", F.concat(F.coalesce("words", F.array().cast("array<string>")), of_path)
     )
     marked = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]))
-    model = fit_naive_bayes(worded.filter(F.size("words") > 0).select("words", marked.alias("bad")))
+    model, others = fit_naive_bayes(worded.filter(F.size("words") > 0).select("words", marked.alias("bad")), sent)
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def odds(words: pd.Series) -> pd.Series:
-        return words.map(shared.value.odds).astype("float64")
-
+    @F.pandas_udf("odds double, others array<string>")
+    def judged(words: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([shared.value.judge(w) for w in words], columns=["odds", "others"])
+
+    scored = worded.select("page_id", "host", "path", judged("words").alias("judged"), F.size("words").alias("n"))
+    scored = scored.select("page_id", "host", "path", "n", F.col("judged.odds").alias("block_odds"), "judged.others")
+    if others is not None:
+        rare = scored.filter(F.size("others") > 0)
+        added = rare.select("others").distinct().withColumn("word", F.explode("others")).join(others, "word")
+        added = added.groupBy("others").agg(F.sum("odds").alias("added"))
+        rare = rare.join(added, "others", "left").withColumn("block_odds", F.col("block_odds") + F.coalesce("added", F.lit(0.0)))
+        scored = scored.filter(F.size("others") == 0).unionByName(rare.drop("added"))
     text, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    scored = worded.select("page_id", "host", "path", odds("words").alias("block_odds"), F.size("words").alias("n"))
     by_method = F.when((F.col("n") > 0) & (F.col("block_odds") > 0), "block").otherwise("allow")
     return scored.select(
         "page_id", "host", "path", text.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"), "block_odds"

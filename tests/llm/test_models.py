@@ -206,6 +206,26 @@ def test_words_in_hosts(spark):
         assert math.isclose(cost(split), expected, rel_tol=1e-9)
 
 
+def test_long_known_words_stay_whole(spark):
+    """Words have no greatest length, and neither have stretches that no word explains."""
+    word = "kraftfahrzeughaftpflichtversicherung"
+    words = spark.createDataFrame([(word, 3), ("my", 50), ("shop", 40), ("pf", 30)], "word string, count long")
+    hosts = [f"my{word}shop", word, "q" * 45, "q" * 30 + "shop", "my" + "q" * 3000]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    found = {r.host: r.words for r in url_filter.segmented_hosts(df, words).collect()}
+    assert [found[h] for h in hosts] == [["my", word, "shop"], [word], ["q" * 45], ["q" * 30, "shop"], ["my", "q" * 3000]]
+    pages = spark.createDataFrame([(f"<p>{word} {word}</p>",)], "html string")
+    assert {r.word: r["count"] for r in url_filter.word_counts(F.col("html"), pages).collect()} == {word: 2}
+
+
+def test_words_beyond_those_sent_are_joined(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").limit(400)
+    some = pages.select("page_id", "url", "html")
+    rows = [(r.page_id, r.verdict, round(r.block_odds, 6)) for r in url_filter.judge_urls(some).collect()]
+    few = [(r.page_id, r.verdict, round(r.block_odds, 6)) for r in url_filter.judge_urls(some, sent=7).collect()]
+    assert sorted(rows) == sorted(few) and len({odds for _, _, odds in rows}) > 20
+
+
 def test_bayes_blocks_what_goes_with_marked_words(spark):
     urls = [(i, f"http://cheap-pills.x/buy/{i}", "") for i in range(40)]
     urls += [(100 + i, f"http://garden-news.x/read/{i}", "") for i in range(40)]
