@@ -13,7 +13,7 @@ SPLITS = 64
 
 
 def _levels(moments: DataFrame, look_back: str, cells: int) -> DataFrame:
-    """Orders of each address that lie in the look-back, at each of its order times.
+    """Orders of each address that lie in the look-back, at each of its order times: `level`, beside its own `n`.
 
     `moments` has the number of orders `n` per address and time. Each moment adds n at its time and
     takes n away one look-back later, when its orders are exactly too old; the level is the running
@@ -41,35 +41,34 @@ def _levels(moments: DataFrame, look_back: str, cells: int) -> DataFrame:
     )
     upto = Window.partitionBy(IP, "cell").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     levels = changes.withColumn("level", F.sum("change").over(upto))
-    return levels.filter("at IS NOT NULL AND change > 0").select(IP, F.col("at").alias(TIME), "level")
+    return levels.filter("at IS NOT NULL AND change > 0").select(IP, F.col("at").alias(TIME), "level", F.col("change").alias("n"))
 
 
-def with_rolling_count(df: DataFrame, moments: DataFrame, look_back: str, cells: int) -> DataFrame:
-    """Orders with the level of their address at their time, from the orders per address and time."""
-    levels = _levels(moments, look_back, cells).withColumnRenamed("level", "recent_orders")
-    return df.join(levels, [IP, TIME], "left").select(*df.columns, "recent_orders")
+def _places(rows: DataFrame, crowd: int) -> DataFrame:
+    """Adds `place` to rows with `n`: the rank of an order by id among the n of its address and time.
 
+    Orders with one id, or none, share the last of their places; none comes first. Orders are ranked by one window over
+    their address and time, but for crowds of more than `crowd`.
+    """
+    of_moment = Window.partitionBy(IP, TIME).orderBy(ORDER).rangeBetween(Window.unboundedPreceding, 0)
+    few = rows.filter(F.col("n") <= crowd).withColumn("place", F.count("*").over(of_moment))
+    return few.unionByName(_places_in_crowds(rows.filter(F.col("n") > crowd)))
 
-def _places(known: DataFrame, moments: DataFrame, crowd: int) -> DataFrame:
-    """Adds `place` and `n`: the rank of an order by id among those of its address and time, and their number.
 
-    Orders with one id, or none, share the last of their places; none comes first. A crowd of more than `crowd`
-    orders at one time is cut at about SPLITS of its ids, those with certain hashes, so whatever the ids look
-    like, its pieces are ranked in different tasks and start with the sizes of the pieces before.
-    """
-    crowds = moments.filter(F.col("n") > crowd)
+def _places_in_crowds(rows: DataFrame) -> DataFrame:
+    """The same for crowds: cut at about SPLITS of their ids, those with certain hashes, so whatever the ids look like,
+    the pieces are ranked in different tasks and start with the sizes of the pieces before."""
     picked = F.pmod(F.xxhash64(ORDER), F.col("n")) < SPLITS
-    ids = F.array_sort(F.collect_set(ORDER))
-    splits = known.join(crowds, [IP, TIME]).filter(picked).groupBy(IP, TIME).agg(ids.alias("splits"))
+    splits = rows.filter(picked).groupBy(IP, TIME).agg(F.array_sort(F.collect_set(ORDER)).alias("splits"))
     piece = F.coalesce(F.size(F.filter("splits", lambda s: s < F.col(ORDER))), F.lit(0))
-    cut = known.join(moments.join(splits, [IP, TIME], "left"), [IP, TIME]).withColumn("piece", piece)
+    cut = rows.join(splits, [IP, TIME], "left").withColumn("piece", piece)
     of_piece = Window.partitionBy(IP, TIME, "piece").orderBy(ORDER).rangeBetween(Window.unboundedPreceding, 0)
     ranked = cut.withColumn("place", F.count("*").over(of_piece))
-    sizes = cut.filter(F.col("splits").isNotNull()).groupBy(IP, TIME, "piece").agg(F.count("*").alias("size"))
+    sizes = cut.groupBy(IP, TIME, "piece").agg(F.count("*").alias("size"))
     earlier = Window.partitionBy(IP, TIME).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     ahead = sizes.select(IP, TIME, "piece", F.sum("size").over(earlier).alias("ahead"))
     placed = ranked.join(ahead, [IP, TIME, "piece"], "left")
-    return placed.select(*known.columns, (F.col("place") + F.coalesce("ahead", F.lit(0))).alias("place"), "n")
+    return placed.select(*rows.columns, (F.col("place") + F.coalesce("ahead", F.lit(0))).alias("place"))
 
 
 def rolling_ip_count(
@@ -97,10 +96,11 @@ def rolling_ip_count(
     timed = F.col(IP).isNotNull() & F.col(TIME).isNotNull()
     known = df.filter(timed)
     moments = known.groupBy(IP, TIME).agg(F.count("*").alias("n"))
+    levels = _levels(moments, look_back, cells)
     if ties == "peers":
-        return with_rolling_count(df, moments, look_back, cells)
+        return df.join(levels, [IP, TIME], "left").select(*df.columns, F.col("level").alias("recent_orders"))
     # Of the level at its time, an order keeps what came before that time and its place at it.
-    placed = _places(known, moments, crowd).join(_levels(moments, look_back, cells), [IP, TIME])
+    placed = _places(known.join(levels, [IP, TIME]), crowd)
     counted = placed.withColumn("recent_orders", F.col("level") - F.col("n") + F.col("place"))
     rest = df.filter(~timed).withColumn("recent_orders", F.lit(None).cast("bigint"))
     return counted.select(*df.columns, "recent_orders").unionByName(rest)

@@ -71,7 +71,7 @@ def test_rolling_ranks_a_crowd_in_pieces(spark):
         found = rolling.rolling_ip_count(df, ties="arrival", crowd=100)
         assert sorted(r.recent_orders for r in found.filter("timestamp > '2025-01-01 00:00:04'").collect()) == list(range(2, 902))
         moments = df.groupBy("ip_address", "timestamp").agg(F.count("*").alias("n"))
-        placed = rolling._places(df, moments, 100)
+        placed = rolling._places(df.join(moments, ["ip_address", "timestamp"]), 100)
         assert sorted(r.place for r in placed.filter("n > 1").collect()) == list(range(1, 901))
 
 
