@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import bisect
 import copy
+import math
 from collections.abc import Iterator
 from itertools import chain, pairwise
 
@@ -36,6 +37,9 @@ from orderwatch.llm.components import components
 BAND_RATIO = 1.7
 #: Segments of a band that also have one-deletion neighbourhoods.
 SET_ASIDE = 2
+#: Segments to spare, as a multiple of those that hold at most one shingle, for sets of bands that reach this size.
+SPARE = 1.5
+SPARED = 16
 #: The least numbers in a sketch, one byte each, and the shingles of a set for which it has one.
 PARTS = 128
 EACH_PART = 8
@@ -97,8 +101,15 @@ class Scheme:
         return (self.den - self.num) * (a + b) // (self.den + self.num)
 
     def segments(self, band: int) -> int:
+        """One more than sets may differ by, and some to spare, so that those of at most one shingle need not be looked at.
+
+        Such segments are alike in many sets: a common shingle, or none, is all that they hold.
+        """
         top = self.largest(band)
-        return self.differences(top, top * self.den // self.num) + 1
+        least = self.differences(top, top * self.den // self.num) + 1
+        each = top / least
+        thin = math.exp(-each) * (1 + each)
+        return least + (math.ceil(SPARE * thin * least) if top >= SPARED else 0)
 
     def allot(self, sizes: np.ndarray, need: int) -> tuple[np.ndarray, list[int]]:
         """The segments to look at, and those of them with tolerance 1, so that they add up to `need`.
@@ -444,7 +455,7 @@ def one_of_each(members: DataFrame) -> DataFrame:
     return cut(members.join(first.select("key"), "key", "left_semi"))
 
 
-def _tiles(members: DataFrame, by: str, weight: Column) -> DataFrame:
+def _tiles(members: DataFrame, by: list[str], weight: Column) -> DataFrame:
     """Deals the members of each group into tiles, and each tile into its pairs with every other, as `a` and `b`.
 
     Members have their `tile` beside them; a pair of equal tiles is that tile alone.
@@ -452,7 +463,7 @@ def _tiles(members: DataFrame, by: str, weight: Column) -> DataFrame:
     A tile holds about TILE_SETS members, or TILE of `weight`. Groups of one are left out.
     """
     tiles = F.greatest(F.ceil(F.count(F.lit(1)) / TILE_SETS), F.ceil(F.sum(weight) / TILE)).cast("int")
-    sizes = members.groupBy(by).agg(tiles.alias("tiles"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    sizes = members.groupBy(*by).agg(tiles.alias("tiles"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     dealt = members.join(sizes, by).withColumn("tile", F.expr("int(pmod(xxhash64(set), tiles))"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     pair = [F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b")]
@@ -492,7 +503,7 @@ def _near_pairs(members: DataFrame, classes: DataFrame, scheme: Scheme) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
     of_sets = classes.select(F.col("one").alias("set"), "n_shingles", "sketch")
-    dealt = _tiles(members, "key", F.lit(0)).join(of_sets, "set").select(*columns, "sketch")
+    dealt = _tiles(members, ["key"], F.lit(0)).join(of_sets, "set").select(*columns, "sketch")
     ordered = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
     return ordered.mapInArrow(run, "u long, v long").distinct()
 
@@ -541,7 +552,7 @@ def _compared(
         tally = pd.DataFrame({"u": names[linked], "v": names[linked], "n_links": counts[linked]})
         return pd.concat([joins, tally], ignore_index=True)
 
-    dealt = _tiles(members, "family", F.col("n_shingles")).join(sets, F.col("set") == F.col("one"))
+    dealt = _tiles(members, ["family"], F.col("n_shingles")).join(sets, F.col("set") == F.col("one"))
     dealt = dealt.select("family", "a", "b", "tile", "set", "n_rows", "members").groupBy("family", "a", "b")
     found = cut(dealt.applyInPandas(summed, "u long, v long, n_links long"))
     tallies = found.filter("u = v").groupBy(F.col("u").alias("one")).agg(F.sum("n_links").alias("others"))

@@ -54,10 +54,53 @@ def test_temperature_calibrates():
     assert ((p > 0.5) == y[2000:]).mean() > 0.75
 
 
-def test_word_vectors_add_up_over_partitions(spark):
-    docs = spark.createDataFrame([(i, f"alpha beta gamma w{i}") for i in range(40)], "doc_id long, text string")
-    one, many = quality.word_vectors(docs.coalesce(1)), quality.word_vectors(docs.repartition(7))
-    assert np.allclose(one, many) and one.any()
+def test_word_vectors_like_a_double_loop(spark):
+    """Over any partitions, the sum of the index vectors of all words within reach in the same text."""
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choices(["alpha", "Beta", "GAMMA", "x", "é", "!", "alpha alpha"], k=rnd.randint(0, 30))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string")
+    words = quality.vocabulary(docs, most=3)
+    dims, signs = words.index_vectors()
+    plain = np.zeros((words.rows, quality.DIMS))
+    for text in [*texts, "", ""]:
+        rows = words.rows_of(text).tolist()
+        for i, here in enumerate(rows):
+            for j, there in enumerate(rows):
+                if 0 < abs(i - j) <= quality.REACH:
+                    plain[here, dims[there]] += signs[there]
+    plain /= np.maximum(np.linalg.norm(plain, axis=1, keepdims=True), 1e-9)
+    for parts in (1, 7):
+        assert np.allclose(quality.word_vectors(docs.repartition(parts), words), plain, atol=1e-6)
+    assert plain.any()
+
+
+def test_frequent_words_of_one_shared_row_are_told_apart(spark):
+    """Two words with one hash: as frequent words they have rows of their own, and texts of them score apart."""
+    names = {}
+    first, second = next(
+        (names[slot], word)
+        for word in (f"w{i}" for i in range(200_000))
+        if (slot := zlib.crc32(word.encode()) & (quality.SHARED_ROWS - 1)) in names or names.setdefault(slot, word) is None
+    )
+    few = quality.Vocabulary({})
+    assert few.row(first.encode()) == few.row(second.encode())
+    rows = [(i, f"good {first} fine words {first} here") if i % 2 else (i, f"bad {second} junk junk {second} now") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    words = quality.vocabulary(docs)
+    assert words.row(first.encode()) != words.row(second.encode())
+    tried = spark.createDataFrame([(1000, first), (1001, second)], "doc_id long, text string")
+    model = quality.train(docs, labels)
+    scores = {r.doc_id: r.score for r in tried.select("doc_id", quality.score_column(model, tried, F.col("text")).alias("score")).collect()}
+    assert scores[1000] - scores[1001] > 0.2
+
+
+def test_one_of_several_texts_of_an_id_is_learnt_from(spark):
+    rows = [(i, f"text {j} of {i}") for i in range(60) for j in range(3)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = [sorted((r.doc_id, round(r.score, 6)) for r in quality.quality_scores(docs.repartition(n), labels).collect()) for n in (2, 5)]
+    assert scores[0] == scores[1]
 
 
 def test_quality_of_awkward_rows(spark, tables):
