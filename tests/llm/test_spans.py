@@ -135,6 +135,29 @@ def test_added_spans_never_meet_base_ones(spark):
     assert added > 50
 
 
+def test_long_words_are_no_secrets():
+    """Compounds in any case, against random letters of one case and of both."""
+    scan, rnd = secret_scan.scanner(queries.RANKS, queries.SPLITS).spans, random.Random(12)
+    words = ["Rindfleischetikettierungsueberwachungsaufgaben", "lopadotemachoselachogaleokranio", "kraftfahrzeughaftpflichtversicherung"]
+    words += ["Donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement", "electroencefalografista"]
+    for word in words:
+        assert scan(f"the {word} here") == scan(f"the {word.lower()} here") == []
+    for letters in (string.ascii_lowercase, string.ascii_letters):
+        found = sum(bool(scan("key " + "".join(rnd.choices(letters, k=32)))) for _ in range(300))
+        assert found >= 285
+
+
+def test_false_alarms_are_rare_in_every_language(spark, sf_dir):
+    """Random strings among the words of clean documents, by language."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").join(spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1"), "doc_id")
+    scan, alarms, seen = secret_scan.scanner(queries.RANKS, queries.SPLITS).spans, {}, {}
+    for row in docs.select("lang", "text").collect():
+        spans = [row.text[a:b] for kind, a, b in scan(row.text or "") if kind == "random"]
+        alarms[row.lang] = alarms.get(row.lang, 0) + any(s.isalpha() for s in spans)
+        seen[row.lang] = seen.get(row.lang, 0) + 1
+    assert len(seen) >= 4 and all(alarms[lang] <= 0.01 * seen[lang] for lang in seen), (alarms, seen)
+
+
 def seconds_a_kilobyte(work, text):
     begun = time.perf_counter()
     work(text)
