@@ -552,7 +552,7 @@ def stream_rolling_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(
         spark,
         sf_dir,
-        lambda orders: rolling_counts(orders.select(*columns), look_back=24 * 3600, cells=1),
+        lambda orders: rolling_counts(orders.select(*columns), look_back=24 * 3600, cells=2, parts=32),
         "append",
         wrap=lambda _, sink: counted(sink),
         output=lambda plan: plan.select("order.*", "level.recent_orders"),
@@ -565,7 +565,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for schema in published(spark, sf_dir, f"{root}/in"):
         orders = event_stream(session, f"{root}/in", schema)
         sink = sinks.changelog(f"{root}/verdicts")
-        for query in jobs.run_alerts(orders, sink, f"{root}/alerts", 24 * 3600, limit=5, trigger=jobs.ONCE, cells=1):
+        for query in jobs.run_alerts(orders, sink, f"{root}/alerts", 24 * 3600, limit=5, trigger=jobs.ONCE, cells=2):
             query.awaitTermination()
     verdicts = spark.read.parquet(f"{root}/verdicts")
     return verdicts.select("order_id", "recent_orders", "total_price", "verdict")

@@ -23,19 +23,21 @@ MESSAGE = {"cell": pa.int64(), "role": pa.int32(), "at": pa.int64(), "n": pa.int
 
 
 def rolling_counts(
-    orders: DataFrame, look_back: int = 600, cells: int = 10, lateness: int = 600, ahead: int = 3600
+    orders: DataFrame, look_back: int = 600, cells: int = 10, lateness: int = 600, ahead: int = 3600, parts: int = 256
 ) -> DataFrame:
     """A streaming plan over `orders` whose batches `counted` turns into orders with `recent_orders`.
 
     Columns: `order`, an order as it came, or null; `level`, how many orders an address has in its look-back at one of
     the times it ordered at in this batch, or null.
 
-    `look_back`, `lateness` and `ahead` are in seconds. State is kept by address and time cell, `cells` to a look-back:
-    the orders of the cell by time, those of the cell one look-back before it, and one sum of what lies between. A hot
-    address is thus many keys, and orders of one address and time are added up in the tasks that read them. A timer drops a
-    cell once the watermark, `lateness` behind the newest time, has passed it; a later order opens it again without its
-    past. A time more than `ahead` seconds ahead of the clock does not move the watermark, so that one wrong clock does not
-    end the past of all others.
+    `look_back`, `lateness` and `ahead` are in seconds. State is kept by time cell, `cells` to a look-back, and by part, of
+    which the addresses fall into `parts` by hash: the orders of the cell by address and time, those of the cell one
+    look-back before it, and for each address one sum of what lies between. A key is read and written once in a batch,
+    for all its addresses; take several times as many parts as there are state partitions. A hot address is a key for
+    each cell, and orders of one address and time are added up in the tasks that read them. A timer drops a cell once the
+    watermark, `lateness` behind the newest time, has passed it; a later order opens it again without its past. A time
+    more than `ahead` seconds ahead of the clock does not move the watermark, so that one wrong clock does not end the past
+    of all others.
     """
     length = look_back * MICROS
     if look_back <= 0 or length % cells:
@@ -44,10 +46,12 @@ def rolling_counts(
     marked = orders.withColumn("_clock", F.when(plausible, F.col(TIME))).withWatermark("_clock", f"{lateness} seconds")
     kind = orders.schema[IP].dataType.simpleString()
     timed = marked.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
-    moments = timed.select(F.col(IP).alias("ip"), F.unix_micros(TIME).alias("at"))
-    messages = moments.mapInArrow(_to_cells(length // cells, cells), f"ip {kind}, cell long, role int, at long, n long")
-    levels = messages.groupBy("ip", "cell").transformWithState(
-        CellLevels(length, cells), f"ip {kind}, at long, recent_orders long", "append", "EventTime"
+    part = F.pmod(F.xxhash64(IP), F.lit(parts)).cast("int").alias("part")
+    moments = timed.select(part, F.col(IP).alias("ip"), F.unix_micros(TIME).alias("at"))
+    sent = f"part int, ip {kind}, cell long, role int, at long, n long"
+    messages = moments.mapInArrow(_to_cells(length // cells, cells), sent)
+    levels = messages.groupBy("part", "cell").transformWithState(
+        CellLevels(kind, length, cells), f"ip {kind}, at long, recent_orders long", "append", "EventTime"
     )
     order = F.struct(*orders.columns)
     nothing = F.lit(None)
@@ -82,20 +86,20 @@ def _to_cells(width: int, cells: int):
     """Adds orders up by address and time, and sends each sum to its own cell and those that look back on it."""
 
     def messages(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        moments = pa.concat_tables(held).group_by(["ip", "at"]).aggregate([([], "count_all")])
-        ip, at, n = (moments.column(c).combine_chunks() for c in ("ip", "at", "count_all"))
+        moments = pa.concat_tables(held).group_by(["part", "ip", "at"]).aggregate([([], "count_all")])
+        part, ip, at, n = (moments.column(c).combine_chunks() for c in ("part", "ip", "at", "count_all"))
         cell = at.to_numpy() // width
-        yield message(ip, cell, OWN, at, n)
-        yield message(ip, cell + cells, OLDEST, at, n)
-        whole = pa.table({"ip": ip, "cell": cell, "n": n}).group_by(["ip", "cell"]).aggregate([("n", "sum")])
-        ip, cell, n = (whole.column(c).combine_chunks() for c in ("ip", "cell", "n_sum"))
+        yield message(part, ip, cell, OWN, at, n)
+        yield message(part, ip, cell + cells, OLDEST, at, n)
+        whole = pa.table({"part": part, "ip": ip, "cell": cell, "n": n}).group_by(["part", "ip", "cell"]).aggregate([("n", "sum")])
+        part, ip, cell, n = (whole.column(c).combine_chunks() for c in ("part", "ip", "cell", "n_sum"))
         for further in range(1, cells):
-            yield message(ip, cell.to_numpy() + further, BETWEEN, pa.nulls(len(ip), pa.int64()), n)
+            yield message(part, ip, cell.to_numpy() + further, BETWEEN, pa.nulls(len(ip), pa.int64()), n)
 
-    def message(ip, cell, role, at, n) -> pa.RecordBatch:
+    def message(part, ip, cell, role, at, n) -> pa.RecordBatch:
         columns = {"cell": cell, "role": np.full(len(ip), role), "at": at, "n": n}
         arrays = [pa.array(columns[c], kind) if isinstance(columns[c], np.ndarray) else columns[c].cast(kind) for c, kind in MESSAGE.items()]
-        return pa.RecordBatch.from_arrays([ip, *arrays], names=["ip", *MESSAGE])
+        return pa.RecordBatch.from_arrays([part, ip, *arrays], names=["part", "ip", *MESSAGE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -112,36 +116,42 @@ def _to_cells(width: int, cells: int):
 
 
 class CellLevels(StatefulProcessor):
-    """Of one address and cell: the level at each time that a batch has orders of."""
+    """Of the addresses of a part, in one cell: the level at each time that a batch has orders of."""
 
-    def __init__(self, length: int, cells: int):
-        self.length, self.cells = length, cells
+    def __init__(self, kind: str, length: int, cells: int):
+        self.kind, self.length, self.cells = kind, length, cells
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.past = handle.getValueState("past", "times array<long>, counts array<long>, between long")
+        moments, sums = f"ips array<{self.kind}>, times array<long>, counts array<long>", f"seen array<{self.kind}>, sums array<long>"
+        self.past = handle.getValueState("past", f"{moments}, {sums}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        ip, cell = key
-        times, counts, between = self.past.get() or ([], [], 0)
-        if not times and not between:
-            self.handle.registerTimer((cell + 1) * (self.length // self.cells) // 1000)
-        counts_at, wanted = dict(zip(times, counts, strict=True)), set()
+        past = self.past.get()
+        if past is None:
+            self.handle.registerTimer((key[1] + 1) * (self.length // self.cells) // 1000)
+        ips, times, counts, seen, sums = past or ([], [], [], [], [])
+        moments: dict[object, dict[int, int]] = {}
+        for ip, at, n in zip(ips, times, counts, strict=True):
+            moments.setdefault(ip, {})[at] = n
+        between, wanted = dict(zip(seen, sums, strict=True)), {}
         for row in rows:
             if row.role == BETWEEN:
-                between += row.n
+                between[row.ip] = between.get(row.ip, 0) + row.n
                 continue
-            counts_at[row.at] = counts_at.get(row.at, 0) + row.n
+            own = moments.setdefault(row.ip, {})
+            own[row.at] = own.get(row.at, 0) + row.n
             if row.role == OWN:
-                wanted.add(row.at)
-        times = sorted(counts_at)
-        counts = [counts_at[at] for at in times]
-        self.past.update((times, counts, between))
-        ends = np.array(times)
-        upto = np.concatenate(([0], np.cumsum(counts)))
-        for at in sorted(wanted):
-            first, last = np.searchsorted(ends, [at - self.length, at], side="right")
-            yield Row(ip=ip, at=at, recent_orders=int(upto[last] - upto[first] + between))
+                wanted.setdefault(row.ip, set()).add(row.at)
+        flat = [(ip, at, n) for ip, own in moments.items() for at, n in own.items()]
+        ips, times, counts = ([row[i] for row in flat] for i in range(3))
+        self.past.update((ips, times, counts, list(between), list(between.values())))
+        for ip, ats in wanted.items():
+            ends = np.array(sorted(moments[ip]))
+            upto = np.concatenate(([0], np.cumsum([moments[ip][at] for at in ends.tolist()])))
+            for at in sorted(ats):
+                first, last = np.searchsorted(ends, [at - self.length, at], side="right")
+                yield Row(ip=ip, at=at, recent_orders=int(upto[last] - upto[first] + between.get(ip, 0)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         self.past.clear()
