@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderwatch.llm.bit_table import bit_table, bits_for, hits
-from orderwatch.llm.common import BROADCAST, cut, text_or_empty
+from orderwatch.llm.common import BROADCAST, cut, most_frequent, text_or_empty
 from orderwatch.llm.quotient_filter import Counts, Layout, counted, from_filter, hashed, merged, to_filter
 
 LONGEST = 5
@@ -104,7 +104,7 @@ class Dictionary:
     def __init__(self, frequent: DataFrame, most: int):
         """`frequent` has lang, phrase and n."""
         fit = frequent.filter(F.octet_length("phrase") <= WORD_BYTES)
-        rows = fit.orderBy(F.desc("n"), "lang", "phrase").limit(most).select("lang", "phrase").toArrow()
+        rows = most_frequent(fit, most).select("lang", "phrase").toArrow()  # at most `most` short words
         self.langs = [None, *rows.column("lang").to_pylist()]
         self.words = [None, *rows.column("phrase").cast(pa.binary()).to_pylist()]
         self.id_bits = max(LEAST_RANGES + 2, len(self.words).bit_length())

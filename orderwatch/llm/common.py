@@ -47,6 +47,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def most_frequent(counts: DataFrame, most: int, column: str = "n") -> DataFrame:
+    """At most `most` rows with the largest counts, and all that are as large as these up to a 64th of a doubling.
+
+    The bound comes from a histogram of fixed size, so no task and not the driver sorts what all tasks hold. Rows that
+    do not all fit below the bound are left out together.
+    """
+    step = F.floor(F.log2(F.col(column)) * 64)
+    histogram = counts.filter(F.col(column) > 0).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    lowest, taken = None, 0
+    for row in sorted(histogram, reverse=True):
+        taken += row.rows
+        if taken > most:
+            break
+        lowest = row.step
+    return counts.filter(F.lit(False) if lowest is None else (F.col(column) > 0) & (step >= lowest))
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame, digest: Column, id_col: str, text_col: str) -> DataFrame:
     """`docs` by decisions on its rows: `decided` has doc_id, digest and kept, of which kept follows from the others.
 

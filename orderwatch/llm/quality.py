@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderwatch.llm.common import cut, text_or_empty
+from orderwatch.llm.common import cut, most_frequent, text_or_empty
 
 #: The most words with a vector of their own, and the most bytes of one; the rows that all others share by hash. With
 #: that the table of word vectors has a fixed size (6 MB). The README says what share of words the others are.
@@ -76,7 +76,7 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text", most: int = OWN_WORDS) -> Vocabulary:
-    """The `most` most frequent words of all documents, ties by the word."""
+    """The most frequent words of all documents, at most `most`: see `most_frequent`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
@@ -94,9 +94,9 @@ def vocabulary(docs: DataFrame, text_col: str = "text", most: int = OWN_WORDS) -
         yield pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
     counts = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "word binary, n long")
-    first = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).select("word")
-    words = [bytes(row.word) for row in first.collect()]  # at most `most` short words
-    return Vocabulary({word: _MARKS + SHARED_ROWS + i for i, word in enumerate(words)})
+    counts = cut(counts.groupBy("word").agg(F.sum("n").alias("n")))
+    words = sorted((-row.n, bytes(row.word)) for row in most_frequent(counts, most).collect())  # at most `most` short words
+    return Vocabulary({word: _MARKS + SHARED_ROWS + i for i, (_, word) in enumerate(words)})
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderwatch.llm.common import cut
+from orderwatch.llm.common import cut, most_frequent
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The most words whose odds are sent to every task, and the most letters of one; the others are joined.
@@ -166,7 +166,7 @@ def fit_naive_bayes(examples: DataFrame, sent: int = SENT_WORDS) -> tuple[NaiveB
     share = lambda n, of: F.log((n + 1) / F.lit((of or 0) + all_.words + 1))
     odds = share(F.col("bad"), all_.bad) - share(F.col("n") - F.col("bad"), (all_.n or 0) - (all_.bad or 0))
     table = counts.select("word", "n", odds.alias("odds"))
-    short = table.filter(F.length("word") <= SENT_LETTERS).orderBy(F.desc("n"), "word").limit(sent).select("word", "odds")
+    short = most_frequent(table.filter(F.length("word") <= SENT_LETTERS), sent).select("word", "odds")
     known = {row.word: row.odds for row in short.collect()}  # at most `sent` short words
     model = NaiveBayes(math.log((urls.bad + 1) / (urls.n - urls.bad + 1)), known)
     if len(known) == all_.words:
