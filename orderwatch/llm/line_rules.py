@@ -212,7 +212,9 @@ def train_field(
         return pd.Series([[np.column_stack(s).ravel() for s in part] for part in made])
 
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # at most `sample` ids
+    # At most `sample` ids. Of several texts of one the one of least hash, so that a rerun learns from the same.
+    least = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(least)
     rows = rows.select("doc_id", "y", examples("text", "y").alias("s")).orderBy("doc_id").collect()
     if len({row.y for row in rows}) < 2:
         return DEFAULT_FIELD
