@@ -9,13 +9,17 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from orderwatch.functions.scalars import megabytes, seconds_between
+from orderwatch.streaming.packed import ROWS, frame, pack, packing, unpack, unpack_all
 
 MILLIS = 1000
 EVERYTHING = "all"
@@ -124,47 +128,69 @@ def throughput_stream(df: DataFrame, interval: str = "1 second", delay: str = "1
 
 
 class Series(StatefulProcessor):
-    """Samples of one series in order of time, each with the one before it."""
+    """Samples of the series of a part in order of time, each with the one before it in its series."""
 
-    def __init__(self, schema: StructType, counters: list[str], order_by: list[str], grid: int):
-        self.names, self.kind, self.counters, self.order_by, self.grid = schema.names, ddl(schema), counters, order_by, grid
+    def __init__(self, names: list[str], counters: list[str], order_by: list[str], partition_by: list[str], grid: int):
+        self.names, self.counters, self.order_by, self.partition_by, self.grid = names, counters, order_by, partition_by, grid
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.kind)
-        self.last = handle.getListState("last", self.kind)
+        self.waiting = handle.getListState("waiting", f"{ROWS} binary")
+        self.last = handle.getValueState("last", f"{ROWS} binary")
 
-    def _turn(self, micros: int) -> int:
+    def _turns(self, rows: pa.Table) -> np.ndarray:
         """When a sample of this time is handed on, in milliseconds: at the next line of the grid."""
-        return -(-micros // (self.grid * MILLIS)) * self.grid
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        new, time = [tuple(row[c] for c in self.names) for row in rows], self.names.index(self.order_by[0])
-        new = [row for row in new if self._turn(row[time]) > timerValues.getCurrentWatermarkInMs()]
-        if new:
-            self.waiting.appendList(new)
-            for turn in {self._turn(row[time]) for row in new}:
-                self.handle.registerTimer(turn)
+        return -(-rows.column(self.order_by[0]).to_numpy() // (self.grid * MILLIS)) * self.grid
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        new = unpack_all(data for some in rows for data in some[ROWS])
+        turns, closed = self._turns(new), timerValues.getCurrentWatermarkInMs()
+        new = new.filter(pa.array(turns > closed))
+        if new.num_rows:
+            self.waiting.appendList([(pack(new),)])
+            self.handle.registerTimer(int(turns[turns > closed].min()))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        upto = expiredTimerInfo.getExpiryTimeInMs()
-        rows = [dict(zip(self.names, row, strict=True)) for row in self.waiting.get()]
-        due = [row for row in rows if self._turn(row[self.order_by[0]]) <= upto]
-        if not due:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """Hands on all whose turn has come, so that one timer for the first of those that wait is enough."""
+        packed = [row[0] for row in self.waiting.get()]
+        if not packed:
             return
-        due.sort(key=lambda row: [(row[c] is not None, row[c]) for c in self.order_by])
-        before = next(iter([tuple(row) for row in self.last.get()]), None)
-        previous = dict(zip(self.names, before, strict=True)) if before else {}
-        for row in due:
-            yield Row(**row, **{f"{c}_before": previous.get(c) for c in self.counters})
-            previous = row
-        self.last.put([tuple(previous.values())])
-        rest = [tuple(row.values()) for row in rows if self._turn(row[self.order_by[0]]) > upto]
-        if rest:
-            self.waiting.put(rest)
-        else:
+        rows = unpack_all(packed)
+        turns = self._turns(rows)
+        due = turns <= max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        if not due.any():
+            return
+        if due.all():
             self.waiting.clear()
+        else:
+            self.waiting.put([(pack(rows.filter(pa.array(~due))),)])
+            self.handle.registerTimer(int(turns[~due].min()))
+        yield frame(self._with_before(rows.filter(pa.array(due))))
+
+    def _with_before(self, due: pa.Table) -> pa.Table:
+        kept = list(dict.fromkeys([*self.partition_by, *self.counters]))
+        last, now = self.last.get(), pa.array(np.ones(due.num_rows, bool))
+        rows = due.append_column("_due", now)
+        if last:
+            before = unpack(last[0])
+            rows = pa.concat_tables([before.append_column("_due", pa.array(np.zeros(before.num_rows, bool))), rows], promote_options="default")
+        series = [f"_series{i}" for i in range(len(self.partition_by))]
+        for name, column in zip(series, self.partition_by, strict=True):
+            codes = rows.column(column).combine_chunks().dictionary_encode(null_encoding="encode").indices
+            rows = rows.append_column(name, codes)
+        keys = [(name, "ascending") for name in [*series, "_due", *self.order_by]]
+        rows = rows.take(pc.sort_indices(rows, sort_keys=keys, null_placement="at_start")).combine_chunks()
+        same = np.ones(rows.num_rows, bool)
+        same[0] = False
+        for name in series:
+            codes = rows.column(name).to_numpy()
+            same[1:] &= codes[1:] == codes[:-1]
+        self.last.update((pack(rows.filter(pa.array(np.append(~same[1:], True))).select(kept)),))
+        previous = pa.array(np.arange(-1, rows.num_rows - 1), mask=~same)
+        for name in self.counters:
+            rows = rows.append_column(f"{name}_before", rows.column(name).take(previous))
+        return rows.filter(rows.column("_due")).select([*self.names, *[f"{name}_before" for name in self.counters]])
 
     def close(self) -> None:
         pass
@@ -177,19 +203,23 @@ def counter_delta_stream(
     partition_by: list[str],
     delay: str = "1 minute",
     grid_seconds: int = 60,
+    parts: int = 256,
 ) -> DataFrame:
     """Adds for each cumulative byte counter its growth since the previous sample, in MB. For append mode.
 
     The first of `order_by` is the time of a sample, an instant; samples without one are left out, and so are those that
     come after their turn. A sample waits until the watermark, `delay` behind the newest time, has passed the next line
-    of a grid of `grid_seconds`, so that those that come out of order fall into place. State is one sample for each
-    series and those that wait. The first of a series has no growth.
+    of a grid of `grid_seconds`, so that those that come out of order fall into place. State is the counters of one sample
+    for each series and the samples that wait, packed by part, of which the series fall into `parts` by hash; a batch reads
+    and writes a part once. The first of a series has no growth.
     """
     time = order_by[0]
     marked = df.withWatermark(time, delay).filter(F.col(time).isNotNull())
     plain = with_micros(marked)
     before = ", ".join(f"`{c}_before` {plain.schema[c].dataType.simpleString()}" for c in counters)
-    processor = Series(plain.schema, counters, order_by, grid_seconds * MILLIS)
-    found = plain.groupBy(*partition_by).transformWithState(processor, f"{ddl(plain.schema)}, {before}", "append", "EventTime")
+    dealt = plain.withColumn("_part", F.pmod(F.xxhash64(*partition_by), F.lit(parts)).cast("int"))
+    keyed = dealt.mapInArrow(packing(["_part"]), f"_part int, {ROWS} binary").groupBy("_part")
+    processor = Series(plain.columns, counters, order_by, partition_by, grid_seconds * MILLIS)
+    found = keyed.transformWithStateInPandas(processor, f"{ddl(plain.schema)}, {before}", "append", "EventTime")
     deltas = {f"{c}_delta_mb": megabytes(F.col(c) - F.col(f"{c}_before")) for c in counters}
     return with_instants(found, df.schema).withColumns(deltas).drop(*[f"{c}_before" for c in counters])

@@ -227,6 +227,25 @@ def test_counter_growth_out_of_order(spark, tmp_path):
     assert found == {"a": None, "c": grown(300), "b": grown(500), "e": grown(100), "d": None, "f": grown(2)}
 
 
+def test_a_long_series_waits_for_one_timer(spark, tmp_path):
+    """Thousands of lines of the grid pass in one batch; whole numbers beside nulls stay exact."""
+    count, big = 4000, 2**53
+    lines = [order_json(f"o{i:05d}", 60 * i, "p", i, None if i % 2 else "h") for i in range(count)]
+    write_batch(tmp_path / "in", 0, lines[::-1])
+    write_batch(tmp_path / "in", 1, [order_json("end", 60 * count + 7200, "p", 0, "z")])
+    sent = F.when(F.col("price") != 6, F.col("price").cast("long") + big).alias("sent")
+    samples = orders(spark, tmp_path / "in").select("order_id", "timestamp", "ip_address", sent)
+    plan = counter_delta_stream(samples, ["sent"], ["timestamp", "order_id"], ["ip_address"], "60 seconds", 60)
+    found = {}
+    sink = lambda df, i: found.update({r.order_id: (r.sent, r.sent_delta_mb) for r in df.collect()})
+    query = start("long", plan, "append", sink, str(tmp_path / "c"), "once")
+    ended = query.awaitTermination(60)
+    query.stop()
+    assert ended and len(found) == count
+    grown = {f"o{i:05d}": (None if i == 6 else i + big, None if i < 2 or i in (6, 8) else 2 / 1048576) for i in range(count)}
+    assert found == grown
+
+
 def test_throughput_as_intervals_close(spark, trace, tmp_path):
     found = full(run(throughput_stream(orders(spark, trace), "30 seconds", "1 second"), "append", tmp_path))
     rows = sorted(row for batch in found.values() for row in batch)
