@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-#: Moments a task holds before it hands them on.
-HELD = 200_000
+from orderwatch.streaming.packed import ROWS, pack, packing, unpack, unpack_all
+
 PART = "window_start long, window_end long, part int, orders long, sales long, priced long, suspicious long"
 #: What names a row of `live_stats`; the newest row of each is the answer.
 PART_KEYS = ["window_start", "window_end", "part"]
@@ -19,12 +20,12 @@ PART_KEYS = ["window_start", "window_end", "part"]
 class WindowPart(StatefulProcessor):
     """Some addresses of one window: their orders, and how many of them have reached the limit."""
 
-    def __init__(self, kind: str, limit: int):
-        self.kind, self.limit = kind, limit
+    def __init__(self, limit: int):
+        self.limit = limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.orders = handle.getMapState("orders", f"ip {self.kind}", "n long")
+        self.orders = handle.getValueState("orders", f"{ROWS} binary")
         self.totals = handle.getValueState("totals", "orders long, sales long, priced long, suspicious long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
@@ -35,21 +36,29 @@ class WindowPart(StatefulProcessor):
         if totals is None:
             self.handle.registerTimer(end // 1000)
         orders, sales, priced, suspicious = totals or (0, 0, 0, 0)
-        new: dict[object, int] = {}
-        for row in rows:
-            orders, sales, priced = orders + row.n, sales + (row.amount or 0), priced + row.priced
-            if row.ip is not None:
-                new[row.ip] = new.get(row.ip, 0) + row.n
-        for ip, n in new.items():
-            before = self.orders.getValue((ip,))
-            before = before[0] if before else 0
-            suspicious += before < self.limit <= before + n
-            self.orders.updateValue((ip,), (before + n,))
+        new = unpack_all(row[ROWS] for row in rows)
+        orders, sales, priced = (
+            before + (pc.sum(new.column(name)).as_py() or 0)
+            for before, name in zip((orders, sales, priced), ("n", "amount", "priced"), strict=True)
+        )
+        new = new.filter(pc.is_valid(new.column("ip"))).select(["ip", "n"])
+        if new.num_rows:
+            suspicious += self._crossed(new)
         self.totals.update((orders, sales, priced, suspicious))
         yield Row(
             window_start=start, window_end=end, part=part, orders=orders, sales=sales, priced=priced, suspicious=suspicious
         )
 
+    def _crossed(self, new: pa.Table) -> int:
+        """Adds orders to those of their addresses, and counts the addresses that reach the limit by it."""
+        kept = self.orders.get()
+        known = unpack(kept[0]) if kept else new.slice(0, 0)
+        both = pa.concat_tables([known.append_column("before", known.column("n")), new.append_column("before", pa.repeat(pa.scalar(0, pa.int64()), new.num_rows))])
+        now = both.group_by("ip").aggregate([("n", "sum"), ("before", "sum")]).rename_columns(["ip", "n", "before"])
+        self.orders.update((pack(now.select(["ip", "n"])),))
+        crossed = pc.and_(pc.less(now.column("before"), self.limit), pc.greater_equal(now.column("n"), self.limit))
+        return pc.sum(crossed).as_py()
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         self.orders.clear()
         self.totals.clear()
@@ -59,23 +68,13 @@ class WindowPart(StatefulProcessor):
         pass
 
 
-def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Orders of a task by window and address."""
-    keys = ["window_start", "window_end", "part", "ip"]
+KEYS = ["window_start", "window_end", "part"]
 
-    def sums(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        found = pa.concat_tables(held).group_by(keys).aggregate([([], "count_all"), ("amount", "sum"), ("amount", "count")])
-        yield from found.rename_columns([*keys, "n", "amount", "priced"]).combine_chunks().to_batches()
 
-    held, size = [], 0
-    for batch in batches:
-        held.append(pa.Table.from_batches([batch]))
-        size += batch.num_rows
-        if size > HELD:
-            yield from sums(held)
-            held, size = [], 0
-    if size:
-        yield from sums(held)
+def _added_up(rows: pa.Table) -> pa.Table:
+    """Orders of a task by window and address."""
+    found = rows.group_by([*KEYS, "ip"]).aggregate([([], "count_all"), ("amount", "sum"), ("amount", "count")])
+    return found.rename_columns([*KEYS, "ip", "n", "amount", "priced"])
 
 
 def live_stats(
@@ -84,11 +83,10 @@ def live_stats(
     """Parts of the statistics of windows, handed on each time they change; `stats_of_parts` adds them up.
 
     For update mode. The addresses of a window are dealt to `parts` keys, so that a busy window is many keys; an address
-    is added up in each task before that. State is a number for each address of an open window and the sums of a
-    part, gone when the watermark passes the end. An address that crosses the limit changes its part, which is then handed
+    is added up in each task before that. State is a number for each address of an open window, packed by part, and the
+    sums of a part, which a batch reads and writes once, gone when the watermark passes the end. An address that crosses the limit changes its part, which is then handed
     on again in place of the one before. Orders of closed windows are left out.
     """
-    kind = df.schema["ip_address"].dataType.simpleString()
     window = F.window("timestamp", duration)
     rows = df.withWatermark("timestamp", delay).select(window.alias("window"), F.col("ip_address").alias("ip"), "total_price")
     rows = rows.select(
@@ -98,9 +96,8 @@ def live_stats(
         "ip",
         F.col("total_price").cast("long").alias("amount"),
     )
-    summed = "window_start long, window_end long, part int, ip " + kind + ", n long, amount long, priced long"
-    keyed = rows.mapInArrow(_added_up, summed).groupBy("window_start", "window_end", "part")
-    found = keyed.transformWithState(WindowPart(kind, limit), PART, "update", "EventTime")
+    packed = rows.mapInArrow(packing(KEYS, _added_up), f"window_start long, window_end long, part int, {ROWS} binary")
+    found = packed.groupBy(*KEYS).transformWithState(WindowPart(limit), PART, "update", "EventTime")
     return found.withColumns({c: F.timestamp_micros(c) for c in ("window_start", "window_end")})
 
 
