@@ -5,20 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from orderwatch.operators.rolling import IP, MICROS, TIME
+from orderwatch.streaming.packed import ROWS, frame, pack, packing, unpack, unpack_all
 from orderwatch.streaming.sinks import Sink
 
 #: What a row tells a cell: orders of its own, orders of cells that lie wholly in every look-back, or orders of the
 #: cell that a look-back begins in.
 OWN, BETWEEN, OLDEST = 0, 1, 2
-#: Moments a task holds before it hands them on.
-HELD = 200_000
-
 MESSAGE = {"cell": pa.int64(), "role": pa.int32(), "at": pa.int64(), "n": pa.int64()}
 
 
@@ -48,10 +48,9 @@ def rolling_counts(
     timed = marked.filter(F.col(IP).isNotNull() & F.col(TIME).isNotNull())
     part = F.pmod(F.xxhash64(IP), F.lit(parts)).cast("int").alias("part")
     moments = timed.select(part, F.col(IP).alias("ip"), F.unix_micros(TIME).alias("at"))
-    sent = f"part int, ip {kind}, cell long, role int, at long, n long"
-    messages = moments.mapInArrow(_to_cells(length // cells, cells), sent)
-    levels = messages.groupBy("part", "cell").transformWithState(
-        CellLevels(kind, length, cells), f"ip {kind}, at long, recent_orders long", "append", "EventTime"
+    messages = moments.mapInArrow(_to_cells(length // cells, cells), f"part int, cell long, {ROWS} binary")
+    levels = messages.groupBy("part", "cell").transformWithStateInPandas(
+        CellLevels(length, cells), f"ip {kind}, at long, recent_orders long", "append", "EventTime"
     )
     order = F.struct(*orders.columns)
     nothing = F.lit(None)
@@ -85,75 +84,70 @@ def counted(sink: Sink) -> Sink:
 def _to_cells(width: int, cells: int):
     """Adds orders up by address and time, and sends each sum to its own cell and those that look back on it."""
 
-    def messages(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        moments = pa.concat_tables(held).group_by(["part", "ip", "at"]).aggregate([([], "count_all")])
+    def message(part, ip, cell, role, at, n) -> pa.Table:
+        columns = {"cell": cell, "role": np.full(len(ip), role), "at": at, "n": n}
+        arrays = [pa.array(columns[c], kind) if isinstance(columns[c], np.ndarray) else columns[c].cast(kind) for c, kind in MESSAGE.items()]
+        return pa.Table.from_arrays([part, ip, *arrays], names=["part", "ip", *MESSAGE])
+
+    def messages(orders: pa.Table) -> pa.Table:
+        moments = orders.group_by(["part", "ip", "at"]).aggregate([([], "count_all")])
         part, ip, at, n = (moments.column(c).combine_chunks() for c in ("part", "ip", "at", "count_all"))
         cell = at.to_numpy() // width
-        yield message(part, ip, cell, OWN, at, n)
-        yield message(part, ip, cell + cells, OLDEST, at, n)
+        sent = [message(part, ip, cell, OWN, at, n), message(part, ip, cell + cells, OLDEST, at, n)]
         whole = pa.table({"part": part, "ip": ip, "cell": cell, "n": n}).group_by(["part", "ip", "cell"]).aggregate([("n", "sum")])
         part, ip, cell, n = (whole.column(c).combine_chunks() for c in ("part", "ip", "cell", "n_sum"))
         for further in range(1, cells):
-            yield message(part, ip, cell.to_numpy() + further, BETWEEN, pa.nulls(len(ip), pa.int64()), n)
-
-    def message(part, ip, cell, role, at, n) -> pa.RecordBatch:
-        columns = {"cell": cell, "role": np.full(len(ip), role), "at": at, "n": n}
-        arrays = [pa.array(columns[c], kind) if isinstance(columns[c], np.ndarray) else columns[c].cast(kind) for c, kind in MESSAGE.items()]
-        return pa.RecordBatch.from_arrays([part, ip, *arrays], names=["part", "ip", *MESSAGE])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            held.append(pa.Table.from_batches([batch]))
-            size += batch.num_rows
-            if size > HELD:
-                yield from messages(held)
-                held, size = [], 0
-        if size:
-            yield from messages(held)
+            sent.append(message(part, ip, cell.to_numpy() + further, BETWEEN, pa.nulls(len(ip), pa.int64()), n))
+        return pa.concat_tables(sent)
 
-    return run
+    return packing(["part", "cell"], messages)
 
 
 class CellLevels(StatefulProcessor):
     """Of the addresses of a part, in one cell: the level at each time that a batch has orders of."""
 
-    def __init__(self, kind: str, length: int, cells: int):
-        self.kind, self.length, self.cells = kind, length, cells
+    def __init__(self, length: int, cells: int):
+        self.length, self.cells = length, cells
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        moments, sums = f"ips array<{self.kind}>, times array<long>, counts array<long>", f"seen array<{self.kind}>, sums array<long>"
-        self.past = handle.getValueState("past", f"{moments}, {sums}")
+        self.past = handle.getValueState("past", "moments binary, sums binary")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         past = self.past.get()
         if past is None:
-            self.handle.registerTimer((key[1] + 1) * (self.length // self.cells) // 1000)
-        ips, times, counts, seen, sums = past or ([], [], [], [], [])
-        moments: dict[object, dict[int, int]] = {}
-        for ip, at, n in zip(ips, times, counts, strict=True):
-            moments.setdefault(ip, {})[at] = n
-        between, wanted = dict(zip(seen, sums, strict=True)), {}
-        for row in rows:
-            if row.role == BETWEEN:
-                between[row.ip] = between.get(row.ip, 0) + row.n
-                continue
-            own = moments.setdefault(row.ip, {})
-            own[row.at] = own.get(row.at, 0) + row.n
-            if row.role == OWN:
-                wanted.setdefault(row.ip, set()).add(row.at)
-        flat = [(ip, at, n) for ip, own in moments.items() for at, n in own.items()]
-        ips, times, counts = ([row[i] for row in flat] for i in range(3))
-        self.past.update((ips, times, counts, list(between), list(between.values())))
-        for ip, ats in wanted.items():
-            ends = np.array(sorted(moments[ip]))
-            upto = np.concatenate(([0], np.cumsum([moments[ip][at] for at in ends.tolist()])))
-            for at in sorted(ats):
-                first, last = np.searchsorted(ends, [at - self.length, at], side="right")
-                yield Row(ip=ip, at=at, recent_orders=int(upto[last] - upto[first] + between.get(ip, 0)))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+            self.handle.registerTimer(int((key[1] + 1) * (self.length // self.cells) // 1000))
+        new = unpack_all(data for some in rows for data in some[ROWS])
+        role = new.column("role").to_numpy()
+        sums = new.filter(pa.array(role == BETWEEN)).select(["ip", "n"])
+        moments = new.select(["ip", "at", "n"]).append_column("wanted", pa.array((role == OWN).astype(np.int8)))
+        moments = moments.filter(pa.array(role != BETWEEN))
+        if past:
+            before = unpack(past[0])
+            before = before.append_column("wanted", pa.array(np.zeros(before.num_rows, np.int8)))
+            moments, sums = pa.concat_tables([before, moments]), pa.concat_tables([unpack(past[1]), sums])
+        moments = moments.group_by(["ip", "at"]).aggregate([("n", "sum"), ("wanted", "max")])
+        moments = moments.rename_columns(["ip", "at", "n", "wanted"]).combine_chunks()
+        sums = sums.group_by("ip").aggregate([("n", "sum")]).rename_columns(["ip", "n"])
+        self.past.update((pack(moments.select(["ip", "at", "n"])), pack(sums)))
+        if (role == OWN).any():
+            yield frame(self._levels(moments, sums))
+
+    def _levels(self, moments: pa.Table, sums: pa.Table) -> pa.Table:
+        """The level at each wanted moment: the orders of the moments a look-back holds, and the sums between."""
+        ip, at = moments.column("ip").combine_chunks().dictionary_encode().indices.to_numpy(), moments.column("at").to_numpy()
+        order = np.lexsort((at, ip))
+        ip, at, n, wanted = ip[order].astype(np.int64), at[order], moments.column("n").to_numpy()[order], moments.column("wanted").to_numpy()[order]
+        times = np.unique(at)
+        place = ip * (len(times) + 1) + np.searchsorted(times, at)
+        upto, found = np.concatenate(([0], np.cumsum(n))), np.flatnonzero(wanted)
+        first = np.searchsorted(place, ip[found] * (len(times) + 1) + np.searchsorted(times, at[found] - self.length, side="right"))
+        rows = moments.select(["ip", "at"]).take(pa.array(order[found]))
+        between = pc.fill_null(sums.column("n").take(pc.index_in(rows.column("ip"), sums.column("ip"))), 0)
+        levels = upto[found + 1] - upto[first] + between.to_numpy()
+        return rows.append_column("recent_orders", pa.array(levels, pa.int64()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         self.past.clear()
         return iter(())
 
