@@ -3,34 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructField, StructType, TimestampType
 
+from orderwatch.streaming.packed import ROWS, frame, packing, unpack
 from orderwatch.streaming.running import ddl, with_instants, with_micros
 from orderwatch.streaming.sinks import Sink
 
 TIME = "timestamp"
-EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+END = "window_end"
 
 
 class Lateness(StatefulProcessor):
     """Hands on the orders whose window the watermark of the batch has closed, or those it has not. Keeps no state."""
 
-    def __init__(self, names: list[str], late: bool):
-        self.names, self.late = names, late
+    def __init__(self, late: bool):
+        self.late = late
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         pass
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         closed = timerValues.getCurrentWatermarkInMs()
-        for row in rows:
-            if (row.window_end // 1000 <= closed) == self.late:
-                yield Row(**{name: row[name] for name in self.names}, window_end=row.window_end)
+        for some in rows:
+            for end, packed in zip(some[END].tolist(), some[ROWS], strict=True):
+                if (end // 1000 <= closed) == self.late:
+                    yield self.handed_on(unpack(packed), end)
+
+    def handed_on(self, orders: pa.Table, end: int) -> pd.DataFrame:
+        return frame(orders)
 
     def close(self) -> None:
         pass
@@ -39,10 +47,22 @@ class Lateness(StatefulProcessor):
 class OnTime(Lateness):
     """The orders in time, their time the last moment of their window, which is never behind the watermark."""
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        for row in super().handleInputRows(key, rows, timerValues):
-            last = EPOCH + timedelta(microseconds=row.window_end - 1)
-            yield Row(**{name: last if name == TIME else row[name] for name in self.names})
+    def handed_on(self, orders: pa.Table, end: int) -> pd.DataFrame:
+        last = pa.repeat(pa.scalar(end - 1, pa.timestamp("us", "UTC")), orders.num_rows)
+        return frame(orders.set_column(orders.column_names.index(TIME), TIME, last))
+
+
+def _dealt(keys: int, first: int):
+    """Packs the orders of a task by window, and deals them to keys in turn, from `first` on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = first + TaskContext.get().partitionId()
+        for part in packing([END])(batches):
+            key = pa.array((turn + np.arange(part.num_rows)) % keys, pa.int64())
+            turn += part.num_rows
+            yield pa.RecordBatch.from_arrays([key, *part.columns], names=["_key", *part.schema.names])
+
+    return run
 
 
 def windows_and_late(
@@ -54,21 +74,21 @@ def windows_and_late(
     last moment of their window as their time. Columns: `window`, a row of `build`, or null; `late`, an order as it
     came, or null. An order is late if the watermark, `delay` behind the newest time of the batches before, has passed
     the end of its window; every order is in a window or late, and none in both. Orders without a time are in neither.
-    `keys` is how many keys the orders are dealt to by hash; nothing is kept for a key.
+    The orders of a task are packed by window and dealt to `keys` keys in turn; nothing is kept for a key.
     """
     marked = orders.withWatermark(TIME, delay).filter(F.col(TIME).isNotNull())
     ended = marked.withColumn("_window_end", F.window(TIME, duration)["end"])
-    plain = with_micros(ended).withColumnRenamed("_window_end", "window_end")
+    plain = with_micros(ended).withColumnRenamed("_window_end", END)
 
-    def dealt(salt: int):
+    def dealt(first: int):
         """Dealt differently for each branch: one that reuses the other's exchange would not see the watermark."""
-        return plain.withColumn("_key", F.pmod(F.xxhash64(*orders.columns, F.lit(salt)), F.lit(keys))).groupBy("_key")
+        return plain.mapInArrow(_dealt(keys, first), f"_key long, {END} long, {ROWS} binary").groupBy("_key")
 
     names, schema = orders.columns, with_micros(orders).schema
-    late = dealt(1).transformWithState(Lateness(names, True), f"{ddl(schema)}, window_end long", "append", "EventTime")
+    late = dealt(0).transformWithStateInPandas(Lateness(True), ddl(schema), "append", "EventTime")
     late = with_instants(late, orders.schema)
     timed = StructType([StructField(TIME, TimestampType()) if f.name == TIME else f for f in schema])
-    on_time = dealt(2).transformWithState(OnTime(names, False), timed, "append", "EventTime", eventTimeColumnName=TIME)
+    on_time = dealt(1).transformWithStateInPandas(OnTime(False), timed, "append", "EventTime", eventTimeColumnName=TIME)
     windows = build(with_instants(on_time, StructType([f for f in orders.schema if f.name != TIME])))
     nothing = F.lit(None)
     window, order = F.struct(*windows.columns), F.struct(*names)
