@@ -11,9 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from orderwatch.functions.scalars import interval_seconds, seconds_between
 from orderwatch.operators.prefix import running_total
+from orderwatch.streaming.panes import bought_in_windows
 
 
 def _watermarked(df: DataFrame, delay: str | None) -> DataFrame:
@@ -92,8 +94,12 @@ def ip_products(
 ) -> DataFrame:
     """How many `copies` of each product an address bought in a window, and what it spent on them.
 
-    On a stream this is for append mode, which hands on all rows of a window in one batch.
+    On a stream this is for append mode, which hands on all rows of a window in one batch; where windows consist of
+    whole slides, its state is a row for each pane, address and product (see `bought_in_windows`).
     """
+    whole = isinstance(df.schema["total_price"].dataType, (ByteType, ShortType, IntegerType, LongType))
+    if df.isStreaming and delay and whole and _divides(slide or duration, duration):
+        return bought_in_windows(df, duration, slide or duration, delay)
     return _windowed(df, ["ip_address", "product_name"], duration, slide, delay).select(
         F.col("window.start").alias("window_start"),
         "ip_address",
