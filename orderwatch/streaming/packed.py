@@ -35,8 +35,9 @@ def unpack_all(packed: Iterable[bytes]) -> pa.Table:
 
 
 def frame(table: pa.Table) -> pd.DataFrame:
-    """For handing on. Columns stay Arrow's, so that whole numbers beside nulls stay exact; instants are pandas'."""
-    return table.to_pandas(types_mapper=lambda kind: None if pa.types.is_timestamp(kind) else pd.ArrowDtype(kind))
+    """For handing on. Columns stay Arrow's, so that whole numbers beside nulls stay exact; instants are pandas'. Each is
+    in one piece, as Spark wants it: sums of more than 32,768 keys come in several."""
+    return table.combine_chunks().to_pandas(types_mapper=lambda kind: None if pa.types.is_timestamp(kind) else pd.ArrowDtype(kind))
 
 
 def chunked(batches: Iterable[pa.RecordBatch], held: int = HELD) -> Iterator[pa.Table]:
